@@ -24,8 +24,7 @@ from postlake.sources import sinks
 from postlake.operators.observe import count_stages
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+from postlake.sources.tables import read_table as read, spread  # noqa: E402
 
 
 # ---------------------------------------------------------------- parameters
@@ -49,7 +48,7 @@ CONTAINS_WORD = "data"
 # ---------------------------------------------------------------- queries
 def top_tokens(spark, sf_dir):
     """Most frequent non-stopword tokens of the texts."""
-    docs = read(spark, sf_dir, "documents").select("text")
+    docs = spread(read(spark, sf_dir, "documents").select("text"))
     toks = docs.select(F.explode(pf.tokens(pf.remove_punct(pf.lower("text")))).alias("token"))
     stop = lookup.small_table(spark, [(w,) for w in STOPWORDS_ES], "word string")
     kept = lookup.drop_listed(toks, "token", stop)
@@ -59,7 +58,7 @@ def top_tokens(spark, sf_dir):
 
 def title_prefix_topk_share(spark, sf_dir):
     """Top first-n-word prefixes with their share of the top-k."""
-    docs = read(spark, sf_dir, "documents").select("text")
+    docs = spread(read(spark, sf_dir, "documents").select("text"))
     pref = docs.select(pf.first_words("text", PREFIX_WORDS).alias("prefix"))
     freq = frequency.value_counts(pref, "prefix", "freq")
     out = frequency.top_k_share(freq, "prefix", TOP_K, "freq", "share", "top_total")
@@ -79,7 +78,7 @@ def category_counts_coords(spark, sf_dir):
 
 def normalize_text(spark, sf_dir):
     """X1 X2 X3 on whole texts."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", pf.remove_noise(pf.strip(pf.lower("text"))).alias("norm_text"))
 
 
@@ -91,14 +90,14 @@ def title_case(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select(
         F.lit("documents").alias("src"), F.col("doc_id").alias("id"), F.col("text").alias("raw")
     )
-    both = part.unionByName(docs)
+    both = spread(part.unionByName(docs))
     titled = both.select("src", "id", pf.title_case(pf.strip("raw")).alias("title"))
     return titled.withColumn("title_lower", F.lower("title"))
 
 
 def job_key(spark, sf_dir):
     """Business key from url, first <h1> and host."""
-    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     t = pages.select(
         "page_id", "url", ph.first_tag_text("html", "h1").alias("title"), pf.host("url").alias("company")
     )
@@ -107,7 +106,7 @@ def job_key(spark, sf_dir):
 
 def dedup_by_key(spark, sf_dir):
     """First document (by doc_id) per SHA-256 of its text."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     keyed = docs.select("doc_id", F.sha2("text", 256).alias("dedup_key"), "lang")
     return dedup.keep_first(keyed, ["dedup_key"], ["doc_id"])
 
@@ -121,19 +120,19 @@ def _links(pages: DataFrame) -> DataFrame:
 
 def dedup_links(spark, sf_dir):
     """Distinct absolute links found in the pages."""
-    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return dedup.distinct_values(_links(pages), "link")
 
 
 def page_titles(spark, sf_dir):
     """First <h1> text per page."""
-    pages = read(spark, sf_dir, "pages").select("page_id", "html")
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "html"))
     return pages.select("page_id", ph.first_tag_text("html", "h1").alias("title"))
 
 
 def blocked_pages(spark, sf_dir):
     """Crawl statistics per language section of the site."""
-    pages = read(spark, sf_dir, "pages").select("url", "html")
+    pages = spread(read(spark, sf_dir, "pages").select("url", "html"))
     flagged = pages.select(
         F.regexp_extract("url", r"://[^/]+/([a-z]{2})/", 1).alias("section"),
         (F.col("html").isNull() | (F.col("html") == "")).alias("failed"),
@@ -169,7 +168,7 @@ def _event_pages(events: DataFrame) -> DataFrame:
 def jsonld_fields(spark, sf_dir):
     """JS1 JS2 X20: JSON-LD fields with the <h1> fallback for the title."""
     events = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    pages = _event_pages(events)
+    pages = _event_pages(spread(events))
     js = ph.jsonld_block("html")
     parsed = pages.select("event_id", "html", js.alias("js"), ph.jsonld_fields(js).alias("ld"))
     return parsed.select(
@@ -237,7 +236,7 @@ def salary_string(spark, sf_dir):
 
 def canonical_url(spark, sf_dir):
     """Canonical id URL, slug, safe name and site settings."""
-    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     t = pages.select(
         "page_id", "url", pf.origin("url").alias("base"), pf.host("url").alias("host"),
         ph.first_tag_text("html", "h1").alias("title"),
@@ -266,7 +265,7 @@ def null_profile(spark, sf_dir):
 
 def contains_filters(spark, sf_dir):
     """Contains (null → false), inequality and equality tests."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     hit = F.coalesce(F.contains(F.lower("text"), F.lit(CONTAINS_WORD)), F.lit(False))
     return docs.where(hit & (F.col("lang") != "de")).select("doc_id", "lang", (F.col("lang") == "es").alias("is_es"))
 
@@ -307,7 +306,7 @@ def head_preview(spark, sf_dir):
 def links_join_pages(spark, sf_dir):
     """Distinct link list joined to the fetched pages by URL (fragment
     dropped); the HTML itself stays out of the shuffle."""
-    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     link_of = F.regexp_replace("url", "#.*$", "")
     links = dedup.distinct_values(pages.select(link_of.alias("link")), "link")
     fetched = pages.select(
@@ -349,6 +348,37 @@ def observe_counts(spark, sf_dir):
     return spark.createDataFrame(counts, "stage string, rows bigint")
 
 
+def extract_rules(spark, sf_dir):
+    """The rule-driven extraction job over every page
+    (generic article rules), lists emitted as newline-joined strings."""
+    from postlake.plans import postings
+
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    out = postings.extract_postings(pages, keep_errors=True)
+    return out.select(
+        "page_id", "title", "company", "location",
+        F.array_join("tags", "\n").alias("tags"),
+        F.array_join("skills", "\n").alias("skills"),
+        "parse_ok",
+    )
+
+
+def postings_pipeline(spark, sf_dir):
+    """S3 S4 P1-P7 A8 G3 H*: pages → raw layer → processed layer for one ds."""
+    from postlake.plans import postings
+    from postlake.session import shared_dir
+
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    base = shared_dir(spark, "pipeline")
+    out = postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed")
+    return out.select(
+        "job_key", "title", "title_lower", "company", "location", "posted_date", "url",
+        F.length("description_raw").alias("description_chars"),
+        F.array_join("tags", "\n").alias("tags"), F.array_join("skills", "\n").alias("skills"),
+        "source_site", "source", "ds",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_tokens": top_tokens,
     "title_prefix_topk_share": title_prefix_topk_share,
@@ -376,4 +406,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frontier": frontier,
     "roundtrip_sinks": roundtrip_sinks,
     "observe_counts": observe_counts,
+    "extract_rules": extract_rules,
+    "postings_pipeline": postings_pipeline,
 }

@@ -251,6 +251,18 @@ SELECT r_regionkey, source, CAST(page AS INTEGER) AS page, {_fill('template', 'r
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS ds,
        o_orderstatus AS source FROM orders"""
 
+    nav = f"regexp_extract({o.content_only('html')}, '(?is)<nav\\b[^>]*>(.*?)</nav\\s*>', 1)"
+    li = f"list_transform(regexp_extract_all({nav}, '(?is)<li\\b[^>]*>(.*?)</li\\s*>', 1), lambda x: {o.fragment_text('x')})"
+    a = f"list_transform(regexp_extract_all({nav}, '(?is)<a\\b[^>]*>(.*?)</a\\s*>', 1), lambda x: {o.fragment_text('x')})"
+    ad = f"regexp_extract({o.content_only('html')}, '(?is)<div\\b[^>]*class=\"ad\"[^>]*>(.*?)</div\\s*>', 1)"
+    sql["extract_rules"] = f"""
+SELECT page_id, {o.first_tag_text('html')} AS title, {o.host('url')} AS company,
+       {o.fragment_text(ad)} AS location,
+       array_to_string(list_filter({li}, lambda x: x <> ''), chr(10)) AS tags,
+       array_to_string(list_sort(list_distinct(list_filter({a}, lambda x: x <> ''))), chr(10)) AS skills,
+       true AS parse_ok
+FROM pages"""
+
     sql["observe_counts"] = """
 SELECT 'scanned' AS stage, count(*) AS rows FROM part
 UNION ALL SELECT 'kept', count(*) FROM part WHERE p_size > 10"""
