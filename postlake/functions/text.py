@@ -104,3 +104,8 @@ def first_nonempty(*cols) -> Column:
     the last operand is returned as is."""
     cs = [_c(c) for c in cols]
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cs[:-1]], cs[-1])
+
+
+def today_ds() -> Column:
+    """The default run date, ``yyyy-MM-dd`` in the session time zone."""
+    return F.date_format(F.current_date(), "yyyy-MM-dd")

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -194,6 +194,7 @@ def extract_postings(
     block_phrases: Sequence[str] = sites.BLOCK_PHRASES,
     blocked_sources: Sequence[str] = ("indeed",),
     keep_errors: bool = False,
+    observations: dict | None = None,
 ) -> DataFrame:
     """pages → canonical posting rows (plus ``source``, ``page_id``,
     ``parse_ok``, ``parse_error``).
@@ -201,11 +202,21 @@ def extract_postings(
     F1 drops null/empty pages; F2 drops blocked pages of ``blocked_sources``
     before any parsing; F3 drops indeed pages with neither JSON-LD nor a
     description. Failed parses are dropped unless ``keep_errors`` (H11).
+    Pass a dict as ``observations`` to get A11/S8 counters (``pages``,
+    ``output``) filled by whatever action runs the plan — no extra job.
     """
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
-    src = src.where(F.col("html").isNotNull() & (F.col("html") != ""))
+    failed = F.col("html").isNull() | (F.col("html") == "")
     blocked = ph.is_blocked("html", block_phrases) & F.col("source").isin(list(blocked_sources))
-    src = src.where(~blocked)
+    if observations is not None:
+        observations["pages"] = Observation("pages")
+        src = src.observe(
+            observations["pages"],
+            F.count(F.lit(1)).alias("links"),
+            F.count_if(~failed).alias("processed"),
+            F.count_if(~failed & blocked).alias("blocked"),
+        )
+    src = src.where(~failed & ~blocked)
     text = ph.page_text("html")
     flags = src.select(
         "page_id", "source", "url", "html",
@@ -224,9 +235,34 @@ def extract_postings(
     out = assemble(with_ld).where(F.col("__keep")).drop("__keep")
     if not keep_errors:
         out = out.where(F.col("parse_ok"))
+    if observations is not None:
+        observations["output"] = Observation("output")
+        out = out.observe(
+            observations["output"],
+            F.count_if(F.col("parse_ok")).alias("parsed"),
+            F.count_if(~F.col("parse_ok")).alias("errors"),
+        )
     return out
 
 
+def crawl_stats(
+    pages: DataFrame,
+    block_phrases: Sequence[str] = sites.BLOCK_PHRASES,
+    blocked_sources: Sequence[str] = ("indeed",),
+) -> DataFrame:
+    """A11 per source: pages seen, fetched (non-empty), blocked. One
+    partial+final hash aggregate; the HTML is read once and never shuffled."""
+    src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
+    failed = F.col("html").isNull() | (F.col("html") == "")
+    blocked = ph.is_blocked("html", block_phrases) & F.col("source").isin(list(blocked_sources))
+    flags = src.select("source", failed.alias("failed"), blocked.alias("blocked"))
+    return flags.groupBy("source").agg(
+        F.count(F.lit(1)).alias("links"),
+        F.count_if(~F.col("failed")).alias("processed"),
+        F.count_if(~F.col("failed") & F.col("blocked")).alias("blocked"),
+    )
+
+
 def stamp(df: DataFrame, ds: str | Column, scraped_at: Column | None = None) -> DataFrame:
     """P1 + P2: ``ds``, ``scraped_at`` and the business key on raw values."""
     ds_col = F.lit(ds) if isinstance(ds, str) else ds
@@ -263,14 +299,27 @@ def run(
     raw_path: str,
     processed_path: str,
     rules: Mapping[str, Sequence] = EXTRACTION_RULES,
+    stats: dict | None = None,
 ) -> DataFrame:
     """One daily run for ``ds``: extract, write raw, transform, write
-    processed. Rerunning the same ``ds`` replaces only its partitions.
-    Returns the processed rows of this ``ds`` (read back from storage)."""
-    postings = stamp(extract_postings(pages, rules), ds)
+    processed. Rerunning the same ``ds`` replaces only its partitions; an
+    empty run leaves them alone (F10).
+
+    The raw layer is the lineage cut: the processed layer is computed from
+    the written raw rows, so the HTML is parsed once and a lost executor
+    during the transform only recomputes from Parquet. ``stats`` (a dict)
+    receives the S8/A11 counters. Returns the processed rows of this ``ds``.
+    """
+    obs: dict = {}
+    postings = stamp(extract_postings(pages, rules, observations=obs), ds)
     raw = conform(postings, POSTING_FIELDS + META_FIELDS).select(*RAW_SCHEMA.fieldNames())
     sinks.write_layer(raw, raw_path)
     raw_back = sinks.read_layer(spark, raw_path, RAW_SCHEMA, ds=ds)
     processed = transform(raw_back).select(*PROCESSED_SCHEMA.fieldNames())
+    proc_obs = Observation("processed")
+    processed = processed.observe(proc_obs, F.count(F.lit(1)).alias("processed_rows"))
     sinks.write_layer(processed, processed_path)
+    if stats is not None:
+        for o in (obs["pages"], obs["output"], proc_obs):
+            stats.update({k: int(v) for k, v in o.get.items()})
     return sinks.read_layer(spark, processed_path, PROCESSED_SCHEMA, ds=ds)

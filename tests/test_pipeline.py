@@ -25,8 +25,10 @@ def pages_df(spark, rows=PAGES):
 
 def test_run_twice_equals_once_and_sources_survive(spark, tmp_dir):
     raw, proc = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "processed")
-    first = postings.run(spark, pages_df(spark), "2024-04-17", raw, proc)
+    stats = {}
+    first = postings.run(spark, pages_df(spark), "2024-04-17", raw, proc, stats=stats)
     once = sorted(r.job_key for r in first.collect())
+    assert stats == {"links": 4, "processed": 4, "blocked": 0, "parsed": 4, "errors": 0, "processed_rows": 3}
     second = postings.run(spark, pages_df(spark), "2024-04-17", raw, proc)
     assert sorted(r.job_key for r in second.collect()) == once
     assert len(once) == 3  # duplicate key removed, three sources kept (G3)
@@ -72,3 +74,21 @@ def test_scan_foreign_tree_skips_garbage(spark, tmp_dir):
 def test_scan_empty_path_raises(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         scan_parquet_tree(spark, os.path.join(tmp_dir, "nothing-here"))
+
+
+def test_crawl_stats(spark):
+    from tests.fixtures import html_pages as H2
+
+    rows = [(1, "indeed", "u1", H2.INDEED_BLOCKED), (2, "indeed", "u2", H2.INDEED_JSONLD), (3, "indeed", "u3", None),
+            (4, "zonajobs", "u4", "<html>robot</html>")]
+    got = {r.source: (r.links, r.processed, r.blocked) for r in postings.crawl_stats(pages_df(spark, rows)).collect()}
+    assert got == {"indeed": (3, 2, 1), "zonajobs": (1, 1, 0)}
+
+
+def test_source_selection():
+    from postlake.sources.pages import resolve_sources
+
+    assert resolve_sources(["Portal Empleo", "zonajobs", "zonajobs"]) == ["portal_empleo", "zonajobs"]
+    assert resolve_sources(["nope", "indeed"], strict=False) == ["indeed"]
+    with pytest.raises(ValueError):
+        resolve_sources(["nope"])
