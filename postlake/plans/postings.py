@@ -165,7 +165,7 @@ def _assemble_exprs() -> dict[str, dict[str, Column]]:
     }
 
 
-def assemble(extracted: DataFrame) -> DataFrame:
+def assemble(extracted: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Inputs → the 15 canonical fields, one ``CASE`` per field over sources."""
     per_source = _assemble_exprs()
     cols = []
@@ -185,7 +185,7 @@ def assemble(extracted: DataFrame) -> DataFrame:
                 cond = F.col("source") == src
                 expr = F.when(cond, exprs[name]) if expr is None else expr.when(cond, exprs[name])
         cols.append((expr if expr is not None else F.lit(None)).cast(dtype).alias(name))
-    return extracted.select(*cols, "source", "page_id", "parse_ok", "parse_error", "__keep")
+    return extracted.select(*cols, "source", "page_id", "parse_ok", "parse_error", "__keep", *carry)
 
 
 def extract_postings(
@@ -195,6 +195,7 @@ def extract_postings(
     blocked_sources: Sequence[str] = ("indeed",),
     keep_errors: bool = False,
     observations: dict | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """pages → canonical posting rows (plus ``source``, ``page_id``,
     ``parse_ok``, ``parse_error``).
@@ -204,6 +205,7 @@ def extract_postings(
     description. Failed parses are dropped unless ``keep_errors`` (H11).
     Pass a dict as ``observations`` to get A11/S8 counters (``pages``,
     ``output``) filled by whatever action runs the plan — no extra job.
+    ``carry`` names small page columns (e.g. ``ds``) passed through unchanged.
     """
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
     failed = F.col("html").isNull() | (F.col("html") == "")
@@ -219,11 +221,11 @@ def extract_postings(
     src = src.where(~failed & ~blocked)
     text = ph.page_text("html")
     flags = src.select(
-        "page_id", "source", "url", "html",
+        "page_id", "source", "url", "html", *carry,
         F.when(F.col("source") == "portal_empleo", pf.flag_phrase(text, sites.NEGOTIABLE_PHRASE, sites.NEGOTIABLE_LABEL)).alias("__negotiable"),
         F.when(F.col("source").isin("portal_empleo", "article"), pf.first_date(text)).alias("__date_in_text"),
     )
-    joined = extract_pages(flags, rules, passthrough=["__negotiable", "__date_in_text"])
+    joined = extract_pages(flags, rules, passthrough=["__negotiable", "__date_in_text", *carry])
     js = _v("jsonld")
     with_ld = joined.withColumn("__ld", ph.jsonld_fields(js)).withColumn(
         "__keep",
@@ -232,7 +234,7 @@ def extract_postings(
             F.try_parse_json(js).isNotNull() | _v("has_description").isNotNull(),
         ).otherwise(F.lit(True)),
     )
-    out = assemble(with_ld).where(F.col("__keep")).drop("__keep")
+    out = assemble(with_ld, carry).where(F.col("__keep")).drop("__keep")
     if not keep_errors:
         out = out.where(F.col("parse_ok"))
     if observations is not None:

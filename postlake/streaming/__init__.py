@@ -1,0 +1 @@
+"""Incremental runner: landed page files → raw and processed layers."""
