@@ -11,15 +11,23 @@ expressions (``postlake.plans.postings``).
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlake.operators import htmltree
 from postlake.operators.htmltree import Document, Node
 
+# The mapper and the tree code travel inside the task closure (pickled by
+# value), so executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(htmltree)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EXTRACT_SCHEMA = T.StructType(
     [
         T.StructField("page_id", T.LongType()),

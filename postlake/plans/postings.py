@@ -209,7 +209,7 @@ def extract_postings(
     """
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
     failed = F.col("html").isNull() | (F.col("html") == "")
-    blocked = ph.is_blocked("html", block_phrases) & F.col("source").isin(list(blocked_sources))
+    blocked = F.col("source").isin(list(blocked_sources)) & ph.is_blocked("html", block_phrases)
     if observations is not None:
         observations["pages"] = Observation("pages")
         src = src.observe(
@@ -256,7 +256,7 @@ def crawl_stats(
     partial+final hash aggregate; the HTML is read once and never shuffled."""
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
     failed = F.col("html").isNull() | (F.col("html") == "")
-    blocked = ph.is_blocked("html", block_phrases) & F.col("source").isin(list(blocked_sources))
+    blocked = F.col("source").isin(list(blocked_sources)) & ph.is_blocked("html", block_phrases)
     flags = src.select("source", failed.alias("failed"), blocked.alias("blocked"))
     return flags.groupBy("source").agg(
         F.count(F.lit(1)).alias("links"),

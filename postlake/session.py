@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # pages are large rows: keep Arrow batches to the extraction job small
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
         .config("spark.driver.memory", os.environ.get("POSTLAKE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
