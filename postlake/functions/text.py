@@ -56,8 +56,12 @@ def tokens(c) -> Column:
 
 
 def first_words(c, n: int = 5) -> Column:
-    """The first ``n`` lower-cased words joined by one space; null-safe."""
-    return F.array_join(F.slice(tokens(F.lower(_c(c))), 1, n), " ")
+    """The first ``n`` lower-cased words joined by one space; null-safe.
+
+    The whole text is split (as ``str.split()`` does); only the kept words
+    are lower-cased — lower-casing never creates or removes whitespace, so
+    this equals splitting the lower-cased text."""
+    return F.array_join(F.transform(F.slice(tokens(_c(c)), 1, n), lambda w: F.lower(w)), " ")
 
 
 def first_int(c) -> Column:

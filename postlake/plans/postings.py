@@ -288,9 +288,9 @@ def transform(df: DataFrame, scope: Sequence[str] = ("ds", "source")) -> DataFra
             "location": pf.strip("location"),
         }
     )
-    kept = dedup.keep_first(
-        cleaned, [*scope, "job_key"], ["scraped_at", "url", "title", "company", "location"]
-    )
+    # Full order: a retried task must pick the same winner (whole-row hash last).
+    order = ["scraped_at", "url", "title", "company", "location", F.xxhash64(*cleaned.columns)]
+    kept = dedup.keep_first(cleaned, [*scope, "job_key"], order)
     return kept.withColumn("title_lower", F.lower("title"))
 
 
