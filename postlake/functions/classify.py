@@ -51,18 +51,26 @@ def normalize_region(
     ``remote_label``; first category whose keyword is a substring (rule order
     is priority); otherwise the cleaned text (``unmatched="keep"``) or null.
 
-    The rule table is small and fixed, so this compiles to one ``CASE WHEN``
-    chain evaluated inside whole-stage codegen (no join, no shuffle).
+    The rule table is small and fixed, so this is one ``CASE WHEN`` chain —
+    row-local, no join, no shuffle. The cleaned text is computed once and the
+    chain reads it as a lambda variable, so the chain never inlines the two
+    regex replacements per branch (which would overflow the 64 KB generated
+    method limit once the expression is fused into an aggregate).
     """
     raw = _c(c)
     cleaned = remove_noise(F.lower(raw), keep_class)
-    expr = F.when(raw.isNull(), F.lit(None).cast("string"))
-    if remote_words:
-        expr = expr.when(_any_contains(cleaned, remote_words), F.lit(remote_label))
-    for label, words in rules:
-        expr = expr.when(_any_contains(cleaned, words), F.lit(label))
-    fallback = cleaned if unmatched == "keep" else F.lit(None).cast("string")
-    return expr.otherwise(fallback)
+
+    def chain(t: Column) -> Column:
+        expr = None
+        if remote_words:
+            expr = F.when(_any_contains(t, remote_words), F.lit(remote_label))
+        for label, words in rules:
+            cond = _any_contains(t, words)
+            expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+        fallback = t if unmatched == "keep" else F.lit(None).cast("string")
+        return fallback if expr is None else expr.otherwise(fallback)
+
+    return F.when(raw.isNotNull(), F.try_element_at(F.transform(F.array(cleaned), chain), F.lit(1)))
 
 
 def any_contains(arr, words: Sequence[str]) -> Column:

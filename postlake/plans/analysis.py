@@ -29,13 +29,16 @@ def province_value_counts(df: DataFrame, location_col: str = "location") -> Data
 
 
 def demand_by_province(spark: SparkSession, df: DataFrame, location_col: str = "location",
-                       coords=PROVINCE_COORDS, rules=PROVINCE_RULES, remote_words=REMOTE_WORDS) -> DataFrame:
+                       coords=PROVINCE_COORDS, rules=PROVINCE_RULES, remote_words=REMOTE_WORDS,
+                       log_size: bool = False) -> DataFrame:
     """F4 + A1 + J1 + P9: postings per non-remote province with coordinates
-    (unknown provinces keep null coordinates) and the marker size."""
+    (unknown provinces keep null coordinates) and the marker size — the count,
+    or ``log1p(count) * 10`` with ``log_size``."""
     prov = with_province(df.select(location_col), location_col, "province", rules, remote_words)
     counts = frequency.group_count(prov.where(F.col("province") != "remote"), "province", "count")
     table = lookup.small_table(spark, coords, "province string, lat double, lon double")
-    return lookup.attach(counts, table, "province").withColumn("size", F.col("count"))
+    size = F.log1p("count") * 10 if log_size else F.col("count")
+    return lookup.attach(counts, table, "province").withColumn("size", size)
 
 
 def title_tokens(spark: SparkSession, df: DataFrame, title_col: str = "title",
