@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from postlake.functions.text import WS, strip
 
@@ -103,23 +102,23 @@ def jsonld_block(html) -> Column:
     return F.nullif(body, F.lit(""))
 
 
-JSONLD_SCHEMA = T.StructType(
-    [
-        T.StructField("title", T.StringType()),
-        T.StructField("hiringOrganization", T.StructType([T.StructField("name", T.StringType())])),
-        T.StructField(
-            "jobLocation",
-            T.StructType(
-                [T.StructField("address", T.StructType([T.StructField("addressLocality", T.StringType())]))]
-            ),
-        ),
-        T.StructField("employmentType", T.StringType()),
-        T.StructField("datePosted", T.StringType()),
-        T.StructField("description", T.StringType()),
-    ]
-)
-
-
-def jsonld_fields(js) -> Column:
-    """JS2: parse once into the JobPosting subset; malformed JSON gives null."""
-    return F.from_json(_c(js), JSONLD_SCHEMA, {"mode": "PERMISSIVE"})
+# --- fixed values: JobPosting paths read from the JSON-LD block ---
+JSONLD_PATHS: dict[str, str] = {
+    "title": "$.title",
+    "company": "$.hiringOrganization.name",
+    "location": "$.jobLocation.address.addressLocality",
+    "employment_type": "$.employmentType",
+    "date_posted": "$.datePosted",
+    "description": "$.description",
+}
+
+
+def jsonld_value(js) -> Column:
+    """JS2, step 1: parse the block once into a variant; malformed → null."""
+    return F.try_parse_json(_c(js))
+
+
+def jsonld_get(v, field: str) -> Column:
+    """JS2, step 2: one JobPosting field as text (null when absent or when the
+    path hits a list or a scalar on the way)."""
+    return F.try_variant_get(_c(v), JSONLD_PATHS[field], "string")

@@ -169,15 +169,14 @@ def jsonld_fields(spark, sf_dir):
     """JS1 JS2 X20: JSON-LD fields with the <h1> fallback for the title."""
     events = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     pages = _event_pages(spread(events))
-    js = ph.jsonld_block("html")
-    parsed = pages.select("event_id", "html", js.alias("js"), ph.jsonld_fields(js).alias("ld"))
+    parsed = pages.select("event_id", "html", ph.jsonld_value(ph.jsonld_block("html")).alias("ld"))
     return parsed.select(
         "event_id",
-        pf.first_nonempty(F.col("ld.title"), ph.first_tag_text("html", "h1")).alias("title"),
-        F.col("ld.hiringOrganization.name").alias("company"),
-        F.col("ld.jobLocation.address.addressLocality").alias("location"),
-        F.col("ld.datePosted").alias("posted_date"),
-        F.try_parse_json("js").isNotNull().alias("jsonld_ok"),
+        pf.first_nonempty(ph.jsonld_get("ld", "title"), ph.first_tag_text("html", "h1")).alias("title"),
+        ph.jsonld_get("ld", "company").alias("company"),
+        ph.jsonld_get("ld", "location").alias("location"),
+        ph.jsonld_get("ld", "date_posted").alias("posted_date"),
+        F.col("ld").isNotNull().alias("jsonld_ok"),
     )
 
 

@@ -97,7 +97,7 @@ def conform(df: DataFrame, fields: Sequence[tuple[str, T.DataType]] = POSTING_FI
 # ---------------------------------------------------------------- assembly
 def _assemble_exprs() -> dict[str, dict[str, Column]]:
     mod = lambda c: pf.classify_contains(c, sites.MODALITY_RULES, sites.MODALITY_DEFAULT)
-    ld = F.col("__ld")
+    ld = F.col("__ld")  # variant, parsed once per page
     line = _v("company_line")
     head, last = pf.split_last(line, " - ")
     tags_ct = _l("tags")
@@ -129,11 +129,12 @@ def _assemble_exprs() -> dict[str, dict[str, Column]]:
             "description_raw": _v("description"), "tags": _one(_v("tags")), "skills": _one(_v("skills")),
         },
         "indeed": {
-            "title": pf.first_nonempty(ld["title"], _v("title")),
-            "company": pf.first_nonempty(ld["hiringOrganization"]["name"], _v("company")),
-            "location": pf.first_nonempty(ld["jobLocation"]["address"]["addressLocality"], _v("location")),
-            "job_type": ld["employmentType"], "posted_date": ld["datePosted"],
-            "description_raw": pf.first_nonempty(ld["description"], _v("description")),
+            "title": pf.first_nonempty(ph.jsonld_get(ld, "title"), _v("title")),
+            "company": pf.first_nonempty(ph.jsonld_get(ld, "company"), _v("company")),
+            "location": pf.first_nonempty(ph.jsonld_get(ld, "location"), _v("location")),
+            "job_type": ph.jsonld_get(ld, "employment_type"),
+            "posted_date": ph.jsonld_get(ld, "date_posted"),
+            "description_raw": pf.first_nonempty(ph.jsonld_get(ld, "description"), _v("description")),
             "skills": F.array().cast("array<string>"),
         },
         "computrabajo": {
@@ -226,12 +227,11 @@ def extract_postings(
         F.when(F.col("source").isin("portal_empleo", "article"), pf.first_date(text)).alias("__date_in_text"),
     )
     joined = extract_pages(flags, rules, passthrough=["__negotiable", "__date_in_text", *carry])
-    js = _v("jsonld")
-    with_ld = joined.withColumn("__ld", ph.jsonld_fields(js)).withColumn(
+    with_ld = joined.withColumn("__ld", ph.jsonld_value(_v("jsonld"))).withColumn(
         "__keep",
         F.when(
             F.col("source") == "indeed",
-            F.try_parse_json(js).isNotNull() | _v("has_description").isNotNull(),
+            F.col("__ld").isNotNull() | _v("has_description").isNotNull(),
         ).otherwise(F.lit(True)),
     )
     out = assemble(with_ld, carry).where(F.col("__keep")).drop("__keep")

@@ -124,10 +124,10 @@ def test_html_flat_reads(spark):
     df = spark.createDataFrame([(html,), ("<html><body>Access Denied</body></html>",)], "h string")
     r = df.select(
         ph.first_tag_text("h").alias("t"), ph.hrefs("h").alias("l"), ph.is_blocked("h", ["access denied"]).alias("b"),
-        ph.jsonld_fields(ph.jsonld_block("h")).alias("ld"),
-    ).collect()
+        ph.jsonld_value(ph.jsonld_block("h")).alias("ld"),
+    ).select("*", ph.jsonld_get("ld", "title").alias("lt"), ph.jsonld_get("ld", "company").alias("lc")).collect()
     assert r[0]["t"] == "DataEng& Co"  # get_text(strip=True): stripped nodes joined with nothing
     assert r[0]["l"] == ["/a?x=1&y=2", "https://h/b"]
     assert r[0]["b"] is False and r[1]["b"] is True
-    assert r[0]["ld"]["title"] == "T1" and r[0]["ld"]["hiringOrganization"]["name"] == "Org"
+    assert r[0]["lt"] == "T1" and r[0]["lc"] == "Org"
     assert r[1]["t"] is None and r[1]["ld"] is None
