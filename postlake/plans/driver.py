@@ -340,6 +340,24 @@ def roundtrip_sinks(spark, sf_dir):
     return sinks.read_layer(spark, base, stamped.schema)
 
 
+def recursive_scan(spark, sf_dir):
+    """A foreign tree — files at different depths with different
+    columns — read back recursively with columns unioned by name."""
+    from postlake.session import shared_dir
+    from postlake.sources.scan import scan_parquet_tree
+
+    orders = read(spark, sf_dir, "orders")
+    base = shared_dir(spark, "foreign-tree")
+    done = F.col("o_orderstatus") == "F"
+    orders.where(done).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus") \
+        .write.parquet(f"{base}/finished")
+    orders.where(~done).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority") \
+        .write.parquet(f"{base}/open/2024-01-01")
+    return scan_parquet_tree(spark, base).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority"
+    )
+
+
 def observe_counts(spark, sf_dir):
     """Row counts at two points of a plan, collected by one Observation."""
     part = read(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -405,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frontier": frontier,
     "roundtrip_sinks": roundtrip_sinks,
     "observe_counts": observe_counts,
+    "recursive_scan": recursive_scan,
     "extract_rules": extract_rules,
     "postings_pipeline": postings_pipeline,
 }

@@ -263,6 +263,11 @@ SELECT page_id, {o.first_tag_text('html')} AS title, {o.host('url')} AS company,
        true AS parse_ok
 FROM pages"""
 
+    sql["recursive_scan"] = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
+       o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
+FROM orders"""
+
     sql["observe_counts"] = """
 SELECT 'scanned' AS stage, count(*) AS rows FROM part
 UNION ALL SELECT 'kept', count(*) FROM part WHERE p_size > 10"""
