@@ -20,35 +20,40 @@ HIDDEN_TEXT = frozenset(("script", "style", "template"))
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children", "order", "end", "pos", "type_pos")
+    __slots__ = ("tag", "attrs", "parent", "children", "kids", "tag_counts", "order", "end", "pos", "type_pos", "_cls")
 
     def __init__(self, tag: str, attrs: dict, parent: "Node | None", order: int):
         self.tag = tag
         self.attrs = attrs
         self.parent = parent
         self.children: list = []  # Node or str, in document order
+        self.kids: list[Node] = []  # element children only
+        self.tag_counts: dict[str, int] = {}
         self.order = order
         self.end = order  # order of the last descendant
         self.pos = 0  # index among the parent's element children
         self.type_pos = 0  # 1-based position among same-tag siblings
+        self._cls = None
 
     # --- navigation -------------------------------------------------------
     def elements(self):
-        return [c for c in self.children if isinstance(c, Node)]
+        return self.kids
 
     def classes(self) -> list[str]:
-        return (self.attrs.get("class") or "").split()
+        if self._cls is None:
+            self._cls = (self.attrs.get("class") or "").split()
+        return self._cls
 
     def prev_siblings(self):
+        """Preceding element siblings, nearest first."""
         if self.parent is None:
             return []
-        sibs = self.parent.elements()
-        return sibs[: self.pos][::-1]
+        return self.parent.kids[self.pos - 1 :: -1] if self.pos else []
 
     def next_siblings(self):
         if self.parent is None:
             return []
-        return self.parent.elements()[self.pos + 1 :]
+        return self.parent.kids[self.pos + 1 :]
 
     # --- text ---------------------------------------------------------------
     def strings(self):
@@ -91,9 +96,10 @@ class _Builder(HTMLParser):
     def _add(self, tag, attrs):
         parent = self.stack[-1]
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent, len(self.nodes))
-        sibs = parent.elements()
-        node.pos = len(sibs)
-        node.type_pos = 1 + sum(1 for s in sibs if s.tag == tag)
+        node.pos = len(parent.kids)
+        node.type_pos = parent.tag_counts.get(tag, 0) + 1
+        parent.tag_counts[tag] = node.type_pos
+        parent.kids.append(node)
         parent.children.append(node)
         self.nodes.append(node)
         return node
@@ -182,21 +188,17 @@ def parse_selector(selector: str) -> list[list[tuple[str, dict]]]:
         pos = m.end()
         if m.group("comb") or m.group("ws"):
             c = m.group("comb") or " "
-            if comp is not None:
+            if comp is not None:  # close the compound before this combinator
                 steps.append((comb, comp))
                 comp = None
             if c == ",":
                 groups.append(steps)
                 steps, comb = [], " "
             else:
-                comb = c if c != " " or comb == " " else comb
-                if c != " ":
-                    comb = c
+                comb = c  # ">" "~" "+" or " " (descendant)
             continue
         if comp is None:
             comp = {"tag": None, "cls": [], "id": None, "attrs": [], "nth": None}
-            if not steps:
-                comb = " "
         if m.group("tag"):
             comp["tag"] = None if m.group("tag") == "*" else m.group("tag").lower()
         elif m.group("cls"):
