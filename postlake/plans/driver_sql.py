@@ -94,7 +94,7 @@ f AS (SELECT prefix, count(*) AS freq FROM p WHERE prefix IS NOT NULL
 SELECT prefix, freq, CAST(sum(freq) OVER () AS BIGINT) AS top_total,
        round(freq / sum(freq) OVER (), 6) AS share FROM f"""
 
-    coords = ", ".join(f"({o.q(c)}, {lat}, {lon})" for c, lat, lon in d.PART_CATEGORY_COORDS)
+    coords = ", ".join(f"({o.q(c)}, CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for c, lat, lon in d.PART_CATEGORY_COORDS)
     sql["category_counts_coords"] = f"""
 WITH c AS (SELECT {_region_case('p_name', d.PART_CATEGORY_RULES, d.PART_REMOTE_WORDS)} AS category FROM part),
 g AS (SELECT category, count(*) AS freq FROM c WHERE category <> 'remote' AND category IS NOT NULL GROUP BY category)
@@ -233,7 +233,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM
 
     sql["links_join_pages"] = f"""
 WITH f AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS link, {o.first_tag_text('html')} AS title,
-                  length(html) AS html_chars FROM pages),
+                  CAST(length(html) AS INTEGER) AS html_chars FROM pages),
 l AS (SELECT DISTINCT link FROM f WHERE link IS NOT NULL AND link <> '')
 SELECT l.link, f.page_id, f.title, f.html_chars FROM l JOIN f ON l.link = f.link"""
 
