@@ -80,12 +80,14 @@ def apply_rule(doc: Document, kind: str, selector: str, p: Mapping) -> list[str]
         n = p.get("n", 1)
         return [picked[n - 1].text("raw")] if len(picked) >= n else []
     if kind == "label_next":
+        # every label containing the text, in order → the next target's text
+        out = []
         for label in doc.select(selector, scope):
             if p["contains"] in label.text("all"):
                 nxt = doc.find_next(label, p.get("target", "p"))
                 if nxt is not None:
-                    return [nxt.text("strip")]
-        return []
+                    out.append(nxt.text("strip"))
+        return out
     if kind == "section_values":
         out, inside = [], False
         drops = {d.lower() for d in p.get("drop", [])}
@@ -147,16 +149,21 @@ def apply_rule(doc: Document, kind: str, selector: str, p: Mapping) -> list[str]
 
 
 def extract_inputs(html: str, rules: Sequence[Rule]) -> dict[str, list[str]]:
-    """Parse once, run the rules; same-name rules are ordered fallbacks and
-    an empty first value falls through (``a or b``)."""
+    """Parse once, run the rules. Same-name rules are ordered fallbacks: an
+    empty value falls through to the next rule (``a or b``), unless the rule
+    has ``exists_wins`` — then a matched element ends the chain even when its
+    text is empty."""
     doc = Document(html)
     out: dict[str, list[str]] = {}
+    done: set[str] = set()
     for name, kind, selector, params in rules:
-        if name in out and any(v for v in out[name]):
+        if name in done:
             continue
         vals = apply_rule(doc, kind, selector, params)
-        if name not in out or (vals and any(v for v in vals)):
+        if name not in out or any(vals):
             out[name] = vals
+        if any(vals) or (vals and params.get("exists_wins")):
+            done.add(name)
     return out
 
 

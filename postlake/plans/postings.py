@@ -105,7 +105,8 @@ def _assemble_exprs() -> dict[str, dict[str, Column]]:
     for label in sites.JOB_TYPE_HEADINGS:
         cond = F.array_contains(_l("job_type_strings"), label)
         job_enum = F.when(cond, F.lit(label)) if job_enum is None else job_enum.when(cond, F.lit(label))
-    avail = F.lower(_v("availability"))
+    # first availability text naming a known schedule (later labels are tried too)
+    avail = F.lower(pf.first_matching(_l("availability"), [n for n, _ in sites.JOB_TYPE_AVAILABILITY]))
     avail_enum = None
     for needle, label in sites.JOB_TYPE_AVAILABILITY:
         cond = F.contains(avail, F.lit(needle))
@@ -139,14 +140,16 @@ def _assemble_exprs() -> dict[str, dict[str, Column]]:
         },
         "computrabajo": {
             "title": _v("title"),
-            "company": F.when(line.isNotNull(), head),
+            "company": F.when(line.isNotNull() & (line != ""), head),
             "location": F.when(F.contains(line, F.lit(" - ")), last).otherwise(_v("location_fallback")),
             "salary": _v("salary"), "salary_currency": F.lit(sites.DEFAULT_CURRENCY),
             "job_type": pf.first_matching(tags_ct, sites.JOB_TYPE_TAG_WORDS),
             "modality": pf.first_matching(tags_ct, sites.MODALITY_TAG_WORDS),
             "posted_date": _v("posted_date"),
-            "description_raw": F.when(F.size(_l("description_parts")) > 0, F.array_join(_l("description_parts"), "\n"))
-            .otherwise(_v("description_fallback")),
+            "description_raw": F.when(
+                F.size(_l("description_parts")) > 0,
+                F.array_join(F.filter(_l("description_parts"), lambda x: x != ""), "\n"),
+            ).otherwise(_v("description_fallback")),
             "tags": tags_ct, "skills": pf.set_union(_l("skills_a"), _l("skills_b")),
         },
         "portal_empleo": {

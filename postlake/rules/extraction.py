@@ -15,7 +15,7 @@ EXTRACTION_RULES: dict[str, list[tuple[str, str, str, dict]]] = {
         ("title", "text", "h1.gb-landing-cover__title", {}),
         ("title", "text", "h1", {}),
         ("company", "text", "a.tooltipster", {}),
-        ("location", "text", "span[itemprop='jobLocation'] a", {}),
+        ("location", "text", "span[itemprop='jobLocation'] a", {"exists_wins": True}),
         ("location", "text", "a[href*='/empleos/ciudad/']", {}),
         ("description", "texts", "div.gb-rich-txt", {"keep_blank": True}),
         ("tags", "texts", "a.gb-tags__item", {"keep_blank": True}),
@@ -54,16 +54,16 @@ EXTRACTION_RULES: dict[str, list[tuple[str, str, str, dict]]] = {
         ("has_description", "exists", "#jobDescriptionText", {}),
     ],
     "computrabajo": [
-        ("title", "text", "h1.fwB.fs24.mb5.box_detail.w100_m", {"mode": "raw"}),
+        ("title", "text", "h1.fwB.fs24.mb5.box_detail.w100_m", {"mode": "raw", "exists_wins": True}),
         ("title", "text", "h1", {"mode": "raw"}),
-        ("company_line", "text", "p.fs16", {"mode": "raw", "scope": "div.container", "scope_nth": 1}),
+        ("company_line", "text", "p.fs16", {"mode": "all", "scope": "div.container", "scope_nth": 1}),
         ("location_fallback", "text", "p.fs16", {"mode": "raw", "has_text": "Capital Federal"}),
-        ("description_parts", "texts", "div[div-link='oferta'] p", {"mode": "raw"}),
+        ("description_parts", "texts", "div[div-link='oferta'] p", {"mode": "raw", "keep_blank": True}),
         ("description_fallback", "text", "div.mb40.pb40.bb1[div-link='oferta']", {"mode": "raw"}),
         ("tags", "texts", "span.tag.base.mb10", {"mode": "raw"}),
         ("skills_a", "texts", "span.tag.bg_brand_light.fc_base", {"mode": "raw"}),
         ("skills_b", "texts", "ul.disc.mbB li", {"mode": "raw"}),
-        ("posted_date", "text", "p.fc_aux.fs13", {"mode": "raw", "has_text": "días"}),
+        ("posted_date", "text", "p.fc_aux.fs13", {"mode": "raw", "has_text": "días", "exists_wins": True}),
         ("posted_date", "text", "p.fc_aux", {"mode": "raw", "has_text": "Hace"}),
         ("salary", "text", "span.tag.base.mb10", {"mode": "raw", "has_text": "convenir"}),
     ],

@@ -79,3 +79,14 @@ PORTAL_FULL = """<html><body>
 </body></html>"""
 
 MALFORMED = None  # a failed fetch: no HTML at all
+
+PORTAL_TWO_AVAILABILITY = """<html><body><h3>Chofer</h3>
+<label class="fw-600">Disponibilidad</label><p>A definir</p>
+<label class="fw-600">Disponibilidad horaria</label><p>Tiempo parcial</p></body></html>"""
+
+GETONBOARD_EMPTY_LOCATION = """<html><body><h1>Dev</h1>
+<span itemprop="jobLocation"><a href="/x"> </a></span><a href="/empleos/ciudad/rosario">Rosario</a></body></html>"""
+
+COMPUTRABAJO_BLANK_DESC = """<html><body><div class="container"></div><div class="container">
+<h1 class="fwB fs24 mb5 box_detail w100_m">  </h1><h1>Other</h1><p class="fs16">   </p></div>
+<div div-link="oferta" class="mb40 pb40 bb1"><p> </p>whole block</div></body></html>"""

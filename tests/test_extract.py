@@ -116,3 +116,18 @@ def test_inputs_match_python_reading():
     got = extract_inputs(H.GETONBOARD_FULL, EXTRACTION_RULES["getonboard"])
     assert got["job_type_strings"] == ["Full time", "Remote"]
     assert got["title"] == ["DataEngineer"]
+
+
+def test_fallback_edges(spark):
+    pages = [
+        (21, "portal_empleo", "https://portalempleo.gob.ar/Oferta/3", H.PORTAL_TWO_AVAILABILITY),
+        (22, "getonboard", "https://www.getonbrd.com/empleos/3", H.GETONBOARD_EMPTY_LOCATION),
+        (23, "computrabajo", "https://www.computrabajo.com.ar/ofertas/3", H.COMPUTRABAJO_BLANK_DESC),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, source string, url string, html string")
+    rows = {r.page_id: r for r in postings.extract_postings(df).collect()}
+    assert rows[21].job_type == "Tiempo parcial"  # the first label's value names no schedule
+    assert rows[22].location == ""  # the element exists: no fallback to the city link
+    assert rows[23].title == ""  # the specific <h1> exists (empty): no fallback
+    assert rows[23].company == "" and rows[23].location is None  # whitespace-only line: stripped, no " - "
+    assert rows[23].description_raw == ""  # blank paragraphs exist: no fallback to the block
