@@ -380,13 +380,13 @@ def extract_rules(spark, sf_dir):
     )
 
 
-def postings_pipeline(spark, sf_dir):
+def postings_daily_run(spark, sf_dir):
     """S3 S4 P1-P7 A8 G3 H*: pages → raw layer → processed layer for one ds."""
     from postlake.plans import postings
     from postlake.session import shared_dir
 
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    base = shared_dir(spark, "pipeline")
+    base = shared_dir(spark, "daily-run")
     out = postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed")
     return out.select(
         "job_key", "title", "title_lower", "company", "location", "posted_date", "url",
@@ -425,5 +425,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "observe_counts": observe_counts,
     "recursive_scan": recursive_scan,
     "extract_rules": extract_rules,
-    "postings_pipeline": postings_pipeline,
+    "postings_daily_run": postings_daily_run,
 }
