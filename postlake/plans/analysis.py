@@ -30,15 +30,15 @@ def province_value_counts(df: DataFrame, location_col: str = "location") -> Data
 
 def demand_by_province(spark: SparkSession, df: DataFrame, location_col: str = "location",
                        coords=PROVINCE_COORDS, rules=PROVINCE_RULES, remote_words=REMOTE_WORDS,
-                       log_size: bool = False) -> DataFrame:
+                       log_size: bool = False, key_col: str = "province", count_col: str = "count") -> DataFrame:
     """F4 + A1 + J1 + P9: postings per non-remote province with coordinates
     (unknown provinces keep null coordinates) and the marker size — the count,
     or ``log1p(count) * 10`` with ``log_size``."""
-    prov = with_province(df.select(location_col), location_col, "province", rules, remote_words)
-    counts = frequency.group_count(prov.where(F.col("province") != "remote"), "province", "count")
-    table = lookup.small_table(spark, coords, "province string, lat double, lon double")
-    size = F.log1p("count") * 10 if log_size else F.col("count")
-    return lookup.attach(counts, table, "province").withColumn("size", size)
+    prov = with_province(df.select(location_col), location_col, key_col, rules, remote_words)
+    counts = frequency.group_count(prov.where(F.col(key_col) != "remote"), key_col, count_col)
+    table = lookup.small_table(spark, coords, f"{key_col} string, lat double, lon double")
+    size = F.log1p(count_col) * 10 if log_size else F.col(count_col)
+    return lookup.attach(counts, table, key_col).withColumn("size", size)
 
 
 def title_tokens(spark: SparkSession, df: DataFrame, title_col: str = "title",
@@ -50,15 +50,17 @@ def title_tokens(spark: SparkSession, df: DataFrame, title_col: str = "title",
 
 
 def top_title_tokens(spark: SparkSession, df: DataFrame, title_col: str = "title", k: int = 10,
-                     stopwords: Sequence[str] = STOPWORDS_ES) -> DataFrame:
+                     stopwords: Sequence[str] = STOPWORDS_ES, count_col: str = "count") -> DataFrame:
     """A2 + K1 on the tokens."""
-    return frequency.top_k(frequency.value_counts(title_tokens(spark, df, title_col, stopwords), "token", "count"), "token", k)
+    freq = frequency.value_counts(title_tokens(spark, df, title_col, stopwords), "token", count_col)
+    return frequency.top_k(freq, "token", k, count_col)
 
 
-def top_title_prefixes(df: DataFrame, title_col: str = "title", n: int = 5, k: int = 10) -> DataFrame:
+def top_title_prefixes(df: DataFrame, title_col: str = "title", n: int = 5, k: int = 10,
+                       count_col: str = "count") -> DataFrame:
     """X6 + A2 + K1 + A6 + A7: top first-``n``-word prefixes, their total and shares."""
     pref = df.select(pf.first_words(title_col, n).alias("prefix"))
-    return frequency.top_k_share(frequency.value_counts(pref, "prefix", "count"), "prefix", k, "count")
+    return frequency.top_k_share(frequency.value_counts(pref, "prefix", count_col), "prefix", k, count_col)
 
 
 def keyword_filter(df: DataFrame, col: str, pattern: str, regex: bool = False) -> DataFrame:

@@ -16,15 +16,15 @@ from pyspark.sql import functions as F
 from postlake import functions as pf
 from postlake.functions import html as ph
 from postlake.operators import dedup, frequency, lookup, profile
-from postlake.plans import oracle as o
+from postlake.operators.observe import count_stages
+from postlake.plans import analysis, postings
 from postlake.rules.sites import BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_MAX_PAGES
-from postlake.rules.stopwords import STOPWORDS_ES
+from postlake.session import shared_dir
 from postlake.sources import frontier as fr
 from postlake.sources import sinks
-from postlake.operators.observe import count_stages
-
-
-from postlake.sources.tables import read_table as read, spread  # noqa: E402
+from postlake.sources.scan import scan_parquet_tree
+from postlake.sources.tables import read_table as read
+from postlake.sources.tables import spread
 
 
 # ---------------------------------------------------------------- parameters
@@ -49,31 +49,23 @@ CONTAINS_WORD = "data"
 def top_tokens(spark, sf_dir):
     """Most frequent non-stopword tokens of the texts."""
     docs = spread(read(spark, sf_dir, "documents").select("text"))
-    toks = docs.select(F.explode(pf.tokens(pf.remove_punct(pf.lower("text")))).alias("token"))
-    stop = lookup.small_table(spark, [(w,) for w in STOPWORDS_ES], "word string")
-    kept = lookup.drop_listed(toks, "token", stop)
-    freq = frequency.value_counts(kept, "token", "freq")
-    return frequency.top_k(freq, "token", TOP_K, "freq")
+    return analysis.top_title_tokens(spark, docs, "text", TOP_K, count_col="freq")
 
 
 def title_prefix_topk_share(spark, sf_dir):
     """Top first-n-word prefixes with their share of the top-k."""
     docs = spread(read(spark, sf_dir, "documents").select("text"))
-    pref = docs.select(pf.first_words("text", PREFIX_WORDS).alias("prefix"))
-    freq = frequency.value_counts(pref, "prefix", "freq")
-    out = frequency.top_k_share(freq, "prefix", TOP_K, "freq", "share", "top_total")
+    out = analysis.top_title_prefixes(docs, "text", PREFIX_WORDS, TOP_K, count_col="freq")
     return out.withColumn("share", F.round("share", 6))
 
 
 def category_counts_coords(spark, sf_dir):
     """Rule-normalised categories, counts and coordinates."""
     part = read(spark, sf_dir, "part").select("p_name")
-    cat = part.select(
-        pf.normalize_region("p_name", PART_CATEGORY_RULES, PART_REMOTE_WORDS).alias("category")
+    return analysis.demand_by_province(
+        spark, part, "p_name", PART_CATEGORY_COORDS, PART_CATEGORY_RULES, PART_REMOTE_WORDS,
+        key_col="category", count_col="freq",
     )
-    counts = frequency.group_count(cat.where(F.col("category") != "remote"), "category", "freq")
-    coords = lookup.small_table(spark, PART_CATEGORY_COORDS, "category string, lat double, lon double")
-    return lookup.attach(counts, coords, "category").withColumn("size", F.col("freq"))
 
 
 def normalize_text(spark, sf_dir):
@@ -325,8 +317,6 @@ def frontier(spark, sf_dir):
 
 def roundtrip_sinks(spark, sf_dir):
     """Write a layer twice plus an empty rerun, read back."""
-    from postlake.session import shared_dir
-
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus")
     stamped = orders.select(
         "o_orderkey", "o_custkey", "o_totalprice",
@@ -343,8 +333,6 @@ def roundtrip_sinks(spark, sf_dir):
 def recursive_scan(spark, sf_dir):
     """A foreign tree — files at different depths with different
     columns — read back recursively with columns unioned by name."""
-    from postlake.session import shared_dir
-    from postlake.sources.scan import scan_parquet_tree
 
     orders = read(spark, sf_dir, "orders")
     base = shared_dir(spark, "foreign-tree")
@@ -368,8 +356,6 @@ def observe_counts(spark, sf_dir):
 def extract_rules(spark, sf_dir):
     """The rule-driven extraction job over every page
     (generic article rules), lists emitted as newline-joined strings."""
-    from postlake.plans import postings
-
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     out = postings.extract_postings(pages, keep_errors=True)
     return out.select(
@@ -382,9 +368,6 @@ def extract_rules(spark, sf_dir):
 
 def postings_daily_run(spark, sf_dir):
     """S3 S4 P1-P7 A8 G3 H*: pages → raw layer → processed layer for one ds."""
-    from postlake.plans import postings
-    from postlake.session import shared_dir
-
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     base = shared_dir(spark, "daily-run")
     out = postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed")
