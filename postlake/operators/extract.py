@@ -124,6 +124,8 @@ def apply_rule(doc: Document, kind: str, selector: str, p: Mapping) -> list[str]
     nodes = _has_text(doc.select(selector, scope), p.get("has_text"))
     if kind == "exists":
         return ["1"] if nodes else []
+    if kind == "attrs":
+        return [n.attrs[p["attr"]] for n in nodes if p["attr"] in n.attrs]
     if kind == "texts":
         texts = [n.text(mode) for n in nodes]
         return texts if p.get("keep_blank") else [t for t in texts if t]

@@ -18,7 +18,7 @@ from postlake.functions import html as ph
 from postlake.operators import dedup, frequency, lookup, profile
 from postlake.operators.observe import count_stages
 from postlake.plans import analysis, postings
-from postlake.rules.sites import BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_MAX_PAGES
+from postlake.rules.sites import ALL_LISTING_TEMPLATES, BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_MAX_PAGES
 from postlake.session import shared_dir
 from postlake.sources import frontier as fr
 from postlake.sources import sinks
@@ -310,9 +310,16 @@ def links_join_pages(spark, sf_dir):
 def frontier(spark, sf_dir):
     """Listing URLs per region and source, pages 1..max."""
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return fr.listing_urls(region, "r_name", "Argentina", DEFAULT_MAX_PAGES).select(
-        "r_regionkey", "source", "page", "url"
-    )
+    return fr.listing_urls(
+        region, "r_name", "Argentina", DEFAULT_MAX_PAGES, all_listing_sources=list(ALL_LISTING_TEMPLATES)
+    ).select("r_regionkey", "source", "page", "url")
+
+
+def listing_links(spark, sf_dir):
+    """H8 (rule form) X15 F8 A9: distinct detail links per source found by the
+    listing selectors in the extraction job."""
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return fr.detail_links(pages.withColumn("source", postings.source_of(F.col("url"))))
 
 
 def roundtrip_sinks(spark, sf_dir):
@@ -404,6 +411,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "head_preview": head_preview,
     "links_join_pages": links_join_pages,
     "frontier": frontier,
+    "listing_links": listing_links,
     "roundtrip_sinks": roundtrip_sinks,
     "observe_counts": observe_counts,
     "recursive_scan": recursive_scan,

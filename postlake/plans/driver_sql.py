@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from postlake.plans import driver as d
 from postlake.plans import oracle as o
-from postlake.rules.sites import DEFAULT_MAX_PAGES, LISTING_TEMPLATES, SITE_BASE_URLS, SITE_MAX_PAGES
+from postlake.rules.sites import (
+    ALL_LISTING_TEMPLATES,
+    DEFAULT_MAX_PAGES,
+    LISTING_TEMPLATES,
+    SITE_BASE_URLS,
+    SITE_MAX_PAGES,
+)
 from postlake.rules.stopwords import STOPWORDS_ES
-from postlake.sources.frontier import UNPAGED
 
 
 def _in_list(words) -> str:
@@ -237,16 +242,27 @@ WITH f AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS link, {o.first_tag
 l AS (SELECT DISTINCT link FROM f WHERE link IS NOT NULL AND link <> '')
 SELECT l.link, f.page_id, f.title, f.html_chars FROM l JOIN f ON l.link = f.link"""
 
-    tpls = ", ".join(
-        f"({o.q(src)}, {o.q(tpl.replace('{base}', SITE_BASE_URLS[src]))}, {1 if src in UNPAGED else DEFAULT_MAX_PAGES})"
-        for src, tpl in LISTING_TEMPLATES.items()
-    )
+    def tpl_of(src):
+        return ALL_LISTING_TEMPLATES.get(src, LISTING_TEMPLATES[src]).replace("{base}", SITE_BASE_URLS[src])
+
+    def pages_of(src):
+        t = tpl_of(src)
+        return DEFAULT_MAX_PAGES if ("{p}" in t or "{start}" in t) else 1
+
+    tpls = ", ".join(f"({o.q(src)}, {o.q(tpl_of(src))}, {pages_of(src)})" for src in LISTING_TEMPLATES)
     sql["frontier"] = f"""
 WITH s AS (SELECT r.r_regionkey, r.r_name, t.source, t.template, t.pages
            FROM region r, (VALUES {tpls}) AS t(source, template, pages)),
 p AS (SELECT *, unnest(generate_series(1, pages)) AS page FROM s)
 SELECT r_regionkey, source, CAST(page AS INTEGER) AS page, {_fill('template', 'r_name', "'Argentina'", 'page')} AS url FROM p"""
 
+    nav_frag = f"regexp_extract({o.content_only('html')}, '(?is)<nav\\b[^>]*>(.*?)</nav\\s*>', 1)"
+    nav_hrefs = o.hrefs(nav_frag)
+    sql["listing_links"] = f"""
+WITH h AS (SELECT {o.origin('url')} AS base, unnest({nav_hrefs}) AS href FROM pages),
+l AS (SELECT {o.absolute_url('href', 'base')} AS link FROM h WHERE href IS NOT NULL AND href <> '')
+SELECT DISTINCT 'article' AS source, link FROM l WHERE link IS NOT NULL"""
+
     sql["roundtrip_sinks"] = """
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS ds,
        o_orderstatus AS source FROM orders"""

@@ -110,3 +110,15 @@ SOURCE_HOSTS: dict[str, str] = {
     "www.getonbrd.com": "getonboard",
 }
 DEFAULT_SOURCE = "article"
+
+# --- fixed values: detail-link selectors on listing pages ---
+LISTING_RULES: dict[str, list[tuple[str, str, str, dict]]] = {
+    "getonboard": [("links", "attrs", "div.gb-results-list a", {"attr": "href"})],
+    "zonajobs": [("links", "attrs", "main#listado-avisos a[href*='/empleos/']", {"attr": "href"})],
+    "portal_empleo": [("links", "attrs", "a.btn.btn-success.comp-button-ciudadanos", {"attr": "href"})],
+    "computrabajo": [("links", "attrs", "a.js-o-link.fc_base", {"attr": "href"})],
+    "indeed": [("links", "attrs", "a[href*='/rc/clk?jk='], a[href*='/viewjob?jk=']", {"attr": "href"})],
+    "article": [("links", "attrs", "nav a", {"attr": "href"})],
+}
+# Sources whose detail URLs are canonicalised by one query parameter.
+CANONICAL_PARAM: dict[str, str] = {"indeed": "jk"}

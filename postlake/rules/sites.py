@@ -28,6 +28,13 @@ LISTING_TEMPLATES: dict[str, str] = {
     "indeed": "{base}/jobs?q={plus}&l={loc}&start={start}",
 }
 
+# --- fixed values: listing-URL templates of the sites that list every posting ---
+ALL_LISTING_TEMPLATES: dict[str, str] = {
+    "getonboard": "{base}/empleos/",
+    "zonajobs": "{base}/empleos.html?page={p}",
+    "portal_empleo": "{base}/OfertasLaborales?page-number={p}",
+}
+
 # --- fixed values: phrases that mark a blocked page (matched case-insensitively) ---
 BLOCK_PHRASES: list[str] = [
     "Solicitud bloqueada", "Te bloquearon", "Ray ID", "Cloudflare",

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.rules.sites import LISTING_TEMPLATES, SITE_BASE_URLS
-
-# Sources whose listing URL has no page number (a single listing page).
-UNPAGED = {"getonboard"}
+from postlake import functions as pf
+from postlake.rules.extraction import CANONICAL_PARAM, LISTING_RULES
+from postlake.rules.sites import ALL_LISTING_TEMPLATES, LISTING_TEMPLATES, SITE_BASE_URLS
 
 
 def _fill(template: Column, query: Column, location: Column, page: Column) -> Column:
@@ -26,20 +25,64 @@ def _fill(template: Column, query: Column, location: Column, page: Column) -> Co
     return out
 
 
-def listing_urls(searches: DataFrame, query_col: str, location: str, max_pages: int) -> DataFrame:
+def listing_urls(
+    searches: DataFrame,
+    query_col: str,
+    location: str,
+    max_pages: int,
+    all_listing_sources=(),
+) -> DataFrame:
     """One row per (search row, source, page). The source templates are a
-    literal array exploded per row — a generate, not a join."""
+    literal array exploded per row — a generate, not a join. Sources named in
+    ``all_listing_sources`` use their list-everything template (the search
+    text is then not part of the URL, G9)."""
+    def template(src: str) -> str:
+        tpl = ALL_LISTING_TEMPLATES[src] if src in all_listing_sources else LISTING_TEMPLATES[src]
+        return tpl.replace("{base}", SITE_BASE_URLS[src])
+
+    def pages(src: str) -> int:
+        return 1 if "{p}" not in template(src) and "{start}" not in template(src) else max_pages
+
     sources = F.array(
         *[
             F.struct(
                 F.lit(src).alias("source"),
-                F.lit(tpl.replace("{base}", SITE_BASE_URLS[src])).alias("template"),
-                F.lit(1 if src in UNPAGED else max_pages).alias("pages"),
+                F.lit(template(src)).alias("template"),
+                F.lit(pages(src)).alias("pages"),
             )
-            for src, tpl in LISTING_TEMPLATES.items()
+            for src in LISTING_TEMPLATES
         ]
     )
     with_src = searches.withColumn("__s", F.explode(sources))
     with_page = with_src.withColumn("page", F.explode(F.sequence(F.lit(1), F.col("__s.pages"))))
     url = _fill(F.col("__s.template"), F.col(query_col), F.lit(location), F.col("page"))
     return with_page.withColumn("source", F.col("__s.source")).withColumn("url", url).drop("__s")
+
+
+def _site_base(source: Column, page_url: Column) -> Column:
+    expr = None
+    for src, base in SITE_BASE_URLS.items():
+        cond = source == src
+        expr = F.when(cond, F.lit(base)) if expr is None else expr.when(cond, F.lit(base))
+    return expr.otherwise(pf.origin(page_url))
+
+
+def detail_links(listing_pages: DataFrame, rules=LISTING_RULES) -> DataFrame:
+    """H8 + X15 + X16 + F8 + A9: distinct detail-page URLs per source from
+    listing pages ``(page_id, source, url, html)``.
+
+    The link selectors run in the extraction job; the rest is native:
+    empty hrefs are dropped, relative ones joined to the site's base URL (or
+    the listing page's origin for unknown sites), id-parameter URLs
+    canonicalised, and duplicates removed with a map-side-combined distinct.
+    """
+    from postlake.operators.extract import extract_pages
+
+    found = extract_pages(listing_pages, rules)
+    hrefs = found.select(
+        "source", "url", F.explode(F.try_element_at("inputs", F.lit("links"))).alias("href")
+    ).where(F.col("href").isNotNull() & (F.col("href") != ""))
+    link = pf.absolute_url("href", _site_base(F.col("source"), F.col("url")))
+    for src, param in CANONICAL_PARAM.items():
+        link = F.when(F.col("source") == src, pf.canonical_by_param(link, SITE_BASE_URLS[src], param)).otherwise(link)
+    return hrefs.select("source", link.alias("link")).where(F.col("link").isNotNull()).distinct()

@@ -90,3 +90,17 @@ GETONBOARD_EMPTY_LOCATION = """<html><body><h1>Dev</h1>
 COMPUTRABAJO_BLANK_DESC = """<html><body><div class="container"></div><div class="container">
 <h1 class="fwB fs24 mb5 box_detail w100_m">  </h1><h1>Other</h1><p class="fs16">   </p></div>
 <div div-link="oferta" class="mb40 pb40 bb1"><p> </p>whole block</div></body></html>"""
+
+LISTING_GETONBOARD = """<html><body><div class="gb-results-list">
+<a href="/empleos/data-engineer-acme">A</a><a href="https://www.getonbrd.com/empleos/x">B</a><a href="">empty</a></div>
+<a href="/outside">not listed</a></body></html>"""
+
+LISTING_ZONAJOBS = """<html><body><main id="listado-avisos"><a href="/empleos/1.html">1</a><a href="/perfiles/co">co</a>
+<div><a href="/empleos/1.html">dup</a></div></main></body></html>"""
+
+LISTING_INDEED = """<html><body><a href="/rc/clk?jk=abc123&from=serp">x</a><a href="https://ar.indeed.com/viewjob?jk=abc123">y</a>
+<a href="/viewjob?jk=zz9">z</a><a href="/other">o</a></body></html>"""
+
+LISTING_PORTAL = """<html><body><a class="btn btn-success comp-button-ciudadanos" href="Oferta/7">ver</a></body></html>"""
+
+LISTING_COMPUTRABAJO = """<html><body><a class="js-o-link fc_base" href="https://www.computrabajo.com.ar/ofertas-de-trabajo/1">t</a></body></html>"""
