@@ -1,0 +1,64 @@
+"""Keyword → category matching for rule tables too large for a ``CASE``
+chain: an Aho-Corasick automaton per Python worker finds every keyword
+occurrence in one pass over the text (no value × rule pairs)."""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+try:  # optional accelerator; a plain scan is used without it
+    import ahocorasick
+except ImportError:  # pragma: no cover
+    ahocorasick = None
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def best_category_fn(rules: Sequence[tuple[int, str, str]]):
+    """``rules`` = ``(priority, category, keyword)``; returns a pandas
+    function mapping each text to the category of the lowest-priority
+    keyword it contains (null when none)."""
+    rules = [(int(p), c, k) for p, c, k in rules if k]
+    cache: dict = {}
+
+    def automaton():
+        if "a" not in cache:
+            if ahocorasick is None:
+                cache["a"] = None
+            else:
+                a = ahocorasick.Automaton()
+                for prio, cat, kw in rules:
+                    cur = a.get(kw, None)
+                    if cur is None or prio < cur[0]:
+                        a.add_word(kw, (prio, cat))
+                a.make_automaton()
+                cache["a"] = a
+        return cache["a"]
+
+    def best(values: pd.Series) -> pd.Series:
+        a = automaton()
+        out = []
+        for v in values:
+            if v is None or (isinstance(v, float) and pd.isna(v)):
+                out.append(None)
+                continue
+            if a is not None:
+                hits = [payload for _, payload in a.iter(v)] if len(a) else []
+            else:
+                hits = [(p, c) for p, c, k in rules if k in v]
+            out.append(min(hits)[1] if hits else None)
+        return pd.Series(out, dtype=object)
+
+    return best
+
+
+def best_category(col: Column | str, rules: Sequence[tuple[int, str, str]]) -> Column:
+    """Arrow-batched pandas UDF over ``col`` (use it on distinct values)."""
+    fn = F.pandas_udf(best_category_fn(list(rules)), "string")
+    return fn(F.col(col) if isinstance(col, str) else col)

@@ -44,23 +44,24 @@ def drop_listed(df: DataFrame, col: str, words: SmallTable, word_col: str = "wor
 def categorize_by_rules(
     df: DataFrame,
     col: str,
-    rules: SmallTable,
+    rules: Sequence[tuple[int, str, str]],
     out_col: str = "category",
-    priority_col: str = "priority",
-    category_col: str = "category",
-    keyword_col: str = "keyword",
 ) -> DataFrame:
     """J2 for rule tables too large for a ``CASE`` chain.
 
-    The theta join on ``contains`` runs against the *distinct* values of
-    ``col`` only (pre-aggregated, so hot values cost one row), picks the
-    highest-priority hit with ``min_by`` and joins the mapping back on the
-    equality key. Rows without a hit get null.
+    ``rules`` are ``(priority, category, keyword)``; a value gets the category
+    of the lowest-priority keyword it contains. The keyword search runs once
+    per *distinct* value (pre-aggregated, so a hot value costs one row) in an
+    Aho-Corasick pass inside an Arrow-batched pandas UDF — one scan of the
+    text, no value × rule pairs — and the mapping is joined back on equality.
+    The rule list travels in the task closure, so its size must stay bounded
+    (``BROADCAST_MAX_ROWS``).
     """
-    distinct_vals = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    r = rules.for_join()
-    hits = distinct_vals.join(r, F.contains(F.col("__v"), F.col(keyword_col)), "inner")
-    best = hits.groupBy("__v").agg(
-        F.min_by(F.col(category_col), F.col(priority_col)).alias(out_col)
-    )
-    return df.join(best, df[col] == best["__v"], "left").drop("__v")
+    from postlake.operators.keywords import best_category
+
+    rules = list(rules)
+    if len(rules) > BROADCAST_MAX_ROWS:
+        raise ValueError(f"{len(rules)} rules exceed the bound of {BROADCAST_MAX_ROWS}")
+    values = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    mapping = values.select("__v", best_category("__v", rules).alias(out_col))
+    return df.join(mapping, df[col] == mapping["__v"], "left").drop("__v")

@@ -57,8 +57,7 @@ def test_rule_join_equals_case_chain(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(locs)], "i int, loc string")
     rules = [(p, cat, kw) for p, (cat, kws) in enumerate(PROVINCE_RULES) for kw in kws]
     prio_rules = [(i, cat, kw) for i, (_, cat, kw) in enumerate(rules)]
-    table = lookup.small_table(spark, prio_rules, "priority int, category string, keyword string")
-    joined = {r.i: r.category for r in lookup.categorize_by_rules(df, "loc", table).collect()}
+    joined = {r.i: r.category for r in lookup.categorize_by_rules(df, "loc", prio_rules).collect()}
     chain = {r.i: r.c for r in df.select("i", pf.normalize_region("loc", PROVINCE_RULES, unmatched="null").alias("c")).collect()}
     assert joined == chain
 
