@@ -92,3 +92,18 @@ def test_source_selection():
     assert resolve_sources(["nope", "indeed"], strict=False) == ["indeed"]
     with pytest.raises(ValueError):
         resolve_sources(["nope"])
+
+
+def test_cli_run(spark, tmp_dir, capsys):
+    import json
+
+    from postlake.__main__ import main
+
+    pages_path = os.path.join(tmp_dir, "pages")
+    pages_df(spark).write.parquet(pages_path)
+    rc = main(["run", "--pages", pages_path, "--raw", os.path.join(tmp_dir, "raw"),
+               "--processed", os.path.join(tmp_dir, "processed"), "--ds", "2024-04-17",
+               "--sources", "getonboard,Portal Empleo,unknown"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rc == 0 and out["ds"] == "2024-04-17"
+    assert out["links"] == 3 and out["processed_rows"] == 2  # computrabajo not selected; duplicate key removed
