@@ -169,8 +169,17 @@ def _assemble_exprs() -> dict[str, dict[str, Column]]:
     }
 
 
+def _by_name(name: str, dtype: T.DataType) -> Column:
+    """A field read straight from the input of the same name (null when the
+    rule set has none) — how a new source is added with rules alone."""
+    if isinstance(dtype, T.ArrayType):
+        return F.try_element_at(F.col("inputs"), F.lit(name))
+    return _v(name).try_cast(dtype)
+
+
 def assemble(extracted: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Inputs → the 15 canonical fields, one ``CASE`` per field over sources."""
+    """Inputs → the 15 canonical fields, one ``CASE`` per field over sources;
+    fields a source does not assemble come from the input of the same name."""
     per_source = _assemble_exprs()
     cols = []
     for name, dtype in POSTING_FIELDS:
@@ -188,7 +197,9 @@ def assemble(extracted: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
             if name in exprs:
                 cond = F.col("source") == src
                 expr = F.when(cond, exprs[name]) if expr is None else expr.when(cond, exprs[name])
-        cols.append((expr if expr is not None else F.lit(None)).cast(dtype).alias(name))
+        fallback = _by_name(name, dtype)
+        expr = fallback if expr is None else expr.otherwise(fallback)
+        cols.append(expr.cast(dtype).alias(name))
     return extracted.select(*cols, "source", "page_id", "parse_ok", "parse_error", "__keep", *carry)
 
 

@@ -131,3 +131,18 @@ def test_fallback_edges(spark):
     assert rows[23].title == ""  # the specific <h1> exists (empty): no fallback
     assert rows[23].company == "" and rows[23].location is None  # whitespace-only line: stripped, no " - "
     assert rows[23].description_raw == ""  # blank paragraphs exist: no fallback to the block
+
+
+def test_new_source_from_rules_alone(spark):
+    rules = dict(EXTRACTION_RULES)
+    rules["mysite"] = [
+        ("title", "text", "h1.job", {}),
+        ("company", "text", ".org", {}),
+        ("skills", "texts", "ul.req li", {}),
+        ("applicants", "text", "span.n", {}),
+    ]
+    html = '<h1 class="job"> QA </h1><p class="org">Co</p><ul class="req"><li>Java</li><li>SQL</li></ul><span class="n">7</span>'
+    df = spark.createDataFrame([(1, "mysite", "https://my.site/j/1", html)], "page_id long, source string, url string, html string")
+    r = postings.extract_postings(df, rules).collect()[0]
+    assert (r.title, r.company, r.skills, r.applicants, r.source_site) == ("QA", "Co", ["Java", "SQL"], 7, "mysite")
+    assert r.tags is None and r.salary is None
