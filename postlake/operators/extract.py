@@ -36,6 +36,7 @@ EXTRACT_SCHEMA = T.StructType(
         T.StructField("parse_ok", T.BooleanType()),
         T.StructField("parse_error", T.StringType()),
         T.StructField("inputs", T.StringType()),
+        T.StructField("page_text", T.StringType()),
     ]
 )
 INPUTS_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
@@ -172,17 +173,22 @@ def extract_inputs(html: str, rules: Sequence[Rule]) -> dict[str, list[str]]:
 def _mapper(rules_by_source: Mapping[str, Sequence[Rule]], passthrough: Sequence[str] = ()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ok, err, inputs = [], [], []
+            ok, err, inputs, texts = [], [], [], []
             for html, source in zip(pdf["html"], pdf["source"]):
                 try:
                     rules = rules_by_source.get(source)
                     if rules is None:
                         raise KeyError(f"no rules for source {source!r}")
-                    inputs.append(json.dumps(extract_inputs(html, rules), ensure_ascii=False))
+                    found = extract_inputs(html, rules)
+                    # the page text is large: its own Arrow column, not JSON
+                    text = found.pop("page_text", None)
+                    texts.append(text[0] if text else None)
+                    inputs.append(json.dumps(found, ensure_ascii=False))
                     ok.append(True)
                     err.append(None)
                 except Exception as exc:  # one bad page never fails the job
                     inputs.append(None)
+                    texts.append(None)
                     ok.append(False)
                     err.append(f"{type(exc).__name__}: {exc}"[:500])
             out = pd.DataFrame(
@@ -193,6 +199,7 @@ def _mapper(rules_by_source: Mapping[str, Sequence[Rule]], passthrough: Sequence
                     "parse_ok": ok,
                     "parse_error": err,
                     "inputs": inputs,
+                    "page_text": texts,
                 }
             )
             for c in passthrough:
@@ -209,8 +216,9 @@ def extract_pages(
 ) -> DataFrame:
     """Run the rule mapper over ``pages(page_id, source, url, html, ...)``.
 
-    Returns ``page_id, source, url, parse_ok, parse_error, inputs`` where
-    ``inputs`` is ``map<string, array<string>>``. The rules travel in the
+    Returns ``page_id, source, url, parse_ok, parse_error, inputs,
+    page_text`` where ``inputs`` is ``map<string, array<string>>`` and
+    ``page_text`` is filled only for rule sets with a ``page_text`` rule. The rules travel in the
     task closure (a few kB). Arrow batch size follows
     ``spark.sql.execution.arrow.maxRecordsPerBatch``; keep it small when
     pages are large. ``passthrough`` columns (small, per page) are copied

@@ -2,7 +2,6 @@
 
     pages(page_id, url, html[, source])
       │ F1 drop failed pages, source by host (S5), F2 blocked flag (indeed)
-      │ native pre-reads: page-text flags (X13, X8)
       ▼ extraction job (mapInPandas, rules as data)          [Python worker]
     inputs map ─ native assembly per source (X7-X21, JS2, K3, H10, A10)
       ▼ canonical 15 fields (P7) + metadata (P1) + job_key (P2)
@@ -154,15 +153,16 @@ def _assemble_exprs() -> dict[str, dict[str, Column]]:
         },
         "portal_empleo": {
             "title": _v("title"), "company": _v("company"), "location": _v("location"),
-            "salary": F.col("__negotiable"), "salary_currency": F.lit(sites.DEFAULT_CURRENCY),
+            "salary": pf.flag_phrase(F.col("page_text"), sites.NEGOTIABLE_PHRASE, sites.NEGOTIABLE_LABEL),
+            "salary_currency": F.lit(sites.DEFAULT_CURRENCY),
             "job_type": avail_enum, "modality": mod(F.coalesce(_v("location"), F.lit(""))),
             "experience_level": _v("experience"),
-            "posted_date": pf.first_nonempty(_v("posted_date"), F.col("__date_in_text")),
+            "posted_date": pf.first_nonempty(_v("posted_date"), pf.first_date(F.col("page_text"))),
             "description_raw": _v("description"), "tags": _l("tags"), "skills": _l("skills"),
         },
         "article": {
             "title": _v("title"), "company": pf.host("url"), "location": _v("location"),
-            "posted_date": F.col("__date_in_text"),
+            "posted_date": pf.first_date(F.col("page_text")),
             "description_raw": pf.join_lines(_l("description_parts")),
             "tags": _l("tags"), "skills": pf.set_union(_l("skills")),
         },
@@ -234,13 +234,7 @@ def extract_postings(
             F.count_if(~failed & blocked).alias("blocked"),
         )
     src = src.where(~failed & ~blocked)
-    text = ph.page_text("html")
-    flags = src.select(
-        "page_id", "source", "url", "html", *carry,
-        F.when(F.col("source") == "portal_empleo", pf.flag_phrase(text, sites.NEGOTIABLE_PHRASE, sites.NEGOTIABLE_LABEL)).alias("__negotiable"),
-        F.when(F.col("source").isin("portal_empleo", "article"), pf.first_date(text)).alias("__date_in_text"),
-    )
-    joined = extract_pages(flags, rules, passthrough=["__negotiable", "__date_in_text", *carry])
+    joined = extract_pages(src.select("page_id", "source", "url", "html", *carry), rules, passthrough=list(carry))
     with_ld = joined.withColumn("__ld", ph.jsonld_value(_v("jsonld"))).withColumn(
         "__keep",
         F.when(

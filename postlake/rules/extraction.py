@@ -87,6 +87,7 @@ EXTRACTION_RULES: dict[str, list[tuple[str, str, str, dict]]] = {
         }),
         ("posted_date", "text", ".float-right.mt-2", {}),
         ("tags", "texts", "label.fw-600", {"keep_blank": True}),
+        ("page_text", "page_text", "", {}),
     ],
 }
 
@@ -98,6 +99,7 @@ ARTICLE_RULES: list[tuple[str, str, str, dict]] = [
     ("tags", "texts", "nav li", {}),
     ("skills", "texts", "nav a", {}),
     ("location", "text", "div.ad", {}),
+    ("page_text", "page_text", "", {}),
 ]
 EXTRACTION_RULES["article"] = ARTICLE_RULES
 
