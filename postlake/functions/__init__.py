@@ -15,6 +15,7 @@ from postlake.functions.text import (  # noqa: F401
     split_last,
     strip,
     title_case,
+    today_ds,
     tokens,
 )
 from postlake.functions.keys import job_key  # noqa: F401

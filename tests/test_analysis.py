@@ -61,3 +61,20 @@ def test_prefixes_and_filters(spark):
     assert [r.url for r in analysis.preview(df, ["url"], 2).collect()] == ["u1", "u2"]
     prof = {r.column_name: r.null_count for r in analysis.nulls(df.select("title", "company")).collect()}
     assert prof == {"title": 1, "company": 1}
+
+
+def test_province_value_counts_and_shape(spark):
+    from postlake.operators import profile
+
+    got = {r.province: r["count"] for r in analysis.province_value_counts(postings_df(spark)).collect()}
+    assert got == {"remote": 1, "cordoba": 1, "buenos aires": 2, "springfield": 1}
+    s = profile.shape(postings_df(spark)).first()
+    assert (s.n_rows, s.n_cols) == (6, len(postings.POSTING_FIELDS) + len(postings.META_FIELDS))
+
+
+def test_select_sources(spark):
+    from postlake.sources.pages import select_sources
+
+    df = spark.createDataFrame([(1, "zonajobs"), (2, "indeed"), (3, "other")], "page_id long, source string")
+    assert sorted(r.page_id for r in select_sources(df, ["Zonajobs", "nope"]).collect()) == [1]
+    assert sorted(r.page_id for r in select_sources(df).collect()) == [1, 2]

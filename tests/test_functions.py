@@ -131,3 +131,14 @@ def test_html_flat_reads(spark):
     assert r[0]["b"] is False and r[1]["b"] is True
     assert r[0]["lt"] == "T1" and r[0]["lc"] == "Org"
     assert r[1]["t"] is None and r[1]["ld"] is None
+
+
+def test_page_text_and_run_date(spark):
+    import datetime
+
+    html = "<html><head><style>p{}</style><script>x=1</script></head><body><!-- c --><p>Hola &amp; <b>chau</b></p>12/3/2024</body></html>"
+    df = spark.createDataFrame([(html,)], "h string")
+    r = df.select(ph.page_text("h").alias("t"), pf.first_date(ph.page_text("h")).alias("d"), pf.today_ds().alias("ds")).first()
+    assert r.t.split() == ["Hola", "&", "chau12/3/2024"]
+    assert r.d is None  # "chau12/3/2024": no word boundary before the day, as in Python's \b
+    assert r.ds == datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d")

@@ -4,7 +4,6 @@ ds, dedup size, recursive scan of a foreign tree."""
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from postlake.plans import postings
 from postlake.sources import sinks
