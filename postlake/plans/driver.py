@@ -52,6 +52,15 @@ def top_tokens(spark, sf_dir):
     return analysis.top_title_tokens(spark, docs, "text", TOP_K, count_col="freq")
 
 
+def lineitem_top_parts(spark, sf_dir):
+    """A2 K1 A6 A7 on the largest table: the most frequent parts over all
+    line items with their share of the top-k."""
+    lines = read(spark, sf_dir, "lineitem").select("l_partkey")
+    freq = frequency.value_counts(lines, "l_partkey", "freq")
+    out = frequency.top_k_share(freq, "l_partkey", TOP_K, "freq", "share", "top_total")
+    return out.withColumn("share", F.round("share", 6))
+
+
 def title_prefix_topk_share(spark, sf_dir):
     """Top first-n-word prefixes with their share of the top-k."""
     docs = spread(read(spark, sf_dir, "documents").select("text"))
@@ -389,6 +398,7 @@ def postings_daily_run(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_tokens": top_tokens,
     "title_prefix_topk_share": title_prefix_topk_share,
+    "lineitem_top_parts": lineitem_top_parts,
     "category_counts_coords": category_counts_coords,
     "normalize_text": normalize_text,
     "title_case": title_case,

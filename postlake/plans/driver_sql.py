@@ -99,6 +99,12 @@ f AS (SELECT prefix, count(*) AS freq FROM p WHERE prefix IS NOT NULL
 SELECT prefix, freq, CAST(sum(freq) OVER () AS BIGINT) AS top_total,
        round(freq / sum(freq) OVER (), 6) AS share FROM f"""
 
+    sql["lineitem_top_parts"] = f"""
+WITH f AS (SELECT l_partkey, count(*) AS freq FROM lineitem WHERE l_partkey IS NOT NULL
+           GROUP BY l_partkey ORDER BY freq DESC, l_partkey ASC LIMIT {k})
+SELECT l_partkey, freq, CAST(sum(freq) OVER () AS BIGINT) AS top_total,
+       round(freq / sum(freq) OVER (), 6) AS share FROM f"""
+
     coords = ", ".join(f"({o.q(c)}, CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for c, lat, lon in d.PART_CATEGORY_COORDS)
     sql["category_counts_coords"] = f"""
 WITH c AS (SELECT {_region_case('p_name', d.PART_CATEGORY_RULES, d.PART_REMOTE_WORDS)} AS category FROM part),
