@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -55,6 +56,7 @@ RAW_SCHEMA = T.StructType([T.StructField(n, t) for n, t in POSTING_FIELDS + META
 PROCESSED_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("title_lower", T.StringType())])
 
 SOURCE_SITE_NAMES = {"getonboard": "get_on_board"}  # G6: as each site labels itself
+log = logging.getLogger("postlake")
 
 
 # ------------------------------------------------------------------ helpers
@@ -329,7 +331,10 @@ def run(
     proc_obs = Observation("processed")
     processed = processed.observe(proc_obs, F.count(F.lit(1)).alias("processed_rows"))
     sinks.write_layer(processed, processed_path)
+    counters = {}
+    for o in (obs["pages"], obs["output"], proc_obs):
+        counters.update({k: int(v) for k, v in o.get.items()})
+    log.info("ds=%s %s", ds, " ".join(f"{k}={v}" for k, v in counters.items()))
     if stats is not None:
-        for o in (obs["pages"], obs["output"], proc_obs):
-            stats.update({k: int(v) for k, v in o.get.items()})
+        stats.update(counters)
     return sinks.read_layer(spark, processed_path, PROCESSED_SCHEMA, ds=ds)
