@@ -33,9 +33,14 @@ def strip(c) -> Column:
 
 def title_case(c) -> Column:
     """``str.title()`` — upper-case the first letter of every letter run,
-    lower-case the rest; any non-letter starts a new word."""
-    runs = F.regexp_extract_all(_c(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    return F.when(_c(c).isNotNull(), F.array_join(F.transform(runs, lambda r: F.initcap(r)), ""))
+    lower-case the rest; any non-letter starts a new word.
+
+    ``initcap`` only starts words after a space, so a space is inserted after
+    every non-letter, ``initcap`` runs, and exactly those inserted spaces are
+    removed again (each non-letter is followed by its own inserted space, so
+    the left-to-right pairing is exact)."""
+    spaced = F.regexp_replace(_c(c), r"([^\p{L}])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}]) ", "$1")
 
 
 def remove_noise(c, keep_class: str = "a-záéíóúñ") -> Column:
@@ -58,10 +63,14 @@ def tokens(c) -> Column:
 def first_words(c, n: int = 5) -> Column:
     """The first ``n`` lower-cased words joined by one space; null-safe.
 
-    The whole text is split (as ``str.split()`` does); only the kept words
-    are lower-cased — lower-casing never creates or removes whitespace, so
-    this equals splitting the lower-cased text."""
-    return F.array_join(F.transform(F.slice(tokens(_c(c)), 1, n), lambda w: F.lower(w)), " ")
+    Equal to ``" ".join(text.lower().split()[:n])`` on the whole text: one
+    regex match finds the first ``n`` whitespace-separated words (words after
+    the ``n``-th cannot change the result), then whitespace runs collapse to
+    one space. No array of all words is built."""
+    col = _c(c)
+    word = f"[^{WS_CHARS}]+"
+    head = F.regexp_extract(col, f"^{WS}*({word}(?:{WS}+{word}){{0,{n - 1}}})", 1)
+    return F.when(col.isNotNull(), F.lower(F.regexp_replace(head, f"{WS}+", " ")))
 
 
 def first_int(c) -> Column:
