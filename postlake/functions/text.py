@@ -36,11 +36,11 @@ def title_case(c) -> Column:
     lower-case the rest; any non-letter starts a new word.
 
     ``initcap`` only starts words after a space, so a space is inserted after
-    every non-letter, ``initcap`` runs, and exactly those inserted spaces are
-    removed again (each non-letter is followed by its own inserted space, so
-    the left-to-right pairing is exact)."""
-    spaced = F.regexp_replace(_c(c), r"([^\p{L}])", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}]) ", "$1")
+    every other non-letter, ``initcap`` runs, and exactly those inserted
+    spaces are removed again (each such character is followed by its own
+    inserted space, so the left-to-right pairing is exact)."""
+    spaced = F.regexp_replace(_c(c), r"([^\p{L} ])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"([^\p{L} ]) ", "$1")
 
 
 def remove_noise(c, keep_class: str = "a-záéíóúñ") -> Column:
