@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake import functions as pf
+from postlake.functions.text import WS
 from postlake.operators import frequency, lookup, profile
 from postlake.rules.locations import PROVINCE_COORDS, PROVINCE_RULES, REMOTE_WORDS
 from postlake.rules.stopwords import STOPWORDS_ES
@@ -43,8 +44,13 @@ def demand_by_province(spark: SparkSession, df: DataFrame, location_col: str = "
 
 def title_tokens(spark: SparkSession, df: DataFrame, title_col: str = "title",
                  stopwords: Sequence[str] = STOPWORDS_ES) -> DataFrame:
-    """X1 + X4 + X5 + J3: one row per non-stopword title token."""
-    toks = df.select(F.explode(pf.tokens(pf.remove_punct(F.lower(title_col)))).alias("token"))
+    """X1 + X4 + X5 + J3: one row per non-stopword title token.
+
+    The split result is exploded directly and empty pieces (from leading or
+    trailing whitespace) are dropped by a row filter, which stays in generated
+    code (a lambda filter over every word array would not)."""
+    words = F.split(pf.remove_punct(F.lower(title_col)), f"{WS}+")
+    toks = df.select(F.explode(words).alias("token")).where(F.col("token") != "")
     stop = lookup.small_table(spark, [(w,) for w in stopwords], "word string")
     return lookup.drop_listed(toks, "token", stop)
 
