@@ -16,9 +16,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Per-row text work (regex, tokenising, hashing) is CPU-bound, so a
     one-split scan would run it on one core. With enough input splits — the
     normal case on a cluster — this is a no-op and adds no shuffle. Call it
-    after projecting to the columns the work needs. The target is three tasks
-    per core: row sizes are heavy-tailed (a text can be 100× the median), and
-    one task per core leaves the whole stage waiting on the unluckiest one.
+    after projecting to the columns the work needs.
+
+    The target is three tasks per core. The scan's partition count counts
+    byte-range splits, not row groups: a 15 MB file with one row group is
+    cut into four splits of which three are empty, so "splits ≥ cores"
+    alone can hide a one-task stage; three tasks per core also evens out
+    heavy-tailed text sizes.
     """
     target = min_partitions or 3 * df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
