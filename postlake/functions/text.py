@@ -68,6 +68,8 @@ def first_words(c, n: int = 5) -> Column:
     the ``n``-th cannot change the result), then whitespace runs collapse to
     one space. No array of all words is built."""
     col = _c(c)
+    if n <= 0:
+        return F.when(col.isNotNull(), F.lit(""))
     word = f"[^{WS_CHARS}]+"
     head = F.regexp_extract(col, f"^{WS}*({word}(?:{WS}+{word}){{0,{n - 1}}})", 1)
     return F.when(col.isNotNull(), F.lower(F.regexp_replace(head, f"{WS}+", " ")))

@@ -36,6 +36,7 @@ def test_tokens_and_first_words(spark):
         "one",
         None,
     ]
+    assert one_col(spark, ["a b", None], lambda c: pf.first_words(c, 0)) == ["", None]
 
 
 def test_first_int_and_date(spark):
