@@ -48,11 +48,14 @@ def main(argv: list[str] | None = None) -> int:
         from postlake.plans import postings
         from postlake.sources.pages import read_pages, select_sources
 
+        from postlake.sources.tables import spread
+
         pages = read_pages(spark, args.pages)
         if "source" not in pages.columns:
             pages = pages.withColumn("source", postings.source_of(F.col("url")))
         if args.sources:
             pages = select_sources(pages, [s.strip() for s in args.sources.split(",") if s.strip()])
+        pages = spread(pages.select(*[c for c in ("page_id", "source", "url", "html") if c in pages.columns]))
         ds = args.ds or spark.range(1).select(today_ds()).first()[0]
         stats: dict = {}
         postings.run(spark, pages, ds, args.raw, args.processed, stats=stats)
