@@ -95,6 +95,39 @@ def conform(df: DataFrame, fields: Sequence[tuple[str, T.DataType]] = POSTING_FI
     return df.select(*cols, *extra)
 
 
+def conform_drifted(df: DataFrame, fields: Sequence[tuple[str, T.DataType]] = POSTING_FIELDS + META_FIELDS) -> DataFrame:
+    """Canonical types for rows written by another tool (§1 type drift): a
+    scalar where a list belongs becomes a one-element list, text becomes int
+    or timestamp with ``try_`` casts, absent fields are typed nulls. Extra
+    columns are kept."""
+    have = dict(df.dtypes)
+    cols = []
+    for name, dtype in fields:
+        if name not in have:
+            cols.append(F.lit(None).cast(dtype).alias(name))
+            continue
+        c = F.col(name)
+        if isinstance(dtype, T.ArrayType) and not have[name].startswith("array"):
+            expr = F.when(c.isNotNull(), F.array(c.cast("string")))
+        elif isinstance(dtype, T.TimestampType) and have[name] == "string":
+            expr = F.try_to_timestamp(c)
+        elif have[name] == "string" and not isinstance(dtype, T.StringType):
+            expr = c.try_cast(dtype)
+        else:
+            expr = c.cast(dtype)
+        cols.append(expr.alias(name))
+    extra = [F.col(c) for c in df.columns if c not in {n for n, _ in fields}]
+    return df.select(*cols, *extra)
+
+
+def read_foreign_layer(spark: SparkSession, base_path: str) -> DataFrame:
+    """S1 + §1: read a layer written by the reference's pandas job (one folder
+    per source, drifting types) into the canonical posting schema."""
+    from postlake.sources.scan import scan_tree_by_folder
+
+    return scan_tree_by_folder(spark, base_path, conform_drifted)
+
+
 # ---------------------------------------------------------------- assembly
 def _assemble_exprs() -> dict[str, dict[str, Column]]:
     mod = lambda c: pf.classify_contains(c, sites.MODALITY_RULES, sites.MODALITY_DEFAULT)

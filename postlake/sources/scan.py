@@ -28,3 +28,44 @@ def scan_parquet_tree(spark: SparkSession, base_path: str) -> DataFrame:
     if not df.columns:
         raise FileNotFoundError(f"no readable parquet files under {base_path}")
     return df
+
+
+def top_level_dirs(spark: SparkSession, base_path: str) -> list[str]:
+    """Distinct first-level folders under ``base_path`` that hold Parquet
+    files. The listing is Spark's own (``binaryFile`` with only the path
+    column, so no file content is read); only the folder names — one per
+    source in the reference layout — come back to the driver."""
+    from pyspark.sql import functions as F
+
+    base = base_path.rstrip("/")
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(base)
+        .select("path")
+    )
+    rel = F.regexp_extract(F.col("path"), r"^(?:[a-z]+:)?/*(.*)$", 1)
+    base_rel = base.split(":", 1)[-1].lstrip("/") if ":" in base.split("/")[0] else base.lstrip("/")
+    top = F.regexp_extract(rel, "^" + _quote(base_rel) + r"/([^/]+)/", 1)
+    return sorted(r[0] for r in listing.select(top.alias("d")).where(F.col("d") != "").distinct().collect())
+
+
+def _quote(text: str) -> str:
+    """Literal text inside a Java regex."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def scan_tree_by_folder(spark: SparkSession, base_path: str, conform) -> DataFrame:
+    """S1 for trees whose column types drift between top-level folders (the
+    reference's raw layer: one folder per source, a field a string in one
+    source and a list in another). Each folder is scanned on its own (types
+    agree within it), passed through ``conform`` (to a canonical schema) and
+    the results are unioned by name."""
+    parts = [conform(scan_parquet_tree(spark, f"{base_path.rstrip('/')}/{d}")) for d in top_level_dirs(spark, base_path)]
+    if not parts:
+        raise FileNotFoundError(f"no readable parquet files under {base_path}")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

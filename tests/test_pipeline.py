@@ -106,3 +106,23 @@ def test_cli_run(spark, tmp_dir, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert rc == 0 and out["ds"] == "2024-04-17"
     assert out["links"] == 3 and out["processed_rows"] == 2  # computrabajo not selected; duplicate key removed
+
+
+def test_read_foreign_layer_with_type_drift(spark, tmp_dir):
+    import pandas as pd
+
+    base = os.path.join(tmp_dir, "raw")
+    os.makedirs(os.path.join(base, "zonajobs", "2024-04-17"))
+    os.makedirs(os.path.join(base, "get_on_board", "2024-04-18"))
+    pd.DataFrame({"title": ["A"], "tags": ["Tecnología"], "skills": ["SQL"], "url": ["u1"], "source": ["zonajobs"],
+                  "ds": ["2024-04-17"], "scraped_at": ["2024-04-17T10:00:00.123456"], "job_key": ["k1"]}) \
+        .to_parquet(os.path.join(base, "zonajobs", "2024-04-17", "jobs_raw.parquet"))
+    pd.DataFrame({"title": ["B"], "tags": [["python", "spark"]], "skills": [["SQL"]], "applicants": [12], "url": ["u2"],
+                  "source": ["getonboard"], "ds": ["2024-04-18"], "scraped_at": ["2024-04-18T09:00:00"], "job_key": ["k2"]}) \
+        .to_parquet(os.path.join(base, "get_on_board", "2024-04-18", "jobs_raw.parquet"))
+    with open(os.path.join(base, "get_on_board", "broken.parquet"), "wb") as fh:
+        fh.write(b"garbage")
+    df = postings.read_foreign_layer(spark, base)
+    assert dict(df.dtypes)["tags"] == "array<string>" and dict(df.dtypes)["scraped_at"] == "timestamp"
+    got = {r.title: (r.tags, r.skills, r.applicants, r.source) for r in df.collect()}
+    assert got == {"A": (["Tecnología"], ["SQL"], None, "zonajobs"), "B": (["python", "spark"], ["SQL"], 12, "getonboard")}
