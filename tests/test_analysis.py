@@ -78,3 +78,11 @@ def test_select_sources(spark):
     df = spark.createDataFrame([(1, "zonajobs"), (2, "indeed"), (3, "other")], "page_id long, source string")
     assert sorted(r.page_id for r in select_sources(df, ["Zonajobs", "nope"]).collect()) == [1]
     assert sorted(r.page_id for r in select_sources(df).collect()) == [1, 2]
+
+
+def test_dedup_winner_independent_of_partitioning(spark):
+    df = postings_df(spark)
+    base = sorted((r.job_key, r.location) for r in postings.transform(df).collect())
+    for n in (1, 3, 7):
+        shuffled = df.repartition(n).orderBy(F.rand(seed=n))
+        assert sorted((r.job_key, r.location) for r in postings.transform(shuffled).collect()) == base

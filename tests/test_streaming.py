@@ -28,3 +28,24 @@ def test_available_now_two_batches(spark, tmp_dir):
     by_src = sorted((r.source, r.title) for r in got.collect())
     assert by_src == [("computrabajo", "Analista Bi"), ("getonboard", "Analista"), ("getonboard", "Dataengineer")]
     assert {r.ds for r in got.collect()} == {"2024-04-17"}
+
+
+def test_replayed_batch_is_idempotent(spark, tmp_dir):
+    from postlake.streaming.daily import process_batch
+
+    rows = [
+        (1, "https://www.getonbrd.com/empleos/1", H.GETONBOARD_FULL, "2024-04-17", "getonboard"),
+        (2, "https://www.computrabajo.com.ar/ofertas/1", H.COMPUTRABAJO_FULL, "2024-04-17", "computrabajo"),
+    ]
+    batch = spark.createDataFrame(rows, LANDING_SCHEMA)
+    raw, proc = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "processed")
+
+    def snapshot():
+        r = sorted((x.job_key, x.source) for x in sinks.read_layer(spark, raw, postings.RAW_SCHEMA).collect())
+        p = sorted((x.job_key, x.title) for x in sinks.read_layer(spark, proc, postings.PROCESSED_SCHEMA).collect())
+        return r, p
+
+    process_batch(spark, batch, 0, raw, proc)
+    first = snapshot()
+    process_batch(spark, batch, 0, raw, proc)  # the same micro-batch delivered again after a failure
+    assert snapshot() == first and len(first[0]) == 2
