@@ -1,9 +1,12 @@
 """Driver queries: one Spark builder and one DuckDB oracle per name.
 
 Every builder takes ``(spark, sf_dir)``, reads whole tables from
-``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame (``roundtrip_sinks``
-and ``observe_counts`` run their write/observe action first, because that
-action is the operator under test). Column names match the oracle exactly.
+``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Four builders run
+an action first because it is the operator under test: ``roundtrip_sinks``,
+``recursive_scan`` and ``postings_daily_run`` write to a fresh folder under
+the session's checkpoint dir and return the read-back rows;
+``observe_counts`` runs one no-op write and returns its observed counts.
+Column names match the oracle exactly.
 """
 
 from __future__ import annotations
