@@ -217,12 +217,13 @@ def extract_pages(
     """Run the rule mapper over ``pages(page_id, source, url, html, ...)``.
 
     Returns ``page_id, source, url, parse_ok, parse_error, inputs,
-    page_text`` where ``inputs`` is ``map<string, array<string>>`` and
-    ``page_text`` is filled only for rule sets with a ``page_text`` rule. The rules travel in the
-    task closure (a few kB). Arrow batch size follows
-    ``spark.sql.execution.arrow.maxRecordsPerBatch``; keep it small when
-    pages are large. ``passthrough`` columns (small, per page) are copied
-    through unchanged so no join is needed afterwards.
+    page_text`` where ``inputs`` is ``map<string, array<string>>`` (sent as
+    JSON, parsed once natively) and ``page_text`` is filled only for rule sets
+    with a ``page_text`` rule. The rules travel in the task closure (a few
+    kB). Arrow batches are bounded by
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` / ``maxRecordsPerBatch``.
+    ``passthrough`` columns (small, per page) are copied through unchanged so
+    no join is needed afterwards.
     """
     passthrough = list(passthrough)
     src = pages.select(
