@@ -104,3 +104,13 @@ LISTING_INDEED = """<html><body><a href="/rc/clk?jk=abc123&from=serp">x</a><a hr
 LISTING_PORTAL = """<html><body><a class="btn btn-success comp-button-ciudadanos" href="Oferta/7">ver</a></body></html>"""
 
 LISTING_COMPUTRABAJO = """<html><body><a class="js-o-link fc_base" href="https://www.computrabajo.com.ar/ofertas-de-trabajo/1">t</a></body></html>"""
+
+ZONAJOBS_MISSING = """<html><body><h1>Vendedor</h1><i name="icon-location"></i><h2>Ventas</h2></body></html>"""
+
+ZONAJOBS_MALFORMED = """<html><body><h1>Cadete <b>urgente</h1><i name="icon-location"></i><h2>Log</h2><h2>Ayer
+<h2>Rosario</h2></div></div><p>stray</span>"""
+
+PORTAL_MISSING = """<html><body><h3>Ayudante</h3><p>Sin más datos</p></body></html>"""
+
+PORTAL_MALFORMED = """<html><body><h3 class="text-capitalize text-turqueza">Mozo<strong>Bar Sur</strong>
+<div class="col-md-12"><p><span>Salta (presencial)</span><label class="fw-600">Experiencia Requerida<p>Sí"""

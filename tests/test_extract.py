@@ -146,3 +146,29 @@ def test_new_source_from_rules_alone(spark):
     r = postings.extract_postings(df, rules).collect()[0]
     assert (r.title, r.company, r.skills, r.applicants, r.source_site) == ("QA", "Co", ["Java", "SQL"], 7, "mysite")
     assert r.tags is None and r.salary is None
+
+
+def test_missing_and_malformed_pages(spark):
+    pages = [
+        (31, "zonajobs", "https://www.zonajobs.com.ar/empleos/2.html", H.ZONAJOBS_MISSING),
+        (32, "zonajobs", "https://www.zonajobs.com.ar/empleos/3.html", H.ZONAJOBS_MALFORMED),
+        (33, "portal_empleo", "https://portalempleo.gob.ar/Oferta/4", H.PORTAL_MISSING),
+        (34, "portal_empleo", "https://portalempleo.gob.ar/Oferta/5", H.PORTAL_MALFORMED),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, source string, url string, html string")
+    rows = {r.page_id: r for r in postings.extract_postings(df, keep_errors=True).collect()}
+    assert all(r.parse_ok for r in rows.values())
+    z = rows[31]
+    assert (z.title, z.tags, z.location, z.posted_date, z.company, z.modality) == ("Vendedor", ["Ventas"], None, None, None, "Otros")
+    m = rows[32]
+    # no implicit closing: the unclosed second <h2> holds the third one
+    assert m.title == "Cadete urgente" and m.tags == ["Log"] and m.location == "Rosario"
+    assert m.posted_date == "Ayer\nRosariostray"  # and the stray <p> too
+    p = rows[33]
+    assert (p.title, p.company, p.location, p.skills, p.description_raw, p.salary) == ("Ayudante", None, None, [], "Sin más datos", None)
+    assert p.modality == "Otros" and p.salary_currency == "$ARS"
+    q = rows[34]
+    # the unclosed <h3> holds the rest of the page (no implicit closing)
+    assert q.title == "MozoBar SurSalta (presencial)Experiencia RequeridaSí"
+    assert q.company == "Bar Sur" and q.location == "Salta (presencial)"
+    assert q.modality == "Presencial" and q.experience_level == "Sí"
