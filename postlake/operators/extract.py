@@ -151,12 +151,12 @@ def apply_rule(doc: Document, kind: str, selector: str, p: Mapping) -> list[str]
     raise ValueError(f"unknown rule kind {kind!r}")
 
 
-def extract_inputs(html: str, rules: Sequence[Rule]) -> dict[str, list[str]]:
+def extract_inputs(html: str, rules: Sequence[Rule], repair: bool = False) -> dict[str, list[str]]:
     """Parse once, run the rules. Same-name rules are ordered fallbacks: an
     empty value falls through to the next rule (``a or b``), unless the rule
     has ``exists_wins`` — then a matched element ends the chain even when its
     text is empty."""
-    doc = Document(html)
+    doc = Document(html, repair=repair)
     out: dict[str, list[str]] = {}
     done: set[str] = set()
     for name, kind, selector, params in rules:
@@ -170,7 +170,8 @@ def extract_inputs(html: str, rules: Sequence[Rule]) -> dict[str, list[str]]:
     return out
 
 
-def _mapper(rules_by_source: Mapping[str, Sequence[Rule]], passthrough: Sequence[str] = ()):
+def _mapper(rules_by_source: Mapping[str, Sequence[Rule]], passthrough: Sequence[str] = (),
+            repair_sources: frozenset = frozenset()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok, err, inputs, texts = [], [], [], []
@@ -179,7 +180,7 @@ def _mapper(rules_by_source: Mapping[str, Sequence[Rule]], passthrough: Sequence
                     rules = rules_by_source.get(source)
                     if rules is None:
                         raise KeyError(f"no rules for source {source!r}")
-                    found = extract_inputs(html, rules)
+                    found = extract_inputs(html, rules, repair=source in repair_sources)
                     # the page text is large: its own Arrow column, not JSON
                     text = found.pop("page_text", None)
                     texts.append(text[0] if text else None)
@@ -213,6 +214,7 @@ def extract_pages(
     pages: DataFrame,
     rules_by_source: Mapping[str, Sequence[Rule]],
     passthrough: Sequence[str] = (),
+    repair_sources: Sequence[str] = (),
 ) -> DataFrame:
     """Run the rule mapper over ``pages(page_id, source, url, html, ...)``.
 
@@ -223,12 +225,13 @@ def extract_pages(
     kB). Arrow batches are bounded by
     ``spark.sql.execution.arrow.maxBytesPerBatch`` / ``maxRecordsPerBatch``.
     ``passthrough`` columns (small, per page) are copied through unchanged so
-    no join is needed afterwards.
+    no join is needed afterwards. Pages of ``repair_sources`` are parsed with
+    the HTML standard's implicit end tags (see ``htmltree.Document``).
     """
     passthrough = list(passthrough)
     src = pages.select(
         F.col("page_id").cast("long"), F.col("source"), F.col("url"), F.col("html"), *passthrough
     )
     schema = T.StructType(list(EXTRACT_SCHEMA.fields) + [src.schema[c] for c in passthrough])
-    raw = src.mapInPandas(_mapper(dict(rules_by_source), passthrough), schema)
+    raw = src.mapInPandas(_mapper(dict(rules_by_source), passthrough, frozenset(repair_sources)), schema)
     return raw.withColumn("inputs", F.from_json("inputs", INPUTS_TYPE))

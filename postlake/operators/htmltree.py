@@ -18,6 +18,25 @@ VOID = frozenset(
 )
 HIDDEN_TEXT = frozenset(("script", "style", "template"))
 
+# --- fixed values: implicit end tags of the HTML standard (tree-construction rules) ---
+# start tags that close an open <p>
+P_CLOSERS = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li dd dt main menu nav ol p pre section table ul".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# start tag → (open tags it closes, tags that stop the search)
+SIBLING_CLOSERS = {
+    "li": (frozenset(("li",)), frozenset(("ul", "ol", "menu"))),
+    "dt": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "dd": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "tr": (frozenset(("tr", "td", "th")), frozenset(("table", "thead", "tbody", "tfoot"))),
+    "td": (frozenset(("td", "th")), frozenset(("tr", "table"))),
+    "th": (frozenset(("td", "th")), frozenset(("tr", "table"))),
+    "option": (frozenset(("option",)), frozenset(("select", "datalist"))),
+}
+P_SCOPE_STOPS = frozenset(("html", "body", "table", "td", "th", "button", "applet", "object", "template"))
+
 
 class Node:
     __slots__ = ("tag", "attrs", "parent", "children", "kids", "tag_counts", "order", "end", "pos", "type_pos", "_cls")
@@ -87,12 +106,40 @@ class Node:
 
 
 class _Builder(HTMLParser):
-    def __init__(self):
+    def __init__(self, repair: bool = False):
         super().__init__(convert_charrefs=True)
+        self.repair = repair
         self.root = Node("#root", {}, None, 0)
         self.nodes = [self.root]
         self.stack = [self.root]
 
+    def _close_from(self, i: int) -> None:
+        for n in self.stack[i:]:
+            n.end = len(self.nodes) - 1
+        del self.stack[i:]
+
+    def _implicit_ends(self, tag: str) -> None:
+        """Browser/lxml-style repair: close what a start tag implicitly ends."""
+        if tag in P_CLOSERS:
+            for i in range(len(self.stack) - 1, 0, -1):
+                t = self.stack[i].tag
+                if t == "p":
+                    self._close_from(i)
+                    break
+                if t in P_SCOPE_STOPS:
+                    break
+        if tag in HEADINGS and self.stack[-1].tag in HEADINGS:
+            self._close_from(len(self.stack) - 1)
+        if tag in SIBLING_CLOSERS:
+            closes, stops = SIBLING_CLOSERS[tag]
+            for i in range(len(self.stack) - 1, 0, -1):
+                t = self.stack[i].tag
+                if t in closes:
+                    self._close_from(i)
+                    break
+                if t in stops:
+                    break
+
     def _add(self, tag, attrs):
         parent = self.stack[-1]
         node = Node(tag, {k: (v if v is not None else "") for k, v in attrs}, parent, len(self.nodes))
@@ -105,6 +152,8 @@ class _Builder(HTMLParser):
         return node
 
     def handle_starttag(self, tag, attrs):
+        if self.repair:
+            self._implicit_ends(tag)
         node = self._add(tag, attrs)
         if tag not in VOID:
             self.stack.append(node)
@@ -115,9 +164,7 @@ class _Builder(HTMLParser):
     def handle_endtag(self, tag):
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                for n in self.stack[i:]:
-                    n.end = len(self.nodes) - 1
-                del self.stack[i:]
+                self._close_from(i)
                 return
 
     def handle_data(self, data):
@@ -125,10 +172,15 @@ class _Builder(HTMLParser):
 
 
 class Document:
-    """Parsed page: ``nodes`` in document order (``nodes[0]`` is the root)."""
+    """Parsed page: ``nodes`` in document order (``nodes[0]`` is the root).
+
+    ``repair=False`` keeps the stdlib parser's tree (nothing closes
+    implicitly); ``repair=True`` applies the HTML standard's implicit end tags
+    the way browsers and lxml do (a block start closes an open ``<p>``, a new
+    ``<li>`` closes the previous one, a heading closes an open heading)."""
 
-    def __init__(self, html: str):
-        b = _Builder()
+    def __init__(self, html: str, repair: bool = False):
+        b = _Builder(repair)
         b.feed(html)
         b.close()
         last = len(b.nodes) - 1

@@ -25,7 +25,7 @@ from postlake.functions import html as ph
 from postlake.operators import dedup
 from postlake.operators.extract import extract_pages
 from postlake.rules import sites
-from postlake.rules.extraction import DEFAULT_SOURCE, EXTRACTION_RULES, SOURCE_HOSTS
+from postlake.rules.extraction import DEFAULT_SOURCE, EXTRACTION_RULES, REPAIR_SOURCES, SOURCE_HOSTS
 from postlake.sources import sinks
 
 # Canonical parsed fields and their types (§1 of the blueprint).
@@ -269,7 +269,10 @@ def extract_postings(
             F.count_if(~failed & blocked).alias("blocked"),
         )
     src = src.where(~failed & ~blocked)
-    joined = extract_pages(src.select("page_id", "source", "url", "html", *carry), rules, passthrough=list(carry))
+    joined = extract_pages(
+        src.select("page_id", "source", "url", "html", *carry), rules, passthrough=list(carry),
+        repair_sources=sorted(REPAIR_SOURCES),
+    )
     with_ld = joined.withColumn("__ld", ph.jsonld_value(_v("jsonld"))).withColumn(
         "__keep",
         F.when(

@@ -103,6 +103,10 @@ ARTICLE_RULES: list[tuple[str, str, str, dict]] = [
 ]
 EXTRACTION_RULES["article"] = ARTICLE_RULES
 
+# Sources whose pages were read through a repairing parser (lxml, a browser
+# DOM): their trees get the HTML standard's implicit end tags.
+REPAIR_SOURCES: frozenset[str] = frozenset({"zonajobs", "computrabajo"})
+
 # --- fixed values: detail-page host → source (site base URLs) ---
 SOURCE_HOSTS: dict[str, str] = {
     "www.computrabajo.com.ar": "computrabajo",

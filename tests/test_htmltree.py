@@ -70,3 +70,15 @@ def test_wide_parent_is_linear():
     doc = Document(html)
     assert doc.select("li:nth-of-type(20000)")[0].text() == "i19999"
     assert time.time() - t0 < 10
+
+
+def test_repair_mode_implicit_end_tags():
+    html = "<body><p>one<div>block</div><p>two<p>three<ul><li>a<li>b</ul><h2>x<h2>y</h2><dl><dt>k<dd>v<dt>k2</dl></body>"
+    plain = Document(html)
+    fixed = Document(html, repair=True)
+    assert [n.text() for n in plain.select("p")][0] == "oneblocktwothreeabxyk" "vk2"
+    assert [n.text() for n in fixed.select("p")] == ["one", "two", "three"]
+    assert [n.text() for n in fixed.select("ul > li")] == ["a", "b"]
+    assert [n.text() for n in fixed.select("h2")] == ["x", "y"]
+    assert [n.text() for n in fixed.select("dl > dt")] == ["k", "k2"] and fixed.select_one("dd").text() == "v"
+    assert [n.text() for n in fixed.select("div")] == ["block"]
