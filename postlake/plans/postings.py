@@ -234,6 +234,9 @@ def assemble(extracted: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
                 expr = F.when(cond, exprs[name]) if expr is None else expr.when(cond, exprs[name])
         fallback = _by_name(name, dtype)
         expr = fallback if expr is None else expr.otherwise(fallback)
+        # A page that failed to parse keeps only url / site and empty lists
+        empty = F.array().cast(dtype) if isinstance(dtype, T.ArrayType) else F.lit(None).cast(dtype)
+        expr = F.when(F.col("parse_ok"), expr).otherwise(empty)
         cols.append(expr.cast(dtype).alias(name))
     return extracted.select(*cols, "source", "page_id", "parse_ok", "parse_error", "__keep", *carry)
 

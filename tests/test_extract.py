@@ -110,6 +110,9 @@ def test_error_rows_do_not_fail_the_job(spark):
     df = spark.createDataFrame([(1, "nosuchsource", "http://x", "<html></html>")], "page_id long, source string, url string, html string")
     out = postings.extract_postings(df, keep_errors=True).collect()
     assert len(out) == 1 and out[0].parse_ok is False and "nosuchsource" in out[0].parse_error
+    r = out[0].asDict()
+    assert r["url"] == "http://x" and r["source_site"] == "nosuchsource" and r["tags"] == [] and r["skills"] == []
+    assert all(r[f] is None for f in ("title", "company", "location", "salary", "salary_currency", "modality", "applicants"))
 
 
 def test_inputs_match_python_reading():
