@@ -327,6 +327,16 @@ def frontier(spark, sf_dir):
     ).select("r_regionkey", "source", "page", "url")
 
 
+def frontier_from_titles(spark, sf_dir):
+    """Listing URLs for search terms mined from the texts — the
+    distinct first-two-word prefixes of every document — on every site and
+    page, duplicate URLs removed (the frontier grows with the data)."""
+    docs = spread(read(spark, sf_dir, "documents").select("text"))
+    searches = docs.select(pf.first_words("text", PREFIX_WORDS).alias("q")).where(F.col("q") != "").distinct()
+    urls = fr.listing_urls(searches, "q", "Argentina", DEFAULT_MAX_PAGES)
+    return urls.select("source", "page", "url").distinct()
+
+
 def listing_links(spark, sf_dir):
     """H8 (rule form) X15 F8 A9: distinct detail links per source found by the
     listing selectors in the extraction job."""
@@ -424,6 +434,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "head_preview": head_preview,
     "links_join_pages": links_join_pages,
     "frontier": frontier,
+    "frontier_from_titles": frontier_from_titles,
     "listing_links": listing_links,
     "roundtrip_sinks": roundtrip_sinks,
     "observe_counts": observe_counts,

@@ -269,6 +269,18 @@ WITH h AS (SELECT {o.origin('url')} AS base, unnest({nav_hrefs}) AS href FROM pa
 l AS (SELECT {o.absolute_url('href', 'base')} AS link FROM h WHERE href IS NOT NULL AND href <> '')
 SELECT DISTINCT 'article' AS source, link FROM l WHERE link IS NOT NULL"""
 
+    search_tpls = ", ".join(
+        f"({o.q(src)}, {o.q(tpl.replace('{base}', SITE_BASE_URLS[src]))}, "
+        f"{DEFAULT_MAX_PAGES if ('{p}' in tpl or '{start}' in tpl) else 1})"
+        for src, tpl in LISTING_TEMPLATES.items()
+    )
+    sql["frontier_from_titles"] = f"""
+WITH q AS (SELECT DISTINCT {o.first_words('text', d.PREFIX_WORDS)} AS q FROM documents),
+s AS (SELECT q.q, t.source, t.template, t.pages FROM q, (VALUES {search_tpls}) AS t(source, template, pages)
+      WHERE q.q IS NOT NULL AND q.q <> ''),
+p AS (SELECT *, unnest(generate_series(1, pages)) AS page FROM s)
+SELECT DISTINCT source, CAST(page AS INTEGER) AS page, {_fill('template', 'q', "'Argentina'", 'page')} AS url FROM p"""
+
     sql["roundtrip_sinks"] = """
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS ds,
        o_orderstatus AS source FROM orders"""
