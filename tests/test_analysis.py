@@ -86,3 +86,12 @@ def test_dedup_winner_independent_of_partitioning(spark):
     for n in (1, 3, 7):
         shuffled = df.repartition(n).orderBy(F.rand(seed=n))
         assert sorted((r.job_key, r.location) for r in postings.transform(shuffled).collect()) == base
+
+
+def test_dedup_scope_global_vs_per_source(spark):
+    df = postings_df(spark)
+    other = df.where(F.col("url") == "u1").withColumn("source", F.lit("zonajobs"))
+    both = df.unionByName(other)  # the same key in two sources
+    per_source = postings.transform(both).count()
+    global_scope = postings.transform(both, scope=("ds",)).count()
+    assert per_source == 6 and global_scope == 5
