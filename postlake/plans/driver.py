@@ -80,6 +80,15 @@ def category_counts_coords(spark, sf_dir):
     )
 
 
+def category_rules_table(spark, sf_dir):
+    """J2 (rule-table form) A1: categories from a keyword table matched with
+    Aho-Corasick over the distinct names, joined back, counted."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    rules = [(i, cat, kw) for i, (cat, kws) in enumerate(PART_CATEGORY_RULES) for kw in kws]
+    tagged = lookup.categorize_by_rules(part, "p_name", rules, "category")
+    return frequency.group_count(tagged, "category", "freq")
+
+
 def normalize_text(spark, sf_dir):
     """X1 X2 X3 on whole texts."""
     docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -413,6 +422,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_prefix_topk_share": title_prefix_topk_share,
     "lineitem_top_parts": lineitem_top_parts,
     "category_counts_coords": category_counts_coords,
+    "category_rules_table": category_rules_table,
     "normalize_text": normalize_text,
     "title_case": title_case,
     "job_key": job_key,

@@ -112,6 +112,13 @@ g AS (SELECT category, count(*) AS freq FROM c WHERE category <> 'remote' AND ca
 SELECT g.category, g.freq, k.lat, k.lon, g.freq AS size
 FROM g LEFT JOIN (VALUES {coords}) AS k(category, lat, lon) ON g.category = k.category"""
 
+    rule_case = "CASE " + " ".join(
+        f"WHEN {o.any_contains('p_name', words)} THEN {o.q(label)}" for label, words in d.PART_CATEGORY_RULES
+    ) + " END"
+    sql["category_rules_table"] = f"""
+WITH c AS (SELECT {rule_case} AS category FROM part WHERE p_name IS NOT NULL)
+SELECT category, count(*) AS freq FROM c WHERE category IS NOT NULL GROUP BY category"""
+
     sql["normalize_text"] = f"""
 SELECT doc_id, {o.noise(o.strip('lower(text)'))} AS norm_text FROM documents"""
 

@@ -7,7 +7,7 @@ import os
 import pytest
 
 SF = "/root/testdata/sf0.001"
-PYTHON_QUERIES = {"extract_rules", "listing_links", "postings_daily_run"}
+PYTHON_QUERIES = {"extract_rules", "listing_links", "postings_daily_run", "category_rules_table"}
 
 
 def plan_text(df) -> str:
