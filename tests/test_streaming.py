@@ -49,3 +49,20 @@ def test_replayed_batch_is_idempotent(spark, tmp_dir):
     first = snapshot()
     process_batch(spark, batch, 0, raw, proc)  # the same micro-batch delivered again after a failure
     assert snapshot() == first and len(first[0]) == 2
+
+
+def test_cli_ingest(spark, tmp_dir, capsys):
+    import json
+
+    from postlake.__main__ import main
+
+    landing = os.path.join(tmp_dir, "landing")
+    rows = [(1, "https://www.getonbrd.com/empleos/1", H.GETONBOARD_FULL, "2024-04-17", "getonboard")]
+    spark.createDataFrame(rows, LANDING_SCHEMA).coalesce(1).write.parquet(os.path.join(landing, "f1"))
+    rc = main(["ingest", "--landing", os.path.join(landing, "*"), "--raw", os.path.join(tmp_dir, "raw"),
+               "--processed", os.path.join(tmp_dir, "processed"), "--checkpoint", os.path.join(tmp_dir, "ck")])
+    assert rc == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["batches"] >= 1
+    got = sinks.read_layer(spark, os.path.join(tmp_dir, "processed"), postings.PROCESSED_SCHEMA).collect()
+    assert [r.title for r in got] == ["Dataengineer"]
