@@ -22,8 +22,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def best_category_fn(rules: Sequence[tuple[int, str, str]]):
     """``rules`` = ``(priority, category, keyword)``; returns a pandas
-    function mapping each text to the category of the lowest-priority
-    keyword it contains (null when none)."""
+    function mapping each text to the category of the contained keyword with
+    the smallest priority number — the first rule wins (null when none). The
+    automaton is built once per task."""
     rules = [(int(p), c, k) for p, c, k in rules if k]
     cache: dict = {}
 
