@@ -51,7 +51,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, batch_id: int, raw_path
     touched = raw_all.where(F.col("batch") == batch_id).select("ds", "source").distinct()
     scope = raw_all.join(touched, ["ds", "source"], "left_semi").drop("batch")
     processed = postings.transform(scope).select(*postings.PROCESSED_SCHEMA.fieldNames())
-    sinks.write_layer(processed, processed_path)
+    sinks.write_layer(processed, processed_path, files_per_partition=16)
 
 
 def start_page_ingest(

@@ -126,3 +126,19 @@ def test_read_foreign_layer_with_type_drift(spark, tmp_dir):
     assert dict(df.dtypes)["tags"] == "array<string>" and dict(df.dtypes)["scraped_at"] == "timestamp"
     got = {r.title: (r.tags, r.skills, r.applicants, r.source) for r in df.collect()}
     assert got == {"A": (["Tecnología"], ["SQL"], None, "zonajobs"), "B": (["python", "spark"], ["SQL"], 12, "getonboard")}
+
+
+def test_files_per_partition_bounds_file_count(spark, tmp_dir):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    df = spark.range(2000).select(
+        F.col("id"), F.lit("2024-01-01").alias("ds"), F.when(F.col("id") % 10 < 7, "hot").otherwise("cold").alias("source")
+    ).repartition(40)
+    sinks.write_layer(df, os.path.join(tmp_dir, "a"))
+    sinks.write_layer(df, os.path.join(tmp_dir, "b"), files_per_partition=3)
+    many = len(glob.glob(os.path.join(tmp_dir, "a", "ds=2024-01-01", "source=hot", "*.parquet")))
+    few = len(glob.glob(os.path.join(tmp_dir, "b", "ds=2024-01-01", "source=hot", "*.parquet")))
+    assert many == 40 and 1 <= few <= 3
+    assert spark.read.parquet(os.path.join(tmp_dir, "b")).count() == 2000
