@@ -54,6 +54,10 @@ def _starts(size: Column, width: Column) -> Column:
     return F.when(size >= width, F.sequence(F.lit(1), size - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
+def _window_hashes(tokens: str, width: int) -> Column:
+    return F.transform(_starts(F.size(tokens), F.lit(width)), lambda i: F.xxhash64(F.slice(tokens, i, width)))
+
+
 def benchmark_windows(items: DataFrame, width: int = WINDOW, literals: int = LITERALS) -> DataFrame:
     """(item_id, place, width, hash, template, raw) of each telling window; a short item is one window."""
     rows = items.select("item_id", "text").filter("item_id is not null and text is not null").distinct()
@@ -84,21 +88,21 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literal
     texts = texts.withColumn("all", F.transform("tokens", template_token))
     found = None
     for w in widths or [width]:
-        hashes = F.transform(_starts(F.size("all"), F.lit(w)), lambda i, w=w: F.xxhash64(F.slice("all", i, w)))
-        here = texts.select("doc_id", "row", "tokens", F.posexplode(hashes).alias("at", "hash"))
+        hashes = _window_hashes("all", w)
+        here = texts.select("doc_id", "row", "tokens", "all", F.posexplode(hashes).alias("at", "hash"))
         there = windows.filter(F.col("width") == w)
         hits = here.join(F.broadcast(there) if small else there, "hash")
+        hits = hits.filter(F.slice("all", F.col("at") + 1, w) == F.col("template"))  # the hash only proposes
         hits = hits.select("doc_id", "row", "item_id", (F.col("at") + 1 - F.col("place")).alias("offset"), "place", "template", "raw", F.slice("tokens", F.col("at") + 1, w).alias("said"))
         found = hits if found is None else found.unionByName(hits)
-    same = F.forall(F.zip_with("template", F.transform("said", template_token), lambda a, b: a == b), lambda x: x)
     slots = F.filter(F.arrays_zip("template", "raw", "said"), lambda s: _is_slot(s["template"]))
     slots = F.transform(slots, lambda s: F.struct(F.lower(s["raw"]).alias("item"), F.lower(s["said"]).alias("doc")))
-    found = found.filter(same).withColumn("slots", slots)
+    found = found.withColumn("slots", slots)
     found = found.withColumn("unchanged", F.forall("slots", lambda s: s["item"] == s["doc"]))
     # windows of one alignment: at most as many as the item has
     aligned = found.groupBy("doc_id", "row", "item_id", "offset").agg(
-        F.count_distinct("place").alias("n"),
-        F.count_distinct(F.when(F.col("unchanged"), F.col("place"))).alias("verbatim"),
+        F.size(F.collect_set("place")).alias("n"),
+        F.size(F.collect_set(F.when(F.col("unchanged"), F.col("place")))).alias("verbatim"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     consistent = (F.size("slots") == F.size(F.array_distinct("slots.item"))) & (F.size("slots") == F.size(F.array_distinct("slots.doc")))
     aligned = aligned.withColumn("n", F.when(consistent, F.col("n")).otherwise(F.col("verbatim"))).filter("n > 0")
