@@ -24,7 +24,7 @@ BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 #: Characters handled at a time; longer texts are summed piece by piece.
 PIECE = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # letters, and numbers such as ½, which are no letters
 UNKNOWN = "und"
 
 
@@ -92,13 +92,17 @@ def _trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(total[used])], names=["lang", "bucket", "n"])
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text or ""))
+
+
 class Model:
     """Languages and the log-probability row of each bucket."""
 
     def __init__(self, counts: pa.Table, smoothing: float = 0.5):
         self.langs = sorted(set(counts["lang"].to_pylist()))
         grid = np.zeros((BUCKETS + 1, len(self.langs)))
-        place = np.array([self.langs.index(x) for x in counts["lang"].unique().to_pylist()])
+        place = np.array([self.langs.index(x) for x in counts["lang"].unique().to_pylist()], np.int64)
         code = counts["lang"].combine_chunks().dictionary_encode()
         grid[counts["bucket"].to_numpy(), place[code.indices.to_numpy()]] = counts["n"].to_numpy()
         seen = grid[:BUCKETS] + smoothing
@@ -119,7 +123,7 @@ class Model:
         total += self.prior
         best = total.argmax(1)
         share = 1 / np.exp(np.minimum(total - total[np.arange(len(texts)), best][:, None], 0)).sum(1)
-        named = [bool(t and LETTER.search(t)) for t in texts]
+        named = [has_letter(t) for t in texts]
         return [self.langs[k] if ok else UNKNOWN for k, ok in zip(best, named, strict=True)], [float(s) if ok else 0.0 for s, ok in zip(share, named, strict=True)]
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 #: Ten best integer inner products of each query vector.
 OP9 = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(range(1, len(q.x) + 1), i -> q.x[i] * c.x[i])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 100 = 0
 ), r AS (
@@ -26,7 +26,7 @@ WITH l AS (
   SELECT doc_id, CAST(i AS INTEGER) AS line, string_split(text, chr(10))[i] AS content
   FROM (SELECT doc_id, coalesce(text, '') AS text, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS i FROM documents)
 ), w AS (
-  SELECT doc_id, line, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(content), '[\x20\x09-\x0D]+'), x -> x <> ''))) AS words FROM l
+  SELECT doc_id, line, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(content), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS words FROM l
 ), s AS (
   SELECT words, len(words) AS n, min((doc_id, line)) AS first, row_number() OVER (ORDER BY words) AS id FROM w WHERE len(words) > 0 GROUP BY words
 ), t AS (
@@ -59,4 +59,44 @@ SELECT d.doc_id, CAST(len(string_split(coalesce(d.text, ''), chr(10))) AS BIGINT
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op9_topk": OP9}
+#: Documents and the benchmark items whose template windows they hold, slots checked.
+OP7 = r"""
+WITH units AS (
+  SELECT list_concat(string_split('km cm mm kg mg ml mph kmh lb lbs oz ft hour hours minute minutes second seconds day days week weeks month months year years mile miles meter meters metre metres kilometer kilometers kilometre kilometres centimeter centimeters gram grams kilogram kilograms liter liters litre litres gallon gallons inch inches foot feet yard yards ton tons pound pounds dollar dollars euro euros cent cents percent degree degrees', ' '), ['%', '$', '€', '£', '°']) AS u
+), raw AS (
+  SELECT DISTINCT 'd' AS side, doc_id AS id, regexp_extract_all(coalesce(text, ''), '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') AS t FROM documents
+  UNION ALL
+  SELECT DISTINCT 'b', item_id, regexp_extract_all(text, '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), tpl AS (
+  SELECT side, id, t, list_transform(t, lambda x: CASE
+      WHEN x[1] BETWEEN '0' AND '9' THEN '<number>'
+      WHEN lower(x) <> x AND upper(x[1]) || lower(x[2:]) = x THEN '<name>'
+      WHEN list_contains(u, lower(x)) THEN '<unit>' ELSE lower(x) END) AS m
+  FROM raw, units
+), b AS (
+  SELECT id AS item_id, p AS place, w, m[p:p + w - 1] AS m, t[p:p + w - 1] AS t
+  FROM (SELECT id, t, m, least(8, len(t)) AS w, unnest(range(1, len(t) - least(8, len(t)) + 2)) AS p FROM tpl WHERE side = 'b' AND len(t) > 0)
+), telling AS (
+  SELECT * FROM b WHERE len(list_filter(m, lambda x: x NOT IN ('<number>', '<name>', '<unit>'))) >= 5
+), d AS (
+  SELECT id AS doc_id, p AS spot, w, m[p:p + w - 1] AS m, t[p:p + w - 1] AS t
+  FROM (SELECT id, t, m, w, unnest(range(1, len(t) - w + 2)) AS p FROM tpl, (SELECT DISTINCT w FROM telling) WHERE side = 'd' AND len(t) >= w)
+), hits AS (
+  SELECT doc_id, item_id, spot - place AS off, place, telling.m AS m, telling.t AS bt, d.t AS dt FROM d JOIN telling USING (m, w)
+), slot AS (
+  SELECT doc_id, item_id, off, place, m[i] AS kind, lower(bt[i]) AS bv, lower(dt[i]) AS dv
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM hits)
+), win AS (
+  SELECT doc_id, item_id, off, place, bool_and(kind NOT IN ('<number>', '<name>', '<unit>') OR bv = dv) AS same FROM slot GROUP BY ALL
+), agree AS (
+  SELECT doc_id, item_id, off, count(DISTINCT (bv, dv)) AS n2, count(DISTINCT bv) AS nb, count(DISTINCT dv) AS nd
+  FROM slot WHERE kind IN ('<number>', '<name>', '<unit>') GROUP BY ALL
+), aligned AS (
+  SELECT w.doc_id, w.item_id, w.off, count(*) AS n, count(*) FILTER (same) AS verbatim, coalesce(any_value(n2 = nb AND n2 = nd), true) AS ok
+  FROM win w LEFT JOIN agree USING (doc_id, item_id, off) GROUP BY ALL
+)
+SELECT doc_id, item_id, CAST(sum(CASE WHEN ok THEN n ELSE verbatim END) AS BIGINT) AS n_windows, CAST(sum(verbatim) AS BIGINT) AS n_verbatim
+FROM aligned WHERE CASE WHEN ok THEN n ELSE verbatim END > 0 GROUP BY doc_id, item_id
+"""
+
+ORACLES = {"op7_decontamination": OP7, "op4_line_dedup": OP4, "op9_topk": OP9}

@@ -212,10 +212,9 @@ class SuffixTree:
 
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known, all_tokens, distinct = shared.value
+        tree, known, end, all_tokens, distinct = shared.value
         count = known.get
         whole = math.log10(all_tokens + 0.5 * (distinct + 1))
-        end = known.get(END_TOKEN.encode(), 0)
         for batch in batches:
             for a, b in text_slices(batch, "text"):
                 part = batch.slice(a, b - a)
@@ -259,13 +258,14 @@ def score_documents(docs: DataFrame, modulus: int = 5, hot: int = HOT_TOKENS) ->
     counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_counter, "token string, gram long, n long")
     counts = materialize(counted.groupBy("token", "gram").agg(F.sum("n").alias("n")), "lm-counts")
     words = counts.filter("token is not null").select("token", F.col("n").alias("c"))
-    whole = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    all_tokens, distinct = whole["n"] or 0, whole["v"]
+    end = F.col("token") == END_TOKEN
+    whole = words.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.sum(F.when(end, F.col("c"))).alias("ends")).first()
+    all_tokens, distinct, ends = whole["n"] or 0, whole["v"], whole["ends"] or 0
     grams = counts.filter("gram is not null").select("gram", "n")
     tree = SuffixTree(context_table(grams).toArrow())
     top = words.filter(F.octet_length("token") <= HOT_BYTES).orderBy(F.desc("c"), "token").limit(hot).toArrow()
     known = dict(zip([w.encode() for w in top["token"].to_pylist()], top["c"].to_pylist(), strict=True))
-    shared = spark.sparkContext.broadcast((tree, known, all_tokens, distinct))
+    shared = spark.sparkContext.broadcast((tree, known, ends, all_tokens, distinct))
     named = rows.withColumn("rid", F.monotonically_increasing_id())
     kinds = "rid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, token string, n long"
     parts = materialize(named.mapInArrow(_scorer(shared), kinds), "lm-parts")
