@@ -13,7 +13,10 @@ words themselves.
 
 Any common word order keeps prefix filtering exact; rarity only makes it
 selective. It comes from the counts of ``RARITY_BUCKETS`` hashed words over all
-lines, a table of fixed size. Hashes only propose pairs; words decide.
+texts, a table of fixed size. A posting also carries the parity bitmap of its
+set: each word flips one of 64 bits, so two sets differ in at least as many
+words as their bitmaps differ in bits, and a pair that would differ in too many
+is dropped in the join. Hashes only propose pairs; words decide.
 """
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ from pyspark.sql import functions as F
 
 from postlake.llm.common import materialize
 
-RARITY_BUCKETS = 1 << 16
+RARITY_BUCKETS = 1 << 18
 #: Rows up to which a side is broadcast after it was counted; else it is shuffled.
 BROADCAST_ROWS = 500_000
-SPACE = r"[\x20\x09-\x0D]+"
+#: ASCII white space other than blank and line feed.
+OTHER_SPACE = r"[\x09\x0B-\x0D]"
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -34,53 +38,78 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def words_of(line: Column) -> Column:
-    """Distinct lower-case words of a line: runs without ASCII white space."""
-    return F.array_distinct(F.filter(F.split(F.lower(line), SPACE), lambda w: w != ""))
+    """Distinct lower-case words of a line whose only white space is blanks."""
+    return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
+
+
+def _blanks(text: Column) -> Column:
+    """The text with blanks for other ASCII white space, line feeds apart."""
+    return F.when(F.rlike(text, F.lit(OTHER_SPACE)), F.regexp_replace(text, OTHER_SPACE, " ")).otherwise(text)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     """(doc, row, text): order of the id with null ids last, and a key of id and text."""
     text = F.coalesce("text", F.lit(""))
     doc = F.col("doc_id").cast("long")
-    return docs.select(F.coalesce(doc, F.lit(2**63 - 1)).alias("doc"), F.xxhash64(doc, text).alias("row"), text.alias("text"))
+    return docs.select(F.coalesce(doc, F.lit(2**63 - 1)).alias("doc"), F.xxhash64(doc, text).alias("row"), _blanks(text).alias("text"))
 
 
-def _lines(texts: DataFrame) -> DataFrame:
-    return texts.select("doc", "row", F.posexplode(F.split("text", "\n")).alias("line", "content")).select("doc", "row", "line", words_of(F.col("content")).alias("words")).filter(F.size("words") > 0)
+def _bucket(word_hash: Column) -> Column:
+    return word_hash.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(RARITY_BUCKETS)).cast("int")
+def _bit(word_hash: Column) -> Column:
+    """One of 64 bits, from hash bits that the bucket does not use."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(word_hash, 58).cast("int"))
 
 
-def _rarity(lines: DataFrame) -> DataFrame:
-    """One row: for each bucket the rank of its word count (RARITY_BUCKETS numbers)."""
-    counts = lines.select(F.explode("words").alias("word")).groupBy(_bucket(F.col("word")).alias("bucket")).agg(F.count("*").alias("n"))
-    every = lines.sparkSession.range(RARITY_BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
+def _rarity(texts: DataFrame) -> DataFrame:
+    """One row: for each bucket its word count in quarters of a doubling (RARITY_BUCKETS bytes)."""
+    words = texts.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("word"))
+    counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count("*").alias("n"))
+    every = texts.sparkSession.range(RARITY_BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
     full = every.unionByName(counts).groupBy("bucket").agg(F.sum("n").alias("n"))
-    ordered = F.array_sort(F.collect_list(F.struct("n", "bucket")))  # RARITY_BUCKETS rows
-    place = F.transform(ordered, lambda x, i: F.struct(x["bucket"].alias("bucket"), i.alias("rank")))
-    return full.agg(F.transform(F.array_sort(place), lambda x: x["rank"]).alias("rarity"))
+    level = F.least(F.floor(4 * F.log2(F.col("n") + 1)), F.lit(127)).cast("byte")
+    ordered = F.array_sort(F.collect_list(F.struct("bucket", level.alias("level"))))  # RARITY_BUCKETS rows
+    return full.agg(F.transform(ordered, lambda x: x["level"]).alias("rarity"))
+
+
+def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
+    """(doc, row, line, n, parity, w) of each line with words: w orders the words by rarity.
+
+    A word becomes one number, the level of its bucket above its hash. Lines
+    stay inside their document's row here, so that the rarity table stands
+    beside each document and not beside each line.
+    """
+    def number(h: Column) -> Column:
+        level = F.coalesce(F.get("rarity", _bucket(h)), F.lit(0).cast("byte")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
+    def line_set(hashes: Column) -> Column:
+        parity = F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(_bit(h)))
+        return F.struct(F.size(hashes).alias("n"), parity.alias("parity"), F.sort_array(F.transform(hashes, number)).alias("w"))
 
-def _least_overlap(n: Column, m: Column, percent: int) -> Column:
-    """Words that sets of n and m words must share: ceil(t (n + m) / (1 + t))."""
-    return F.ceil(percent * (n + m) / F.lit(100 + percent))
+    with_table = texts.select("doc", "row", "text", rarity.scalar().alias("rarity"))
+    hashes = F.transform(F.split("text", "\n"), lambda x: F.transform(words_of(x), lambda w: F.xxhash64(w)))
+    per_line = with_table.select("doc", "row", F.transform(hashes, line_set).alias("sets"))
+    return per_line.select("doc", "row", F.posexplode("sets").alias("line", "s")).select("doc", "row", "line", "s.*").filter("n > 0")
 
 
 def _postings(sets: DataFrame, percent: int) -> DataFrame:
     """(word, set, n, place) for each prefix word of sets that can match another set."""
-    return sets.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("h1", "n", F.posexplode("prefix").alias("place", "word"))
+    return sets.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("h1", "n", "parity", F.posexplode("prefix").alias("place", "word"))
 
 
 def _candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a prefix word and pass the length and positional filters."""
+    """Pairs that share a prefix word and pass the length, positional and bitmap filters."""
     a, b = postings.alias("a"), postings.alias("b")
     n, m = F.col("a.n"), F.col("b.n")
     length = (100 * F.least(n, m) >= percent * F.greatest(n, m))
     rest = F.least(n - F.col("a.place"), m - F.col("b.place"))  # this word and what may follow
     position = (100 + percent) * rest >= percent * (n + m)
-    pairs = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.h1") < F.col("b.h1")) & length & position)
+    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    bitmap = (100 + percent) * apart <= (100 - percent) * (n + m)
+    pairs = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.h1") < F.col("b.h1")) & length & position & bitmap)
     return pairs.select(F.col("a.h1").alias("x"), F.col("b.h1").alias("y")).distinct()
 
 
@@ -103,20 +132,16 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     the key under which ``drop_lines`` finds the document again.
     """
     texts = _texts(docs)
-    lines = _lines(texts)
-    rarity = materialize(_rarity(lines), "line-rarity")
-    keyed = lines.select("doc", "row", "line", F.size("words").alias("n"), "words", rarity.scalar().alias("rarity"))
-    # rank of the word's bucket above, hash below: one number that orders words by rarity
-    number = lambda w: F.shiftleft(F.get(F.col("rarity"), _bucket(w)).cast("long"), 47).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 17))
-    keyed = keyed.select("doc", "row", "line", "n", F.sort_array(F.transform("words", number)).alias("w"))
+    rarity = materialize(_rarity(texts), "line-rarity")
+    keyed = _sets(texts, rarity)
     length = F.col("n") - F.ceil(percent * F.col("n") / F.lit(100)).cast("int") + 1
     prefix = F.transform(F.slice("w", F.lit(1), length), lambda v: F.hash(v))
-    keyed = keyed.select("doc", "row", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2"), prefix.alias("prefix"))
+    keyed = keyed.select("doc", "row", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2"), "parity", prefix.alias("prefix"))
     keyed = materialize(keyed, "line-sets")
 
     place = F.struct("doc", "row", "line")
     sets = materialize(keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("count")), "line-firsts")
-    posted = keyed.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).groupBy("h1", "h2").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    posted = keyed.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).groupBy("h1", "h2").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
     pairs = materialize(_candidates(_postings(posted, percent), percent), "line-pairs")
     alike = materialize(matching_sets(texts, sets, pairs, percent), "line-alike")
 
