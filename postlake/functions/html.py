@@ -8,26 +8,20 @@ never leaks into a result.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from postlake.functions.text import WS, strip
 
-# --- fixed values: named entities decoded in text and attributes ('&amp;' last) ---
-ENTITIES: list[tuple[str, str]] = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&#34;", '"'),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+# Every named reference of the HTML standard that ends in a semicolon, from the
+# standard library's table; a reference may expand to two characters.
+NAMED = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 NON_CONTENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 TAG_MARK = "\x01"
@@ -37,11 +31,40 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@cache
+def _named_table() -> str:
+    """The named references as one JSON object (a literal that Spark folds to a map)."""
+    return json.dumps(NAMED, ensure_ascii=False)
+
+
+def _numeric(ref: Column) -> Column:
+    """Character of ``#123`` / ``#x7b``; the replacement character where none exists."""
+    digits = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, F.lit(3), F.length(ref)), 16, 10)).otherwise(F.substring(ref, F.lit(2), F.length(ref)))
+    code = digits.cast("int")
+    valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    text = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+    return F.coalesce(text, F.lit("\ufffd"))
+
+
 def decode_entities(c) -> Column:
-    out = _c(c)
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    """Character references, named and numeric, as their characters; unknown names stay.
+
+    Text without ``&`` is returned as it is; otherwise the text is cut at the
+    references once, left to right, so decoded text is never decoded again."""
+    text = _c(c)
+    names = F.from_json(F.lit(_named_table()), "map<string,string>")
+    refs = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1))
+    between = F.split(text, REFERENCE)
+
+    def char(r: Column) -> Column:
+        usual = F.when(F.startswith(r, F.lit("#")), _numeric(r))
+        for name in ("amp", "lt", "gt", "quot", "nbsp"):  # before the table, which is searched in order
+            usual = usual.when(r == name, F.lit(NAMED[name]))
+        return usual.otherwise(F.coalesce(F.try_element_at(names, r), F.concat(F.lit("&"), r, F.lit(";"))))
+
+    chars = F.transform(refs, char)
+    pieces = F.zip_with(between, chars, lambda t, ch: F.concat(F.coalesce(t, F.lit("")), F.coalesce(ch, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
 
 
 def content_only(html) -> Column:
@@ -69,13 +92,16 @@ def first_tag_text(html, tag: str = "h1") -> Column:
     return F.nullif(fragment_text(inner), F.lit(""))
 
 
+A_HREF = r"""(?is)<a(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
 def hrefs(html) -> Column:
-    """H8: every double-quoted ``href`` of an ``<a>`` tag, entities decoded, in
-    document order."""
-    found = F.regexp_extract_all(
-        content_only(html), F.lit(r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'), 1
-    )
-    return F.transform(found, lambda h: decode_entities(h))
+    """H8: every ``href`` of an ``<a>`` tag — double-quoted, single-quoted or
+    unquoted, never a ``data-href`` or text inside another attribute — with
+    entities decoded, in document order."""
+    found = F.regexp_extract_all(content_only(html), F.lit(A_HREF), 1)
+    quoted = lambda h: F.substring(h, 1, 1).isin('"', "'")
+    return F.transform(found, lambda h: decode_entities(F.when(quoted(h), F.substring(h, F.lit(2), F.length(h) - 2)).otherwise(h)))
 
 
 def page_text(html) -> Column:
@@ -118,6 +144,11 @@ def jsonld_value(js) -> Column:
     return F.try_parse_json(_c(js))
 
 
+def jsonld_holds_fields(v) -> Column:
+    """the block parsed to something that is not empty (``{}``, ``[]``, ``""``, 0, false and null are)."""
+    return F.coalesce(~F.to_json(_c(v)).isin("{}", "[]", '""', "0", "false", "null"), F.lit(False))
+
+
 def jsonld_get(v, field: str) -> Column:
     """JS2, step 2: one JobPosting field as text (null when absent or when the
     path hits a list or a scalar on the way)."""

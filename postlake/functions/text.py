@@ -15,6 +15,8 @@ WS_CHARS = r"\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}"
 WS = f"[{WS_CHARS}]"
 # Python's \w for str patterns: letters, digits and underscore.
 WORD_CHARS = r"\p{L}\p{N}_"
+# Characters with case, as ``str.title`` sees them.
+CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 
 
 def _c(c) -> Column:
@@ -32,15 +34,16 @@ def strip(c) -> Column:
 
 
 def title_case(c) -> Column:
-    """``str.title()`` — upper-case the first letter of every letter run,
-    lower-case the rest; any non-letter starts a new word.
+    """``str.title()`` — upper-case the first cased character of every run
+    of cased characters, lower-case the rest; anything without case (a digit,
+    a mark, an ideograph) starts a new word.
 
     ``initcap`` only starts words after a space, so a space is inserted after
-    every other non-letter, ``initcap`` runs, and exactly those inserted
+    every other uncased character, ``initcap`` runs, and exactly those inserted
     spaces are removed again (each such character is followed by its own
     inserted space, so the left-to-right pairing is exact)."""
-    spaced = F.regexp_replace(_c(c), r"([^\p{L} ])", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), r"([^\p{L} ]) ", "$1")
+    spaced = F.regexp_replace(_c(c), f"([^{CASED} ])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), f"([^{CASED} ]) ", "$1")
 
 
 def remove_noise(c, keep_class: str = "a-záéíóúñ") -> Column:
@@ -88,19 +91,17 @@ def first_date(c) -> Column:
 
 
 def split_last(c, sep: str = " - ") -> tuple[Column, Column]:
-    """``(head, last)`` of a split on a literal separator.
+    """``(head, last)`` of a split on a literal separator, found from the
+    left without overlaps, as ``str.split`` finds it.
 
-    With the separator present, ``head`` is everything before its last
-    occurrence and ``last`` what follows, both stripped; otherwise ``head`` is
-    the whole stripped text and ``last`` is null.
+    With the separator present, ``head`` is every part but the last, joined by
+    the separator, and ``last`` the last part, both stripped; otherwise
+    ``head`` is the whole stripped text and ``last`` is null.
     """
-    col = _c(c)
-    last = F.substring_index(col, sep, -1)
-    has = F.instr(col, sep) > 0
-    head_len = F.length(col) - F.length(last) - F.lit(len(sep))
-    head = F.when(has, strip(F.substring(col, F.lit(1), head_len))).otherwise(strip(col))
-    tail = F.when(has, strip(last))
-    return head, tail
+    parts = F.split(_c(c), "\\Q" + sep + "\\E")
+    many = F.size(parts) > 1
+    head = F.when(many, strip(F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), sep))).otherwise(strip(c))
+    return head, F.when(many, strip(F.element_at(parts, -1)))
 
 
 def slug(c, sep: str = "-", lower_case: bool = True) -> Column:

@@ -1,5 +1,9 @@
-"""Lookups that behave like joins (J1, J2 large-table form, J3) and the
-size-checked broadcast they rely on."""
+"""Lookups that behave like joins (J1, J2 rule-table form, J3).
+
+Lookup tables come from local lists, so Spark knows their exact size: the
+planner broadcasts one that is under ``spark.sql.autoBroadcastJoinThreshold``
+and shuffles a larger one. No hint overrides that choice.
+"""
 
 from __future__ import annotations
 
@@ -8,36 +12,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is known and under this bound.
-BROADCAST_MAX_ROWS = 100_000
-
-
-class SmallTable:
-    """A DataFrame built from a local list, carrying its proven row count."""
-
-    def __init__(self, df: DataFrame, rows: int):
-        self.df = df
-        self.rows = rows
 
-    def for_join(self, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-        """Broadcast hint only when the row bound holds; otherwise leave the
-        choice (sort-merge / shuffled hash) to the planner and AQE."""
-        return F.broadcast(self.df) if self.rows <= max_rows else self.df
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A DataFrame over a local list."""
+    return spark.createDataFrame(list(rows), schema)
 
 
-def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> SmallTable:
-    rows = list(rows)
-    return SmallTable(spark.createDataFrame(rows, schema), len(rows))
+def attach(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Left equi lookup against a keyed table (missing → nulls)."""
+    return df.join(table, on=on, how=how)
 
 
-def attach(df: DataFrame, table: SmallTable, on: str | list[str], how: str = "left") -> DataFrame:
-    """Left equi lookup against a small keyed table (missing → nulls)."""
-    return df.join(table.for_join(), on=on, how=how)
-
-
-def drop_listed(df: DataFrame, col: str, words: SmallTable, word_col: str = "word") -> DataFrame:
+def drop_listed(df: DataFrame, col: str, words: DataFrame, word_col: str = "word") -> DataFrame:
     """Remove rows whose ``col`` is in the word list (left anti join)."""
-    right = words.for_join().withColumnRenamed(word_col, "__w")
+    right = words.withColumnRenamed(word_col, "__w")
     return df.join(right, df[col] == F.col("__w"), "left_anti")
 
 
@@ -47,21 +35,12 @@ def categorize_by_rules(
     rules: Sequence[tuple[int, str, str]],
     out_col: str = "category",
 ) -> DataFrame:
-    """J2 for rule tables too large for a ``CASE`` chain.
-
-    ``rules`` are ``(priority, category, keyword)``; a value gets the category
-    of the lowest-priority keyword it contains. The keyword search runs once
-    per *distinct* value (pre-aggregated, so a hot value costs one row) in an
-    Aho-Corasick pass inside an Arrow-batched pandas UDF — one scan of the
-    text, no value × rule pairs — and the mapping is joined back on equality.
-    The rule list travels in the task closure, so its size must stay bounded
-    (``BROADCAST_MAX_ROWS``).
-    """
-    from postlake.operators.keywords import best_category
-
-    rules = list(rules)
-    if len(rules) > BROADCAST_MAX_ROWS:
-        raise ValueError(f"{len(rules)} rules exceed the bound of {BROADCAST_MAX_ROWS}")
-    values = df.select(F.col(col).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    mapping = values.select("__v", best_category("__v", rules).alias(out_col))
-    return df.join(mapping, df[col] == mapping["__v"], "left").drop("__v")
+    """J2 in rule-table form: ``rules`` are ``(priority, category, keyword)``; a
+    value gets the category of the lowest-priority keyword it contains, null
+    when it contains none. One native ``CASE`` over the rules, row-local: no
+    join, no shuffle. Empty keywords match nothing."""
+    chain = None
+    for _, category, keyword in sorted(r for r in rules if r[2]):
+        hit = F.contains(F.col(col), F.lit(keyword))
+        chain = F.when(hit, F.lit(category)) if chain is None else chain.when(hit, F.lit(category))
+    return df.withColumn(out_col, chain if chain is not None else F.lit(None).cast("string"))

@@ -15,10 +15,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlake import functions as pf
 from postlake.functions import html as ph
 from postlake.operators import dedup, frequency, lookup, profile
+from postlake.operators.flat import extract_flat
 from postlake.operators.observe import count_stages
 from postlake.plans import analysis, postings
 from postlake.rules.sites import ALL_LISTING_TEMPLATES, BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_MAX_PAGES
@@ -45,7 +47,8 @@ PART_CATEGORY_COORDS = [("rings", -34.61, -58.38), ("red items", -31.42, -64.18)
 PART_MODALITY_RULES = [("Economy", ["economy"]), ("Large", ["large", "big"]), ("Small", ["small"])]
 PART_TAG_WORDS = ["red", "blue"]
 TEST_BLOCK_PHRASES = BLOCK_PHRASES + ["spam-farm"]
-CONTAINS_WORD = "data"
+CONTAINS_WORD = "DOS"
+CONTAINS_REGEX = r"\b[a-z]+@[a-z]+\.|[0-9]{2,}\.[0-9]+"
 
 
 # ---------------------------------------------------------------- queries
@@ -81,8 +84,7 @@ def category_counts_coords(spark, sf_dir):
 
 
 def category_rules_table(spark, sf_dir):
-    """J2 (rule-table form) A1: categories from a keyword table matched with
-    Aho-Corasick over the distinct names, joined back, counted."""
+    """J2 (rule-table form) A1: categories from a priority-ordered keyword table, counted."""
     part = read(spark, sf_dir, "part").select("p_partkey", "p_name")
     rules = [(i, cat, kw) for i, (cat, kws) in enumerate(PART_CATEGORY_RULES) for kw in kws]
     tagged = lookup.categorize_by_rules(part, "p_name", rules, "category")
@@ -145,19 +147,12 @@ def page_titles(spark, sf_dir):
 
 def blocked_pages(spark, sf_dir):
     """Crawl statistics per language section of the site."""
-    pages = spread(read(spark, sf_dir, "pages").select("url", "html"))
-    flagged = pages.select(
-        F.regexp_extract("url", r"://[^/]+/([a-z]{2})/", 1).alias("section"),
-        (F.col("html").isNull() | (F.col("html") == "")).alias("failed"),
-        ph.is_blocked("html", TEST_BLOCK_PHRASES).alias("blocked"),
-        ph.first_tag_text("html", "h1").isNotNull().alias("has_title"),
-    )
-    return flagged.groupBy("section").agg(
-        F.count(F.lit(1)).alias("links"),
-        F.count_if(~F.col("failed")).alias("processed"),
-        F.count_if(F.col("blocked")).alias("blocked"),
-        F.count_if(~F.col("blocked") & F.col("has_title")).alias("parsed"),
-    )
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    # every 50th fetch failed, so that empty pages are counted too
+    fetched = pages.withColumn("html", F.when(F.col("page_id") % 50 != 7, F.col("html")))
+    named = fetched.withColumn("section", F.regexp_extract("url", r"://[^/]+/([a-z]{2})/", 1))
+    has_title = ph.first_tag_text("html", "h1").isNotNull()
+    return postings.crawl_stats(named, ["section"], TEST_BLOCK_PHRASES, None, has_title)
 
 
 def _event_pages(events: DataFrame) -> DataFrame:
@@ -229,6 +224,7 @@ def first_date(spark, sf_dir):
         "o_orderkey",
         pf.first_date(text).alias("posted_date"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("ds"),
+        pf.today_ds().alias("run_ds"),
     )
 
 
@@ -276,10 +272,11 @@ def null_profile(spark, sf_dir):
 
 
 def contains_filters(spark, sf_dir):
-    """Contains (null → false), inequality and equality tests."""
+    """Equality, contains and regex search (null never matches)."""
     docs = spread(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
-    hit = F.coalesce(F.contains(F.lower("text"), F.lit(CONTAINS_WORD)), F.lit(False))
-    return docs.where(hit & (F.col("lang") != "de")).select("doc_id", "lang", (F.col("lang") == "es").alias("is_es"))
+    word = analysis.keyword_filter(analysis.equals_filter(docs, "lang", "es"), "text", CONTAINS_WORD)
+    shape = analysis.keyword_filter(docs, "text", CONTAINS_REGEX, regex=True)
+    return word.select("doc_id", "lang", F.lit("word").alias("hit")).unionByName(shape.select("doc_id", "lang", F.lit("regex").alias("hit")))
 
 
 def list_ops(spark, sf_dir):
@@ -297,7 +294,8 @@ def list_ops(spark, sf_dir):
 
 
 def union_by_name(spark, sf_dir):
-    """Two sources projected to one schema, missing → null."""
+    """Two sources conformed to one schema, missing → null."""
+    fields = [("id", T.LongType()), ("name", T.StringType()), ("nationkey", T.IntegerType()), ("acctbal", T.DoubleType()), ("segment", T.StringType())]
     cust = read(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
         F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"), F.lit("customer").alias("source"),
@@ -306,7 +304,7 @@ def union_by_name(spark, sf_dir):
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
         F.col("s_acctbal").alias("acctbal"), F.lit("supplier").alias("source"),
     )
-    return cust.unionByName(supp, allowMissingColumns=True)
+    return postings.conform(cust, fields).unionByName(postings.conform(supp, fields))
 
 
 def head_preview(spark, sf_dir):
@@ -332,25 +330,22 @@ def frontier(spark, sf_dir):
     """Listing URLs per region and source, pages 1..max."""
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return fr.listing_urls(
-        region, "r_name", "Argentina", DEFAULT_MAX_PAGES, all_listing_sources=list(ALL_LISTING_TEMPLATES)
+        region, "r_name", "Argentina", all_listing_sources=list(ALL_LISTING_TEMPLATES)
     ).select("r_regionkey", "source", "page", "url")
 
 
 def frontier_from_titles(spark, sf_dir):
-    """Listing URLs for search terms mined from the texts — the
-    distinct first-two-word prefixes of every document — on every site and
-    page, duplicate URLs removed (the frontier grows with the data)."""
-    docs = spread(read(spark, sf_dir, "documents").select("text"))
-    searches = docs.select(pf.first_words("text", PREFIX_WORDS).alias("q")).where(F.col("q") != "").distinct()
-    urls = fr.listing_urls(searches, "q", "Argentina", DEFAULT_MAX_PAGES)
-    return urls.select("source", "page", "url").distinct()
+    """Listing URLs for every distinct part name as search text, on
+    every site and page up to the site's limit (the frontier grows with the
+    data). Names are made distinct before sites and pages are exploded."""
+    searches = dedup.distinct_values(read(spark, sf_dir, "part").select(F.col("p_name").alias("q")), "q")
+    return fr.listing_urls(searches, "q", "Argentina").select("source", "page", "url").distinct()
 
 
 def listing_links(spark, sf_dir):
-    """H8 (rule form) X15 F8 A9: distinct detail links per source found by the
-    listing selectors in the extraction job."""
+    """Distinct detail links per source found in the navigation lists."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return fr.detail_links(pages.withColumn("source", postings.source_of(F.col("url"))))
+    return fr.detail_links(pages.withColumn("source", postings.source_of(F.col("url"))), extractor=extract_flat)
 
 
 def roundtrip_sinks(spark, sf_dir):
@@ -392,10 +387,10 @@ def observe_counts(spark, sf_dir):
 
 
 def extract_rules(spark, sf_dir):
-    """The rule-driven extraction job over every page
-    (generic article rules), lists emitted as newline-joined strings."""
+    """Native extraction of every page as an article, lists
+    emitted as newline-joined strings."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    out = postings.extract_postings(pages, keep_errors=True)
+    out = postings.extract_postings(pages, keep_errors=True, extractor=extract_flat)
     return out.select(
         "page_id", "title", "company", "location",
         F.array_join("tags", "\n").alias("tags"),
@@ -408,7 +403,7 @@ def postings_daily_run(spark, sf_dir):
     """S3 S4 P1-P7 A8 G3 H*: pages → raw layer → processed layer for one ds."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     base = shared_dir(spark, "daily-run")
-    out = postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed")
+    out = postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed", extractor=extract_flat)
     return out.select(
         "job_key", "title", "title_lower", "company", "location", "posted_date", "url",
         F.length("description_raw").alias("description_chars"),

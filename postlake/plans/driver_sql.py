@@ -5,10 +5,7 @@ from __future__ import annotations
 from postlake.plans import driver as d
 from postlake.plans import oracle as o
 from postlake.rules.sites import (
-    ALL_LISTING_TEMPLATES,
     DEFAULT_MAX_PAGES,
-    LISTING_TEMPLATES,
-    SITE_BASE_URLS,
     SITE_MAX_PAGES,
 )
 from postlake.rules.stopwords import STOPWORDS_ES
@@ -52,21 +49,6 @@ def _clean_list(lst: str, drops) -> str:
     return f"list_filter({stripped}, lambda x: x IS NOT NULL AND x <> '' AND lower(x) NOT IN {dl})"
 
 
-def _fill(template: str, query: str, location: str, page: str) -> str:
-    subs = [
-        ("{dash}", f"replace({query}, ' ', '-')"),
-        ("{slug}", f"replace(lower({query}), ' ', '-')"),
-        ("{plus}", f"replace({query}, ' ', '+')"),
-        ("{loc}", f"replace({location}, ' ', '+')"),
-        ("{p}", f"CAST({page} AS VARCHAR)"),
-        ("{start}", f"CAST(({page} - 1) * 10 AS VARCHAR)"),
-    ]
-    out = template
-    for k, v in subs:
-        out = f"replace({out}, {o.q(k)}, {v})"
-    return out
-
-
 def _event_html() -> str:
     js = (
         "'{\"@type\": \"JobPosting\", \"title\": \"' || event_type || ' #' || CAST(event_id AS VARCHAR) || "
@@ -146,11 +128,11 @@ SELECT DISTINCT link FROM l WHERE link IS NOT NULL AND link <> ''"""
 
     phrases = " OR ".join(f"contains(lower(html), {o.q(p.lower())})" for p in d.TEST_BLOCK_PHRASES)
     sql["blocked_pages"] = f"""
-WITH f AS (SELECT regexp_extract(url, '://[^/]+/([a-z]{{2}})/', 1) AS section,
-                  (html IS NULL OR html = '') AS failed,
-                  (html IS NULL OR html = '' OR {phrases}) AS blocked,
-                  ({o.first_tag_text('html')} IS NOT NULL) AS has_title FROM pages)
-SELECT section, count(*) AS links, count(*) FILTER (WHERE NOT failed) AS processed,
+WITH p AS (SELECT url, CASE WHEN page_id % 50 <> 7 THEN html END AS html FROM pages),
+f AS (SELECT regexp_extract(url, '://[^/]+/([a-z]{{2}})/', 1) AS section,
+                  coalesce(html = '' OR {phrases}, true) AS blocked,
+                  ({o.first_tag_text('html')} IS NOT NULL) AS has_title FROM p)
+SELECT section, count(*) AS links, count(*) AS processed,
        count(*) FILTER (WHERE blocked) AS blocked,
        count(*) FILTER (WHERE NOT blocked AND has_title) AS parsed
 FROM f GROUP BY section"""
@@ -176,10 +158,10 @@ SELECT p_partkey,
 FROM part"""
 
     sql["split_company_location"] = f"""
-WITH s AS (SELECT o_orderkey, o_orderpriority AS c, (string_split(o_orderpriority, '-'))[-1] AS last FROM orders)
+WITH s AS (SELECT o_orderkey, o_orderpriority AS c, string_split(o_orderpriority, '-') AS p FROM orders)
 SELECT o_orderkey,
-       CASE WHEN instr(c, '-') > 0 THEN {o.strip("left(c, length(c) - length(last) - 1)")} ELSE {o.strip('c')} END AS company,
-       CASE WHEN instr(c, '-') > 0 THEN {o.strip('last')} END AS location
+       CASE WHEN len(p) > 1 THEN {o.strip("array_to_string(p[1:len(p) - 1], '-')")} ELSE {o.strip('c')} END AS company,
+       CASE WHEN len(p) > 1 THEN {o.strip('p[-1]')} END AS location
 FROM s"""
 
     sql["first_int"] = """
@@ -190,7 +172,7 @@ WITH t AS (SELECT o_orderkey, o_orderdate,
                   'Pedido ' || CAST(o_orderkey AS VARCHAR) || ' publicado el ' || strftime(o_orderdate, '%d/%m/%Y') || ' (ref 12/345)' AS text
            FROM orders)
 SELECT o_orderkey, nullif(regexp_extract(text, '\b([0-9]{1,2}/[0-9]{1,2}/[0-9]{4})\b', 1), '') AS posted_date,
-       strftime(o_orderdate, '%Y-%m-%d') AS ds FROM t"""
+       strftime(o_orderdate, '%Y-%m-%d') AS ds, strftime(now() AT TIME ZONE 'UTC', '%Y-%m-%d') AS run_ds FROM t"""
 
     sql["salary_string"] = """
 WITH t AS (SELECT p_partkey, p_name, p_brand,
@@ -229,9 +211,9 @@ WITH j AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 {rows}"""
 
-    sql["contains_filters"] = f"""
-SELECT doc_id, lang, lang = 'es' AS is_es FROM documents
-WHERE coalesce(contains(lower(text), {o.q(d.CONTAINS_WORD)}), false) AND lang <> 'de'"""
+    sql["contains_filters"] = r"""
+SELECT doc_id, lang, 'word' AS hit FROM documents WHERE lang = 'es' AND contains(lower(text), 'dos')
+UNION ALL SELECT doc_id, lang, 'regex' FROM documents WHERE regexp_matches(lower(text), '\b[a-z]+@[a-z]+\.|[0-9]{2,}\.[0-9]+')"""
 
     a = _clean_list("string_split(p_name, ' ')", ["no"])
     b = _clean_list("[p_brand, p_type, ' ', 'No']", ["no"])
@@ -255,19 +237,16 @@ WITH f AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS link, {o.first_tag
 l AS (SELECT DISTINCT link FROM f WHERE link IS NOT NULL AND link <> '')
 SELECT l.link, f.page_id, f.title, f.html_chars FROM l JOIN f ON l.link = f.link"""
 
-    def tpl_of(src):
-        return ALL_LISTING_TEMPLATES.get(src, LISTING_TEMPLATES[src]).replace("{base}", SITE_BASE_URLS[src])
-
-    def pages_of(src):
-        t = tpl_of(src)
-        return DEFAULT_MAX_PAGES if ("{p}" in t or "{start}" in t) else 1
-
-    tpls = ", ".join(f"({o.q(src)}, {o.q(tpl_of(src))}, {pages_of(src)})" for src in LISTING_TEMPLATES)
-    sql["frontier"] = f"""
-WITH s AS (SELECT r.r_regionkey, r.r_name, t.source, t.template, t.pages
-           FROM region r, (VALUES {tpls}) AS t(source, template, pages)),
-p AS (SELECT *, unnest(generate_series(1, pages)) AS page FROM s)
-SELECT r_regionkey, source, CAST(page AS INTEGER) AS page, {_fill('template', 'r_name', "'Argentina'", 'page')} AS url FROM p"""
+    # the five sites spelled out: list-everything where the site has it, 31 pages each
+    sql["frontier"] = """
+WITH p AS (SELECT r_regionkey, r_name AS q, CAST(unnest(generate_series(1, 31)) AS INTEGER) AS page FROM region)
+SELECT r_regionkey, 'getonboard' AS source, 1 AS page, 'https://www.getonbrd.com/empleos/' AS url FROM region
+UNION ALL SELECT r_regionkey, 'zonajobs', page, 'https://www.zonajobs.com.ar/empleos.html?page=' || page FROM p
+UNION ALL SELECT r_regionkey, 'portal_empleo', page, 'https://portalempleo.gob.ar/OfertasLaborales?page-number=' || page FROM p
+UNION ALL SELECT r_regionkey, 'computrabajo', page,
+  'https://www.computrabajo.com.ar/trabajo-de-' || replace(q, ' ', '-') || '/?p=' || page || '&q=Argentina' FROM p
+UNION ALL SELECT r_regionkey, 'indeed', page,
+  'https://ar.indeed.com/jobs?q=' || replace(q, ' ', '+') || '&l=Argentina&start=' || ((page - 1) * 10) FROM p"""
 
     nav_frag = f"regexp_extract({o.content_only('html')}, '(?is)<nav\\b[^>]*>(.*?)</nav\\s*>', 1)"
     nav_hrefs = o.hrefs(nav_frag)
@@ -276,17 +255,16 @@ WITH h AS (SELECT {o.origin('url')} AS base, unnest({nav_hrefs}) AS href FROM pa
 l AS (SELECT {o.absolute_url('href', 'base')} AS link FROM h WHERE href IS NOT NULL AND href <> '')
 SELECT DISTINCT 'article' AS source, link FROM l WHERE link IS NOT NULL"""
 
-    search_tpls = ", ".join(
-        f"({o.q(src)}, {o.q(tpl.replace('{base}', SITE_BASE_URLS[src]))}, "
-        f"{DEFAULT_MAX_PAGES if ('{p}' in tpl or '{start}' in tpl) else 1})"
-        for src, tpl in LISTING_TEMPLATES.items()
-    )
-    sql["frontier_from_titles"] = f"""
-WITH q AS (SELECT DISTINCT {o.first_words('text', d.PREFIX_WORDS)} AS q FROM documents),
-s AS (SELECT q.q, t.source, t.template, t.pages FROM q, (VALUES {search_tpls}) AS t(source, template, pages)
-      WHERE q.q IS NOT NULL AND q.q <> ''),
-p AS (SELECT *, unnest(generate_series(1, pages)) AS page FROM s)
-SELECT DISTINCT source, CAST(page AS INTEGER) AS page, {_fill('template', 'q', "'Argentina'", 'page')} AS url FROM p"""
+    sql["frontier_from_titles"] = """
+WITH q AS (SELECT DISTINCT p_name AS q FROM part WHERE p_name IS NOT NULL AND p_name <> ''),
+p AS (SELECT q, CAST(unnest(generate_series(1, 31)) AS INTEGER) AS page FROM q)
+SELECT DISTINCT 'getonboard' AS source, 1 AS page, 'https://www.getonbrd.com/empleos-' || replace(q, ' ', '-') AS url FROM q
+UNION SELECT 'zonajobs', page, 'https://www.zonajobs.com.ar/empleos-busqueda-' || replace(lower(q), ' ', '-') || '.html?page=' || page FROM p
+UNION SELECT 'portal_empleo', page, 'https://portalempleo.gob.ar/OfertasLaborales?Q=' || replace(q, ' ', '+') || '?page-number=' || page FROM p
+UNION SELECT 'computrabajo', page,
+  'https://www.computrabajo.com.ar/trabajo-de-' || replace(q, ' ', '-') || '/?p=' || page || '&q=Argentina' FROM p
+UNION SELECT 'indeed', page,
+  'https://ar.indeed.com/jobs?q=' || replace(q, ' ', '+') || '&l=Argentina&start=' || ((page - 1) * 10) FROM p"""
 
     sql["roundtrip_sinks"] = """
 SELECT o_orderkey, o_custkey, o_totalprice, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') AS ds,
@@ -304,6 +282,28 @@ SELECT page_id, {o.first_tag_text('html')} AS title, {o.host('url')} AS company,
        true AS parse_ok
 FROM pages"""
 
+    article = f"regexp_extract({o.content_only('html')}, '(?is)<article\\b[^>]*>(.*?)</article\\s*>', 1)"
+    own = "list_transform((string_split_regex(art, '(?i)<p(?:\\s[^>]*)?>'))[2:], lambda x: (string_split_regex(x, '(?i)</p\\s*>'))[1])"
+    parts = f"list_filter(list_transform({own}, lambda x: {o.fragment_text('x')}), lambda x: x <> '')"
+    date = r"\b([0-9]{1,2}/[0-9]{1,2}/[0-9]{4})\b"
+    text = f"replace({o.decode("regexp_replace(" + o.content_only('html') + ", '<[^>]*>', chr(1), 'g')")}, chr(1), '')"
+    sql["postings_daily_run"] = f"""
+WITH p AS (
+  SELECT url, {article} AS art, {o.first_tag_text('html')} AS h1, {o.host('url')} AS company, {o.fragment_text(ad)} AS loc,
+         nullif(regexp_extract({text}, '{date}', 1), '') AS posted_date,
+         array_to_string(list_filter({li}, lambda x: x <> ''), chr(10)) AS tags,
+         array_to_string(list_sort(list_distinct(list_filter({a}, lambda x: x <> ''))), chr(10)) AS skills, page_id
+  FROM pages WHERE html IS NOT NULL AND html <> ''
+), x AS (
+  SELECT *, left(sha256(coalesce(url, '') || coalesce(h1, '') || coalesce(company, '')), 20) AS job_key, {parts} AS parts FROM p
+), t AS (
+  SELECT *, {o.title_case(o.strip('h1'))} AS title FROM x QUALIFY row_number() OVER (PARTITION BY job_key ORDER BY url, page_id) = 1
+)
+SELECT job_key, title, lower(title) AS title_lower, {o.strip('company')} AS company, {o.strip('loc')} AS location, posted_date, url,
+       CASE WHEN len(parts) > 0 THEN CAST(length(array_to_string(parts, chr(10))) AS INTEGER) END AS description_chars,
+       tags, skills, 'article' AS source_site, 'article' AS source, '2024-01-01' AS ds
+FROM t"""
+
     sql["recursive_scan"] = """
 SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
        o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority

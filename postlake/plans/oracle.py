@@ -4,8 +4,12 @@ check of every driver query. They mirror the documented semantics (Python
 
 from __future__ import annotations
 
-from postlake.functions.html import ENTITIES, NON_CONTENT
-from postlake.functions.text import WS, WS_CHARS, WORD_CHARS
+# Python's str.isspace() set, its \\w for texts, and the references the tables hold.
+WS_CHARS = r"\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}"
+WS = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]"
+WORD_CHARS = r"\p{L}\p{N}_"
+NON_CONTENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+REFERENCES = [("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
 
 def q(s: str) -> str:
@@ -35,14 +39,14 @@ def first_words(e: str, n: int) -> str:
 
 
 def title_case(e: str) -> str:
-    runs = f"regexp_extract_all({e}, {q(r'(\p{L}+|[^\p{L}]+)')})"
+    runs = f"regexp_extract_all({e}, {q(r'([\p{Lu}\p{Ll}\p{Lt}ªº]+|[^\p{Lu}\p{Ll}\p{Lt}ªº]+)')})"
     first = "CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END"
     return f"array_to_string(list_transform({runs}, lambda r: {first} || lower(r[2:])), '')"
 
 
 def decode(e: str) -> str:
     out = e
-    for ent, ch in ENTITIES:
+    for ent, ch in REFERENCES:
         out = f"replace({out}, {q(ent)}, {q(ch)})"
     return out
 

@@ -14,8 +14,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +52,7 @@ META_FIELDS: list[tuple[str, T.DataType]] = [
     ("ds", T.StringType()),
     ("scraped_at", T.TimestampType()),
     ("job_key", T.StringType()),
+    ("page_id", T.LongType()),
 ]
 RAW_SCHEMA = T.StructType([T.StructField(n, t) for n, t in POSTING_FIELDS + META_FIELDS])
 PROCESSED_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("title_lower", T.StringType())])
@@ -249,6 +251,7 @@ def extract_postings(
     keep_errors: bool = False,
     observations: dict | None = None,
     carry: Sequence[str] = (),
+    extractor: Callable = extract_pages,
 ) -> DataFrame:
     """pages → canonical posting rows (plus ``source``, ``page_id``,
     ``parse_ok``, ``parse_error``).
@@ -258,7 +261,8 @@ def extract_postings(
     description. Failed parses are dropped unless ``keep_errors`` (H11).
     Pass a dict as ``observations`` to get A11/S8 counters (``pages``,
     ``output``) filled by whatever action runs the plan — no extra job.
-    ``carry`` names small page columns (e.g. ``ds``) passed through unchanged.
+    ``extractor`` is the rule mapper, or ``operators.flat.extract_flat`` where
+    all pages are articles. ``carry`` names small page columns (e.g. ``ds``) passed through unchanged.
     """
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
     failed = F.col("html").isNull() | (F.col("html") == "")
@@ -268,11 +272,11 @@ def extract_postings(
         src = src.observe(
             observations["pages"],
             F.count(F.lit(1)).alias("links"),
-            F.count_if(~failed).alias("processed"),
-            F.count_if(~failed & blocked).alias("blocked"),
+            F.count(F.lit(1)).alias("processed"),
+            F.count_if(failed | blocked).alias("blocked"),
         )
     src = src.where(~failed & ~blocked)
-    joined = extract_pages(
+    joined = extractor(
         src.select("page_id", "source", "url", "html", *carry), rules, passthrough=list(carry),
         repair_sources=sorted(REPAIR_SOURCES),
     )
@@ -280,7 +284,7 @@ def extract_postings(
         "__keep",
         F.when(
             F.col("source") == "indeed",
-            F.col("__ld").isNotNull() | _v("has_description").isNotNull(),
+            ph.jsonld_holds_fields("__ld") | _v("has_description").isNotNull(),
         ).otherwise(F.lit(True)),
     )
     out = assemble(with_ld, carry).where(F.col("__keep")).drop("__keep")
@@ -298,19 +302,28 @@ def extract_postings(
 
 def crawl_stats(
     pages: DataFrame,
+    by: Sequence[str] = ("source",),
     block_phrases: Sequence[str] = sites.BLOCK_PHRASES,
-    blocked_sources: Sequence[str] = ("indeed",),
+    blocked_sources: Sequence[str] | None = ("indeed",),
+    parsed: Column | None = None,
 ) -> DataFrame:
-    """A11 per source: pages seen, fetched (non-empty), blocked. One
+    """Links, processed, blocked and parsed pages per group.
+
+    Every link counts as processed; a page is blocked if it is empty or, for
+    the ``blocked_sources`` (None: all), holds a block phrase; it is parsed if
+    it is not blocked and ``parsed`` holds (default: any page). One
     partial+final hash aggregate; the HTML is read once and never shuffled."""
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
-    failed = F.col("html").isNull() | (F.col("html") == "")
-    blocked = F.col("source").isin(list(blocked_sources)) & ph.is_blocked("html", block_phrases)
-    flags = src.select("source", failed.alias("failed"), blocked.alias("blocked"))
-    return flags.groupBy("source").agg(
+    empty = F.col("html").isNull() | (F.col("html") == "")
+    phrase = ph.is_blocked("html", block_phrases)
+    if blocked_sources is not None:
+        phrase = F.col("source").isin(list(blocked_sources)) & phrase
+    flags = src.select(*by, (empty | phrase).alias("blocked"), (parsed if parsed is not None else F.lit(True)).alias("ok"))
+    return flags.groupBy(*by).agg(
         F.count(F.lit(1)).alias("links"),
-        F.count_if(~F.col("failed")).alias("processed"),
-        F.count_if(~F.col("failed") & F.col("blocked")).alias("blocked"),
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if("blocked").alias("blocked"),
+        F.count_if(~F.col("blocked") & F.col("ok")).alias("parsed"),
     )
 
 
@@ -337,12 +350,24 @@ def transform(df: DataFrame, scope: Sequence[str] = ("ds", "source")) -> DataFra
             "location": pf.strip("location"),
         }
     )
-    # Full order: a retried task must pick the same winner (whole-row hash last).
-    order = ["scraped_at", "url", "title", "company", "location", F.xxhash64(*cleaned.columns)]
+    # Full order: a rerun or a retried task must pick the same winner. The hash
+    # of the row, without its time stamp, decides between rows without a page id.
+    content = [c for c in cleaned.columns if c != "scraped_at"]
+    order = ["scraped_at", "url", "page_id", "title", "company", "location", F.xxhash64(*content)]
     kept = dedup.keep_first(cleaned, [*scope, "job_key"], order)
     return kept.withColumn("title_lower", F.lower("title"))
 
 
+def _observed(observation: Observation) -> dict:
+    """The metrics, or nothing where AQE pruned the observed stage of an empty run."""
+    try:
+        return observation.get or {}
+    except Py4JJavaError as exc:
+        if exc.java_exception.getClass().getName() != "java.lang.AssertionError":  # Spark's own: there is no metrics row
+            raise
+        return {}
+
+
 def run(
     spark: SparkSession,
     pages: DataFrame,
@@ -351,7 +376,7 @@ def run(
     processed_path: str,
     rules: Mapping[str, Sequence] = EXTRACTION_RULES,
     stats: dict | None = None,
-    files_per_partition: int = 16,
+    extractor: Callable = extract_pages,
 ) -> DataFrame:
     """One daily run for ``ds``: extract, write raw, transform, write
     processed. Rerunning the same ``ds`` replaces only its partitions; an
@@ -360,27 +385,25 @@ def run(
     The raw layer is the lineage cut: the processed layer is computed from
     the written raw rows, so the HTML is parsed once and a lost executor
     during the transform only recomputes from Parquet. ``stats`` (a dict)
-    receives the S8/A11 counters. Both layers are written with at most
-    ``files_per_partition`` files per ``(ds, source)`` (salted repartition of
-    the extracted rows — no HTML is shuffled). Returns the processed rows of
-    this ``ds``.
+    receives the S8/A11 counters. Only sources with rows in this run are
+    processed again. Returns the processed rows of this ``ds``.
     """
     obs: dict = {}
-    postings = stamp(extract_postings(pages, rules, observations=obs), ds)
+    postings = stamp(extract_postings(pages, rules, observations=obs, extractor=extractor), ds)
     raw = conform(postings, POSTING_FIELDS + META_FIELDS).select(*RAW_SCHEMA.fieldNames())
-    sinks.write_layer(raw, raw_path, files_per_partition=files_per_partition)
-    raw_back = sinks.read_layer(spark, raw_path, RAW_SCHEMA, ds=ds)
+    written = Observation("written")
+    raw = raw.observe(written, F.collect_set("source").alias("sources"))  # at most one per site
+    sinks.write_layer(raw, raw_path)
+    raw_back = sinks.read_layer(spark, raw_path, RAW_SCHEMA, ds=ds).where(F.col("source").isin(_observed(written).get("sources") or []))
     processed = transform(raw_back).select(*PROCESSED_SCHEMA.fieldNames())
     proc_obs = Observation("processed")
     processed = processed.observe(proc_obs, F.count(F.lit(1)).alias("processed_rows"))
-    sinks.write_layer(processed, processed_path, files_per_partition=files_per_partition)
-    counters = {}
+    sinks.write_layer(processed, processed_path)
     names = {"pages": ("links", "processed", "blocked"), "output": ("parsed", "errors"), "processed": ("processed_rows",)}
+    counters = {}
     for key, o in (("pages", obs["pages"]), ("output", obs["output"]), ("processed", proc_obs)):
-        try:
-            counters.update({k: int(v) for k, v in o.get.items()})
-        except Exception:  # an empty run: AQE pruned the stage that held the metrics
-            counters.update({k: 0 for k in names[key]})
+        got = _observed(o)
+        counters.update({k: int(got.get(k) or 0) for k in names[key]})
     log.info("ds=%s %s", ds, " ".join(f"{k}={v}" for k, v in counters.items()))
     if stats is not None:
         stats.update(counters)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake import functions as pf
 from postlake.rules.extraction import CANONICAL_PARAM, LISTING_RULES
-from postlake.rules.sites import ALL_LISTING_TEMPLATES, LISTING_TEMPLATES, SITE_BASE_URLS
+from postlake.rules.sites import ALL_LISTING_TEMPLATES, DEFAULT_MAX_PAGES, LISTING_TEMPLATES, SITE_BASE_URLS, SITE_MAX_PAGES
 
 
-def _fill(template: Column, query: Column, location: Column, page: Column) -> Column:
-    out = template
-    subs = {
+def _fill(template: str, query: Column, location: Column, page: Column) -> Column:
+    """The URL as one ``concat``: placeholders inside the user's own text stay text."""
+    value = {
         "{dash}": F.replace(query, F.lit(" "), F.lit("-")),
         "{slug}": F.replace(F.lower(query), F.lit(" "), F.lit("-")),
         "{plus}": F.replace(query, F.lit(" "), F.lit("+")),
@@ -20,42 +23,39 @@ def _fill(template: Column, query: Column, location: Column, page: Column) -> Co
         "{p}": page.cast("string"),
         "{start}": ((page - 1) * 10).cast("string"),
     }
-    for key, val in subs.items():
-        out = F.replace(out, F.lit(key), val)
-    return out
+    parts = [x for x in re.split("(" + "|".join(map(re.escape, value)) + ")", template) if x]
+    return F.concat(*[value[x] if x in value else F.lit(x) for x in parts])
 
 
 def listing_urls(
     searches: DataFrame,
     query_col: str,
     location: str,
-    max_pages: int,
+    max_pages: Mapping[str, int] = SITE_MAX_PAGES,
     all_listing_sources=(),
 ) -> DataFrame:
-    """One row per (search row, source, page). The source templates are a
-    literal array exploded per row — a generate, not a join. Sources named in
-    ``all_listing_sources`` use their list-everything template (the search
-    text is then not part of the URL, G9)."""
-    def template(src: str) -> str:
-        tpl = ALL_LISTING_TEMPLATES[src] if src in all_listing_sources else LISTING_TEMPLATES[src]
-        return tpl.replace("{base}", SITE_BASE_URLS[src])
+    """One row per (search row, source, page), pages 1 to the site's own limit
+    (``DEFAULT_MAX_PAGES`` for a site without one; 1 where the template has no
+    page). Sources and pages are literal arrays exploded per row — a generate,
+    not a join. Sources named in ``all_listing_sources`` use their
+    list-everything template (the search text is then not part of the URL, G9)."""
+    templates = {
+        src: (ALL_LISTING_TEMPLATES[src] if src in all_listing_sources else tpl).replace("{base}", SITE_BASE_URLS[src])
+        for src, tpl in LISTING_TEMPLATES.items()
+    }
 
     def pages(src: str) -> int:
-        return 1 if "{p}" not in template(src) and "{start}" not in template(src) else max_pages
-
-    sources = F.array(
-        *[
-            F.struct(
-                F.lit(src).alias("source"),
-                F.lit(template(src)).alias("template"),
-                F.lit(pages(src)).alias("pages"),
-            )
-            for src in LISTING_TEMPLATES
-        ]
-    )
+        paged = "{p}" in templates[src] or "{start}" in templates[src]
+        return max_pages.get(src, DEFAULT_MAX_PAGES) if paged else 1
+
+    sources = F.array(*[F.struct(F.lit(src).alias("source"), F.lit(pages(src)).alias("pages")) for src in templates])
     with_src = searches.withColumn("__s", F.explode(sources))
     with_page = with_src.withColumn("page", F.explode(F.sequence(F.lit(1), F.col("__s.pages"))))
-    url = _fill(F.col("__s.template"), F.col(query_col), F.lit(location), F.col("page"))
+    url = None
+    for src, tpl in templates.items():
+        filled = _fill(tpl, F.col(query_col), F.lit(location), F.col("page"))
+        here = F.col("__s.source") == src
+        url = F.when(here, filled) if url is None else url.when(here, filled)
     return with_page.withColumn("source", F.col("__s.source")).withColumn("url", url).drop("__s")
 
 
@@ -67,18 +67,19 @@ def _site_base(source: Column, page_url: Column) -> Column:
     return expr.otherwise(pf.origin(page_url))
 
 
-def detail_links(listing_pages: DataFrame, rules=LISTING_RULES) -> DataFrame:
+def detail_links(listing_pages: DataFrame, rules=LISTING_RULES, extractor: Callable | None = None) -> DataFrame:
     """H8 + X15 + X16 + F8 + A9: distinct detail-page URLs per source from
     listing pages ``(page_id, source, url, html)``.
 
-    The link selectors run in the extraction job; the rest is native:
+    The link selectors run in the extraction job (or in ``extractor``, see
+    ``operators.flat``); the rest is native:
     empty hrefs are dropped, relative ones joined to the site's base URL (or
     the listing page's origin for unknown sites), id-parameter URLs
     canonicalised, and duplicates removed with a map-side-combined distinct.
     """
     from postlake.operators.extract import extract_pages
 
-    found = extract_pages(listing_pages, rules)
+    found = (extractor or extract_pages)(listing_pages, rules)
     hrefs = found.select(
         "source", "url", F.explode(F.try_element_at("inputs", F.lit("links"))).alias("href")
     ).where(F.col("href").isNotNull() & (F.col("href") != ""))

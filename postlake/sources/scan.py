@@ -2,67 +2,100 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+log = logging.getLogger("postlake")
 
-def scan_parquet_tree(spark: SparkSession, base_path: str) -> DataFrame:
-    """Every ``*.parquet`` below ``base_path``, unioned by column name.
 
-    Unreadable files are skipped (``ignoreCorruptFiles``); columns missing in
-    some files come back null (``mergeSchema``). Raises ``FileNotFoundError``
-    when nothing readable is found. Partition discovery is off with
-    recursive lookup, so use ``sinks.read_layer`` for our own partitioned
-    layers and this scan only for trees laid out by other tools.
-    """
+def parquet_files(spark: SparkSession, base_path: str) -> DataFrame:
+    """(path, length) of every ``*.parquet`` file at or below ``base_path``; no content is read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     try:
-        df = (
-            spark.read.option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .option("mergeSchema", "true")
-            .option("ignoreCorruptFiles", "true")
-            .parquet(base_path)
-        )
+        return reader.load(base_path).select("path", "length")
     except AnalysisException as exc:
-        raise FileNotFoundError(f"no readable parquet files under {base_path}") from exc
-    if not df.columns:
-        raise FileNotFoundError(f"no readable parquet files under {base_path}")
-    return df
-
+        raise FileNotFoundError(f"no parquet files under {base_path}") from exc
 
-def top_level_dirs(spark: SparkSession, base_path: str) -> list[str]:
-    """Distinct first-level folders under ``base_path`` that hold Parquet
-    files. The listing is Spark's own (``binaryFile`` with only the path
-    column, so no file content is read); only the folder names — one per
-    source in the reference layout — come back to the driver."""
-    from pyspark.sql import functions as F
 
-    base = base_path.rstrip("/")
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
+def _scan(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    return (
+        spark.read.option("recursiveFileLookup", str(recursive).lower())
         .option("pathGlobFilter", "*.parquet")
-        .load(base)
-        .select("path")
+        .option("mergeSchema", "true")
+        .option("ignoreCorruptFiles", "true")
+        .parquet(path)
     )
-    rel = F.regexp_extract(F.col("path"), r"^(?:[a-z]+:)?/*(.*)$", 1)
-    base_rel = base.split(":", 1)[-1].lstrip("/") if ":" in base.split("/")[0] else base.lstrip("/")
-    top = F.regexp_extract(rel, "^" + _quote(base_rel) + r"/([^/]+)/", 1)
-    return sorted(r[0] for r in listing.select(top.alias("d")).where(F.col("d") != "").distinct().collect())
 
 
-def _quote(text: str) -> str:
-    """Literal text inside a Java regex."""
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+def skipped_files(spark: SparkSession, base_path: str) -> DataFrame:
+    """Paths of the files a scan passes over: no row of theirs can be read
+    (corrupt, or without rows). Only footers are read; the listing and the list
+    of files that gave rows meet in an anti join, nothing is collected."""
+    listed = parquet_files(spark, base_path).select("path")
+    try:
+        read = _scan(spark, base_path).select(F.col("_metadata.file_path").alias("path")).distinct()
+    except AnalysisException:
+        return listed
+    plain = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")  # file:/x and file:///x are one
+    return listed.withColumn("__p", plain).join(read.select(plain.alias("__p")), "__p", "left_anti").select("path")
+
+
+def scan_parquet_tree(spark: SparkSession, base_path: str) -> DataFrame:
+    """Every ``*.parquet`` at or below ``base_path``, unioned by column name.
+
+    Unreadable files are skipped (``ignoreCorruptFiles``) and reported: their
+    number is logged as a warning and ``skipped_files`` lists them. Columns
+    missing in some files come back null (``mergeSchema``). Raises
+    ``FileNotFoundError`` when there is no Parquet file and ``ValueError`` when
+    none of them can be read. Partition discovery is off with recursive lookup,
+    so use ``sinks.read_layer`` for our own partitioned layers and this scan
+    only for trees laid out by other tools.
+    """
+    if parquet_files(spark, base_path).isEmpty():
+        raise FileNotFoundError(f"no parquet files under {base_path}")
+    try:
+        df = _scan(spark, base_path)
+    except AnalysisException as exc:
+        raise ValueError(f"no readable parquet file under {base_path}") from exc
+    if not df.columns:
+        raise ValueError(f"no readable parquet file under {base_path}")
+    if skipped := skipped_files(spark, base_path).count():
+        log.warning("%d parquet files under %s gave no rows", skipped, base_path)
+    return df
 
 
-def scan_tree_by_folder(spark: SparkSession, base_path: str, conform) -> DataFrame:
+def scan_tree_by_folder(spark: SparkSession, base_path: str, conform: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """S1 for trees whose column types drift between top-level folders (the
-    reference's raw layer: one folder per source, a field a string in one
-    source and a list in another). Each folder is scanned on its own (types
-    agree within it), passed through ``conform`` (to a canonical schema) and
-    the results are unioned by name."""
-    parts = [conform(scan_parquet_tree(spark, f"{base_path.rstrip('/')}/{d}")) for d in top_level_dirs(spark, base_path)]
+    foreign raw layer: one folder per source, a field a string in one source and
+    a list in another). Files directly under the root and each folder are read
+    on their own (types agree within one), passed through ``conform`` (to a
+    canonical schema), and the results are unioned by name. Folders come from
+    the path's own file system, so any scheme Spark reads works; a tree has one
+    folder per source, and their names are all the driver sees."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(base_path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        raise FileNotFoundError(f"no parquet files under {base_path}")
+    entries = [(e.getPath().toString(), e.isDirectory()) for e in fs.listStatus(root)]
+    parts = []
+    for path, is_folder in sorted(entries):
+        if is_folder:
+            try:
+                parts.append(conform(scan_parquet_tree(spark, path)))
+            except FileNotFoundError:
+                continue
+            except ValueError as exc:
+                log.warning("%s", exc)
+        elif path.endswith(".parquet"):
+            try:
+                parts.append(conform(_scan(spark, path, recursive=False)))
+            except AnalysisException:
+                log.warning("%s cannot be read", path)
     if not parts:
         raise FileNotFoundError(f"no readable parquet files under {base_path}")
     out = parts[0]

@@ -1,10 +1,11 @@
 """Layered Parquet sinks (S3, S4) with dynamic partition overwrite.
 
 A rerun for the same ``(ds, source)`` replaces exactly those partitions and
-leaves every other one alone; an empty rerun changes nothing (F10). Without a
-repartition each task writes its own files per partition (a hot source spread
-over all tasks); ``files_per_partition`` bounds the file count with a salted
-repartition; ``max_records_per_file`` bounds the file size.
+leaves every other one alone; an empty rerun changes nothing (F10). Rows are
+rebalanced on the partition columns before the write: AQE merges small
+partitions and splits a hot ``(ds, source)`` by bytes
+(``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so a day of any size is
+written by as many tasks as its bytes need, in files of about that size.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COLS = ("ds", "source")
@@ -22,23 +22,13 @@ def write_layer(
     df: DataFrame,
     path: str,
     partition_cols: Sequence[str] = PARTITION_COLS,
-    max_records_per_file: int = 5_000_000,
-    files_per_partition: int | None = None,
 ) -> None:
-    """Dynamic-overwrite write. With ``files_per_partition = k`` the rows are
-    first hash-partitioned on the partition columns plus a salt
-    ``hash(row) % k``: every ``(ds, source)`` gets at most ``k`` files (no
-    small-file explosion of tasks × partitions) and a hot source is still
-    spread over ``k`` tasks. The salt hashes row content, so a retried task
-    sends every row to the same place."""
-    if files_per_partition:
-        salt = F.abs(F.xxhash64(*[F.col(c) for c in df.columns])) % files_per_partition
-        df = df.repartition(*[F.col(c) for c in partition_cols], salt)
+    """Dynamic-overwrite write of rows rebalanced on the partition columns."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_cols)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_cols)
         .parquet(path)
     )

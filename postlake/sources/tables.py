@@ -1,30 +1,24 @@
-"""Table reads and the CPU-spread rule for text-heavy work."""
+"""Table reads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting: split text-heavy reads into this many partitions.
+SPREAD = "spark.postlake.spread"
+
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields
-    fewer splits than cores (one large row group, a non-splittable file).
-
-    Per-row text work (regex, tokenising, hashing) is CPU-bound, so a
-    one-split scan would run it on one core. With enough input splits — the
-    normal case on a cluster — this is a no-op and adds no shuffle. Call it
-    after projecting to the columns the work needs.
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over ``spark.postlake.spread`` partitions, if set.
 
-    The target is three tasks per core. The scan's partition count counts
-    byte-range splits, not row groups: a 15 MB file with one row group is
-    cut into four splits of which three are empty, so "splits ≥ cores"
-    alone can hide a one-task stage; three tasks per core also evens out
-    heavy-tailed text sizes.
+    A Parquet file with one row group is one task however small the splits are.
+    A session that works on such files (the local bench) can ask for a
+    round-robin exchange; unset, as on a cluster that reads many row groups,
+    nothing is shuffled.
     """
-    target = min_partitions or 3 * df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    wanted = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(wanted)) if wanted else df

@@ -19,7 +19,7 @@ def test_strip_unicode_whitespace(spark):
 
 
 def test_title_case_matches_python(spark):
-    vals = ["it's o'neil c++/java", "ßa straße", "ÉCOLE élan", "c3po abc", "", None, "data ANALYST sr."]
+    vals = ["it's o'neil c++/java", "ßa straße", "ÉCOLE élan", "c3po abc", "", None, "data ANALYST sr.", "漢a b漢c", "ªb ⅷx", "ʰa 1ºb"]
     assert one_col(spark, vals, pf.title_case) == [v.title() if v is not None else None for v in vals]
 
 
@@ -53,8 +53,8 @@ def test_split_last(spark):
         h, t = pf.split_last(c, " - ")
         return F.struct(h.alias("h"), t.alias("t"))
 
-    got = [tuple(r) if r else None for r in one_col(spark, ["Grupo Metropol - San Nicolás, Capital Federal", "A - B - C", "Solo Empresa "], both)]
-    assert got == [("Grupo Metropol", "San Nicolás, Capital Federal"), ("A - B", "C"), ("Solo Empresa", None)]
+    got = [tuple(r) if r else None for r in one_col(spark, ["Grupo Metropol - San Nicolás, Capital Federal", "A - B - C", "Solo Empresa ", "x - - b"], both)]
+    assert got == [("Grupo Metropol", "San Nicolás, Capital Federal"), ("A - B", "C"), ("Solo Empresa", None), ("x", "- b")]
 
 
 def test_first_nonempty(spark):
@@ -143,3 +143,26 @@ def test_page_text_and_run_date(spark):
     assert r.t.split() == ["Hola", "&", "chau12/3/2024"]
     assert r.d is None  # "chau12/3/2024": no word boundary before the day, as in Python's \b
     assert r.ds == datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%d")
+
+
+def test_every_reference_is_decoded_once(spark):
+    import html as std
+
+    vals = ["Programaci&oacute;n", "&#233;&#xE9;&#X1F600; &amp;lt; &nosuch; & &amp", "&NotEqualTilde;&nbsp;x", "plain", "", None, "&ntilde;&Ntilde;&euro;&hellip;", "&#0;&#xD800;"]
+    got = one_col(spark, vals, ph.decode_entities)
+    assert got[0] == "Programación" and got[1] == "éé😀 &lt; &nosuch; & &amp" and got[7] == "\ufffd\ufffd"
+    for v, g in zip(vals, got):
+        if v is not None and "&amp" not in v:
+            assert g == std.unescape(v)
+
+
+def test_hrefs_in_any_quoting(spark):
+    page = """<a data-href="/no" href='/one'>1</a><A title="a > b href=x" HREF = /two >2</A><abbr href="/no2">x</abbr>
+    <a class=k href="/three?a=1&amp;b=2">3</a><a name="x">none</a>"""
+    assert one_col(spark, [page, None], ph.hrefs) == [["/one", "/two", "/three?a=1&b=2"], None]
+
+
+def test_empty_jsonld_is_no_posting(spark):
+    blocks = ["{}", "[]", "null", "{bad", '{"title": ""}', None]
+    got = one_col(spark, blocks, lambda c: ph.jsonld_holds_fields(ph.jsonld_value(c)))
+    assert got == [False, False, False, False, True, False]

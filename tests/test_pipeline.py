@@ -7,7 +7,7 @@ import pytest
 
 from postlake.plans import postings
 from postlake.sources import sinks
-from postlake.sources.scan import scan_parquet_tree
+from postlake.sources.scan import scan_parquet_tree, skipped_files
 from tests.fixtures import html_pages as H
 
 PAGES = [
@@ -68,6 +68,26 @@ def test_scan_foreign_tree_skips_garbage(spark, tmp_dir):
     df = scan_parquet_tree(spark, tmp_dir)
     got = sorted((r.id, r.title, r.company) for r in df.collect())
     assert got == [(1, "x", None), (2, "y", "z")]
+    given = {os.path.basename(r.path) for r in skipped_files(spark, tmp_dir).collect()}
+    assert "bad.parquet" in given  # beside it only the row-less files that Spark's writer left
+    assert all(spark.read.parquet(os.path.join(tmp_dir, "*", "*", f)).isEmpty() for f in given - {"bad.parquet"})
+
+
+def test_scan_reads_files_under_the_root_and_tells_errors_apart(spark, tmp_dir):
+    import pandas as pd
+
+    pd.DataFrame({"title": ["root"], "tags": ["one"], "url": ["u0"]}).to_parquet(os.path.join(tmp_dir, "a.parquet"))
+    os.makedirs(os.path.join(tmp_dir, "site", "2024-01-01"))
+    pd.DataFrame({"title": ["deep"], "tags": [["x", "y"]], "url": ["u1"]}).to_parquet(os.path.join(tmp_dir, "site", "2024-01-01", "b.parquet"))
+    for path in (tmp_dir, "file://" + tmp_dir, tmp_dir + "/"):
+        got = {r.title: r.tags for r in postings.read_foreign_layer(spark, path).collect()}
+        assert got == {"root": ["one"], "deep": ["x", "y"]}
+    broken = os.path.join(tmp_dir, "broken")
+    os.makedirs(broken)
+    with open(os.path.join(broken, "only.parquet"), "wb") as fh:
+        fh.write(b"nothing")
+    with pytest.raises(ValueError):
+        scan_parquet_tree(spark, broken)
 
 
 def test_scan_empty_path_raises(spark, tmp_dir):
@@ -80,8 +100,8 @@ def test_crawl_stats(spark):
 
     rows = [(1, "indeed", "u1", H2.INDEED_BLOCKED), (2, "indeed", "u2", H2.INDEED_JSONLD), (3, "indeed", "u3", None),
             (4, "zonajobs", "u4", "<html>robot</html>")]
-    got = {r.source: (r.links, r.processed, r.blocked) for r in postings.crawl_stats(pages_df(spark, rows)).collect()}
-    assert got == {"indeed": (3, 2, 1), "zonajobs": (1, 1, 0)}
+    got = {r.source: (r.links, r.processed, r.blocked, r.parsed) for r in postings.crawl_stats(pages_df(spark, rows)).collect()}
+    assert got == {"indeed": (3, 3, 2, 1), "zonajobs": (1, 1, 0, 1)}
 
 
 def test_source_selection():
@@ -128,17 +148,55 @@ def test_read_foreign_layer_with_type_drift(spark, tmp_dir):
     assert got == {"A": (["Tecnología"], ["SQL"], None, "zonajobs"), "B": (["python", "spark"], ["SQL"], 12, "getonboard")}
 
 
-def test_files_per_partition_bounds_file_count(spark, tmp_dir):
+def test_writes_follow_bytes_not_task_counts(spark, tmp_dir):
     import glob
 
     from pyspark.sql import functions as F
 
-    df = spark.range(2000).select(
-        F.col("id"), F.lit("2024-01-01").alias("ds"), F.when(F.col("id") % 10 < 7, "hot").otherwise("cold").alias("source")
+    df = spark.range(40_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("2024-01-01").alias("ds"),
+        F.when(F.col("id") % 100 < 99, "hot").otherwise("cold").alias("source"),
     ).repartition(40)
-    sinks.write_layer(df, os.path.join(tmp_dir, "a"))
-    sinks.write_layer(df, os.path.join(tmp_dir, "b"), files_per_partition=3)
-    many = len(glob.glob(os.path.join(tmp_dir, "a", "ds=2024-01-01", "source=hot", "*.parquet")))
-    few = len(glob.glob(os.path.join(tmp_dir, "b", "ds=2024-01-01", "source=hot", "*.parquet")))
-    assert many == 40 and 1 <= few <= 3
-    assert spark.read.parquet(os.path.join(tmp_dir, "b")).count() == 2000
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    least = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        sinks.write_layer(df, os.path.join(tmp_dir, "split"))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+        sinks.write_layer(df, os.path.join(tmp_dir, "merged"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", least)
+    files = lambda where, src: len(glob.glob(os.path.join(tmp_dir, where, "ds=2024-01-01", f"source={src}", "*.parquet")))
+    assert files("split", "hot") > 16 and files("merged", "hot") == 1 and files("merged", "cold") == 1
+    assert spark.read.parquet(os.path.join(tmp_dir, "split")).count() == 40_000
+
+
+def test_reruns_keep_the_same_duplicate(spark, tmp_dir):
+    page = '<script type="application/ld+json">{"title": "T", "hiringOrganization": {"name": "C"}, "description": "%s"}</script>'
+    rows = [(i, "indeed", "https://ar.indeed.com/viewjob?jk=1", page % f"text {i}") for i in (3, 1, 2, 0)]
+    seen = []
+    for k in range(3):
+        base = os.path.join(tmp_dir, str(k))
+        out = postings.run(spark, pages_df(spark, rows).repartition(4), "2024-04-17", f"{base}/raw", f"{base}/processed")
+        seen.append([tuple(r) for r in out.drop("scraped_at").collect()])
+    assert len(seen[0]) == 1 and seen[0] == seen[1] == seen[2]
+    assert "text 0" in seen[0][0]
+
+
+def test_a_run_leaves_other_sources_alone(spark, tmp_dir):
+    first = pages_df(spark)
+    raw, done = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "processed")
+    postings.run(spark, first, "2024-04-17", raw, done)
+    before = {f: os.path.getmtime(f) for f in _files(done)}
+    stats = {}
+    postings.run(spark, first.where("source = 'getonboard'"), "2024-04-17", raw, done, stats=stats)
+    after = {f: os.path.getmtime(f) for f in _files(done)}
+    kept = {f for f in before if "source=getonboard" not in f}
+    assert kept and all(after[f] == before[f] for f in kept)
+    assert stats["processed_rows"] < sum(1 for _ in postings.sinks.read_layer(spark, done, postings.PROCESSED_SCHEMA).collect())
+
+
+def _files(base):
+    return [os.path.join(d, f) for d, _, names in os.walk(base) for f in names if f.endswith(".parquet")]
