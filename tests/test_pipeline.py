@@ -153,10 +153,10 @@ def test_writes_follow_bytes_not_task_counts(spark, tmp_dir):
 
     from pyspark.sql import functions as F
 
-    df = spark.range(40_000).select(
+    df = spark.range(0, 40_000, 1, 40).select(
         F.sha2(F.col("id").cast("string"), 256).alias("text"), F.lit("2024-01-01").alias("ds"),
         F.when(F.col("id") % 100 < 99, "hot").otherwise("cold").alias("source"),
-    ).repartition(40)
+    )
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     least = spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
