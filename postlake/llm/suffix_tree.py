@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from postlake.llm.common import held_out, materialize, text_slices
 
-DEPTH, MIN_SHARE, DIVERGENCE = 5, 2e-5, 0.01
+DEPTH, MIN_SHARE, DIVERGENCE = 6, 8e-6, 0.02
 #: Weight of the suffix's distribution, in observations; pseudo-count of a symbol at the root.
-BACK_OFF, ROOT = 8.0, 0.5
+BACK_OFF, ROOT = 4.0, 0.5
 BLANK, END = 0x20, 0x0A
 #: Broadcast bound of the known tokens; distinct items a task holds before it passes counts on.
 HOT_TOKENS, HOT_BYTES, FLUSH = 400_000, 64, 400_000
