@@ -117,12 +117,13 @@ def matching_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, percent:
     """Candidate pairs (x, y) whose words have the similarity, by exact verification."""
     wanted = pairs.select(F.col("x").alias("h1")).unionByName(pairs.select(F.col("y").alias("h1"))).distinct()
     where = materialize(wanted.join(sets, "h1").select("h1", "first.row", "first.line"), "line-wanted")
-    found = texts.select("row", "text").join(_small(where, where.count()), "row").select("h1", words_of(F.get(F.split("text", "\n"), F.col("line"))).alias("words")).dropDuplicates(["h1"])
+    found = texts.select("row", "text").join(_small(where, where.count()), "row").select("h1", F.array_join(words_of(F.get(F.split("text", "\n"), F.col("line"))), " ").alias("words")).dropDuplicates(["h1"])
     found = materialize(found, "line-words")
     x, y = found.toDF("x", "xw"), found.toDF("y", "yw")
+    # words travel as one string: an array of strings takes several times the bytes
+    both = pairs.join(x, "x").join(y, "y").select("x", "y", F.split("xw", " ").alias("xw"), F.split("yw", " ").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
-    alike = (100 + percent) * shared >= percent * (F.size("xw") + F.size("yw"))
-    return pairs.join(x, "x").join(y, "y").filter(alike).select("x", "y")
+    return both.filter((100 + percent) * shared >= percent * (F.size("xw") + F.size("yw"))).select("x", "y")
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
