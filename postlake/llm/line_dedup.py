@@ -28,7 +28,7 @@ from postlake.llm.common import materialize
 
 RARITY_BUCKETS = 1 << 18
 #: Rows up to which a side is broadcast after it was counted; else it is shuffled.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 1_000_000
 #: ASCII white space other than blank and line feed.
 OTHER_SPACE = r"[\x09\x0B-\x0D]"
 
