@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import text_slices
+from postlake.llm.common import materialize, text_slices
 
 FIT_ROWS, FIT_BYTES = 2000, 4096
 #: A feature needs so many sample documents to get a weight; weights nearer zero are dropped.
@@ -151,12 +151,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, max_bytes: i
     """
     known = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     texts = docs.select("doc_id", "text").filter((F.octet_length("text") > 0) & (F.octet_length("text") <= max_bytes))
-    usable = texts.join(known, "doc_id").select("text", "toxic").dropDuplicates(["text", "toxic"])
-    bags, marks = [], []
-    for label in (0, 1):
-        sample = usable.filter(F.col("toxic") == label).orderBy(F.xxhash64("text"), "text").limit(rows).toArrow()
-        bags += sample["text"].to_pylist()
-        marks += [label] * sample.num_rows
+    # hashes choose the sample; only its texts, a bounded number, leave the scan
+    hashes = texts.select("doc_id", F.xxhash64("text").alias("hash")).join(known, "doc_id").groupBy("toxic", "hash").agg(F.min("doc_id").alias("doc_id"))
+    chosen = [hashes.filter(F.col("toxic") == label).orderBy("hash").limit(rows) for label in (0, 1)]
+    chosen = materialize(chosen[0].unionByName(chosen[1]), "toxicity-sample")
+    found = texts.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "hash"])
+    sample = found.select("toxic", "hash", "text").dropDuplicates(["toxic", "hash"]).toArrow().sort_by([("toxic", "ascending"), ("hash", "ascending")])
+    bags, marks = sample["text"].to_pylist(), sample["toxic"].to_pylist()
     return fit(bags, marks)
 
 
