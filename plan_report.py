@@ -13,7 +13,7 @@ import io
 import re
 import sys
 
-from __spark_entry__ import queries
+from postlake.plans.driver import QUERIES
 from postlake.session import local_session
 
 
@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8)
     out = ["# Physical plans (generated by plan_report.py)", "", f"Tables: `{sf_dir}`, local[8], AQE on.", ""]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         out += [f"## {name}", "", "```", tree(fn(spark, sf_dir)), "```", ""]
     with open("PLANS_TREES.md", "w") as fh:
         fh.write("\n".join(out))
