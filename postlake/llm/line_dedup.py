@@ -95,24 +95,32 @@ def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
     return per_line.select("doc", "row", F.posexplode("sets").alias("line", "s")).select("doc", "row", "line", "s.*").filter("n > 0")
 
 
-def _postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(word, set, n, place) for each prefix word of sets that can match another set."""
-    return sets.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).select("h1", "n", "parity", F.posexplode("prefix").alias("place", "word"))
+def _postings(sets: DataFrame) -> DataFrame:
+    """(h1, first, n, parity, place, word) for each prefix word of the sets."""
+    return sets.select("h1", "first", "n", "parity", F.posexplode("prefix").alias("place", "word"))
 
 
-def _candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a prefix word and pass the length, positional and bitmap filters."""
-    a, b = postings.alias("a"), postings.alias("b")
+def _possible(percent: int) -> Column:
+    """Length, positional and bitmap filters of an earlier set a and a later set b."""
     n, m = F.col("a.n"), F.col("b.n")
-    length = (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     rest = F.least(n - F.col("a.place"), m - F.col("b.place"))  # this word and what may follow
-    position = (100 + percent) * rest >= percent * (n + m)
     apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-    bitmap = (100 + percent) * apart <= (100 - percent) * (n + m)
-    pairs = a.join(b, (F.col("a.word") == F.col("b.word")) & (F.col("a.h1") < F.col("b.h1")) & length & position & bitmap)
+    return (F.col("a.first") < F.col("b.first")) & length & ((100 + percent) * rest >= percent * (n + m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
+
+
+def _candidates(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
+    """(x, y): an earlier and a later set that share a prefix word and pass the filters."""
+    pairs = earlier.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & _possible(percent))
     return pairs.select(F.col("a.h1").alias("x"), F.col("b.h1").alias("y")).distinct()
 
 
+def _leaders(postings: DataFrame) -> DataFrame:
+    """The earliest posting of each word."""
+    first = F.min(F.struct("first", "h1", "n", "parity", "place")).alias("p")
+    return postings.groupBy("word").agg(first).select("word", "p.*")
+
+
 def matching_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (x, y) whose words have the similarity, by exact verification."""
     wanted = pairs.select(F.col("x").alias("h1")).unionByName(pairs.select(F.col("y").alias("h1"))).distinct()
@@ -142,12 +150,19 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     place = F.struct("doc", "row", "line")
     sets = materialize(keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("count")), "line-firsts")
-    posted = keyed.filter(100 * F.col("n") >= percent * (F.col("n") + 1)).groupBy("h1", "h2").agg(F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-    pairs = materialize(_candidates(_postings(posted, percent), percent), "line-pairs")
-    alike = materialize(matching_sets(texts, sets, pairs, percent), "line-alike")
-
-    both = alike.unionByName(alike.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    earliest = both.join(sets.select(F.col("h1").alias("y"), "first"), "y").groupBy(F.col("x").alias("h1")).agg(F.min("first").alias("near"))
+    can_match = keyed.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
+    posted = materialize(can_match.groupBy("h1", "h2").agg(F.min(place).alias("first"), *(F.first(c).alias(c) for c in ("n", "parity", "prefix"))), "line-prefixes")
+    # Any earlier match decides, so each set first meets only the earliest set of each
+    # of its words: pairs in proportion to the postings, which settle groups of near
+    # copies. Only sets that this leaves open meet all earlier sets of their words.
+    postings = _postings(posted)
+    pairs = materialize(_candidates(_leaders(postings), postings, percent), "line-pairs")
+    settled = materialize(matching_sets(texts, sets, pairs, percent), "line-alike")
+    unsettled = _postings(posted.join(settled.select(F.col("y").alias("h1")).distinct(), "h1", "left_anti"))
+    pairs = materialize(_candidates(postings, unsettled, percent), "line-pairs")
+    alike = settled.unionByName(materialize(matching_sets(texts, sets, pairs, percent), "line-alike"))
+
+    earliest = alike.join(sets.select(F.col("h1").alias("x"), "first"), "x").groupBy(F.col("y").alias("h1")).agg(F.min("first").alias("near"))
     keep = F.least("first", F.coalesce("near", "first"))
     repeats = sets.join(earliest, "h1", "left").select("h1", "h2", "count", "first", keep.alias("keep")).filter((F.col("count") > 1) | (F.col("keep") < F.col("first")))
     gone = keyed.select("doc", "row", "line", "h1", "h2").join(repeats, ["h1", "h2"]).filter(place > F.col("keep"))
