@@ -111,3 +111,22 @@ def test_stretches_do_not_matter(spark):
         assert np.allclose(tree.score(texts), whole)
     finally:
         st.STRETCH = old
+
+
+def test_least_count_does_not_rise_with_the_corpus(spark, docs_of):
+    # contexts seen a few times are still told apart when a million other symbols were read
+    texts = ["zq" * 5 + " qz xk"] * 8 + ["the cat sat on the mat " * 4000] * 12
+    ids = [i for i in range(200) if trained(i)][: len(texts)]
+    got = {r.doc_id: r for r in st.score_documents(docs_of(texts, ids)).collect()}
+    _, _, score = tree_by_hand(list(zip(ids, texts, strict=True)))
+    assert got[ids[0]].score == pytest.approx(score(texts[0]), rel=1e-5)
+    assert got[ids[0]].score > -8
+
+
+@pytest.mark.parametrize("runs", [0, 300])
+def test_runs_outside_the_broadcast_give_the_same(spark, docs_of, monkeypatch, runs):
+    monkeypatch.setattr(st, "TOGETHER", 1)
+    docs = docs_of(corpus())
+    whole = {r.doc_id: r.score for r in st.score_documents(docs).collect()}
+    got = {r.doc_id: r.score for r in st.score_documents(docs, hot_runs=runs).collect()}
+    assert got == pytest.approx(whole, rel=1e-9)
