@@ -3,8 +3,11 @@
 Texts and benchmark items become templates: numbers, capitalised names and
 units turn into typed placeholders, other words into lower case. Windows of
 ``WINDOW`` template tokens are hashed on both sides and joined; windows with
-fewer than ``LITERALS`` words that are not placeholders say too little and are
-left out. Windows that align (same document, item and offset) must agree on
+fewer than ``LITERALS`` words that are not placeholders say too little by
+themselves. An item that has no other window is compared whole, found by its
+window with the most plain words: it counts if its slots are unchanged, or if
+they agree and at least ``UNCHANGED`` of its tokens are the same. A second key
+with names in lower case finds copies whose case was changed. Windows that align (same document, item and offset) must agree on
 their slots: one benchmark value always stands for one document value and the
 other way round. So a question whose numbers or names were exchanged is
 caught, and an accidental mix is not. A window whose slots are unchanged is
@@ -19,6 +22,8 @@ from pyspark.sql import functions as F
 from postlake.llm.common import materialize
 
 WINDOW, LITERALS = 8, 5
+#: Least share of the same tokens in an item compared whole.
+UNCHANGED = 0.5
 #: Benchmark windows, or contaminated rows, up to which a side is broadcast after it was counted.
 BROADCAST_ROWS = 200_000
 TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]"
@@ -59,14 +64,30 @@ def _window_hashes(tokens: str, width: int) -> Column:
 
 
 def benchmark_windows(items: DataFrame, width: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """(item_id, place, width, hash, template, raw) of each telling window; a short item is one window."""
+    """(item_id, place, lead, width, hash, template, raw, whole) of each telling window and each item without one.
+
+    ``hash`` is that of the ``width`` template tokens behind the first ``lead``.
+    Windows with names come a second time, names as words in lower case.
+    """
     rows = items.select("item_id", "text").filter("item_id is not null and text is not null").distinct()
-    rows = rows.select("item_id", tokens_of(F.col("text")).alias("raw")).withColumn("all", F.transform("raw", template_token))
-    rows = rows.withColumn("width", F.least(F.lit(width), F.size("raw"))).filter("width > 0")
-    rows = rows.select("item_id", "raw", "all", "width", F.explode(_starts(F.size("raw"), F.col("width"))).alias("place"))
-    rows = rows.select("item_id", "place", "width", F.slice("all", F.col("place"), F.col("width")).alias("template"), F.slice("raw", F.col("place"), F.col("width")).alias("raw"))
-    rows = rows.filter(F.size(F.filter("template", lambda t: ~_is_slot(t))) >= literals)
-    return rows.withColumn("hash", F.xxhash64("template"))
+    rows = rows.select("item_id", tokens_of(F.col("text")).alias("words")).withColumn("all", F.transform("words", template_token))
+    rows = rows.withColumn("width", F.least(F.lit(width), F.size("words"))).filter("width > 0")
+    window = F.transform(_starts(F.size("words"), F.col("width")), lambda i: F.struct(
+        F.size(F.filter(F.slice("all", i, F.col("width")), lambda t: ~_is_slot(t))).alias("plain"), (-i).alias("back")))
+    rows = rows.withColumn("best", F.array_max(window))
+    telling = rows.filter(F.col("best.plain") >= literals)
+    telling = telling.withColumn("place", F.explode(F.filter(_starts(F.size("words"), F.col("width")), lambda i: F.size(F.filter(F.slice("all", i, F.col("width")), lambda t: ~_is_slot(t))) >= literals)))
+    telling = telling.select("item_id", "place", F.lit(0).alias("lead"), "width", F.slice("all", F.col("place"), F.col("width")).alias("template"), F.slice("words", F.col("place"), F.col("width")).alias("raw"), F.lit(False).alias("whole"))
+    dense = rows.filter((F.col("best.plain") < literals) & (F.size("words") >= literals))
+    dense = dense.select("item_id", F.lit(1).alias("place"), (-F.col("best.back") - 1).alias("lead"), "width", F.col("all").alias("template"), F.col("words").alias("raw"), F.lit(True).alias("whole"))
+    rows = telling.unionByName(dense)
+    rows = rows.unionByName(rows.filter(F.array_contains("template", NAME)).withColumn("template", folded("template", "raw")))
+    return rows.withColumn("hash", F.xxhash64(F.slice("template", F.col("lead") + 1, F.col("width"))))
+
+
+def folded(template: str, raw: str) -> Column:
+    """A template whose names are words in lower case."""
+    return F.zip_with(template, raw, lambda t, r: F.when(t == NAME, F.lower(r)).otherwise(t))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literals: int = LITERALS) -> DataFrame:
@@ -77,32 +98,43 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literal
     windows, n_verbatim those with unchanged slots (numbers, names and units
     compared in lower case). ``row`` is a hash of id and text. Null or empty
     texts and null item ids match nothing; repeated documents or items are
-    reported once; items with fewer than ``literals`` plain words match nothing;
+    reported once; items with fewer than ``literals`` tokens match nothing;
     empty tables give an empty table. Texts of any length are read whole.
+    Items shorter than ``width`` are not looked for in text that capitalises more.
     """
-    windows = materialize(benchmark_windows(items, width, literals), "benchmark-windows")
+    windows = benchmark_windows(items, width, literals)
+    of = windows.groupBy("item_id").agg(F.count_distinct("place").alias("of"))
+    windows = materialize(windows.join(of, "item_id"), "benchmark-windows")
     widths = sorted(r[0] for r in windows.select("width").distinct().collect())  # at most ``width`` values
     small = windows.count() <= BROADCAST_ROWS
     doc = F.col("doc_id").cast("long")
     texts = docs.select(doc.alias("doc_id"), F.xxhash64(doc, F.col("text")).alias("row"), tokens_of(F.coalesce("text", F.lit(""))).alias("tokens"))
-    texts = texts.withColumn("all", F.transform("tokens", template_token))
+    texts = texts.withColumn("all", F.transform("tokens", template_token)).withColumn("low", folded("all", "tokens"))
     found = None
     for w in widths or [width]:
         hashes = _window_hashes("all", w)
-        here = texts.select("doc_id", "row", "tokens", "all", F.posexplode(hashes).alias("at", "hash"))
-        there = windows.filter(F.col("width") == w)
-        hits = here.join(F.broadcast(there) if small else there, "hash")
-        hits = hits.filter(F.slice("all", F.col("at") + 1, w) == F.col("template"))  # the hash only proposes
-        hits = hits.select("doc_id", "row", "item_id", (F.col("at") + 1 - F.col("place")).alias("offset"), "place", "template", "raw", F.slice("tokens", F.col("at") + 1, w).alias("said"))
+        keys = F.transform(hashes, lambda h, i: F.struct(i.alias("at"), h.alias("hash"), F.lit(False).alias("low")))
+        if w == width:  # windows with a name have a second key
+            low = F.transform(_window_hashes("low", w), lambda h, i: F.struct(i.alias("at"), h.alias("hash"), F.lit(True).alias("low")))
+            keys = F.concat(keys, F.filter(low, lambda k: k["hash"] != hashes[k["at"]]))
+        here = texts.select("doc_id", "row", "tokens", "all", "low", F.explode(keys).alias("key")).select("doc_id", "row", "tokens", F.col("key.hash").alias("hash"), F.col("key.at").alias("at"), F.when(F.col("key.low"), F.col("low")).otherwise(F.col("all")).alias("read"))
+        there = windows.filter(F.col("width") == w).drop("width")
+        hits = here.join(F.broadcast(there) if small else there, "hash").withColumn("from", F.col("at") + 1 - F.col("lead"))
+        # the hash only proposes
+        hits = hits.filter("from > 0").filter(F.slice("read", F.col("from"), F.size("template")) == F.col("template"))
+        hits = hits.select("doc_id", "row", "item_id", (F.col("from") - F.col("place")).alias("offset"), "place", "template", "raw", "whole", "of", F.slice("tokens", F.col("from"), F.size("template")).alias("said"))
         found = hits if found is None else found.unionByName(hits)
     slots = F.filter(F.arrays_zip("template", "raw", "said"), lambda s: _is_slot(s["template"]))
     slots = F.transform(slots, lambda s: F.struct(F.lower(s["raw"]).alias("item"), F.lower(s["said"]).alias("doc")))
     found = found.withColumn("slots", slots)
     found = found.withColumn("unchanged", F.forall("slots", lambda s: s["item"] == s["doc"]))
+    same = F.size(F.filter(F.arrays_zip("raw", "said"), lambda s: F.lower(s["raw"]) == F.lower(s["said"])))
+    found = found.filter(~F.col("whole") | F.col("unchanged") | (same >= UNCHANGED * F.size("template")))
     # windows of one alignment: at most as many as the item has
     aligned = found.groupBy("doc_id", "row", "item_id", "offset").agg(
         F.size(F.collect_set("place")).alias("n"),
         F.size(F.collect_set(F.when(F.col("unchanged"), F.col("place")))).alias("verbatim"),
+        F.max("of").alias("of"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     consistent = (F.size("slots") == F.size(F.array_distinct("slots.item"))) & (F.size("slots") == F.size(F.array_distinct("slots.doc")))
     aligned = aligned.withColumn("n", F.when(consistent, F.col("n")).otherwise(F.col("verbatim"))).filter("n > 0")

@@ -56,3 +56,19 @@ def test_empty_tables(spark, docs_of, items):
     assert dc.contaminated(docs_of([]), items).count() == 0
     assert dc.contaminated(docs_of([ITEM]), none).count() == 0
     assert dc.decontaminate(docs_of([ITEM]), none).count() == 1
+
+
+def test_items_without_a_telling_window(spark, docs_of):
+    texts = ["What is the capital of France?", "What is 17 times 23?", "Wer schrieb den Roman Die Verwandlung?", "Tom has 5 apples. Anna has 3 apples. Ben has 4 apples."]
+    item = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = [f"so: {t} and" for t in texts] + ["What is 40 times 51?", "Sue has 7 apples. Max has 2 apples. Kim has 9 apples.", "Anna met Ben with Tom and 3 others", texts[3].lower(), texts[0].lower()]
+    got = leaks(docs_of(docs), item)
+    assert set(got) == {(0, 0), (1, 1), (2, 2), (3, 3), (4, 1), (5, 3), (7, 3), (8, 0)}
+    assert got[0, 0] == (1, 1) and got[4, 1] == (1, 0)
+
+
+def test_copies_in_another_case(spark, docs_of):
+    text = "the river Rhine runs past Cologne and then on to the sea at Rotterdam"
+    item = spark.createDataFrame([(1, text), (2, text.lower())], "item_id long, text string")
+    got = leaks(docs_of([text.lower(), text.upper(), text.title()]), item)
+    assert set(got) == {(d, i) for d in range(3) for i in (1, 2)}
