@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from postlake.llm.common import materialize
 
 WINDOW, LITERALS = 8, 5
-#: Least share of the same tokens in an item compared whole.
-UNCHANGED = 0.5
+#: Least share of an item's windows in an alignment with changed slots; of the same tokens in an item compared whole.
+COVER, UNCHANGED = 0.5, 0.5
 #: Benchmark windows, or contaminated rows, up to which a side is broadcast after it was counted.
 BROADCAST_ROWS = 200_000
 TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]"
@@ -100,7 +100,9 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literal
     texts and null item ids match nothing; repeated documents or items are
     reported once; items with fewer than ``literals`` tokens match nothing;
     empty tables give an empty table. Texts of any length are read whole.
-    Items shorter than ``width`` are not looked for in text that capitalises more.
+    Changed slots count only where the alignment covers at least COVER of the
+    item's telling windows; a window with unchanged slots counts alone. Items
+    shorter than ``width`` are not looked for in text that capitalises more.
     """
     windows = benchmark_windows(items, width, literals)
     of = windows.groupBy("item_id").agg(F.count_distinct("place").alias("of"))
@@ -137,7 +139,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literal
         F.max("of").alias("of"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     consistent = (F.size("slots") == F.size(F.array_distinct("slots.item"))) & (F.size("slots") == F.size(F.array_distinct("slots.doc")))
-    aligned = aligned.withColumn("n", F.when(consistent, F.col("n")).otherwise(F.col("verbatim"))).filter("n > 0")
+    aligned = aligned.withColumn("n", F.when(consistent & (F.col("n") >= COVER * F.col("of")), F.col("n")).otherwise(F.col("verbatim"))).filter("n > 0")
     return aligned.groupBy("doc_id", "row", "item_id").agg(F.sum("n").alias("n_windows"), F.sum("verbatim").alias("n_verbatim"))
 
 

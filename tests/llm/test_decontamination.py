@@ -72,3 +72,10 @@ def test_copies_in_another_case(spark, docs_of):
     item = spark.createDataFrame([(1, text), (2, text.lower())], "item_id long, text string")
     got = leaks(docs_of([text.lower(), text.upper(), text.title()]), item)
     assert set(got) == {(d, i) for d in range(3) for i in (1, 2)}
+
+
+def test_one_window_with_other_slots_is_no_leak(spark, docs_of):
+    famous = "Paris is one of the most famous Cities"
+    item = spark.createDataFrame([(1, f"{famous} and many people go there every year to see the tower by the river")], "item_id long, text string")
+    got = leaks(docs_of(["Einstein is one of the most famous Germans", f"we read that {famous}"]), item)
+    assert got == {(1, 1): (1, 1)}
