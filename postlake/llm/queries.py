@@ -1,4 +1,4 @@
-"""Driver queries of the ten corpus operators and the pipeline."""
+"""Driver queries of the corpus operators and the pipeline."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from postlake.llm import decontamination, language_id, line_dedup, rank_bpe, sharding, simhash, suffix_tree, token_counts, topk, toxicity
+from postlake.llm import decontamination, language_id, lexical, licenses, line_dedup, rank_bpe, sharding, simhash, spelling, suffix_tree, token_counts, topk, toxicity
 from postlake.llm.common import held_out, table
 from postlake.llm.sql import ORACLES
 
@@ -66,6 +66,18 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(table(spark, sf_dir, "documents"), 5)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), every=199, least_length=6, least_count=5, times=5)
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -77,6 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_topk": op9_topk,
     "op10_suffix_tree": op10_suffix_tree,
+    "op11_spelling": op11_spelling,
+    "op12_licenses": op12_licenses,
+    "op13_lexical": op13_lexical,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = ORACLES

@@ -99,4 +99,32 @@ SELECT doc_id, item_id, CAST(sum(CASE WHEN ok THEN n ELSE verbatim END) AS BIGIN
 FROM aligned WHERE CASE WHEN ok THEN n ELSE verbatim END > 0 GROUP BY doc_id, item_id
 """
 
-ORACLES = {"op7_decontamination": OP7, "op4_line_dedup": OP4, "op9_topk": OP9}
+#: Ten best documents of each item by integer lexical scores.
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL
+), f AS (
+  SELECT r, doc_id, t, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0
+), s AS (
+  SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM f
+), tf AS (
+  SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, doc_id, n, unnest(t) AS term FROM f) GROUP BY ALL
+), i AS (
+  SELECT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+), q AS (
+  SELECT item_id, text, term, CAST(count(*) AS BIGINT) AS q FROM i GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s
+), scored AS (
+  SELECT item_id, text, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), s GROUP BY ALL
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES = {"op13_lexical": OP13, "op7_decontamination": OP7, "op4_line_dedup": OP4, "op9_topk": OP9}

@@ -70,7 +70,7 @@ def test_stages_on_odd_rows(spark, docs_of):
 
 
 @data
-@pytest.mark.parametrize("name", ["op4_line_dedup", "op7_decontamination", "op9_topk"])
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op7_decontamination", "op9_topk", "op13_lexical"])
 def test_queries_equal_their_sql(spark, name):
     import check_oracle
 
