@@ -2,30 +2,45 @@
 
 Texts and benchmark items become templates: numbers, capitalised names and
 units turn into typed placeholders, other words into lower case. Windows of
-``WINDOW`` template tokens are hashed on both sides and joined; windows with
-fewer than ``LITERALS`` words that are not placeholders say too little by
-themselves. An item that has no other window is compared whole, found by its
-window with the most plain words: it counts if its slots are unchanged, or if
-they agree and at least ``UNCHANGED`` of its tokens are the same. A second key
-with names in lower case finds copies whose case was changed. Windows that align (same document, item and offset) must agree on
-their slots: one benchmark value always stands for one document value and the
-other way round. So a question whose numbers or names were exchanged is
-caught, and an accidental mix is not. A window whose slots are unchanged is
-evidence by itself.
+``WINDOW`` template tokens are hashed on both sides and joined; a window with
+a name is hashed a second time with names as lower-case words, which finds
+copies whose case was changed. Windows with fewer than ``LITERALS`` words that
+are not placeholders say too little by themselves. An item that has no other
+window is compared whole, found by its window with the most plain words; if
+even that has fewer than ``PLAIN`` of them, its words and values must be the
+same, and the key is made of them: a run of numbers never meets all others. An
+item of fewer than ``LINE`` tokens counts where it is a line of its own.
+
+Windows that align (same document, item and offset) must agree on their slots:
+one benchmark value always stands for one document value and the other way
+round, over at least the share ``COVER`` of the item's windows. So a question
+whose numbers or names were exchanged is caught, and an accidental mix is not.
+Unchanged windows count without the others of their alignment if they are
+``LONG`` (a run of 13 tokens) or cover that share; one common phrase of eight
+words is no leak.
+
+Documents are read twice: once for the hashes of their windows, carried without
+their texts, and again only those with a hash of the benchmark.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.llm.common import materialize
 
-WINDOW, LITERALS = 8, 5
-#: Least share of an item's windows in an alignment with changed slots; of the same tokens in an item compared whole.
+WINDOW, LITERALS, PLAIN, LINE = 8, 5, 2, 3
+#: Least share of an item's windows in an alignment; of the same tokens in an item compared whole.
 COVER, UNCHANGED = 0.5, 0.5
-#: Benchmark windows, or contaminated rows, up to which a side is broadcast after it was counted.
+#: Unchanged windows that count whatever the item's length.
+LONG = 6
+#: Hashes or rows (two longs) up to which a side is broadcast after it was counted.
 BROADCAST_ROWS = 200_000
+#: Bytes of benchmark windows up to which they are broadcast after they were counted.
+BROADCAST_BYTES = 32 << 20
 TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]"
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 UNITS = (
@@ -40,15 +55,26 @@ def tokens_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-def template_token(token: Column) -> Column:
-    """Placeholder of a number, unit or capitalised name; any other word in lower case."""
-    low, first = F.lower(token), F.substring(token, 1, 1)
-    return (
-        F.when((first >= "0") & (first <= "9"), NUMBER)
-        .when((low != token) & (F.initcap(token) == token), NAME)
-        .when(low.isin(UNITS), UNIT)
-        .otherwise(low)
-    )
+def lowered(tokens: str) -> Column:
+    return F.transform(tokens, lambda t: F.lower(t))
+
+
+def templates(tokens: str, low: str) -> Column:
+    """Placeholders of numbers, units and capitalised names; other words in lower case.
+
+    ``low`` holds the tokens in lower case. A token that starts with a digit is a number.
+    """
+    def kind(t: Column, l: Column) -> Column:
+        word = F.when(l.isin(UNITS), UNIT).otherwise(l)
+        same = F.when((l >= "0") & (l < ":"), NUMBER).otherwise(word)
+        return F.when(l == t, same).when(F.initcap(t) == t, NAME).otherwise(word)
+
+    return F.zip_with(tokens, low, kind)
+
+
+def folded(template: str | Column, low: str | Column) -> Column:
+    """A template whose names are words in lower case."""
+    return F.zip_with(template, low, lambda t, l: F.when(t == NAME, l).otherwise(t))
 
 
 def _is_slot(token: Column) -> Column:
@@ -59,35 +85,120 @@ def _starts(size: Column, width: Column) -> Column:
     return F.when(size >= width, F.sequence(F.lit(1), size - width + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _window_hashes(tokens: str, width: int) -> Column:
-    return F.transform(_starts(F.size(tokens), F.lit(width)), lambda i: F.xxhash64(F.slice(tokens, i, width)))
+def _shifted(values: Column, by: int) -> Column:
+    return F.slice(values, F.lit(by + 1), F.greatest(F.size(values) - by, F.lit(0)))
+
+
+def _window_hash(tokens: Column, width: int) -> Column:
+    """Hash of the first ``width`` of ``tokens``, as ``_window_hashes`` has it for each place."""
+    return F.get(_window_hashes(F.transform(tokens, lambda t: F.xxhash64(t)), width), F.lit(0))
+
+
+def _window_hashes(hashes: Column, width: int) -> Column:
+    """Hashes of all runs of ``width`` tokens from the tokens' hashes.
+
+    A run is put together of runs of 1, 2, 4, … tokens, so each place costs a
+    few steps whatever the width.
+    """
+    power, block, done, out = 1, hashes, 0, None
+    while power <= width:
+        if width & power:
+            shifted = _shifted(block, done) if done else block
+            out = shifted if out is None else F.zip_with(out, shifted, lambda a, b: F.xxhash64(a, b))
+            done += power
+        block = F.zip_with(block, _shifted(block, power), lambda a, b: F.xxhash64(a, b))
+        power *= 2
+    return F.slice(out, F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(0)))
+
+
+def _hash_of_width(tokens: Column, width: str, most: int) -> Column:
+    """``_window_hash`` where the width is a column of values 1 to ``most``."""
+    return reduce(lambda rest, w: F.when(F.col(width) == w, _window_hash(tokens, w)).otherwise(rest), range(1, most + 1), F.lit(None).cast("long"))
 
 
 def benchmark_windows(items: DataFrame, width: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """(item_id, place, lead, width, hash, template, raw, whole) of each telling window and each item without one.
+    """(item_id, place, lead, width, kind, hash, template, raw, of): each telling window, and each item without one.
 
-    ``hash`` is that of the ``width`` template tokens behind the first ``lead``.
-    Windows with names come a second time, names as words in lower case.
+    ``hash`` is that of the ``width`` tokens behind the first ``lead``; kind is
+    ``window``, ``whole`` (found by its template), ``values`` (found by its own
+    words) or ``line``; ``of`` is the number of the item's windows. Windows with
+    names come a second time, names as words in lower case.
     """
-    rows = items.select("item_id", "text").filter("item_id is not null and text is not null").distinct()
-    rows = rows.select("item_id", tokens_of(F.col("text")).alias("words")).withColumn("all", F.transform("words", template_token))
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct()
+    rows = rows.select("item_id", tokens_of(F.col("text")).alias("words")).distinct().withColumn("low", lowered("words")).withColumn("all", templates("words", "low"))
     rows = rows.withColumn("width", F.least(F.lit(width), F.size("words"))).filter("width > 0")
-    window = F.transform(_starts(F.size("words"), F.col("width")), lambda i: F.struct(
-        F.size(F.filter(F.slice("all", i, F.col("width")), lambda t: ~_is_slot(t))).alias("plain"), (-i).alias("back")))
-    rows = rows.withColumn("best", F.array_max(window))
-    telling = rows.filter(F.col("best.plain") >= literals)
-    telling = telling.withColumn("place", F.explode(F.filter(_starts(F.size("words"), F.col("width")), lambda i: F.size(F.filter(F.slice("all", i, F.col("width")), lambda t: ~_is_slot(t))) >= literals)))
-    telling = telling.select("item_id", "place", F.lit(0).alias("lead"), "width", F.slice("all", F.col("place"), F.col("width")).alias("template"), F.slice("words", F.col("place"), F.col("width")).alias("raw"), F.lit(False).alias("whole"))
-    dense = rows.filter((F.col("best.plain") < literals) & (F.size("words") >= literals))
-    dense = dense.select("item_id", F.lit(1).alias("place"), (-F.col("best.back") - 1).alias("lead"), "width", F.col("all").alias("template"), F.col("words").alias("raw"), F.lit(True).alias("whole"))
+
+    def plain(i: Column) -> Column:
+        return F.size(F.filter(F.slice("all", i, F.col("width")), lambda t: ~_is_slot(t)))
+
+    window = F.transform(_starts(F.size("words"), F.col("width")), lambda i: F.struct(plain(i).alias("plain"), (-i).alias("back")))
+    rows = rows.withColumn("windows", window).withColumn("best", F.array_max("windows"))
+    telling = rows.filter(F.col("best.plain") >= literals).withColumn("places", F.transform(F.filter("windows", lambda x: x["plain"] >= literals), lambda x: -x["back"]))
+    telling = telling.select("item_id", F.explode("places").alias("place"), F.lit(0).alias("lead"), "width", F.lit("window").alias("kind"), "all", "words", F.size("places").alias("of"))
+    telling = telling.select("item_id", "place", "lead", "width", "kind", F.slice("all", F.col("place"), F.col("width")).alias("template"), F.slice("words", F.col("place"), F.col("width")).alias("raw"), "of")
+    dense = rows.filter(F.col("best.plain") < literals)
+    kind = F.when(F.size("words") < LINE, "line").when(F.col("best.plain") < PLAIN, "values").otherwise("whole")
+    lead = F.when(kind == "whole", -F.col("best.back") - 1).otherwise(0)
+    template = F.when(kind == "whole", F.col("all")).otherwise(F.col("low"))
+    dense = dense.select("item_id", F.lit(1).alias("place"), lead.alias("lead"), "width", kind.alias("kind"), template.alias("template"), F.col("words").alias("raw"), F.lit(1).alias("of"))
     rows = telling.unionByName(dense)
-    rows = rows.unionByName(rows.filter(F.array_contains("template", NAME)).withColumn("template", folded("template", "raw")))
-    return rows.withColumn("hash", F.xxhash64(F.slice("template", F.col("lead") + 1, F.col("width"))))
+    named = rows.filter(F.col("kind").isin("window", "whole") & F.array_contains("template", NAME))
+    rows = rows.unionByName(named.withColumn("template", folded("template", lowered("raw"))))
+    # the words of a template and of values live in hash spaces of their own
+    salt = F.when(F.col("kind").isin("values", "line"), F.col("kind")).otherwise("")
+    keyed = rows.withColumn("hash", _hash_of_width(F.slice("template", F.col("lead") + 1, F.col("width")), "width", width))
+    return keyed.withColumn("hash", F.xxhash64(salt, "hash"))
 
 
-def folded(template: str, raw: str) -> Column:
-    """A template whose names are words in lower case."""
-    return F.zip_with(template, raw, lambda t, r: F.when(t == NAME, F.lower(r)).otherwise(t))
+def _keys(hashes: Column, salt: str, kind: str) -> Column:
+    """Place, salted hash and kind of each hash; a null hash stays null."""
+    return F.transform(hashes, lambda h, i: F.struct((i + 1).alias("at"), F.when(h.isNotNull(), F.xxhash64(F.lit(salt), h)).alias("hash"), F.lit(kind).alias("as")))
+
+
+def _found_windows(texts: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
+    """(doc_id, row, at, as, hash) of document windows whose hash the benchmark has.
+
+    ``as`` tells what was hashed: a template (names as placeholders or as words), values or a line.
+    """
+    known = windows.select("hash").distinct()
+    known = F.broadcast(known) if small else known
+    shapes = {(r.width, r.kind) for r in windows.select("width", "kind").distinct().collect()}  # at most 4 kinds of WINDOW widths
+    read = texts.select("doc_id", "row", tokens_of(F.col("text")).alias("tokens")).withColumn("low", lowered("tokens")).withColumn("all", templates("tokens", "low"))
+    read = read.select("doc_id", "row", *(F.transform(c, lambda t: F.xxhash64(t)).alias(name) for c, name in ((F.col("all"), "h0"), (folded("all", "low"), "h1"), (F.col("low"), "h2"))))
+    keys = []
+    for w in sorted({w for w, kind in shapes if kind in ("window", "whole")}):
+        keys.append(_keys(_window_hashes(F.col("h0"), w), "", "template"))
+        # only places with a name have a second reading
+        second = F.zip_with(_window_hashes(F.col("h0"), w), _window_hashes(F.col("h1"), w), lambda a, b: F.when(a != b, b))
+        keys.append(F.filter(_keys(second, "", "template"), lambda k: k["hash"].isNotNull()))
+    for w in sorted({w for w, kind in shapes if kind == "values"}):
+        keys.append(_keys(_window_hashes(F.col("h2"), w), "values", "values"))
+    found = read.select("doc_id", "row", F.explode(F.concat(*keys)).alias("key")).select("doc_id", "row", "key.*").join(known, "hash", "left_semi") if keys else None
+    lines = sorted({w for w, kind in shapes if kind == "line"})
+    if lines:
+        short = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("low", lowered(tokens_of(F.col("line"))))
+        short = short.filter(F.size("low").isin(lines)).withColumn("width", F.size("low"))
+        short = short.select("doc_id", "row", "at", F.xxhash64(F.lit("line"), _hash_of_width(F.col("low"), "width", max(lines))).alias("hash"), F.lit("line").alias("as"))
+        short = short.join(known, "hash", "left_semi")
+        found = short if found is None else found.unionByName(short)
+    return found
+
+
+def _said(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, row, as, start, length, said): the tokens of each wanted span, texts read and split once a document."""
+    wanted = spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("as", "start", "length")).alias("spans"))  # of one document
+    wanted = materialize(wanted.toDF("in_doc", "in_row", "spans"), "window-spans")
+    asked = wanted.select(F.col("in_row").alias("row")).distinct()
+    asked = F.broadcast(asked) if wanted.count() <= BROADCAST_ROWS else asked
+    some = texts.join(asked, "row", "left_semi").dropDuplicates(["doc_id", "row"])
+    both = some.join(wanted, (F.col("row") == F.col("in_row")) & F.col("doc_id").eqNullSafe(F.col("in_doc"))).select("doc_id", "row", "spans", "text")
+    both = both.withColumn("lines", F.split("text", "\n")).withColumn("tokens", tokens_of(F.col("text")))
+
+    def cut(s: Column) -> Column:
+        said = F.when(s["as"] == "line", tokens_of(F.get("lines", s["start"]))).otherwise(F.slice("tokens", F.greatest(s["start"], F.lit(1)), s["length"]))
+        return F.struct(s["as"].alias("as"), s["start"].alias("start"), s["length"].alias("length"), said.alias("said"))
+
+    return both.select("doc_id", "row", F.explode(F.transform("spans", cut)).alias("s")).select("doc_id", "row", "s.*")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literals: int = LITERALS) -> DataFrame:
@@ -95,56 +206,54 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literal
 
     ``docs`` needs doc_id and text, ``items`` item_id and text; other columns
     are ignored, whatever their names. n_windows counts the consistent matching
-    windows, n_verbatim those with unchanged slots (numbers, names and units
-    compared in lower case). ``row`` is a hash of id and text. Null or empty
-    texts and null item ids match nothing; repeated documents or items are
-    reported once; items with fewer than ``literals`` tokens match nothing;
-    empty tables give an empty table. Texts of any length are read whole.
-    Changed slots count only where the alignment covers at least COVER of the
-    item's telling windows; a window with unchanged slots counts alone. Items
-    shorter than ``width`` are not looked for in text that capitalises more.
+    windows (1 for an item compared whole), n_verbatim those with unchanged slots
+    (numbers, names and units compared in lower case). ``row`` is a hash of id and
+    text. Null or empty texts and null item ids match nothing; a null doc_id is
+    reported as null; repeated documents or items are reported once; empty tables
+    give an empty table. Texts of any length are read whole.
     """
-    windows = benchmark_windows(items, width, literals)
-    of = windows.groupBy("item_id").agg(F.count_distinct("place").alias("of"))
-    windows = materialize(windows.join(of, "item_id"), "benchmark-windows")
-    widths = sorted(r[0] for r in windows.select("width").distinct().collect())  # at most ``width`` values
-    small = windows.count() <= BROADCAST_ROWS
-    doc = F.col("doc_id").cast("long")
-    texts = docs.select(doc.alias("doc_id"), F.xxhash64(doc, F.col("text")).alias("row"), tokens_of(F.coalesce("text", F.lit(""))).alias("tokens"))
-    texts = texts.withColumn("all", F.transform("tokens", template_token)).withColumn("low", folded("all", "tokens"))
-    found = None
-    for w in widths or [width]:
-        hashes = _window_hashes("all", w)
-        keys = F.transform(hashes, lambda h, i: F.struct(i.alias("at"), h.alias("hash"), F.lit(False).alias("low")))
-        if w == width:  # windows with a name have a second key
-            low = F.transform(_window_hashes("low", w), lambda h, i: F.struct(i.alias("at"), h.alias("hash"), F.lit(True).alias("low")))
-            keys = F.concat(keys, F.filter(low, lambda k: k["hash"] != hashes[k["at"]]))
-        here = texts.select("doc_id", "row", "tokens", "all", "low", F.explode(keys).alias("key")).select("doc_id", "row", "tokens", F.col("key.hash").alias("hash"), F.col("key.at").alias("at"), F.when(F.col("key.low"), F.col("low")).otherwise(F.col("all")).alias("read"))
-        there = windows.filter(F.col("width") == w).drop("width")
-        hits = here.join(F.broadcast(there) if small else there, "hash").withColumn("from", F.col("at") + 1 - F.col("lead"))
-        # the hash only proposes
-        hits = hits.filter("from > 0").filter(F.slice("read", F.col("from"), F.size("template")) == F.col("template"))
-        hits = hits.select("doc_id", "row", "item_id", (F.col("from") - F.col("place")).alias("offset"), "place", "template", "raw", "whole", "of", F.slice("tokens", F.col("from"), F.size("template")).alias("said"))
-        found = hits if found is None else found.unionByName(hits)
+    windows = materialize(benchmark_windows(items, width, literals), "benchmark-windows")
+    measure = F.sum(F.octet_length(F.concat_ws(" ", "template")) + F.octet_length(F.concat_ws(" ", "raw")) + 128)
+    rows, size = windows.agg(F.count("*"), F.coalesce(measure, F.lit(0))).first()
+    doc, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    texts = docs.select(doc.alias("doc_id"), F.xxhash64(doc, F.col("text")).alias("row"), text.alias("text"))
+    found = _found_windows(texts, windows, rows <= BROADCAST_ROWS)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], "doc_id long, row long, item_id long, n_windows long, n_verbatim long")
+    found = materialize(found.distinct(), "window-hits")
+    hits = found.join(F.broadcast(windows) if size <= BROADCAST_BYTES else windows, "hash")
+    start = F.when(F.col("as") == "line", F.col("at")).otherwise(F.col("at") - F.col("lead"))
+    hits = hits.withColumn("start", start).withColumn("length", F.size("template")).filter("start > 0 or `as` = 'line'").drop("hash", "at", "lead", "width")
+    hits = materialize(hits, "window-candidates")
+    said = _said(texts, hits.select("doc_id", "row", "as", "start", "length").distinct())
+    said = said.toDF(*(f"in_{c}" for c in said.columns))
+    same_span = [F.col(c) == F.col(f"in_{c}") for c in ("row", "as", "start", "length")] + [F.col("doc_id").eqNullSafe(F.col("in_doc_id"))]
+    found = hits.join(said, reduce(lambda a, b: a & b, same_span)).select(*hits.columns, F.col("in_said").alias("said"))
+    # the hash only proposes
+    found = found.withColumn("low", lowered("said")).withColumn("all", templates("said", "low"))
+    template = F.col("template")
+    same_template = (F.col("as") == "template") & ((F.col("all") == template) | (folded("all", "low") == template))
+    found = found.filter(same_template | ((F.col("as") != "template") & (F.col("low") == template)))
     slots = F.filter(F.arrays_zip("template", "raw", "said"), lambda s: _is_slot(s["template"]))
     slots = F.transform(slots, lambda s: F.struct(F.lower(s["raw"]).alias("item"), F.lower(s["said"]).alias("doc")))
-    found = found.withColumn("slots", slots)
-    found = found.withColumn("unchanged", F.forall("slots", lambda s: s["item"] == s["doc"]))
-    same = F.size(F.filter(F.arrays_zip("raw", "said"), lambda s: F.lower(s["raw"]) == F.lower(s["said"])))
-    found = found.filter(~F.col("whole") | F.col("unchanged") | (same >= UNCHANGED * F.size("template")))
+    found = found.withColumn("slots", slots).withColumn("unchanged", F.forall("slots", lambda s: s["item"] == s["doc"]))
+    same = F.size(F.filter(F.arrays_zip("raw", "low"), lambda s: F.lower(s["raw"]) == s["low"]))
+    found = found.filter((F.col("kind") != "whole") | F.col("unchanged") | (same >= UNCHANGED * F.size("template")))
     # windows of one alignment: at most as many as the item has
-    aligned = found.groupBy("doc_id", "row", "item_id", "offset").agg(
+    aligned = found.groupBy("doc_id", "row", "item_id", (F.col("start") - F.col("place")).alias("offset"), (F.col("as") == "line").alias("line")).agg(
         F.size(F.collect_set("place")).alias("n"),
         F.size(F.collect_set(F.when(F.col("unchanged"), F.col("place")))).alias("verbatim"),
         F.max("of").alias("of"),
         F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     consistent = (F.size("slots") == F.size(F.array_distinct("slots.item"))) & (F.size("slots") == F.size(F.array_distinct("slots.doc")))
-    aligned = aligned.withColumn("n", F.when(consistent & (F.col("n") >= COVER * F.col("of")), F.col("n")).otherwise(F.col("verbatim"))).filter("n > 0")
+    alone = (F.col("verbatim") >= LONG) | (F.col("verbatim") >= COVER * F.col("of"))
+    n = F.when(consistent & (F.col("n") >= COVER * F.col("of")), F.col("n")).when(alone, F.col("verbatim")).otherwise(0)
+    aligned = aligned.withColumn("n", n).filter("n > 0")
     return aligned.groupBy("doc_id", "row", "item_id").agg(F.sum("n").alias("n_windows"), F.sum("verbatim").alias("n_verbatim"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """``docs`` without the rows that leak a benchmark item, all columns (but no ``__row``) kept."""
+    """``docs`` without the rows that leak a benchmark item, all columns (but no ``__row``, ``__doc``) kept."""
     leaks = materialize(contaminated(docs, items, width, literals).select(F.col("row").alias("__row"), F.col("doc_id").alias("__doc")).distinct(), "leaks")
     leaks = F.broadcast(leaks) if leaks.count() <= BROADCAST_ROWS else leaks
     keyed = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))

@@ -64,39 +64,68 @@ OP7 = r"""
 WITH units AS (
   SELECT list_concat(string_split('km cm mm kg mg ml mph kmh lb lbs oz ft hour hours minute minutes second seconds day days week weeks month months year years mile miles meter meters metre metres kilometer kilometers kilometre kilometres centimeter centimeters gram grams kilogram kilograms liter liters litre litres gallon gallons inch inches foot feet yard yards ton tons pound pounds dollar dollars euro euros cent cents percent degree degrees', ' '), ['%', '$', '€', '£', '°']) AS u
 ), raw AS (
-  SELECT DISTINCT 'd' AS side, doc_id AS id, regexp_extract_all(coalesce(text, ''), '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') AS t FROM documents
+  SELECT DISTINCT 'd' AS side, doc_id AS id, text, regexp_extract_all(coalesce(text, ''), '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') AS t FROM documents
   UNION ALL
-  SELECT DISTINCT 'b', item_id, regexp_extract_all(text, '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
-), tpl AS (
-  SELECT side, id, t, list_transform(t, lambda x: CASE
+  SELECT DISTINCT 'b', item_id, NULL, regexp_extract_all(text, '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+), shape AS (
+  SELECT side, id, text, row_number() OVER () AS r, t, list_transform(t, lambda x: lower(x)) AS l, list_transform(t, lambda x: CASE
       WHEN x[1] BETWEEN '0' AND '9' THEN '<number>'
       WHEN lower(x) <> x AND upper(x[1]) || lower(x[2:]) = x THEN '<name>'
       WHEN list_contains(u, lower(x)) THEN '<unit>' ELSE lower(x) END) AS m
   FROM raw, units
+), tpl AS (
+  SELECT *, list_transform(range(1, len(t) + 1), lambda i: CASE WHEN m[i] = '<name>' THEN l[i] ELSE m[i] END) AS f FROM shape
 ), b AS (
-  SELECT id AS item_id, p AS place, w, m[p:p + w - 1] AS m, t[p:p + w - 1] AS t
-  FROM (SELECT id, t, m, least(8, len(t)) AS w, unnest(range(1, len(t) - least(8, len(t)) + 2)) AS p FROM tpl WHERE side = 'b' AND len(t) > 0)
-), telling AS (
-  SELECT * FROM b WHERE len(list_filter(m, lambda x: x NOT IN ('<number>', '<name>', '<unit>'))) >= 5
+  SELECT id AS item_id, r AS item, t, l, m, f, least(8, len(t)) AS w FROM tpl WHERE side = 'b' AND len(t) > 0
+), bw AS (
+  SELECT *, len(list_filter(m[p:p + w - 1], lambda x: x NOT IN ('<number>', '<name>', '<unit>'))) AS plain
+  FROM (SELECT *, unnest(range(1, len(t) - w + 2)) AS p FROM b)
+), best AS (
+  SELECT item, max(plain) AS most, count(*) FILTER (plain >= 5) AS windows FROM bw GROUP BY item
+), wanted AS (
+  SELECT item_id, 'window' AS kind, p AS place, windows AS n_of, m[p:p + w - 1] AS m, f[p:p + w - 1] AS f, t[p:p + w - 1] AS t FROM bw JOIN best USING (item) WHERE plain >= 5
+  UNION ALL
+  SELECT item_id, CASE WHEN len(t) < 3 THEN 'line' WHEN most < 2 THEN 'values' ELSE 'whole' END, 1, 1, m, f, t FROM b JOIN best USING (item) WHERE most < 5
+), bench AS (
+  SELECT item_id, kind, place, n_of, t, CASE WHEN kind IN ('values', 'line') THEN list_transform(t, lambda x: lower(x)) ELSE m END AS reading FROM wanted
+  UNION
+  SELECT item_id, kind, place, n_of, t, f FROM wanted WHERE kind IN ('window', 'whole')
 ), d AS (
-  SELECT id AS doc_id, p AS spot, w, m[p:p + w - 1] AS m, t[p:p + w - 1] AS t
-  FROM (SELECT id, t, m, w, unnest(range(1, len(t) - w + 2)) AS p FROM tpl, (SELECT DISTINCT w FROM telling) WHERE side = 'd' AND len(t) >= w)
+  SELECT r, id AS doc_id, p AS spot, t[p:p + w - 1] AS t, l[p:p + w - 1] AS l, m[p:p + w - 1] AS m, f[p:p + w - 1] AS f
+  FROM (SELECT *, unnest(range(1, len(t) - w + 2)) AS p FROM tpl, (SELECT DISTINCT len(reading) AS w FROM bench WHERE kind <> 'line') WHERE side = 'd' AND len(t) >= w)
+), lines AS (
+  SELECT r, id AS doc_id, i AS spot, regexp_extract_all(string_split(text, chr(10))[i], '[0-9]+(?:[.,:/][0-9]+)*|\p{L}+|[%$€£°]') AS t
+  FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM tpl, (SELECT 1 FROM bench WHERE kind = 'line' LIMIT 1) WHERE side = 'd')
+), said AS (
+  SELECT r, doc_id, spot, 'template' AS how, t, m AS reading FROM d
+  UNION
+  SELECT r, doc_id, spot, 'template', t, f FROM d
+  UNION
+  SELECT r, doc_id, spot, 'values', t, l FROM d WHERE EXISTS (SELECT 1 FROM bench WHERE kind = 'values')
+  UNION
+  SELECT r, doc_id, spot, 'line', t, list_transform(t, lambda x: lower(x)) FROM lines
 ), hits AS (
-  SELECT doc_id, item_id, spot - place AS off, place, telling.m AS m, telling.t AS bt, d.t AS dt FROM d JOIN telling USING (m, w)
-), slot AS (
-  SELECT doc_id, item_id, off, place, m[i] AS kind, lower(bt[i]) AS bv, lower(dt[i]) AS dv
-  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM hits)
+  SELECT r, doc_id, item_id, bench.kind, place, n_of, spot - place AS off, reading, bench.t AS bt, said.t AS dt
+  FROM bench JOIN said USING (reading)
+  WHERE how = CASE WHEN bench.kind IN ('window', 'whole') THEN 'template' ELSE bench.kind END
+), judged AS (
+  SELECT *, list_filter(range(1, len(reading) + 1), lambda i: reading[i] IN ('<number>', '<name>', '<unit>')) AS slots,
+         len(list_filter(range(1, len(reading) + 1), lambda i: lower(bt[i]) = lower(dt[i]))) AS same
+  FROM hits
+), paired AS (
+  SELECT * EXCLUDE (slots), list_transform(slots, lambda i: {'b': lower(bt[i]), 'd': lower(dt[i])}) AS slots FROM judged
 ), win AS (
-  SELECT doc_id, item_id, off, place, bool_and(kind NOT IN ('<number>', '<name>', '<unit>') OR bv = dv) AS same FROM slot GROUP BY ALL
-), agree AS (
-  SELECT doc_id, item_id, off, count(DISTINCT (bv, dv)) AS n2, count(DISTINCT bv) AS nb, count(DISTINCT dv) AS nd
-  FROM slot WHERE kind IN ('<number>', '<name>', '<unit>') GROUP BY ALL
+  SELECT *, len(list_filter(slots, lambda s: s.b <> s.d)) = 0 AS unchanged FROM paired
 ), aligned AS (
-  SELECT w.doc_id, w.item_id, w.off, count(*) AS n, count(*) FILTER (same) AS verbatim, coalesce(any_value(n2 = nb AND n2 = nd), true) AS ok
-  FROM win w LEFT JOIN agree USING (doc_id, item_id, off) GROUP BY ALL
+  SELECT r, doc_id, item_id, off, kind = 'line' AS line, count(DISTINCT place) AS n, count(DISTINCT place) FILTER (unchanged) AS verbatim, max(n_of) AS n_of, list_distinct(flatten(list(slots))) AS slots
+  FROM win WHERE kind <> 'whole' OR unchanged OR same >= 0.5 * len(reading) GROUP BY ALL
+), counted AS (
+  SELECT *, CASE WHEN len(slots) = len(list_distinct(list_transform(slots, lambda s: s.b))) AND len(slots) = len(list_distinct(list_transform(slots, lambda s: s.d))) AND n >= 0.5 * n_of THEN n
+      WHEN verbatim >= 6 OR verbatim >= 0.5 * n_of THEN verbatim ELSE 0 END AS windows
+  FROM aligned
 )
-SELECT doc_id, item_id, CAST(sum(CASE WHEN ok THEN n ELSE verbatim END) AS BIGINT) AS n_windows, CAST(sum(verbatim) AS BIGINT) AS n_verbatim
-FROM aligned WHERE CASE WHEN ok THEN n ELSE verbatim END > 0 GROUP BY doc_id, item_id
+SELECT doc_id, item_id, CAST(sum(windows) AS BIGINT) AS n_windows, CAST(sum(verbatim) AS BIGINT) AS n_verbatim
+FROM counted WHERE windows > 0 GROUP BY r, doc_id, item_id
 """
 
 #: Ten best documents of each item by integer lexical scores.
