@@ -89,26 +89,44 @@ def _shifted(values: Column, by: int) -> Column:
     return F.slice(values, F.lit(by + 1), F.greatest(F.size(values) - by, F.lit(0)))
 
 
-def _window_hash(tokens: Column, width: int) -> Column:
-    """Hash of the first ``width`` of ``tokens``, as ``_window_hashes`` has it for each place."""
-    return F.get(_window_hashes(F.transform(tokens, lambda t: F.xxhash64(t)), width), F.lit(0))
-
+def _joined(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
 
-def _window_hashes(hashes: Column, width: int) -> Column:
-    """Hashes of all runs of ``width`` tokens from the tokens' hashes.
 
-    A run is put together of runs of 1, 2, 4, … tokens, so each place costs a
-    few steps whatever the width.
-    """
-    power, block, done, out = 1, hashes, 0, None
-    while power <= width:
+def _window_hashes(levels: dict[int, Column], width: int) -> Column:
+    """Hashes of all runs of ``width`` tokens, from those of the runs of 1, 2, 4, … tokens."""
+    done, out = 0, None
+    for power, block in levels.items():
         if width & power:
             shifted = _shifted(block, done) if done else block
-            out = shifted if out is None else F.zip_with(out, shifted, lambda a, b: F.xxhash64(a, b))
+            out = shifted if out is None else _joined(out, shifted)
             done += power
-        block = F.zip_with(block, _shifted(block, power), lambda a, b: F.xxhash64(a, b))
-        power *= 2
-    return F.slice(out, F.lit(1), F.greatest(F.size(hashes) - (width - 1), F.lit(0)))
+    return F.slice(out, F.lit(1), F.greatest(F.size(levels[1]) - (width - 1), F.lit(0)))
+
+
+def _powers(most: int) -> list[int]:
+    return [1 << k for k in range(most.bit_length())]
+
+
+def _with_levels(read: DataFrame, name: str, most: int) -> DataFrame:
+    """Token hashes ``name`` and, as columns, those of runs of 2, 4, … up to ``most`` tokens.
+
+    Each level is a column of its own: inside one expression Spark would work
+    out the lower levels again for each of their uses.
+    """
+    read = read.withColumn(f"{name}_1", F.col(name))
+    for power in _powers(most)[1:]:
+        half = F.col(f"{name}_{power // 2}")
+        read = read.withColumn(f"{name}_{power}", _joined(half, _shifted(half, power // 2)))
+    return read
+
+
+def _window_hash(tokens: Column, width: int) -> Column:
+    """Hash of the first ``width`` of a few ``tokens``, as ``_window_hashes`` has it for each place."""
+    levels = {1: F.transform(tokens, lambda t: F.xxhash64(t))}
+    for power in _powers(width)[1:]:
+        levels[power] = _joined(levels[power // 2], _shifted(levels[power // 2], power // 2))
+    return F.get(_window_hashes(levels, width), F.lit(0))
 
 
 def _hash_of_width(tokens: Column, width: str, most: int) -> Column:
@@ -163,16 +181,25 @@ def _found_windows(texts: DataFrame, windows: DataFrame, small: bool) -> DataFra
     known = windows.select("hash").distinct()
     known = F.broadcast(known) if small else known
     shapes = {(r.width, r.kind) for r in windows.select("width", "kind").distinct().collect()}  # at most 4 kinds of WINDOW widths
+    telling = sorted({w for w, kind in shapes if kind in ("window", "whole")})
+    values = sorted({w for w, kind in shapes if kind == "values"})
     read = texts.select("doc_id", "row", tokens_of(F.col("text")).alias("tokens")).withColumn("low", lowered("tokens")).withColumn("all", templates("tokens", "low"))
-    read = read.select("doc_id", "row", *(F.transform(c, lambda t: F.xxhash64(t)).alias(name) for c, name in ((F.col("all"), "h0"), (folded("all", "low"), "h1"), (F.col("low"), "h2"))))
+    readings = {"template": F.col("all"), "folded": folded("all", "low")} if telling else {}
+    readings |= {"values": F.col("low")} if values else {}
+    read = read.select("doc_id", "row", *(F.transform(c, lambda t: F.xxhash64(t)).alias(name) for name, c in readings.items()))
+    for name in readings:
+        widths = values if name == "values" else telling
+        read = _with_levels(read, name, max(widths))
+        levels = {power: F.col(f"{name}_{power}") for power in _powers(max(widths))}
+        for w in widths:
+            read = read.withColumn(f"{name}_of_{w}", _window_hashes(levels, w))
     keys = []
-    for w in sorted({w for w, kind in shapes if kind in ("window", "whole")}):
-        keys.append(_keys(_window_hashes(F.col("h0"), w), "", "template"))
+    for w in telling:
+        keys.append(_keys(F.col(f"template_of_{w}"), "", "template"))
         # only places with a name have a second reading
-        second = F.zip_with(_window_hashes(F.col("h0"), w), _window_hashes(F.col("h1"), w), lambda a, b: F.when(a != b, b))
+        second = F.zip_with(f"template_of_{w}", f"folded_of_{w}", lambda a, b: F.when(a != b, b))
         keys.append(F.filter(_keys(second, "", "template"), lambda k: k["hash"].isNotNull()))
-    for w in sorted({w for w, kind in shapes if kind == "values"}):
-        keys.append(_keys(_window_hashes(F.col("h2"), w), "values", "values"))
+    keys += [_keys(F.col(f"values_of_{w}"), "values", "values") for w in values]
     found = read.select("doc_id", "row", F.explode(F.concat(*keys)).alias("key")).select("doc_id", "row", "key.*").join(known, "hash", "left_semi") if keys else None
     lines = sorted({w for w, kind in shapes if kind == "line"})
     if lines:
