@@ -94,14 +94,17 @@ def _joined(a: Column, b: Column) -> Column:
 
 
 def _window_hashes(levels: dict[int, Column], width: int) -> Column:
-    """Hashes of all runs of ``width`` tokens, from those of the runs of 1, 2, 4, … tokens."""
+    """Hash of the run of ``width`` tokens at each place, from those of runs of 1, 2, 4, … tokens.
+
+    The last places, where fewer tokens follow, have hashes of no window.
+    """
     done, out = 0, None
     for power, block in levels.items():
         if width & power:
             shifted = _shifted(block, done) if done else block
             out = shifted if out is None else _joined(out, shifted)
             done += power
-    return F.slice(out, F.lit(1), F.greatest(F.size(levels[1]) - (width - 1), F.lit(0)))
+    return out
 
 
 def _powers(most: int) -> list[int]:
@@ -162,15 +165,8 @@ def benchmark_windows(items: DataFrame, width: int = WINDOW, literals: int = LIT
     rows = telling.unionByName(dense)
     named = rows.filter(F.col("kind").isin("window", "whole") & F.array_contains("template", NAME))
     rows = rows.unionByName(named.withColumn("template", folded("template", lowered("raw"))))
-    # the words of a template and of values live in hash spaces of their own
-    salt = F.when(F.col("kind").isin("values", "line"), F.col("kind")).otherwise("")
     keyed = rows.withColumn("hash", _hash_of_width(F.slice("template", F.col("lead") + 1, F.col("width")), "width", width))
-    return keyed.withColumn("hash", F.xxhash64(salt, "hash"))
-
-
-def _keys(hashes: Column, salt: str, kind: str) -> Column:
-    """Place, salted hash and kind of each hash; a null hash stays null."""
-    return F.transform(hashes, lambda h, i: F.struct((i + 1).alias("at"), F.when(h.isNotNull(), F.xxhash64(F.lit(salt), h)).alias("hash"), F.lit(kind).alias("as")))
+    return keyed.withColumn("hash", F.when(F.col("kind") == "line", F.xxhash64("kind", "hash")).otherwise(F.col("hash")))
 
 
 def _found_windows(texts: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
@@ -193,14 +189,22 @@ def _found_windows(texts: DataFrame, windows: DataFrame, small: bool) -> DataFra
         levels = {power: F.col(f"{name}_{power}") for power in _powers(max(widths))}
         for w in widths:
             read = read.withColumn(f"{name}_of_{w}", _window_hashes(levels, w))
-    keys = []
+    # one array of hashes, a stretch of n places for each width and reading: no row carries more than a number
+    stretches, kinds = [], []
     for w in telling:
-        keys.append(_keys(F.col(f"template_of_{w}"), "", "template"))
+        stretches.append(F.col(f"template_of_{w}"))
         # only places with a name have a second reading
-        second = F.zip_with(f"template_of_{w}", f"folded_of_{w}", lambda a, b: F.when(a != b, b))
-        keys.append(F.filter(_keys(second, "", "template"), lambda k: k["hash"].isNotNull()))
-    keys += [_keys(F.col(f"values_of_{w}"), "values", "values") for w in values]
-    found = read.select("doc_id", "row", F.explode(F.concat(*keys)).alias("key")).select("doc_id", "row", "key.*").join(known, "hash", "left_semi") if keys else None
+        stretches.append(F.zip_with(f"template_of_{w}", f"folded_of_{w}", lambda a, b: F.when(a != b, b)))
+        kinds += ["template", "template"]
+    stretches += [F.col(f"values_of_{w}") for w in values]
+    kinds += ["values"] * len(values)
+    found = None
+    if stretches:
+        n = F.size(next(iter(readings)))
+        # outer: for an inner explode Spark works out its arrays once more, to filter on their size
+        found = read.select("doc_id", "row", n.alias("n"), F.posexplode_outer(F.concat(*stretches)).alias("pos", "hash")).join(known, "hash", "left_semi")
+        kind = F.element_at(F.array(*map(F.lit, kinds)), (F.floor(F.col("pos") / F.col("n")) + 1).cast("int"))
+        found = found.select("hash", "doc_id", "row", (F.col("pos") % F.col("n") + 1).alias("at"), kind.alias("as"))
     lines = sorted({w for w, kind in shapes if kind == "line"})
     if lines:
         short = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("low", lowered(tokens_of(F.col("line"))))
@@ -249,6 +253,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW, literal
         return docs.sparkSession.createDataFrame([], "doc_id long, row long, item_id long, n_windows long, n_verbatim long")
     found = materialize(found.distinct(), "window-hits")
     hits = found.join(F.broadcast(windows) if size <= BROADCAST_BYTES else windows, "hash")
+    hits = hits.filter(F.col("as") == F.when(F.col("kind").isin("values", "line"), F.col("kind")).otherwise("template"))
     start = F.when(F.col("as") == "line", F.col("at")).otherwise(F.col("at") - F.col("lead"))
     hits = hits.withColumn("start", start).withColumn("length", F.size("template")).filter("start > 0 or `as` = 'line'").drop("hash", "at", "lead", "width")
     hits = materialize(hits, "window-candidates")
