@@ -30,6 +30,19 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of materialized tables that nothing will read again.
+
+    Only for tables whose readers' results are themselves materialized: what
+    still had to be recomputed after a lost executor would miss them.
+    """
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def held_out(doc_id: str, modulus: int) -> Column:
     """True for rows kept out of training: crc32(id as text) mod ``modulus`` is 1.
 

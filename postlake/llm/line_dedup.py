@@ -6,17 +6,21 @@ doc_id, then line number) is removed.
 
 Equal sets are folded first, so a line that stands in a third of all documents
 is one set. Each set's words are ordered by rarity and only the prefix that a
-match must share is posted: n - ceil(t n) + 1 words. Posted words meet in a
-join with the length and positional filters in its condition; the few pairs
-that pass fetch their lines, and the Jaccard similarity is verified on the
-words themselves.
+match must share is posted: n - ceil(t n) + 1 words, of which those of one set
+alone go at once. Posted words meet in a join with the length and positional
+filters in its condition; the few pairs that pass fetch their lines, and the
+Jaccard similarity is verified on the words themselves.
 
 Any common word order keeps prefix filtering exact; rarity only makes it
 selective. It comes from the counts of ``RARITY_BUCKETS`` hashed words over all
 texts, a table of fixed size. A posting also carries the parity bitmap of its
 set: each word flips one of 64 bits, so two sets differ in at least as many
 words as their bitmaps differ in bits, and a pair that would differ in too many
-is dropped in the join. Hashes only propose pairs; words decide.
+is dropped in the join. Within a line, words are told apart by 64-bit hashes;
+across lines hashes only propose pairs and words decide.
+
+Arrays are exploded with the outer form: for the inner one Spark works out the
+array once more, to filter on its size.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import materialize
+from postlake.llm.common import discard, materialize
 
 RARITY_BUCKETS = 1 << 18
 #: Rows up to which a side is broadcast after it was counted; else it is shuffled.
@@ -48,24 +52,25 @@ def _blanks(text: Column) -> Column:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """(doc, row, text): order of the id with null ids last, and a key of id and text."""
+    """(doc, row, text): order of the id with null ids last, a key of id and text, the text in lower case."""
     text = F.coalesce("text", F.lit(""))
     doc = F.col("doc_id").cast("long")
-    return docs.select(F.coalesce(doc, F.lit(2**63 - 1)).alias("doc"), F.xxhash64(doc, text).alias("row"), _blanks(text).alias("text"))
+    return docs.select(F.coalesce(doc, F.lit(2**63 - 1)).alias("doc"), F.xxhash64(doc, text).alias("row"), F.lower(_blanks(text)).alias("text"))
 
 
 def _bucket(word_hash: Column) -> Column:
     return word_hash.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")
 
 
-def _bit(word_hash: Column) -> Column:
-    """One of 64 bits, from hash bits that the bucket does not use."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(word_hash, 58).cast("int"))
+def _bit(number: Column) -> Column:
+    """One of 64 bits of a word's number, from hash bits above those of the bucket."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(number, 50).bitwiseAND(F.lit(63)).cast("int"))
 
 
 def _rarity(texts: DataFrame) -> DataFrame:
     """One row: for each bucket its word count in quarters of a doubling (RARITY_BUCKETS bytes)."""
-    words = texts.select(F.explode(F.split(F.lower(F.replace("text", F.lit("\n"), F.lit(" "))), " ")).alias("word"))
+    lines = texts.select(F.explode_outer(F.split("text", "\n")).alias("line"))
+    words = lines.select(F.explode_outer(F.split("line", " ")).alias("word"))
     counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count("*").alias("n"))
     every = texts.sparkSession.range(RARITY_BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
     full = every.unionByName(counts).groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -85,19 +90,20 @@ def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
         level = F.coalesce(F.get("rarity", _bucket(h)), F.lit(0).cast("byte")).cast("long")
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    def line_set(hashes: Column) -> Column:
-        parity = F.aggregate(hashes, F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(_bit(h)))
-        return F.struct(F.size(hashes).alias("n"), parity.alias("parity"), F.sort_array(F.transform(hashes, number)).alias("w"))
+    def ordered(line: Column) -> Column:
+        hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
+        return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), number))
 
     with_table = texts.select("doc", "row", "text", rarity.scalar().alias("rarity"))
-    hashes = F.transform(F.split("text", "\n"), lambda x: F.transform(words_of(x), lambda w: F.xxhash64(w)))
-    per_line = with_table.select("doc", "row", F.transform(hashes, line_set).alias("sets"))
-    return per_line.select("doc", "row", F.posexplode("sets").alias("line", "s")).select("doc", "row", "line", "s.*").filter("n > 0")
+    per_line = with_table.select("doc", "row", F.transform(F.split("text", "\n"), ordered).alias("sets"))
+    lines = per_line.select("doc", "row", F.posexplode_outer("sets").alias("line", "w")).filter(F.size("w") > 0)
+    parity = F.aggregate("w", F.lit(0).cast("long"), lambda bits, v: bits.bitwiseXOR(_bit(v)))
+    return lines.select("doc", "row", "line", F.size("w").alias("n"), parity.alias("parity"), "w")
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """(h1, first, n, parity, place, word) for each prefix word of the sets."""
-    return sets.select("h1", "first", "n", "parity", F.posexplode("prefix").alias("place", "word"))
+    """(id, first, n, parity, place, word) for each prefix word of the sets."""
+    return sets.select("id", "first", "n", "parity", F.posexplode_outer("prefix").alias("place", "word"))
 
 
 def _possible(percent: int) -> Column:
@@ -112,26 +118,35 @@ def _possible(percent: int) -> Column:
 def _candidates(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
     """(x, y): an earlier and a later set that share a prefix word and pass the filters."""
     pairs = earlier.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & _possible(percent))
-    return pairs.select(F.col("a.h1").alias("x"), F.col("b.h1").alias("y")).distinct()
+    return pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
 def _leaders(postings: DataFrame) -> DataFrame:
     """The earliest posting of each word."""
-    first = F.min(F.struct("first", "h1", "n", "parity", "place")).alias("p")
+    first = F.min(F.struct("first", "id", "n", "parity", "place")).alias("p")
     return postings.groupBy("word").agg(first).select("word", "p.*")
 
 
 def matching_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (x, y) whose words have the similarity, by exact verification."""
-    wanted = pairs.select(F.col("x").alias("h1")).unionByName(pairs.select(F.col("y").alias("h1"))).distinct()
-    where = materialize(wanted.join(sets, "h1").select("h1", "first.row", "first.line"), "line-wanted")
-    found = texts.select("row", "text").join(_small(where, where.count()), "row").select("h1", F.array_join(words_of(F.get(F.split("text", "\n"), F.col("line"))), " ").alias("words")).dropDuplicates(["h1"])
+    """Pairs (x, y, near) of the candidates whose words have the similarity; near is x's first place.
+
+    The wanted lines of a document are taken from one split of its text.
+    """
+    wanted = pairs.select(F.col("x").alias("id")).unionByName(pairs.select(F.col("y").alias("id"))).distinct()
+    where = wanted.join(sets, "id").groupBy("first.doc", "first.row").agg(F.collect_list(F.struct("first.line", "id")).alias("wanted"))  # lines of one document
+    where = materialize(where, "line-wanted")
+    some = texts.join(_small(where, where.count()), ["doc", "row"]).select("wanted", F.split("text", "\n").alias("lines"))
+    line = F.transform("wanted", lambda x: F.struct(x["id"].alias("id"), F.get("lines", x["line"]).alias("line")))
+    found = some.select(F.explode_outer(line).alias("s")).select("s.id", F.array_join(words_of(F.col("s.line")), " ").alias("words")).dropDuplicates(["id"])
     found = materialize(found, "line-words")
     x, y = found.toDF("x", "xw"), found.toDF("y", "yw")
     # words travel as one string: an array of strings takes several times the bytes
     both = pairs.join(x, "x").join(y, "y").select("x", "y", F.split("xw", " ").alias("xw"), F.split("yw", " ").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
-    return both.filter((100 + percent) * shared >= percent * (F.size("xw") + F.size("yw"))).select("x", "y")
+    alike = both.filter((100 + percent) * shared >= percent * (F.size("xw") + F.size("yw"))).select("x", "y")
+    alike = materialize(alike.join(sets.select(F.col("id").alias("x"), F.col("first").alias("near")), "x"), "line-alike")
+    discard(where, found)
+    return alike
 
 
 def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -143,40 +158,50 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     texts = _texts(docs)
     rarity = materialize(_rarity(texts), "line-rarity")
     keyed = _sets(texts, rarity)
-    length = F.col("n") - F.ceil(percent * F.col("n") / F.lit(100)).cast("int") + 1
+    # a set that no other size can match has no prefix
+    length = F.when(100 * F.col("n") >= percent * (F.col("n") + 1), F.col("n") - F.ceil(percent * F.col("n") / F.lit(100)).cast("int") + 1).otherwise(0)
     prefix = F.transform(F.slice("w", F.lit(1), length), lambda v: F.hash(v))
     keyed = keyed.select("doc", "row", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2"), "parity", prefix.alias("prefix"))
     keyed = materialize(keyed, "line-sets")
 
     place = F.struct("doc", "row", "line")
-    sets = materialize(keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("count")), "line-firsts")
-    can_match = keyed.filter(100 * F.col("n") >= percent * (F.col("n") + 1))
-    posted = materialize(can_match.groupBy("h1", "h2").agg(F.min(place).alias("first"), *(F.first(c).alias(c) for c in ("n", "parity", "prefix"))), "line-prefixes")
+    folded = keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("count"), *(F.first(c).alias(c) for c in ("n", "parity", "prefix")))
+    sets = materialize(folded.withColumn("id", F.monotonically_increasing_id()), "line-firsts")
+    # a prefix word of one set alone pairs nothing
+    words = sets.select(F.explode_outer("prefix").alias("word")).filter("word is not null")
+    words = materialize(words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").select("word"), "line-words-posted")
+    postings = materialize(_postings(sets.filter(F.size("prefix") > 0)).join(_small(words, words.count()), "word", "left_semi"), "line-postings")
     # Any earlier match decides, so each set first meets only the earliest set of each
     # of its words: pairs in proportion to the postings, which settle groups of near
     # copies. Only sets that this leaves open meet all earlier sets of their words.
-    postings = _postings(posted)
     pairs = materialize(_candidates(_leaders(postings), postings, percent), "line-pairs")
-    settled = materialize(matching_sets(texts, sets, pairs, percent), "line-alike")
-    unsettled = _postings(posted.join(settled.select(F.col("y").alias("h1")).distinct(), "h1", "left_anti"))
-    pairs = materialize(_candidates(postings, unsettled, percent), "line-pairs")
-    alike = settled.unionByName(materialize(matching_sets(texts, sets, pairs, percent), "line-alike"))
-
-    earliest = alike.join(sets.select(F.col("h1").alias("x"), "first"), "x").groupBy(F.col("y").alias("h1")).agg(F.min("first").alias("near"))
+    settled = matching_sets(texts, sets, pairs, percent)
+    unsettled = postings.join(settled.select(F.col("y").alias("id")).distinct(), "id", "left_anti")
+    more = materialize(_candidates(postings, unsettled, percent), "line-pairs")
+    discard(words, postings)
+    late = matching_sets(texts, sets, more, percent)
+    alike = settled.unionByName(late)
+
+    earliest = alike.groupBy(F.col("y").alias("id")).agg(F.min("near").alias("near"))
     keep = F.least("first", F.coalesce("near", "first"))
-    repeats = sets.join(earliest, "h1", "left").select("h1", "h2", "count", "first", keep.alias("keep")).filter((F.col("count") > 1) | (F.col("keep") < F.col("first")))
+    repeats = sets.join(earliest, "id", "left").select("h1", "h2", "count", "first", keep.alias("keep")).filter((F.col("count") > 1) | (F.col("keep") < F.col("first")))
     gone = keyed.select("doc", "row", "line", "h1", "h2").join(repeats, ["h1", "h2"]).filter(place > F.col("keep"))
-    return gone.select("doc", "row", "line").distinct().groupBy("doc", "row").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    lines = gone.select("doc", "row", "line").distinct().groupBy("doc", "row").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    lines = materialize(lines, "line-repeats")
+    discard(rarity, keyed, sets, pairs, more, settled, late)
+    return lines
 
 
 def drop_lines(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     """``docs`` with the repeated lines taken out of text; all columns and rows stay."""
-    repeats = materialize(repeats.select(F.col("row").alias("__row"), F.col("doc").alias("__doc"), F.col("lines").alias("__lines")), "line-repeats")
+    repeats = repeats.select(F.col("row").alias("__row"), F.col("doc").alias("__doc"), F.col("lines").alias("__lines"))
     size = repeats.agg(F.sum(F.size("__lines"))).first()[0] or 0
     doc, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
-    kept = F.array_join(F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~F.array_contains("__lines", s["i"]))["x"], "\n")
     keyed = docs.withColumns({"__row": F.xxhash64(doc, text), "__doc": F.coalesce(doc, F.lit(2**63 - 1))})
     joined = keyed.join(_small(repeats, size), ["__row", "__doc"], "left")
+    joined = joined.withColumn("__split", F.when(F.col("__lines").isNotNull(), F.split("text", "\n")))
+    joined = joined.withColumn("__kept", F.array_except(F.sequence(F.lit(0), F.size("__split") - 1), "__lines"))
+    kept = F.array_join(F.transform("__kept", lambda i: F.get("__split", i)), "\n")
     return joined.withColumn("text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(kept)).select(docs.columns)
 
 
@@ -184,7 +209,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``docs`` without the lines that match an earlier line.
 
     ``docs`` needs doc_id and text and may hold any other columns but ``__row``,
-    ``__doc`` and ``__lines``. Lines end at a line feed; a line without words
+    ``__doc``, ``__lines``, ``__split`` and ``__kept``. Lines end at a line feed; a line without words
     matches nothing and stays. The first line of a set of matches stays: order
     is doc_id (null ids last, by a hash of the text), then line number. Rows that
     repeat an id and text count as one document, and all keep what it keeps. A

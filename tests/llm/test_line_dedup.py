@@ -67,6 +67,21 @@ def test_shuffled_sides_give_the_same(spark, docs_of, monkeypatch):
     assert sorted(map(tuple, line_dedup.dedup_lines(docs).collect())) == before
 
 
+def test_many_lines_in_one_document(spark, docs_of):
+    lines = [f"line {k} of a long document with {k * 7} words" for k in range(12_000)]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(["\n".join(lines), "\n".join([*lines[::-1], "one more"])])).collect()}
+    assert got[1] == "one more" and got[0].split("\n")[0] == lines[0]
+
+
+def test_work_tables_are_deleted(spark, docs_of):
+    import os
+
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).removeprefix("file:")
+    before = set(os.listdir(base))
+    line_dedup.dedup_lines(docs_of(corpus(random.Random(8), 20))).count()
+    assert {x.rsplit("-", 1)[0] for x in set(os.listdir(base)) - before} <= {"line-repeats"}
+
+
 def test_no_rows_and_no_python(spark, docs_of):
     assert line_dedup.dedup_lines(docs_of([])).count() == 0
     plan = line_dedup.dedup_lines(docs_of(["a b c"]))._jdf.queryExecution().executedPlan().toString()
