@@ -102,17 +102,17 @@ def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
 
 
 def _postings(sets: DataFrame) -> DataFrame:
-    """(id, first, n, parity, place, word) for each prefix word of the sets."""
-    return sets.select("id", "first", "n", "parity", F.posexplode_outer("prefix").alias("place", "word"))
+    """(word, id, at, n, parity) for each prefix word of the sets; narrow, for it is shuffled more than once."""
+    return sets.select("id", F.col("n").cast("int").alias("n"), "parity", F.posexplode_outer("prefix").alias("at", "word"))
 
 
 def _possible(percent: int) -> Column:
     """Length, positional and bitmap filters of an earlier set a and a later set b."""
     n, m = F.col("a.n"), F.col("b.n")
     length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    rest = F.least(n - F.col("a.place"), m - F.col("b.place"))  # this word and what may follow
+    rest = F.least(n - F.col("a.at"), m - F.col("b.at"))  # this word and what may follow
     apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-    return (F.col("a.first") < F.col("b.first")) & length & ((100 + percent) * rest >= percent * (n + m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
+    return (F.col("a.id") < F.col("b.id")) & length & ((100 + percent) * rest >= percent * (n + m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
 def _candidates(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
@@ -123,12 +123,12 @@ def _candidates(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame
 
 def _leaders(postings: DataFrame) -> DataFrame:
     """The earliest posting of each word."""
-    first = F.min(F.struct("first", "id", "n", "parity", "place")).alias("p")
+    first = F.min(F.struct("id", "at", "n", "parity")).alias("p")
     return postings.groupBy("word").agg(first).select("word", "p.*")
 
 
 def matching_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y, near) of the candidates whose words have the similarity; near is x's first place.
+    """Candidate pairs (x, y) whose words have the similarity.
 
     The wanted lines of a document are taken from one split of its text.
     """
@@ -144,7 +144,7 @@ def matching_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, percent:
     both = pairs.join(x, "x").join(y, "y").select("x", "y", F.split("xw", " ").alias("xw"), F.split("yw", " ").alias("yw"))
     shared = F.size(F.array_intersect("xw", "yw"))
     alike = both.filter((100 + percent) * shared >= percent * (F.size("xw") + F.size("yw"))).select("x", "y")
-    alike = materialize(alike.join(sets.select(F.col("id").alias("x"), F.col("first").alias("near")), "x"), "line-alike")
+    alike = materialize(alike, "line-alike")
     discard(where, found)
     return alike
 
@@ -166,7 +166,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     place = F.struct("doc", "row", "line")
     folded = keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("count"), *(F.first(c).alias(c) for c in ("n", "parity", "prefix")))
-    sets = materialize(folded.withColumn("id", F.monotonically_increasing_id()), "line-firsts")
+    # numbered in the order of their first places, so that one number stands for place and set
+    numbered = folded.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id())
+    sets = materialize(numbered, "line-firsts")
     # a prefix word of one set alone pairs nothing
     words = sets.select(F.explode_outer("prefix").alias("word")).filter("word is not null")
     words = materialize(words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").select("word"), "line-words-posted")
@@ -182,7 +184,8 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     late = matching_sets(texts, sets, more, percent)
     alike = settled.unionByName(late)
 
-    earliest = alike.groupBy(F.col("y").alias("id")).agg(F.min("near").alias("near"))
+    earliest = alike.groupBy(F.col("y").alias("id")).agg(F.min("x").alias("x"))
+    earliest = earliest.join(sets.select(F.col("id").alias("x"), F.col("first").alias("near")), "x").drop("x")
     keep = F.least("first", F.coalesce("near", "first"))
     repeats = sets.join(earliest, "id", "left").select("h1", "h2", "count", "first", keep.alias("keep")).filter((F.col("count") > 1) | (F.col("keep") < F.col("first")))
     gone = keyed.select("doc", "row", "line", "h1", "h2").join(repeats, ["h1", "h2"]).filter(place > F.col("keep"))
