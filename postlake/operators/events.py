@@ -105,9 +105,14 @@ def _matches(link: tuple[str, str]) -> Callable[[Column], Column]:
     return test
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _within(found: Column, scopes: Column) -> Column:
     """Events or elements inside any of the ``scopes``."""
-    return F.filter(found, lambda e: F.exists(scopes, lambda a: (a["pos"] < e["pos"]) & (e["pos"] < a["end"])))
+    return _let(scopes, lambda all_: F.filter(found, lambda e: F.exists(all_, lambda a: (a["pos"] < e["pos"]) & (e["pos"] < a["end"]))))
 
 
 class Page:
@@ -143,7 +148,7 @@ class Page:
 
     def parts(self, el: Column) -> Column:
         """Text nodes of an element, in order."""
-        return F.transform(F.slice(self.events, el["pos"], F.greatest(el["end"] - el["pos"], F.lit(0))), lambda x: x["text"])
+        return _let(el, lambda e: F.transform(F.slice(self.events, e["pos"], F.greatest(e["end"] - e["pos"], F.lit(0))), lambda x: x["text"]))
 
     def strings(self, el: Column) -> Column:
         return F.filter(F.transform(self.parts(el), lambda t: strip(t)), lambda t: t != "")
@@ -157,12 +162,12 @@ class Page:
 
     def following(self, position: Column, target: str, n: int = 1) -> Column:
         """The nth ``target`` element that opens behind a position; null without."""
-        nxt = F.get(F.filter(self.events, lambda x: x["open"] & (x["tag"] == target) & (x["pos"] > position)), F.lit(n - 1))
-        return F.when(nxt.isNotNull(), self._element(nxt))
+        behind = _let(position, lambda at: F.filter(self.events, lambda x: x["open"] & (x["tag"] == target) & (x["pos"] > at)))
+        return _let(F.get(behind, F.lit(n - 1)), lambda nxt: F.when(nxt.isNotNull(), self._element(nxt)))
 
     def inside(self, outer: Column, test: Callable[[Column], Column]) -> Column:
         """Elements inside another that pass a test of their event."""
-        return F.transform(F.filter(self.events, lambda x: test(x) & (x["pos"] > outer["pos"]) & (x["pos"] < outer["end"])), self._element)
+        return _let(outer, lambda o: F.transform(F.filter(self.events, lambda x: (x["pos"] > o["pos"]) & (x["pos"] < o["end"]) & test(x)), self._element))
 
 
 def _some(values: Column) -> Column:
@@ -218,8 +223,11 @@ def section_text(page: Page, heads: Column, p: Mapping) -> Column:
         later = F.filter(page.events, lambda x: x["pos"] > el["end"])
 
         def step(acc: Column, x: Column) -> Column:
-            sibling = x["open"] & (acc["depth"] == 0)
+            sibling = x["open"] & (acc["depth"] == 0) & ~acc["closed"]
             said = F.when(sibling & x["tag"].isin(*p["stop"], p["collect"]), page.text(page._element(x)) != "").otherwise(False)
+            return _let(said, lambda has_text: settle(acc, x, sibling, has_text))
+
+        def settle(acc: Column, x: Column, sibling: Column, said: Column) -> Column:
             closed = acc["closed"] | (~x["open"] & (acc["depth"] == 0)) | (sibling & said & x["tag"].isin(*p["stop"]))
             found = F.when(sibling & said & (x["tag"] == p["collect"]) & ~closed, F.concat(acc["found"], F.array(x["pos"]))).otherwise(acc["found"])
             depth = acc["depth"] + F.when(x["tag"].isin(*VOID), 0).when(x["open"], 1).otherwise(-1)
@@ -276,9 +284,14 @@ def _rule(page: Page, kind: str, nodes: Column, p: Mapping, html: Column) -> Col
     raise ValueError(f"unknown rule kind {kind!r}")
 
 
+def _or_text(value: Column, page: Page, other: Column) -> Column:
+    """A result, or the text of another element where it is empty."""
+    return _let(value, lambda v: F.when((F.size(v) > 0) | other.isNull(), v).otherwise(F.array(page.text(other))))
+
+
 def _selectors(rule: Rule) -> list[str]:
     _, kind, selector, p = rule
-    return [] if kind in ("page_text", "script") else [s for s in (selector, p.get("scope"), p.get("fallback"), p.get("heading"), p.get("labels")) if s]
+    return [] if kind in ("page_text", "script") else [s for s in (selector, p.get("scope"), p.get("fallback"), p.get("heading"), p.get("labels")) if s]  # the last two are looked for inside rows
 
 
 def split_rules(rules: Sequence[Rule]) -> tuple[list[Rule], list[Rule]]:
@@ -304,37 +317,35 @@ def extract_events(pages: DataFrame, rules_by_source: Mapping[str, Sequence[Rule
     src = pages.select(F.col("page_id").cast("long"), "source", "url", "html", *passthrough)
     df = with_events(src, out="__events")
     page = Page("__events", F.col("source").isin(list(repair_sources)) if repair_sources else False)
+    jobs = [(source, k, rule) for source, rules in rules_by_source.items() for k, rule in enumerate(rules) if rule[1] != "page_text"]
+    # elements of every chain and of its ancestors, all chains of one length in one step
     known: dict[tuple, str] = {}
-
-    def elements(chain: tuple, source: str) -> str:
-        """The column with a chain's elements, made from that of its ancestors."""
-        nonlocal df
-        if (chain, source) not in known:
-            scopes = [F.col(elements(chain[:-1], source))] if len(chain) > 1 else []
-            name = f"__el_{len(known)}"
-            df = df.withColumn(name, F.when(F.col("source") == source, page.chain(chain, scopes)))
-            known[chain, source] = name
-        return known[chain, source]
+    for source, _, rule in jobs:
+        for selector in _selectors(rule)[: 1 + bool(rule[3].get("scope")) + bool(rule[3].get("fallback"))]:
+            for chain in parse_selector(selector):
+                for n in range(1, len(chain) + 1):
+                    known.setdefault((source, tuple(chain[:n])), f"__el_{len(known)}")
+    for n in range(1, max((len(c) for _, c in known), default=0) + 1):
+        made = {name: F.when(F.col("source") == source, page.chain(c, [F.col(known[source, c[:-1]])] if n > 1 else [])) for (source, c), name in known.items() if len(c) == n}
+        df = df.withColumns(made)
 
     def nodes_of(selector: str, source: str) -> Column:
-        groups = [F.col(elements(tuple(chain), source)) for chain in parse_selector(selector)]
+        groups = [F.col(known[source, tuple(chain)]) for chain in parse_selector(selector)]
         return groups[0] if len(groups) == 1 else F.array_sort(F.array_distinct(F.concat(*groups)))
 
     results: dict[str, dict[str, list[tuple[str, dict]]]] = {}
-    for source, rules in rules_by_source.items():
-        for k, (name, kind, selector, p) in enumerate(rules):
-            if kind == "page_text":
-                continue
-            nodes = nodes_of(selector, source) if kind != "script" else F.lit(None)
-            if p.get("scope"):
-                nodes = _within(nodes, F.slice(nodes_of(p["scope"], source), p.get("scope_nth", 0) + 1, 1))
-            value = _rule(page, kind, nodes, p, F.col("html"))
-            if p.get("fallback"):
-                other = F.get(nodes_of(p["fallback"], source), F.lit(0))
-                value = F.when(F.size(value) > 0, value).when(other.isNotNull(), F.array(page.text(other))).otherwise(value)
-            column = f"__in_{source}_{k}"
-            df = df.withColumn(column, F.when(F.col("source") == source, value))
-            results.setdefault(source, {}).setdefault(name, []).append((column, p))
+    values = {}
+    for source, k, (name, kind, selector, p) in jobs:
+        nodes = nodes_of(selector, source) if kind != "script" else F.lit(None)
+        if p.get("scope"):
+            nodes = _within(nodes, F.slice(nodes_of(p["scope"], source), p.get("scope_nth", 0) + 1, 1))
+        value = _rule(page, kind, nodes, p, F.col("html"))
+        if p.get("fallback"):
+            other = F.get(nodes_of(p["fallback"], source), F.lit(0))
+            value = _or_text(value, page, other)
+        values[f"__in_{source}_{k}"] = F.when(F.col("source") == source, value)
+        results.setdefault(source, {}).setdefault(name, []).append((f"__in_{source}_{k}", p))
+    df = df.withColumns(values)
     inputs = None
     for source, names in results.items():
         entries = []
@@ -350,7 +361,7 @@ def extract_events(pages: DataFrame, rules_by_source: Mapping[str, Sequence[Rule
     error = error.when(F.coalesce(F.size("__events"), F.lit(0)) <= 0, "no markup").when(F.rlike("html", F.lit(CUT_OFF)), "ends inside a tag")
     with_text = [s for s, rules in rules_by_source.items() if any(kind == "page_text" for _, kind, *_ in rules)]
     text = F.when(F.col("source").isin(with_text), ph.page_text("html")) if with_text else F.lit(None).cast("string")
-    return df.select(
-        "page_id", "source", "url", error.isNull().alias("parse_ok"), error.alias("parse_error"),
-        F.when(error.isNull(), inputs).alias("inputs"), text.alias("page_text"), *passthrough,
-    )
+    read = F.struct(error.isNull().alias("parse_ok"), error.alias("parse_error"), F.when(error.isNull(), inputs).alias("inputs"), text.alias("page_text"))
+    # a generate of one row: filters on the result are not pushed below it, where they would work out the whole extraction again
+    once = df.select("page_id", "source", "url", *passthrough, F.explode_outer(F.array(read)).alias("read"))
+    return once.select("page_id", "source", "url", "read.*", *passthrough)

@@ -6,9 +6,9 @@ first) and returns a DataFrame; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake import functions as pf
@@ -50,7 +50,7 @@ def title_tokens(spark: SparkSession, df: DataFrame, title_col: str = "title",
     trailing whitespace) are dropped by a row filter, which stays in generated
     code (a lambda filter over every word array would not)."""
     words = F.split(pf.remove_punct(F.lower(title_col)), f"{WS}+")
-    toks = df.select(F.explode(words).alias("token")).where(F.col("token") != "")
+    toks = df.select(F.explode_outer(words).alias("token")).where(F.col("token") != "")
     stop = lookup.small_table(spark, [(w,) for w in stopwords], "word string")
     return lookup.drop_listed(toks, "token", stop)
 
@@ -71,9 +71,20 @@ def top_title_prefixes(df: DataFrame, title_col: str = "title", n: int = 5, k: i
 
 def keyword_filter(df: DataFrame, col: str, pattern: str, regex: bool = False) -> DataFrame:
     """lower-cased contains (or regex search); null never matches."""
+    return df.where(keyword_hit(col, pattern, regex))
+
+
+def keyword_hit(col: str, pattern: str, regex: bool = False) -> Column:
+    """F6 as a condition."""
     low = F.lower(col)
     hit = F.regexp_like(low, F.lit(pattern)) if regex else F.contains(low, F.lit(pattern.lower()))
-    return df.where(F.coalesce(hit, F.lit(False)))
+    return F.coalesce(hit, F.lit(False))
+
+
+def label_hits(df: DataFrame, conditions: Mapping[str, Column], out_col: str = "hit") -> DataFrame:
+    """One row per row and condition that holds, named by it; the rows are read once for all."""
+    names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in conditions.items()]))
+    return df.withColumn(out_col, F.explode_outer(names)).where(F.col(out_col).isNotNull())
 
 
 def equals_filter(df: DataFrame, col: str, value: str) -> DataFrame:

@@ -22,7 +22,7 @@ from postlake.functions import html as ph
 from postlake.operators import dedup, frequency, lookup, profile
 from postlake.operators.flat import extract_flat
 from postlake.operators.observe import count_stages
-from postlake.plans import analysis, postings
+from postlake.plans import analysis, postings, site_pages
 from postlake.rules.sites import ALL_LISTING_TEMPLATES, BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_MAX_PAGES
 from postlake.session import shared_dir
 from postlake.sources import frontier as fr
@@ -128,8 +128,8 @@ def dedup_by_key(spark, sf_dir):
 
 def _links(pages: DataFrame) -> DataFrame:
     exploded = pages.select(
-        "page_id", pf.origin("url").alias("base"), F.explode(ph.hrefs("html")).alias("href")
-    )
+        "page_id", pf.origin("url").alias("base"), F.explode_outer(ph.hrefs("html")).alias("href")
+    ).where("href is not null")  # outer: an inner explode works out its array once more, to filter on its size
     return exploded.select("page_id", pf.absolute_url("href", F.col("base")).alias("link"))
 
 
@@ -148,9 +148,7 @@ def page_titles(spark, sf_dir):
 def blocked_pages(spark, sf_dir):
     """Crawl statistics per language section of the site."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    # every 50th fetch failed, so that empty pages are counted too
-    fetched = pages.withColumn("html", F.when(F.col("page_id") % 50 != 7, F.col("html")))
-    named = fetched.withColumn("section", F.regexp_extract("url", r"://[^/]+/([a-z]{2})/", 1))
+    named = pages.withColumn("section", F.regexp_extract("url", r"://[^/]+/([a-z]{2})/", 1))
     has_title = ph.first_tag_text("html", "h1").isNotNull()
     return postings.crawl_stats(named, ["section"], TEST_BLOCK_PHRASES, None, has_title)
 
@@ -272,11 +270,10 @@ def null_profile(spark, sf_dir):
 
 
 def contains_filters(spark, sf_dir):
-    """Equality, contains and regex search (null never matches)."""
+    """Equality, contains and regex search (null never matches), one scan for both filters."""
     docs = spread(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
-    word = analysis.keyword_filter(analysis.equals_filter(docs, "lang", "es"), "text", CONTAINS_WORD)
-    shape = analysis.keyword_filter(docs, "text", CONTAINS_REGEX, regex=True)
-    return word.select("doc_id", "lang", F.lit("word").alias("hit")).unionByName(shape.select("doc_id", "lang", F.lit("regex").alias("hit")))
+    word = (F.col("lang") == "es") & analysis.keyword_hit("text", CONTAINS_WORD)
+    return analysis.label_hits(docs, {"word": word, "regex": analysis.keyword_hit("text", CONTAINS_REGEX, regex=True)}, "hit").select("doc_id", "lang", "hit")
 
 
 def list_ops(spark, sf_dir):
@@ -335,10 +332,13 @@ def frontier(spark, sf_dir):
 
 
 def frontier_from_titles(spark, sf_dir):
-    """Listing URLs for every distinct part name as search text, on
-    every site and page up to the site's limit (the frontier grows with the
-    data). Names are made distinct before sites and pages are exploded."""
-    searches = dedup.distinct_values(read(spark, sf_dir, "part").select(F.col("p_name").alias("q")), "q")
+    """Listing URLs for search texts mined from the data — the
+    distinct first two words of every document and every part name — on every
+    site and page (the frontier grows with the data). Search texts are made
+    distinct before sites and pages are exploded."""
+    docs = spread(read(spark, sf_dir, "documents").select("text")).select(pf.first_words("text", PREFIX_WORDS).alias("q"))
+    names = read(spark, sf_dir, "part").select(F.col("p_name").alias("q"))
+    searches = dedup.distinct_values(docs.unionByName(names), "q")
     return fr.listing_urls(searches, "q", "Argentina").select("source", "page", "url").distinct()
 
 
@@ -413,6 +413,7 @@ def postings_daily_run(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **site_pages.QUERIES,
     "top_tokens": top_tokens,
     "title_prefix_topk_share": title_prefix_topk_share,
     "lineitem_top_parts": lineitem_top_parts,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from postlake.plans import driver as d
 from postlake.plans import oracle as o
+from postlake.plans import site_pages
 from postlake.rules.sites import (
     DEFAULT_MAX_PAGES,
     SITE_MAX_PAGES,
@@ -128,10 +129,9 @@ SELECT DISTINCT link FROM l WHERE link IS NOT NULL AND link <> ''"""
 
     phrases = " OR ".join(f"contains(lower(html), {o.q(p.lower())})" for p in d.TEST_BLOCK_PHRASES)
     sql["blocked_pages"] = f"""
-WITH p AS (SELECT url, CASE WHEN page_id % 50 <> 7 THEN html END AS html FROM pages),
-f AS (SELECT regexp_extract(url, '://[^/]+/([a-z]{{2}})/', 1) AS section,
+WITH f AS (SELECT regexp_extract(url, '://[^/]+/([a-z]{{2}})/', 1) AS section,
                   coalesce(html = '' OR {phrases}, true) AS blocked,
-                  ({o.first_tag_text('html')} IS NOT NULL) AS has_title FROM p)
+                  ({o.first_tag_text('html')} IS NOT NULL) AS has_title FROM pages)
 SELECT section, count(*) AS links, count(*) AS processed,
        count(*) FILTER (WHERE blocked) AS blocked,
        count(*) FILTER (WHERE NOT blocked AND has_title) AS parsed
@@ -255,8 +255,8 @@ WITH h AS (SELECT {o.origin('url')} AS base, unnest({nav_hrefs}) AS href FROM pa
 l AS (SELECT {o.absolute_url('href', 'base')} AS link FROM h WHERE href IS NOT NULL AND href <> '')
 SELECT DISTINCT 'article' AS source, link FROM l WHERE link IS NOT NULL"""
 
-    sql["frontier_from_titles"] = """
-WITH q AS (SELECT DISTINCT p_name AS q FROM part WHERE p_name IS NOT NULL AND p_name <> ''),
+    sql["frontier_from_titles"] = f"""
+WITH q AS (SELECT DISTINCT q FROM (SELECT {o.first_words('text', d.PREFIX_WORDS)} AS q FROM documents UNION ALL SELECT p_name FROM part) WHERE q IS NOT NULL AND q <> ''),
 p AS (SELECT q, CAST(unnest(generate_series(1, 31)) AS INTEGER) AS page FROM q)
 SELECT DISTINCT 'getonboard' AS source, 1 AS page, 'https://www.getonbrd.com/empleos-' || replace(q, ' ', '-') AS url FROM q
 UNION SELECT 'zonajobs', page, 'https://www.zonajobs.com.ar/empleos-busqueda-' || replace(lower(q), ' ', '-') || '.html?page=' || page FROM p
@@ -312,4 +312,4 @@ FROM orders"""
     sql["observe_counts"] = """
 SELECT 'scanned' AS stage, count(*) AS rows FROM part
 UNION ALL SELECT 'kept', count(*) FROM part WHERE p_size > 10"""
-    return sql
+    return {**sql, **site_pages.SQL}

@@ -81,7 +81,7 @@ def detail_links(listing_pages: DataFrame, rules=LISTING_RULES, extractor: Calla
 
     found = (extractor or extract_pages)(listing_pages, rules)
     hrefs = found.select(
-        "source", "url", F.explode(F.try_element_at("inputs", F.lit("links"))).alias("href")
+        "source", "url", F.explode_outer(F.try_element_at("inputs", F.lit("links"))).alias("href")
     ).where(F.col("href").isNotNull() & (F.col("href") != ""))
     link = pf.absolute_url("href", _site_base(F.col("source"), F.col("url")))
     for src, param in CANONICAL_PARAM.items():

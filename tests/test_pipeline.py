@@ -9,6 +9,7 @@ from postlake.plans import postings
 from postlake.sources import sinks
 from postlake.sources.scan import scan_parquet_tree, skipped_files
 from tests.fixtures import html_pages as H
+from postlake.functions import html as ph
 
 PAGES = [
     (1, "getonboard", "https://www.getonbrd.com/empleos/1", H.GETONBOARD_FULL),
@@ -200,3 +201,10 @@ def test_a_run_leaves_other_sources_alone(spark, tmp_dir):
 
 def _files(base):
     return [os.path.join(d, f) for d, _, names in os.walk(base) for f in names if f.endswith(".parquet")]
+
+
+def test_empty_and_failed_pages_count_as_blocked(spark):
+    rows = [(1, "http://a.example/en/1", "<h1>T</h1>"), (2, "http://a.example/en/2", ""), (3, "http://a.example/en/3", None), (4, "http://a.example/fr/4", "<p>none</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("section", F.regexp_extract("url", "/([a-z]{2})/", 1))
+    got = {r.section: (r.links, r.processed, r.blocked, r.parsed) for r in postings.crawl_stats(pages, ["section"], [], None, ph.first_tag_text("html", "h1").isNotNull()).collect()}
+    assert got == {"en": (3, 3, 2, 1), "fr": (1, 1, 0, 0)}
