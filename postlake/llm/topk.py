@@ -3,9 +3,11 @@
 Vectors are turned by the SVD basis of the whole set (its d x d Gram matrix is
 summed by Spark; the rest is a d x d eigenproblem), so the first coordinates
 hold most of every product. Spark range-sorts the vectors by falling length
-into blocks. Each query first meets the block of the longest vectors, which
-gives its first bound (its k-th best score so far); a block whose greatest
-length times the query's cannot reach the bound is then never sent to it. In a
+into blocks. Each query first meets the block of the longest vectors (one block
+of at most ``BLOCK_BYTES``, sent to the tasks), which gives its first bound (its
+k-th best score so far). Blocks are numbered by falling length, so the blocks
+whose greatest length times the query's can reach the bound are ranges of
+numbers: they are exploded and joined by number, the others never read. In a
 block, candidates are cut by length (Cauchy-Schwarz), then by the partial sum
 of the leading coordinates plus the product of the residual lengths; what is
 left is scored in integers.
@@ -25,6 +27,10 @@ from postlake.llm.common import materialize
 
 #: Vectors of a block, queries of a block, candidates scored at a time.
 BLOCK, QUERIES, STEP = 4096, 256, 1024
+#: Most bytes of a block's matrix; wider vectors make shorter blocks.
+BLOCK_BYTES = 32 << 20
+#: Block numbers of a partition: its number times this, plus the place in it.
+IN_PART = 1_000_000
 #: Share of the energy that the leading coordinates must hold.
 ENERGY = 0.8
 #: Relative rounding allowance of the floating-point bounds.
@@ -92,7 +98,7 @@ def _blocks(width: int, rows: int):
                 some = batch.slice(a, rows)
                 x = _grid(some.column("vec"), width)
                 top = max(some.column("norm").to_pylist())
-                yield pa.record_batch([pa.array([part * 1_000_000 + number]), pa.array([top], pa.float64()), pa.array([some.column("id").to_numpy().tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], names=["block", "top", "ids", "rows"])
+                yield pa.record_batch([pa.array([part * IN_PART + number]), pa.array([top], pa.float64()), pa.array([some.column("id").to_numpy().tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], names=["block", "top", "ids", "rows"])
                 number += 1
 
     return run
@@ -130,16 +136,26 @@ def search_block(qid: int, q: np.ndarray, bound: float, ids: np.ndarray, x: np.n
     return best
 
 
-def _searcher(width: int, basis: np.ndarray, lead: int, k: int):
+class _Block:
+    """A block's vectors, turned, with their lengths and residual lengths."""
+
+    def __init__(self, ids: bytes, rows: bytes, width: int, basis: np.ndarray, lead: int):
+        self.ids, self.x = np.frombuffer(ids, np.int64), np.frombuffer(rows).reshape(-1, width)
+        self.turned, self.norms = self.x @ basis, np.sqrt((self.x * self.x).sum(1))
+        self.tail = np.sqrt(np.maximum(self.norms**2 - (self.turned[:, :lead] ** 2).sum(1), 0))
+
+
+def _searcher(width: int, basis: np.ndarray, lead: int, k: int, first: tuple[bytes, bytes] | None = None):
+    """Query blocks against the block beside them, or all against the block ``first``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        same = _Block(*first, width, basis, lead) if first else None
         for batch in batches:
             for row in batch.to_pylist():
-                ids, x = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["rows"]).reshape(-1, width)
-                turned, norms = x @ basis, np.sqrt((x * x).sum(1))
-                tail = np.sqrt(np.maximum(norms**2 - (turned[:, :lead] ** 2).sum(1), 0))
+                b = same or _Block(row["ids"], row["rows"], width, basis, lead)
                 qids, qs = np.frombuffer(row["qids"], np.int64), np.frombuffer(row["qrows"]).reshape(-1, width)
-                bounds = np.frombuffer(row["bounds"])
-                out = [(row["qblock"], qid, i, s) for qid, q, bound in zip(qids.tolist(), qs, bounds.tolist(), strict=True) for s, i in search_block(qid, q, bound, ids, x, turned, tail, norms, basis, lead, k)]
+                bounds = np.full(len(qids), -np.inf) if first else np.frombuffer(row["bounds"])
+                out = [(row["qblock"], qid, i, s) for qid, q, bound in zip(qids.tolist(), qs, bounds.tolist(), strict=True) for s, i in search_block(qid, q, bound, b.ids, b.x, b.turned, b.tail, b.norms, basis, lead, k)]
                 yield pa.record_batch([pa.array([o[j] for o in out], pa.int64()) for j in range(4)], names=["qblock", "query_id", "vec_id", "score"])
 
     return run
@@ -161,6 +177,22 @@ def _with_bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([o[j] for o in out], t) for j, t in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64()))], names=["qblock", "qids", "qrows", "bounds", "need"])
 
 
+def _useful(needs: DataFrame, tops: DataFrame) -> DataFrame:
+    """(qblock, block) of the blocks whose longest vector reaches a query block's need.
+
+    One row sums the blocks up by range partition (as many entries as there are
+    shuffle partitions); each query block explodes the numbers of the partitions
+    that it needs and meets the blocks by number, an equi-join.
+    """
+    part = F.floor(F.col("block") / IN_PART).alias("part")
+    parts = tops.groupBy(part).agg(F.max("top").alias("top"), F.max("block").alias("last"))
+    listed = parts.agg(F.collect_list(F.struct("part", "top", "last")).alias("parts"))
+    wide = needs.withColumn("parts", listed.scalar())
+    ranges = wide.select("qblock", "need", F.explode(F.filter("parts", lambda p: p["top"] * (1 + SLACK) >= F.col("need"))).alias("p"))
+    asked = ranges.select("qblock", "need", F.explode(F.sequence(F.col("p.part") * IN_PART, F.col("p.last"))).alias("block"))
+    return asked.join(tops, "block").filter(F.col("top") * (1 + SLACK) >= F.col("need")).select("qblock", "block")
+
+
 def top_k(vectors: DataFrame, id_column: str, vector_column: str, every: int = 100, k: int = 10, scale: float = 1024.0) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest inner products, ties to the smaller id.
 
@@ -179,26 +211,22 @@ def top_k(vectors: DataFrame, id_column: str, vector_column: str, every: int = 1
     basis, lead = rotation(valid, width)
     shared = (width, basis, lead, k)
     sorted_ = valid.repartitionByRange(F.desc("norm"), F.col("id")).sortWithinPartitions(F.desc("norm"), "id")
-    blocks = materialize(sorted_.mapInArrow(_blocks(width, BLOCK), BLOCK_TYPE), "topk-blocks")
+    blocks = materialize(sorted_.mapInArrow(_blocks(width, max(1, min(BLOCK, BLOCK_BYTES // (8 * width)))), BLOCK_TYPE), "topk-blocks")
     queries = valid.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("vec").alias("vec"), F.max("norm").alias("norm"))
     asked = queries.repartition("id").sortWithinPartitions("id").mapInArrow(_blocks(width, QUERIES), BLOCK_TYPE)
     asked = materialize(asked.select(F.col("block").alias("qblock"), F.col("ids").alias("qids"), F.col("rows").alias("qrows")), "topk-queries")
 
-    first = blocks.agg(F.min("block")).first()[0]
-    if first is None:
-        first = -1
     found = "qblock long, query_id long, vec_id long, score long"
-    none = F.lit(np.array([-np.inf] * QUERIES).tobytes())
-    start = asked.withColumn("block", F.lit(first)).withColumn("bounds", F.substring(none, F.lit(1), F.length("qids")))
-    seeds = start.join(blocks.filter(F.col("block") == first), "block").mapInArrow(_searcher(*shared), found)
-    seeds = materialize(seeds, "topk-seeds")
+    longest = blocks.orderBy("block").select("block", "ids", "rows").limit(1).toArrow().to_pylist()  # one block of BLOCK_BYTES at most
+    first = (longest[0]["ids"], longest[0]["rows"]) if longest else (b"", b"")
+    seeds = materialize(asked.mapInArrow(_searcher(*shared, first), found), "topk-seeds")
     bound = seeds.groupBy("qblock", "query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("bound")).filter(F.col("n") >= k)
     known = bound.groupBy("qblock").agg(F.collect_list(F.struct("query_id", "bound")).alias("known"))  # QUERIES at most
     ready = materialize(asked.join(known, "qblock", "left").mapInArrow(_with_bounds, "qblock long, qids binary, qrows binary, bounds binary, need double"), "topk-bounds")
     # a stated query set against all rows, in blocks: each query block goes to the blocks it can still use
-    tops = blocks.filter(F.col("block") != first).select("block", "top")
-    pairs = ready.select("qblock", "need").join(tops, F.col("top") * (1 + SLACK) >= F.col("need"))
-    work = pairs.select("qblock", "block").join(ready.drop("need"), "qblock").join(blocks, "block")
+    tops = blocks.select("block", "top")
+    pairs = _useful(ready.select("qblock", "need"), tops).filter(F.col("block") != (longest[0]["block"] if longest else -1))
+    work = pairs.join(ready.drop("need"), "qblock").join(blocks.drop("top"), "block")
     rest = work.mapInArrow(_searcher(*shared), found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = seeds.unionByName(rest).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -53,3 +53,17 @@ def test_large_components_and_few_rows(spark):
     got = run(spark, rows, 20, 10)
     assert [(q, i) for q, _, i, _ in got] and sorted(s for *_, s in got) == sorted(s for *_, s in expected)
     assert run(spark, [], 20, 10) == [] and run(spark, [(20, [1.0])], 20, 10) == []
+
+
+def test_no_cartesian_product_without_broadcasts(spark, capsys):
+    """Query blocks meet vector blocks by number, also when nothing may be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, [float(i % 7), 1.0]) for i in range(60)]
+        topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", 20, 3).explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
