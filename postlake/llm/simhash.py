@@ -31,6 +31,8 @@ TREE = 4096
 #: Fingerprints of a task that are linked together, and node visits at a time.
 FOREST, VISITS = 100_000, 1_000_000
 SEED = 42
+#: Parts over which a component's result is dealt back to its fingerprints.
+SALTS = 32
 
 
 def _shingle_digests(text: bytes, width: int) -> list[bytes]:
@@ -63,21 +65,25 @@ def fingerprints_of(texts: list[bytes], width: int) -> np.ndarray:
 
 
 def _fingerprinter(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            keys = [c for c in batch.schema.names if c != "text"]
             for a, b in text_slices(batch, "text"):
                 texts = batch.column("text")[a:b].cast(pa.binary()).to_pylist()
-                yield pa.record_batch([batch.column("doc_id")[a:b], pa.array(fingerprints_of(texts, width))], schema=schema)
+                yield pa.record_batch([*(batch.column(c)[a:b] for c in keys), pa.array(fingerprints_of(texts, width))], names=[*keys, "fp"])
 
     return run
 
 
+def _text() -> Column:
+    return F.coalesce("text", F.lit(""))
+
+
 def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp) of whole texts; null texts count as empty."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(_fingerprinter(width), "doc_id long, fp long")
+    """(doc_id, row, fp) of whole texts; null texts count as empty. ``row`` is a hash of id and text."""
+    doc = F.col("doc_id").cast("long")
+    rows = docs.select(doc.alias("doc_id"), F.xxhash64(doc, _text()).alias("row"), _text().alias("text"))
+    return rows.mapInArrow(_fingerprinter(width), "doc_id long, row long, fp long")
 
 
 def bits_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -221,6 +227,26 @@ def near_links(distinct: DataFrame, max_bits: int, blocks: int) -> DataFrame:
     return together.mapInArrow(_linker(max_bits), "u long, v long")
 
 
+def _placed(distinct: DataFrame, width_bits: tuple[int, int], value: str) -> DataFrame:
+    """(fp, best): the least ``value`` of a fingerprint's whole component, for fingerprints ``distinct`` (fp, value).
+
+    Unlinked fingerprints keep their own. A component's least value is folded
+    before the shuffle and dealt back over ``SALTS`` parts, so that a large
+    component is not one task.
+    """
+    max_bits, blocks = width_bits
+    moved = components(near_links(distinct.select("fp"), max_bits, blocks)).toDF("fp", "root")
+    # the root itself is no row of the links' result
+    nodes = materialize(moved.unionByName(moved.select(F.col("root").alias("fp"), "root").distinct()), "simhash-nodes")
+    linked = nodes.join(distinct, "fp")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    least = linked.groupBy("root").agg(F.min(value).alias("best")).select("root", "best", salts)
+    salt = F.pmod(F.hash("fp"), F.lit(SALTS)).alias("salt")
+    best = nodes.select("fp", "root", salt).join(least, ["root", "salt"]).select("fp", "best")
+    own = distinct.join(nodes.select("fp"), "fp", "left_anti").select("fp", F.col(value).alias("best"))
+    return best.unionByName(own)
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks: int | None = None) -> DataFrame:
     """Near-duplicate groups: doc_id, fp, fingerprint (hex), component_id.
 
@@ -235,42 +261,41 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4, blocks:
     """
     fps = materialize(fingerprints(docs, width), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(near_links(distinct.select("fp"), max_bits, blocks or max_bits + 1))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    member = placed.join(lowest, "root").select("fp", "component_id")
+    member = _placed(distinct, (max_bits, blocks or max_bits + 1), "low").withColumnRenamed("best", "component_id")
     return fps.join(member, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Ids up to which the list of dropped documents is broadcast after it was counted.
+#: Rows up to which the list of dropped documents is broadcast after it was counted (16 bytes each).
 BROADCAST_ROWS = 500_000
 
 
-def _small(df: DataFrame) -> DataFrame:
-    df = materialize(df, "simhash-ids")
+def _small(df: DataFrame, purpose: str) -> DataFrame:
+    df = materialize(df, purpose)
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def keep_one(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs``, all columns, with one document of each near-duplicate group.
+    """``docs``, all columns, with one row of each near-duplicate group.
 
-    The smallest doc_id stays. Rows that share an id are one document, of which
-    one row stays. A row with a null id goes if its group has an id; in groups
-    without any id one row of each different text stays.
+    The row with the smallest doc_id stays (null ids come last, then the smaller
+    hash of id and text). Groups are of rows, so unrelated texts that share an
+    id all stay. Of rows that repeat id and text, the one whose other columns
+    are least as JSON stays. ``docs`` may hold any columns but ``__row`` and
+    ``__gone``.
     """
-    found = materialize(near_duplicates(docs, width, max_bits).select("doc_id", "component_id"), "simhash-groups")
-    gone = _small(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    twice = _small(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__twice")).count().filter("count > 1").select("__twice"))
-    kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    once = kept.join(twice, kept["doc_id"] == F.col("__twice"), "left_anti").filter("doc_id is not null")
-    again = kept.join(twice, kept["doc_id"] == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
-    if found.filter("doc_id is null and component_id is null").isEmpty():
-        return once.unionByName(again)
-    # null ids: those of groups without an id have no smaller fingerprint partner with one
-    named = near_duplicates(docs, width, max_bits).filter("doc_id is null and component_id is null").select(F.col("fp").alias("__fp")).distinct()
-    null = docs.filter("doc_id is null").withColumn("__text", F.coalesce("text", F.lit("")))
-    keyed = null.select("__text").distinct().withColumn("__id", F.xxhash64("__text"))
-    fps = fingerprints(keyed.select(F.col("__id").alias("doc_id"), F.col("__text").alias("text")), width).toDF("__id", "__fp")
-    texts = keyed.join(fps.join(named, "__fp", "left_semi"), "__id").select("__text").distinct()
-    null = null.join(texts, "__text", "left_semi").dropDuplicates(["__text"]).select(docs.columns)
-    return once.unionByName(again).unionByName(null)
+    fps = materialize(fingerprints(docs, width), "simhash-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "row")
+    distinct = fps.groupBy("fp").agg(F.min(order).alias("low"))
+    best = _placed(distinct, (max_bits, max_bits + 1), "low").select("fp", F.col("best.row").alias("stays"))
+    rows = fps.groupBy("row", "fp").agg(F.count("*").alias("n"))
+    judged = materialize(rows.join(best, "fp").select("row", "n", (F.col("row") != F.col("stays")).alias("goes")), "simhash-judged")
+    gone = _small(judged.filter("goes").select(F.col("row").alias("__gone")).distinct(), "simhash-gone")
+    twice = _small(judged.filter("n > 1 and not goes").select(F.col("row").alias("__gone")).distinct(), "simhash-twice")
+    keyed = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), _text()))
+    kept = keyed.join(gone, F.col("__row") == F.col("__gone"), "left_anti")
+    once = kept.join(twice, F.col("__row") == F.col("__gone"), "left_anti").select(docs.columns)
+    again = kept.join(twice, F.col("__row") == F.col("__gone"), "left_semi")
+    others = [c for c in docs.columns if c not in {"doc_id", "text"}]
+    ranked = F.to_json(F.struct(*others)) if others else F.lit("")
+    first = again.groupBy("__row").agg(F.min_by(F.struct(*docs.columns), ranked).alias("first"))
+    return once.unionByName(first.select("first.*").select(docs.columns))

@@ -96,3 +96,12 @@ def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100), (200, 201), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 201: 200}
+
+
+def test_keep_one_goes_by_row_not_by_id(spark, docs_of):
+    texts = [" ".join(f"{w}{k}" for k in range(60)) for w in ("a", "b", "c")]
+    docs = docs_of([*texts, texts[1], texts[2], texts[2]], [1, 1, 2, 5, 2, 2], source=["x", "y", "z", "w", "k", None])
+    got = sorted((r.doc_id, r.text[:2], r.source or "") for r in simhash.keep_one(docs).collect())
+    assert got[:2] == [(1, "a0", "x"), (1, "b0", "y")] and len(got) == 3 and got[2][:2] == (2, "c0")
+    assert got == sorted((r.doc_id, r.text[:2], r.source or "") for r in simhash.keep_one(docs.repartition(5)).collect())
+    assert simhash.keep_one(docs.select("doc_id", "text")).count() == 3
