@@ -1,4 +1,4 @@
-"""Lookups that behave like joins (J1, J2 rule-table form, J3).
+"""Lookups that behave like joins (J1, J2 rule-table forms, J3).
 
 Lookup tables come from local lists, so Spark knows their exact size: the
 planner broadcasts one that is under ``spark.sql.autoBroadcastJoinThreshold``
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,3 +44,48 @@ def categorize_by_rules(
         hit = F.contains(F.col(col), F.lit(keyword))
         chain = F.when(hit, F.lit(category)) if chain is None else chain.when(hit, F.lit(category))
     return df.withColumn(out_col, chain if chain is not None else F.lit(None).cast("string"))
+
+
+#: Characters of the pieces by which keywords are indexed.
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct runs of ``size`` characters, in one pass of a look-ahead."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
+
+
+def _hits(values: DataFrame, rules: DataFrame, size: int) -> DataFrame:
+    """(value, rule) of contained keywords, found by each keyword's rarest run of ``size`` characters."""
+    held = values.select("value", F.explode(_grams(F.col("value"), size)).alias("gram"))
+    runs = rules.select("keyword", "rule", F.explode(_grams(F.col("keyword"), size)).alias("gram"))
+    seen = held.join(runs.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = runs.join(seen, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # a run that no value holds rules its keyword out
+    posted = rarest.groupBy("keyword").agg(F.min(F.struct("n", "gram")).alias("least"), F.first("rule").alias("rule"))
+    posted = posted.filter("least.n > 0").select(F.col("least.gram").alias("gram"), "keyword", "rule")
+    return held.join(posted, "gram").filter(F.contains("value", "keyword")).select("value", "rule")
+
+
+def categorize_by_rule_table(df: DataFrame, col: str, rules: DataFrame, out_col: str = "category") -> DataFrame:
+    """J2 for rule tables of any size: ``rules`` holds priority, category, keyword.
+
+    The result is that of ``categorize_by_rules`` (lowest priority whose keyword
+    the value contains; ties by category, then keyword; null without any), but
+    the plan does not grow with the rules. Each distinct value is looked at once:
+    its runs of three characters meet, in an equi-join, an index that files every
+    keyword under the one of its runs that the fewest values hold, so a frequent
+    run carries only the keywords that have nothing rarer. ``contains`` verifies,
+    the first rule wins, and the answer is joined back to the rows. Keywords of
+    one and two characters go the same way by runs of their own length. Null and
+    empty keywords match nothing; ``df`` may not hold a column ``__value``.
+    """
+    first = F.min(F.struct("priority", "category", "keyword")).alias("rule")
+    named = rules.filter("keyword is not null and keyword <> ''").groupBy("keyword").agg(first)
+    values = df.select(F.col(col).alias("value")).filter("value is not null").distinct()
+    hits = _hits(values, named.filter(F.length("keyword") >= GRAM), GRAM)
+    for size in range(1, GRAM):
+        hits = hits.unionByName(_hits(values, named.filter(F.length("keyword") == size), size))
+    best = hits.groupBy("value").agg(F.min("rule").alias("rule"))
+    best = best.select(F.col("value").alias("__value"), F.col("rule.category").alias(out_col))
+    return df.drop(out_col).join(best, F.col(col) == F.col("__value"), "left").drop("__value")

@@ -1,9 +1,9 @@
 """Driver queries: one Spark builder and one DuckDB oracle per name.
 
 Every builder takes ``(spark, sf_dir)``, reads whole tables from
-``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Four builders run
+``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Five builders run
 an action first because it is the operator under test: ``roundtrip_sinks``,
-``recursive_scan`` and ``postings_daily_run`` write to a fresh folder under
+``recursive_scan``, ``drifting_scan`` and ``postings_daily_run`` write to a fresh folder under
 the session's checkpoint dir and return the read-back rows;
 ``observe_counts`` runs one no-op write and returns its observed counts.
 Column names match the oracle exactly.
@@ -27,7 +27,7 @@ from postlake.rules.sites import ALL_LISTING_TEMPLATES, BLOCK_PHRASES, DEFAULT_M
 from postlake.session import shared_dir
 from postlake.sources import frontier as fr
 from postlake.sources import sinks
-from postlake.sources.scan import scan_parquet_tree
+from postlake.sources.scan import scan_drifting_tree, scan_parquet_tree
 from postlake.sources.tables import read_table as read
 from postlake.sources.tables import spread
 
@@ -91,6 +91,16 @@ def category_rules_table(spark, sf_dir):
     return frequency.group_count(tagged, "category", "freq")
 
 
+def category_rules_indexed(spark, sf_dir):
+    """J2 (large rule table): the second word of every document is a keyword, the
+    smallest doc_id its priority and that document's source its category; every
+    page's URL gets the category of its first keyword."""
+    words = F.regexp_extract("text", "^[^ \\n]+ ([^ \\n]+)", 1)
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("priority"), F.col("source").alias("category"), words.alias("keyword"))
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return lookup.categorize_by_rule_table(pages, "url", docs).select("page_id", "category")
+
+
 def normalize_text(spark, sf_dir):
     """X1 X2 X3 on whole texts."""
     docs = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -379,6 +389,21 @@ def recursive_scan(spark, sf_dir):
     )
 
 
+def drifting_scan(spark, sf_dir):
+    """S1 with drift in one folder: the priority is text in some files and a list
+    in others, the customer a number and text, the price missing from some."""
+    orders = read(spark, sf_dir, "orders")
+    base = shared_dir(spark, "drifting-tree")
+    done = F.col("o_orderstatus") == "F"
+    orders.where(done).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority").write.parquet(f"{base}/orders")
+    parts = F.split("o_orderpriority", "-").alias("o_orderpriority")
+    orders.where(~done).select(F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("string"), parts) \
+        .write.mode("append").parquet(f"{base}/orders")
+    return scan_drifting_tree(spark, base).select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.array_join("o_orderpriority", "|").alias("priority")
+    )
+
+
 def observe_counts(spark, sf_dir):
     """Row counts at two points of a plan, collected by one Observation."""
     part = read(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -419,6 +444,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_top_parts": lineitem_top_parts,
     "category_counts_coords": category_counts_coords,
     "category_rules_table": category_rules_table,
+    "category_rules_indexed": category_rules_indexed,
     "normalize_text": normalize_text,
     "title_case": title_case,
     "job_key": job_key,
@@ -445,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "roundtrip_sinks": roundtrip_sinks,
     "observe_counts": observe_counts,
     "recursive_scan": recursive_scan,
+    "drifting_scan": drifting_scan,
     "extract_rules": extract_rules,
     "postings_daily_run": postings_daily_run,
 }

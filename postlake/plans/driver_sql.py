@@ -102,6 +102,12 @@ FROM g LEFT JOIN (VALUES {coords}) AS k(category, lat, lon) ON g.category = k.ca
 WITH c AS (SELECT {rule_case} AS category FROM part WHERE p_name IS NOT NULL)
 SELECT category, count(*) AS freq FROM c WHERE category IS NOT NULL GROUP BY category"""
 
+    sql["category_rules_indexed"] = r"""
+WITH r AS (SELECT doc_id AS priority, source AS category, regexp_extract(text, '^[^ \n]+ ([^ \n]+)', 1) AS keyword FROM documents),
+     h AS (SELECT page_id, min_by(category, priority) AS category
+           FROM pages JOIN r ON keyword <> '' AND contains(url, keyword) GROUP BY page_id)
+SELECT page_id, h.category FROM pages LEFT JOIN h USING (page_id)"""
+
     sql["normalize_text"] = f"""
 SELECT doc_id, {o.noise(o.strip('lower(text)'))} AS norm_text FROM documents"""
 
@@ -309,6 +315,11 @@ SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice EN
        o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
 FROM orders"""
 
+    sql["drifting_scan"] = """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE replace(o_orderpriority, '-', '|') END AS priority
+FROM orders"""
+
     sql["observe_counts"] = """
 SELECT 'scanned' AS stage, count(*) AS rows FROM part
 UNION ALL SELECT 'kept', count(*) FROM part WHERE p_size > 10"""
