@@ -1,9 +1,9 @@
 """Driver queries: one Spark builder and one DuckDB oracle per name.
 
 Every builder takes ``(spark, sf_dir)``, reads whole tables from
-``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Five builders run
+``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Six builders run
 an action first because it is the operator under test: ``roundtrip_sinks``,
-``recursive_scan``, ``drifting_scan`` and ``postings_daily_run`` write to a fresh folder under
+``recursive_scan``, ``drifting_scan``, ``dedup_across_runs`` and ``postings_daily_run`` write to a fresh folder under
 the session's checkpoint dir and return the read-back rows;
 ``observe_counts`` runs one no-op write and returns its observed counts.
 Column names match the oracle exactly.
@@ -143,6 +143,20 @@ def _links(pages: DataFrame) -> DataFrame:
     return exploded.select("page_id", pf.absolute_url("href", F.col("base")).alias("link"))
 
 
+def dedup_across_runs(spark, sf_dir):
+    """A8 across runs: the orders of 2001, one a customer and priority, without
+    those that the stored layer of the two years before holds for the same status."""
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.date_format("o_orderdate", "yyyy").alias("ds"), F.col("o_orderstatus").alias("source")
+    )
+    base = shared_dir(spark, "stored-orders")
+    sinks.write_layer(orders.where("ds < '2001'"), base)
+    keys = ["source", "o_custkey", "o_orderpriority"]
+    today = dedup.keep_first(orders.where("ds = '2001'"), keys, ["o_orderkey"])
+    stored = sinks.read_layer(spark, base, orders.schema).where("ds >= '1999' and ds < '2001'")
+    return dedup.drop_stored(today, stored, keys).drop("ds")
+
+
 def dedup_links(spark, sf_dir):
     """Distinct absolute links found in the pages."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -449,6 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_case": title_case,
     "job_key": job_key,
     "dedup_by_key": dedup_by_key,
+    "dedup_across_runs": dedup_across_runs,
     "dedup_links": dedup_links,
     "page_titles": page_titles,
     "blocked_pages": blocked_pages,

@@ -315,6 +315,14 @@ SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice EN
        o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
 FROM orders"""
 
+    sql["dedup_across_runs"] = """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus AS source, year(o_orderdate) AS y FROM orders),
+     n AS (SELECT * FROM o WHERE y = 2001
+           QUALIFY row_number() OVER (PARTITION BY source, o_custkey, o_orderpriority ORDER BY o_orderkey) = 1)
+SELECT o_orderkey, o_custkey, o_orderpriority, source FROM n
+WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.y BETWEEN 1999 AND 2000 AND o.source = n.source
+                  AND o.o_custkey = n.o_custkey AND o.o_orderpriority = n.o_orderpriority)"""
+
     sql["drifting_scan"] = """
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
        CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE replace(o_orderpriority, '-', '|') END AS priority

@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -358,6 +360,20 @@ def transform(df: DataFrame, scope: Sequence[str] = ("ds", "source")) -> DataFra
     return kept.withColumn("title_lower", F.lower("title"))
 
 
+def drop_seen(spark: SparkSession, rows: DataFrame, processed_path: str, ds: str, days: int) -> DataFrame:
+    """A8 across runs: ``rows`` without the postings that the processed layer
+    holds for the same source in the ``days`` days before ``ds``."""
+    since = (date.fromisoformat(ds) - timedelta(days=days)).isoformat()
+    try:
+        stored = sinks.read_layer(spark, processed_path, PROCESSED_SCHEMA)
+    except AnalysisException as exc:  # the first run has no layer yet
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    earlier = stored.where((F.col("ds") >= since) & (F.col("ds") < ds))
+    return dedup.drop_stored(rows, earlier, ["source", "job_key"])
+
+
 def _observed(observation: Observation) -> dict:
     """The metrics, or nothing where AQE pruned the observed stage of an empty run."""
     try:
@@ -377,6 +393,7 @@ def run(
     rules: Mapping[str, Sequence] = EXTRACTION_RULES,
     stats: dict | None = None,
     extractor: Callable = extract_pages,
+    seen_days: int = 0,
 ) -> DataFrame:
     """One daily run for ``ds``: extract, write raw, transform, write
     processed. Rerunning the same ``ds`` replaces only its partitions; an
@@ -386,7 +403,10 @@ def run(
     the written raw rows, so the HTML is parsed once and a lost executor
     during the transform only recomputes from Parquet. ``stats`` (a dict)
     receives the S8/A11 counters. Only sources with rows in this run are
-    processed again. Returns the processed rows of this ``ds``.
+    processed again. With ``seen_days`` a posting that the processed layer holds
+    under the same source and key, in the so many days before ``ds``, is dropped
+    (A8 across runs); days from ``ds`` on are never looked at, so a rerun of any
+    day gives the same rows. Returns the processed rows of this ``ds``.
     """
     obs: dict = {}
     postings = stamp(extract_postings(pages, rules, observations=obs, extractor=extractor), ds)
@@ -396,6 +416,8 @@ def run(
     sinks.write_layer(raw, raw_path)
     raw_back = sinks.read_layer(spark, raw_path, RAW_SCHEMA, ds=ds).where(F.col("source").isin(_observed(written).get("sources") or []))
     processed = transform(raw_back).select(*PROCESSED_SCHEMA.fieldNames())
+    if seen_days:
+        processed = drop_seen(spark, processed, processed_path, ds, seen_days)
     proc_obs = Observation("processed")
     processed = processed.observe(proc_obs, F.count(F.lit(1)).alias("processed_rows"))
     sinks.write_layer(processed, processed_path)
