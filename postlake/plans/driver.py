@@ -1,9 +1,10 @@
 """Driver queries: one Spark builder and one DuckDB oracle per name.
 
 Every builder takes ``(spark, sf_dir)``, reads whole tables from
-``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Six builders run
+``{sf_dir}/<table>.parquet`` and returns a lazy DataFrame. Eight builders run
 an action first because it is the operator under test: ``roundtrip_sinks``,
-``recursive_scan``, ``drifting_scan``, ``dedup_across_runs`` and ``postings_daily_run`` write to a fresh folder under
+``recursive_scan``, ``drifting_scan``, ``dedup_across_runs``, ``postings_daily_run``,
+``committed_run`` and ``crawl_counters`` write to a fresh folder under
 the session's checkpoint dir and return the read-back rows;
 ``observe_counts`` runs one no-op write and returns its observed counts.
 Column names match the oracle exactly.
@@ -23,7 +24,8 @@ from postlake.operators import dedup, frequency, lookup, profile
 from postlake.operators.flat import extract_flat
 from postlake.operators.observe import count_stages
 from postlake.plans import analysis, postings, site_pages
-from postlake.rules.sites import ALL_LISTING_TEMPLATES, BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_MAX_PAGES
+from postlake.rules.extraction import EXTRACTION_RULES
+from postlake.rules.sites import ALL_LISTING_TEMPLATES, BLOCK_PHRASES, DEFAULT_MAX_PAGES, SITE_BASE_URLS, SITE_MAX_PAGES
 from postlake.session import shared_dir
 from postlake.sources import frontier as fr
 from postlake.sources import sinks
@@ -163,6 +165,11 @@ def dedup_links(spark, sf_dir):
     return dedup.distinct_values(_links(pages), "link")
 
 
+def _articles(pages: DataFrame) -> DataFrame:
+    """Every page of the test tables as an article: none is of a known site."""
+    return pages.withColumn("source", postings.source_of(F.col("url"), default="article"))
+
+
 def page_titles(spark, sf_dir):
     """First <h1> text per page."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "html"))
@@ -347,6 +354,59 @@ def links_join_pages(spark, sf_dir):
     return links.join(fetched, "link", "inner")
 
 
+def link_outcomes(spark, sf_dir):
+    """The links found in all pages and in one landed listing
+    page an event, against the fetched pages: ``pages`` and one detail page a
+    customer (none for BUILDING). Listing links carry tracking parameters."""
+    pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html")).withColumn("source", F.lit("article"))
+    site = SITE_BASE_URLS["indeed"]
+    detail = lambda key, *rest: F.concat(F.lit("/viewjob?jk="), key.cast("string"), *rest)
+    listing = read(spark, sf_dir, "events").select(
+        F.concat(F.lit(f"{site}/jobs?start="), F.col("event_id").cast("string")).alias("url"),
+        F.concat(F.lit('<a href="'), detail(F.col("user_id"), F.lit("&amp;from="), F.col("event_type")), F.lit('">x</a>')).alias("html"),
+        F.lit("indeed").alias("source"),
+    )
+    found = pages.drop("page_id").unionByName(listing).select("source", pf.origin("url").alias("base"), F.explode_outer(ph.hrefs("html")).alias("href"))
+    links = found.where("href is not null").select("source", pf.absolute_url("href", F.col("base")).alias("link"))
+    fetched = read(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(
+        F.col("c_custkey").alias("page_id"), F.concat(F.lit(site), detail(F.col("c_custkey"), F.lit("&tk=1"))).alias("url"), F.lit("indeed").alias("source")
+    )
+    return fr.link_outcomes(links, pages.select("page_id", "url", "source").unionByName(fetched))
+
+
+def _by_domain(pages: DataFrame) -> tuple[DataFrame, dict]:
+    """Pages with the last part of their host as source, and article rules, for two of those; null for others."""
+    rules = {s: EXTRACTION_RULES["article"] for s in ("com", "org")}
+    domain = F.element_at(F.split(pf.host("url"), r"\."), -1)
+    return pages.withColumn("source", F.when(domain.isin(list(rules)), domain)), rules
+
+
+def committed_run(spark, sf_dir):
+    """Two days and a rerun of the first with longer pages only, each
+    one commit; a third day is staged and never committed. The counters read
+    back are those of the last commits."""
+    pages, rules = _by_domain(spread(read(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    base = shared_dir(spark, "committed")
+    args = {"rules": rules, "extractor": extract_flat}
+    postings.run_committed(spark, pages, "2024-01-01", base, **args)
+    postings.run_committed(spark, pages, "2024-01-02", base, **args)
+    longer = pages.where((F.length("html") >= 2000) & (F.col("source") == "com"))
+    postings.run_committed(spark, longer, "2024-01-01", base, **args)
+    staged = [sinks.version_path(base, layer, sinks.new_version()) for layer in ("raw", "processed", "counters")]
+    postings.run(spark, pages, "2024-01-02", *staged[:2], **args, counters_path=staged[2])
+    rows = sinks.read_committed(spark, base, "processed", postings.PROCESSED_SCHEMA)
+    return rows.select("ds", "source", "page_id", "url", "title")
+
+
+def crawl_counters(spark, sf_dir):
+    """The counters per (ds, source) that one run stores; pages of
+    other hosts are skipped."""
+    pages, rules = _by_domain(spread(read(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    base = shared_dir(spark, "counters")
+    postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed", rules, extractor=extract_flat, counters_path=f"{base}/counters")
+    return sinks.read_layer(spark, f"{base}/counters", postings.COUNTERS_SCHEMA)
+
+
 def frontier(spark, sf_dir):
     """Listing URLs per region and source, pages 1..max."""
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
@@ -369,7 +429,7 @@ def frontier_from_titles(spark, sf_dir):
 def listing_links(spark, sf_dir):
     """Distinct detail links per source found in the navigation lists."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return fr.detail_links(pages.withColumn("source", postings.source_of(F.col("url"))), extractor=extract_flat)
+    return fr.detail_links(_articles(pages), extractor=extract_flat)
 
 
 def roundtrip_sinks(spark, sf_dir):
@@ -429,7 +489,7 @@ def extract_rules(spark, sf_dir):
     """Native extraction of every page as an article, lists
     emitted as newline-joined strings."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    out = postings.extract_postings(pages, keep_errors=True, extractor=extract_flat)
+    out = postings.extract_postings(_articles(pages), keep_errors=True, extractor=extract_flat)
     return out.select(
         "page_id", "title", "company", "location",
         F.array_join("tags", "\n").alias("tags"),
@@ -442,7 +502,7 @@ def postings_daily_run(spark, sf_dir):
     """S3 S4 P1-P7 A8 G3 H*: pages → raw layer → processed layer for one ds."""
     pages = spread(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     base = shared_dir(spark, "daily-run")
-    out = postings.run(spark, pages, "2024-01-01", f"{base}/raw", f"{base}/processed", extractor=extract_flat)
+    out = postings.run(spark, _articles(pages), "2024-01-01", f"{base}/raw", f"{base}/processed", extractor=extract_flat)
     return out.select(
         "job_key", "title", "title_lower", "company", "location", "posted_date", "url",
         F.length("description_raw").alias("description_chars"),
@@ -480,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_by_name": union_by_name,
     "head_preview": head_preview,
     "links_join_pages": links_join_pages,
+    "link_outcomes": link_outcomes,
     "frontier": frontier,
     "frontier_from_titles": frontier_from_titles,
     "listing_links": listing_links,
@@ -489,4 +550,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drifting_scan": drifting_scan,
     "extract_rules": extract_rules,
     "postings_daily_run": postings_daily_run,
+    "committed_run": committed_run,
+    "crawl_counters": crawl_counters,
 }

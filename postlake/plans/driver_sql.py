@@ -243,6 +243,35 @@ WITH f AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS link, {o.first_tag
 l AS (SELECT DISTINCT link FROM f WHERE link IS NOT NULL AND link <> '')
 SELECT l.link, f.page_id, f.title, f.html_chars FROM l JOIN f ON l.link = f.link"""
 
+    sql["link_outcomes"] = f"""
+WITH a AS (SELECT {o.origin('url')} AS base, unnest({o.hrefs('html')}) AS href FROM pages),
+l AS (SELECT regexp_replace({o.absolute_url('href', 'base')}, '#.*$', '') AS link, 1 AS n, 0 AS p, NULL AS page_id FROM a
+      UNION ALL SELECT 'https://ar.indeed.com/viewjob?jk=' || user_id, 1, 0, NULL FROM events
+      UNION ALL SELECT regexp_replace(url, '#.*$', ''), 0, 1, page_id FROM pages
+      UNION ALL SELECT 'https://ar.indeed.com/viewjob?jk=' || c_custkey, 0, 1, c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'),
+t AS (SELECT link, CAST(sum(n) AS BIGINT) AS n_links, CAST(sum(p) AS BIGINT) AS n_pages, CAST(min(page_id) AS BIGINT) AS page_id
+      FROM l WHERE link IS NOT NULL AND link <> '' GROUP BY link)
+SELECT link, CASE WHEN n_pages = 0 THEN 'missing' WHEN n_links = 0 THEN 'unlinked' ELSE 'fetched' END AS outcome, n_links, n_pages, page_id FROM t"""
+
+    domain = f"string_split({o.host('url')}, '.')[-1]"
+    kept = "html IS NOT NULL AND html <> ''"
+    sql["crawl_counters"] = f"""
+WITH p AS (SELECT {domain} AS source, url, html, {o.first_tag_text('html')} AS h1 FROM pages),
+c AS (SELECT source, count(*) AS links, count(*) FILTER (WHERE NOT ({kept})) AS blocked,
+             count(DISTINCT coalesce(url, '') || coalesce(h1, '')) FILTER (WHERE {kept}) AS processed_rows
+      FROM p WHERE source IN ('com', 'org') GROUP BY source)
+SELECT links, links AS processed, blocked, links - blocked AS parsed, CAST(0 AS BIGINT) AS errors, processed_rows, '2024-01-01' AS ds, source FROM c"""
+
+    def titles(ds: str, which: str) -> str:
+        return f"""
+SELECT ds, source, page_id, url, {o.title_case(o.strip('h1'))} AS title FROM (
+  SELECT '{ds}' AS ds, {domain} AS source, page_id, url, {o.first_tag_text('html')} AS h1 FROM pages WHERE {kept} AND ({which}))
+QUALIFY row_number() OVER (PARTITION BY source, coalesce(url, '') || coalesce(h1, '') ORDER BY url, page_id) = 1"""
+
+    # the rerun had pages of one source only: it replaces that one
+    longer = f"{domain} = 'org' OR ({domain} = 'com' AND length(html) >= 2000)"
+    sql["committed_run"] = f"SELECT * FROM ({titles('2024-01-01', longer)}) UNION ALL SELECT * FROM ({titles('2024-01-02', f"{domain} IN ('com', 'org')")})"
+
     # the five sites spelled out: list-everything where the site has it, 31 pages each
     sql["frontier"] = """
 WITH p AS (SELECT r_regionkey, r_name AS q, CAST(unnest(generate_series(1, 31)) AS INTEGER) AS page FROM region)

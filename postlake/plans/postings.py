@@ -14,7 +14,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
@@ -28,7 +28,7 @@ from postlake.functions import html as ph
 from postlake.operators import dedup
 from postlake.operators.extract import extract_pages
 from postlake.rules import sites
-from postlake.rules.extraction import DEFAULT_SOURCE, EXTRACTION_RULES, REPAIR_SOURCES, SOURCE_HOSTS
+from postlake.rules.extraction import EXTRACTION_RULES, REPAIR_SOURCES, SOURCE_HOSTS
 from postlake.sources import sinks
 
 # Canonical parsed fields and their types (§1 of the blueprint).
@@ -59,6 +59,10 @@ META_FIELDS: list[tuple[str, T.DataType]] = [
 RAW_SCHEMA = T.StructType([T.StructField(n, t) for n, t in POSTING_FIELDS + META_FIELDS])
 PROCESSED_SCHEMA = T.StructType(list(RAW_SCHEMA.fields) + [T.StructField("title_lower", T.StringType())])
 
+# What a run counts, per source and in all
+COUNTERS = ("links", "processed", "blocked", "parsed", "errors", "processed_rows")
+COUNTERS_SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in COUNTERS] + [T.StructField(n, T.StringType()) for n in sinks.PARTITION_COLS])
+
 SOURCE_SITE_NAMES = {"getonboard": "get_on_board"}  # G6: as each site labels itself
 log = logging.getLogger("postlake")
 
@@ -77,8 +81,9 @@ def _one(c: Column) -> Column:
     return F.when(c.isNotNull(), F.array(c)).otherwise(F.array().cast("array<string>"))
 
 
-def source_of(url: Column, known: Mapping[str, str] = SOURCE_HOSTS, default: str = DEFAULT_SOURCE) -> Column:
-    """Site key from the detail-page host; unknown hosts get ``default``."""
+def source_of(url: Column, known: Mapping[str, str] = SOURCE_HOSTS, default: str | None = None) -> Column:
+    """Site key from the detail-page host; unknown hosts get ``default``
+    (null: their pages are skipped by ``extract_postings``)."""
     h = pf.host(url)
     expr = None
     for hostname, src in known.items():
@@ -245,6 +250,12 @@ def assemble(extracted: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return extracted.select(*cols, "source", "page_id", "parse_ok", "parse_error", "__keep", *carry)
 
 
+def counted(name: str, rows: Column, sources: Iterable[str]) -> list[Column]:
+    """Counter ``name`` of the rows, in all and per source: a fixed number of
+    sums for ``observe``, as many as there are sources with rules."""
+    return [F.count_if(rows).alias(name), *[F.count_if(rows & (F.col("source") == s)).alias(f"{name}:{s}") for s in sources]]
+
+
 def extract_postings(
     pages: DataFrame,
     rules: Mapping[str, Sequence] = EXTRACTION_RULES,
@@ -258,7 +269,8 @@ def extract_postings(
     """pages → canonical posting rows (plus ``source``, ``page_id``,
     ``parse_ok``, ``parse_error``).
 
-    F1 drops null/empty pages; F2 drops blocked pages of ``blocked_sources``
+    S5 skips pages without a source, as those of unknown hosts are (their number
+    is observed as ``skipped``); a named source without rules is a failed parse. F1 drops null/empty pages; F2 drops blocked pages of ``blocked_sources``
     before any parsing; F3 drops indeed pages with neither JSON-LD nor a
     description. Failed parses are dropped unless ``keep_errors`` (H11).
     Pass a dict as ``observations`` to get A11/S8 counters (``pages``,
@@ -269,15 +281,17 @@ def extract_postings(
     src = pages if "source" in pages.columns else pages.withColumn("source", source_of(F.col("url")))
     failed = F.col("html").isNull() | (F.col("html") == "")
     blocked = F.col("source").isin(list(blocked_sources)) & ph.is_blocked("html", block_phrases)
+    known = F.col("source").isNotNull()
     if observations is not None:
         observations["pages"] = Observation("pages")
         src = src.observe(
             observations["pages"],
-            F.count(F.lit(1)).alias("links"),
-            F.count(F.lit(1)).alias("processed"),
-            F.count_if(failed | blocked).alias("blocked"),
+            F.count_if(~known).alias("skipped"),
+            *counted("links", known, rules),
+            *counted("processed", known, rules),
+            *counted("blocked", known & (failed | blocked), rules),
         )
-    src = src.where(~failed & ~blocked)
+    src = src.where(known & ~failed & ~blocked)
     joined = extractor(
         src.select("page_id", "source", "url", "html", *carry), rules, passthrough=list(carry),
         repair_sources=sorted(REPAIR_SOURCES),
@@ -296,8 +310,8 @@ def extract_postings(
         observations["output"] = Observation("output")
         out = out.observe(
             observations["output"],
-            F.count_if(F.col("parse_ok")).alias("parsed"),
-            F.count_if(~F.col("parse_ok")).alias("errors"),
+            *counted("parsed", F.col("parse_ok"), rules),
+            *counted("errors", ~F.col("parse_ok"), rules),
         )
     return out
 
@@ -319,7 +333,7 @@ def crawl_stats(
     empty = F.col("html").isNull() | (F.col("html") == "")
     phrase = ph.is_blocked("html", block_phrases)
     if blocked_sources is not None:
-        phrase = F.col("source").isin(list(blocked_sources)) & phrase
+        phrase = F.coalesce(F.col("source").isin(list(blocked_sources)), F.lit(False)) & phrase
     flags = src.select(*by, (empty | phrase).alias("blocked"), (parsed if parsed is not None else F.lit(True)).alias("ok"))
     return flags.groupBy(*by).agg(
         F.count(F.lit(1)).alias("links"),
@@ -394,6 +408,7 @@ def run(
     stats: dict | None = None,
     extractor: Callable = extract_pages,
     seen_days: int = 0,
+    counters_path: str | None = None,
 ) -> DataFrame:
     """One daily run for ``ds``: extract, write raw, transform, write
     processed. Rerunning the same ``ds`` replaces only its partitions; an
@@ -402,7 +417,8 @@ def run(
     The raw layer is the lineage cut: the processed layer is computed from
     the written raw rows, so the HTML is parsed once and a lost executor
     during the transform only recomputes from Parquet. ``stats`` (a dict)
-    receives the S8/A11 counters. Only sources with rows in this run are
+    receives the S8/A11 counters in all; ``counters_path`` names a layer that
+    gets them per (ds, source), counted in the same passes. Only sources with rows in this run are
     processed again. With ``seen_days`` a posting that the processed layer holds
     under the same source and key, in the so many days before ``ds``, is dropped
     (A8 across runs); days from ``ds`` on are never looked at, so a rerun of any
@@ -419,14 +435,42 @@ def run(
     if seen_days:
         processed = drop_seen(spark, processed, processed_path, ds, seen_days)
     proc_obs = Observation("processed")
-    processed = processed.observe(proc_obs, F.count(F.lit(1)).alias("processed_rows"))
+    processed = processed.observe(proc_obs, *counted("processed_rows", F.lit(True), rules))
     sinks.write_layer(processed, processed_path)
-    names = {"pages": ("links", "processed", "blocked"), "output": ("parsed", "errors"), "processed": ("processed_rows",)}
-    counters = {}
-    for key, o in (("pages", obs["pages"]), ("output", obs["output"]), ("processed", proc_obs)):
-        got = _observed(o)
-        counters.update({k: int(got.get(k) or 0) for k in names[key]})
+    got = {**_observed(obs["pages"]), **_observed(obs["output"]), **_observed(proc_obs)}
+    counters = {k: int(got.get(k) or 0) for k in COUNTERS}
     log.info("ds=%s %s", ds, " ".join(f"{k}={v}" for k, v in counters.items()))
+    if got.get("skipped"):
+        log.warning("ds=%s: %d pages of unknown hosts skipped", ds, got["skipped"])
     if stats is not None:
         stats.update(counters)
+    if counters_path is not None:
+        each = [(*[int(got.get(f"{k}:{s}") or 0) for k in COUNTERS], ds, s) for s in rules if got.get(f"links:{s}")]
+        sinks.write_layer(spark.createDataFrame(each, COUNTERS_SCHEMA), counters_path)
     return sinks.read_layer(spark, processed_path, PROCESSED_SCHEMA, ds=ds)
+
+
+def run_committed(
+    spark: SparkSession,
+    pages: DataFrame,
+    ds: str,
+    base_path: str,
+    rules: Mapping[str, Sequence] = EXTRACTION_RULES,
+    stats: dict | None = None,
+    extractor: Callable = extract_pages,
+) -> DataFrame:
+    """``run`` with both layers and the counters under one commit (S3 + S4).
+
+    The layers ``raw``, ``processed`` and ``counters`` below ``base_path`` are
+    written to folders of a new version, which ``sinks.read_committed`` does not
+    see; one small file then makes that version the current one of each (ds,
+    source) that had pages. A job lost at any point before leaves the earlier
+    rows of all layers in place; a rerun writes a version of its own. Returns the
+    committed processed rows of this ``ds``.
+    """
+    version = sinks.new_version()
+    raw, processed, counters = (sinks.version_path(base_path, layer, version) for layer in ("raw", "processed", "counters"))
+    run(spark, pages, ds, raw, processed, rules, stats, extractor, counters_path=counters)
+    done = sinks.read_layer(spark, counters, COUNTERS_SCHEMA).where("parsed > 0").select("source").collect()  # at most one per site
+    sinks.commit(spark, base_path, version, ds, [r.source for r in done])
+    return sinks.read_committed(spark, base_path, "processed", PROCESSED_SCHEMA, ds=ds)

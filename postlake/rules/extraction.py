@@ -115,7 +115,6 @@ SOURCE_HOSTS: dict[str, str] = {
     "www.zonajobs.com.ar": "zonajobs",
     "www.getonbrd.com": "getonboard",
 }
-DEFAULT_SOURCE = "article"
 
 # --- fixed values: detail-link selectors on listing pages ---
 LISTING_RULES: dict[str, list[tuple[str, str, str, dict]]] = {

@@ -59,6 +59,38 @@ def listing_urls(
     return with_page.withColumn("source", F.col("__s.source")).withColumn("url", url).drop("__s")
 
 
+def link_key(url: Column, source: Column) -> Column:
+    """The URL under which a link and a fetched page meet — without
+    fragment, rebuilt from the id where the site names its pages by one
+    parameter (tracking parameters go). Null for an empty URL."""
+    key = F.regexp_replace(url, "#.*$", "")
+    for src, param in CANONICAL_PARAM.items():
+        key = F.when(source == src, pf.canonical_by_param(key, SITE_BASE_URLS[src], param)).otherwise(key)
+    return F.nullif(key, F.lit(""))
+
+
+def link_outcomes(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every linked or fetched URL once, with its outcome.
+
+    ``links`` holds ``(source, link)`` as found (repeats count), ``pages``
+    ``(page_id, source, url)``. The outcome is ``fetched`` (linked and there),
+    ``missing`` (linked, no page) or ``unlinked`` (a page no link names); with
+    it the number of links and pages and the smallest page id. Rows without a
+    URL are left out. Both sides meet in one aggregate by key, which is the full
+    outer join of their per-key totals: one shuffle of partial sums, so a URL
+    that a third of all pages link to is a handful of rows in it.
+    """
+    wanted = links.select(
+        link_key(F.col("link"), F.col("source")).alias("link"), F.lit(1).alias("to"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("page_id")
+    )
+    there = pages.select(link_key(F.col("url"), F.col("source")).alias("link"), F.lit(0).alias("to"), F.lit(1).alias("at"), F.col("page_id").cast("long"))
+    totals = wanted.unionByName(there).where("link is not null").groupBy("link").agg(
+        F.sum("to").alias("n_links"), F.sum("at").alias("n_pages"), F.min("page_id").alias("page_id")
+    )
+    outcome = F.when(F.col("n_pages") == 0, "missing").when(F.col("n_links") == 0, "unlinked").otherwise("fetched")
+    return totals.select("link", outcome.alias("outcome"), "n_links", "n_pages", "page_id")
+
+
 def _site_base(source: Column, page_url: Column) -> Column:
     expr = None
     for src, base in SITE_BASE_URLS.items():

@@ -10,12 +10,17 @@ written by as many tasks as its bytes need, in files of about that size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COLS = ("ds", "source")
+COMMITS_SCHEMA = "ds string, source string, version string"
 
 
 def write_layer(
@@ -41,3 +46,42 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType, **filters)
     for col, value in filters.items():
         df = df.where(df[col] == value)
     return df
+
+
+# ------------------------------------------- several layers under one commit
+def new_version() -> str:
+    """A version name; later ones sort behind earlier ones."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+
+
+def version_path(base_path: str, layer: str, version: str) -> str:
+    """Folder of one layer's rows of one version; unseen until it is committed."""
+    return f"{base_path}/{layer}/version={version}"
+
+
+def commit(spark: SparkSession, base_path: str, version: str, ds: str, sources: Sequence[str]) -> None:
+    """Make the staged ``version`` the current one of ``ds`` and ``sources``, in
+    all layers at once: one file of a few rows, which appears whole or not at
+    all. No source (an empty run) commits nothing (F10)."""
+    if sources:
+        rows = spark.createDataFrame([(ds, s, version) for s in sorted(sources)], COMMITS_SCHEMA)
+        rows.coalesce(1).write.mode("append").parquet(f"{base_path}/commits")
+
+
+def read_committed(spark: SparkSession, base_path: str, layer: str, schema: T.StructType, **filters) -> DataFrame:
+    """The current rows of a layer: of each (ds, source) the version committed
+    last. Staged rows without a commit, and replaced ones, are not seen; before
+    the first commit the layer is empty. Filters on ``ds`` or ``source`` prune
+    partitions and bound the commits that are read."""
+    try:
+        commits = spark.read.schema(COMMITS_SCHEMA).parquet(f"{base_path}/commits")
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.StringType())])).parquet(f"{base_path}/{layer}")
+    for col, value in filters.items():
+        rows = rows.where(F.col(col) == value)
+        commits = commits.where(F.col(col) == value) if col in PARTITION_COLS else commits
+    current = commits.groupBy(*PARTITION_COLS).agg(F.max("version").alias("version"))
+    return rows.join(current, [*PARTITION_COLS, "version"], "left_semi").select(*schema.fieldNames())

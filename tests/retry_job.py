@@ -36,7 +36,7 @@ def main():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
-    pages = read_table(spark, sys.argv[1], "pages").select("page_id", "url", "html").repartition(4, "page_id")
+    pages = read_table(spark, sys.argv[1], "pages").selectExpr("page_id", "url", "html", "'article' AS source").repartition(4, "page_id")
     out = {}
     for name, src in (("clean", pages), ("retried", pages.mapInPandas(flaky, pages.schema))):
         base = tempfile.mkdtemp(prefix="retry-")
