@@ -169,17 +169,20 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     # numbered in the order of their first places, so that one number stands for place and set
     numbered = folded.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id())
     sets = materialize(numbered, "line-firsts")
-    # a prefix word of one set alone pairs nothing
+    # a prefix word of one set alone pairs nothing; one of two sets pairs only these two
     words = sets.select(F.explode_outer("prefix").alias("word")).filter("word is not null")
-    words = materialize(words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").select("word"), "line-words-posted")
-    postings = materialize(_postings(sets.filter(F.size("prefix") > 0)).join(_small(words, words.count()), "word", "left_semi"), "line-postings")
+    words = materialize(words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").select("word", (F.col("n") > 2).alias("many")), "line-words-posted")
+    postings = materialize(_postings(sets.filter(F.size("prefix") > 0)).join(_small(words, words.count()), "word"), "line-postings")
     # Any earlier match decides, so each set first meets only the earliest set of each
     # of its words: pairs in proportion to the postings, which settle groups of near
-    # copies. Only sets that this leaves open meet all earlier sets of their words.
+    # copies. Only sets that this leaves open meet all earlier sets of their words,
+    # and only through words of three sets or more: of two, the earliest is the other.
     pairs = materialize(_candidates(_leaders(postings), postings, percent), "line-pairs")
     settled = matching_sets(texts, sets, pairs, percent)
-    unsettled = postings.join(settled.select(F.col("y").alias("id")).distinct(), "id", "left_anti")
-    more = materialize(_candidates(postings, unsettled, percent), "line-pairs")
+    done = settled.select(F.col("y").alias("id")).distinct()
+    many = postings.filter("many")
+    unsettled = many.join(_small(done, done.count()), "id", "left_anti")
+    more = materialize(_candidates(many, unsettled, percent), "line-pairs")
     discard(words, postings)
     late = matching_sets(texts, sets, more, percent)
     alike = settled.unionByName(late)
