@@ -37,6 +37,7 @@ TAG = r"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>([^<]*+(
 ATTRIBUTE = r"""([^\s"'=/>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 CUT_OFF = r"<[/a-zA-Z][^<>]*$"
 STRINGS = "array<string>"
+ATTRIBUTES = "array<struct<name:string,value:string>>"
 
 Rule = tuple[str, str, str, dict]
 
@@ -56,7 +57,7 @@ def with_events(pages: DataFrame, html: str = "html", out: str = "events") -> Da
     parts = clean.withColumn("__tags", F.arrays_zip(slash.alias("slash"), name.alias("tag"), markup.alias("markup"), text.alias("text")))
     event = F.transform("__tags", lambda t, i: F.struct(
         (i + 1).alias("pos"), (t["slash"] == "").alias("open"), F.lower(t["tag"]).alias("tag"),
-        _attributes(t["markup"]).alias("attrs"), ph.decode_entities(t["text"]).alias("text")))
+        F.when(F.contains(t["markup"], F.lit("=")), _attributes(t["markup"])).otherwise(F.array().cast(ATTRIBUTES)).alias("attrs"), ph.decode_entities(t["text"]).alias("text")))
     return parts.withColumn(out, event).drop("__tags", "__clean")
 
 
@@ -118,23 +119,26 @@ def _within(found: Column, scopes: Column) -> Column:
 class Page:
     """Searches in one events column; elements are structs (pos, end, attrs)."""
 
-    def __init__(self, events: str = "events", repair: Column | bool = False):
-        self.events = F.col(events)
+    def __init__(self, events: Column | str = "events", repair: Column | bool = False):
+        self.events = F.col(events) if isinstance(events, str) else events
         self.repair = repair if isinstance(repair, Column) else F.lit(repair)
 
     def end(self, e: Column) -> Column:
         """Position of the event that ends the element (one behind the last without any)."""
-        same = F.filter(self.events, lambda x: (x["pos"] > e["pos"]) & (x["tag"] == e["tag"]))
         start = F.struct(F.lit(1).alias("depth"), F.lit(None).cast("int").alias("end"))
 
         def step(acc: Column, x: Column) -> Column:
             depth = acc["depth"] + F.when(x["open"], 1).otherwise(-1)
             return F.when(acc["end"].isNotNull(), acc).otherwise(F.struct(depth.alias("depth"), F.when(depth == 0, x["pos"]).alias("end")))
 
-        balanced = F.aggregate(same, start, step)["end"]
-        implied = F.when(self.repair & e["tag"].isin(*IMPLIED), F.get(same, F.lit(0))["pos"])
-        void = F.when(e["tag"].isin(*VOID), e["pos"] + 1)
-        return F.coalesce(void, implied, balanced, F.size(self.events) + 1)
+        def ended(same: Column) -> Column:
+            first = F.get(same, F.lit(0))
+            implied = F.when(self.repair & e["tag"].isin(*IMPLIED), first["pos"])
+            balanced = F.when(~first["open"], first["pos"]).otherwise(F.aggregate(same, start, step)["end"])  # mostly the next of the name closes it
+            return F.coalesce(implied, balanced, F.size(self.events) + 1)
+
+        same = F.filter(self.events, lambda x: (x["pos"] > e["pos"]) & (x["tag"] == e["tag"]))
+        return F.when(e["tag"].isin(*VOID), e["pos"] + 1).otherwise(_let(same, ended))
 
     def _element(self, e: Column) -> Column:
         return F.struct(e["pos"].alias("pos"), self.end(e).alias("end"), e["attrs"].alias("attrs"))
@@ -160,10 +164,14 @@ class Page:
             return strip(F.array_join(self.parts(el), ""))
         return F.array_join(self.strings(el), "\n" if mode == "newline" else "")
 
+    def following_at(self, position: Column, target: str, n: int = 1) -> Column:
+        """The event of the nth ``target`` element that opens behind a position; null without."""
+        behind = _let(position, lambda at: F.filter(self.events, lambda x: (x["tag"] == target) & x["open"] & (x["pos"] > at)))
+        return F.get(behind, F.lit(n - 1))
+
     def following(self, position: Column, target: str, n: int = 1) -> Column:
         """The nth ``target`` element that opens behind a position; null without."""
-        behind = _let(position, lambda at: F.filter(self.events, lambda x: x["open"] & (x["tag"] == target) & (x["pos"] > at)))
-        return _let(F.get(behind, F.lit(n - 1)), lambda nxt: F.when(nxt.isNotNull(), self._element(nxt)))
+        return _let(self.following_at(position, target, n), lambda nxt: F.when(nxt.isNotNull(), self._element(nxt)))
 
     def inside(self, outer: Column, test: Callable[[Column], Column]) -> Column:
         """Elements inside another that pass a test of their event."""
@@ -175,7 +183,7 @@ def _some(values: Column) -> Column:
 
 
 def _as_list(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.array(value)).otherwise(F.array().cast(STRINGS))
+    return _some(F.array(value))
 
 
 def label_values(page: Page, labels: Column, contains: str, target: str = "p") -> Column:
@@ -246,9 +254,9 @@ def _nth_following(page: Page, anchors: Column, p: Mapping) -> Column:
     if not p.get("each"):
         el = page.following(F.get(anchors, F.lit(0))["pos"], p["target"], n)
     else:
-        each = _some(F.transform(anchors, lambda a: page.following(a["pos"], p["target"], p["each"])["pos"]))
-        place = F.get(F.array_sort(F.array_distinct(each)), F.lit(n - 1))
-        el = F.when(place.isNotNull(), page._element(F.element_at(page.events, place)))
+        each = _some(F.transform(anchors, lambda a: page.following_at(a["pos"], p["target"], p["each"])["pos"]))
+        event = F.element_at(page.events, F.get(F.array_sort(F.array_distinct(each)), F.lit(n - 1)))
+        el = _let(event, lambda e: F.when(e.isNotNull(), page._element(e)))  # the search is not worked out again at each event
     return _as_list(page.text(el, "raw"))
 
 
@@ -276,7 +284,7 @@ def _rule(page: Page, kind: str, nodes: Column, p: Mapping, html: Column) -> Col
     if kind == "first_string":
         return _as_list(strip(F.get(F.filter(F.flatten(F.transform(nodes, page.parts)), lambda t: t != ""), F.lit(0))))
     if kind == "text":
-        return F.when(first.isNotNull(), F.array(page.text(first, p.get("mode", "strip")))).otherwise(F.array().cast(STRINGS))
+        return _let(first, lambda el: F.when(el.isNotNull(), F.array(page.text(el, p.get("mode", "strip")))).otherwise(F.array().cast(STRINGS)))
     if kind == "attr":
         return _as_list(attribute(first, p["attr"]))
     if kind == "strings":
@@ -316,7 +324,7 @@ def extract_events(pages: DataFrame, rules_by_source: Mapping[str, Sequence[Rule
     """
     src = pages.select(F.col("page_id").cast("long"), "source", "url", "html", *passthrough)
     df = with_events(src, out="__events")
-    page = Page("__events", F.col("source").isin(list(repair_sources)) if repair_sources else False)
+    repair = F.col("source").isin(list(repair_sources)) if repair_sources else False
     jobs = [(source, k, rule) for source, rules in rules_by_source.items() for k, rule in enumerate(rules) if rule[1] != "page_text"]
     # elements of every chain and of its ancestors, all chains of one length in one step
     known: dict[tuple, str] = {}
@@ -324,44 +332,59 @@ def extract_events(pages: DataFrame, rules_by_source: Mapping[str, Sequence[Rule
         for selector in _selectors(rule)[: 1 + bool(rule[3].get("scope")) + bool(rule[3].get("fallback"))]:
             for chain in parse_selector(selector):
                 for n in range(1, len(chain) + 1):
-                    known.setdefault((source, tuple(chain[:n])), f"__el_{len(known)}")
-    for n in range(1, max((len(c) for _, c in known), default=0) + 1):
-        made = {name: F.when(F.col("source") == source, page.chain(c, [F.col(known[source, c[:-1]])] if n > 1 else [])) for (source, c), name in known.items() if len(c) == n}
-        df = df.withColumns(made)
-
-    def nodes_of(selector: str, source: str) -> Column:
-        groups = [F.col(known[source, tuple(chain)]) for chain in parse_selector(selector)]
-        return groups[0] if len(groups) == 1 else F.array_sort(F.array_distinct(F.concat(*groups)))
-
-    results: dict[str, dict[str, list[tuple[str, dict]]]] = {}
-    values = {}
-    for source, k, (name, kind, selector, p) in jobs:
-        nodes = nodes_of(selector, source) if kind != "script" else F.lit(None)
-        if p.get("scope"):
-            nodes = _within(nodes, F.slice(nodes_of(p["scope"], source), p.get("scope_nth", 0) + 1, 1))
-        value = _rule(page, kind, nodes, p, F.col("html"))
-        if p.get("fallback"):
-            other = F.get(nodes_of(p["fallback"], source), F.lit(0))
-            value = _or_text(value, page, other)
-        values[f"__in_{source}_{k}"] = F.when(F.col("source") == source, value)
-        results.setdefault(source, {}).setdefault(name, []).append((f"__in_{source}_{k}", p))
-    df = df.withColumns(values)
-    inputs = None
-    for source, names in results.items():
-        entries = []
-        for name, chain in names.items():
-            value = F.col(chain[-1][0])
-            for column, p in reversed(chain[:-1]):  # an empty value falls through to the next rule
-                enough = F.exists(column, lambda v: v != "")
-                value = F.when(F.size(column) > 0 if p.get("exists_wins") else enough, F.col(column)).otherwise(value)
-            entries += [F.lit(name), F.coalesce(value, F.array().cast(STRINGS))]
-        made = F.create_map(*entries)
-        inputs = F.when(F.col("source") == source, made) if inputs is None else inputs.when(F.col("source") == source, made)
+                    known.setdefault((source, tuple(chain[:n])), f"el_{len(known)}")
+    longest = max((len(c) for _, c in known), default=0)
+
+    def of(source: str, value: Column) -> Column:
+        return F.when(F.col("source") == source, value)
+
+    def elements(page: Page, found: dict[tuple, Column], n: int = 1) -> Column:
+        if n > longest:
+            return inputs(page, found)
+        made = F.struct(*[of(s, page.chain(c, [found[s, c[:-1]]] if n > 1 else [])).alias(name) for (s, c), name in known.items() if len(c) == n])
+        return _let(made, lambda els: elements(page, found | {key: els[name] for key, name in known.items() if len(key[1]) == n}, n + 1))
+
+    def inputs(page: Page, found: dict[tuple, Column]) -> Column:
+        def nodes_of(selector: str, source: str) -> Column:
+            groups = [found[source, tuple(chain)] for chain in parse_selector(selector)]
+            return groups[0] if len(groups) == 1 else F.array_sort(F.array_distinct(F.concat(*groups)))
+
+        values = []
+        for source, k, (_, kind, selector, p) in jobs:
+            nodes = nodes_of(selector, source) if kind != "script" else F.lit(None)
+            if p.get("scope"):
+                nodes = _within(nodes, F.slice(nodes_of(p["scope"], source), p.get("scope_nth", 0) + 1, 1))
+            value = _rule(page, kind, nodes, p, F.col("html"))
+            if p.get("fallback"):
+                value = _or_text(value, page, F.get(nodes_of(p["fallback"], source), F.lit(0)))
+            values.append(of(source, value).alias(f"in_{source}_{k}"))
+        return _let(F.struct(*values), named) if values else F.lit(None)
+
+    def named(got: Column) -> Column:
+        results: dict[str, dict[str, list[tuple[Column, dict]]]] = {}
+        for source, k, (name, _, _, p) in jobs:
+            results.setdefault(source, {}).setdefault(name, []).append((got[f"in_{source}_{k}"], p))
+        out = F.lit(None)
+        for source, names in results.items():
+            entries = []
+            for name, chain in names.items():
+                value = chain[-1][0]
+                for column, p in reversed(chain[:-1]):  # an empty value falls through to the next rule
+                    enough = F.size(column) > 0 if p.get("exists_wins") else F.exists(column, lambda v: v != "")
+                    value = F.when(enough, column).otherwise(value)
+                entries += [F.lit(name), F.coalesce(value, F.array().cast(STRINGS))]
+            out = F.coalesce(of(source, F.create_map(*entries)), out)
+        return out
+
+    # one look-up of the events: bound once, they are searched as they were made and never written out as a column
+    searched = _let(F.col("__events"), lambda events: F.struct(
+        F.coalesce(F.size(events), F.lit(0)).alias("n"), elements(Page(events, repair), {}).alias("inputs")))
+    df = df.withColumn("__found", searched)
     error = F.when(~F.col("source").isin(list(rules_by_source)) | F.col("source").isNull(), F.concat(F.lit("no rules for source "), F.coalesce("source", F.lit("null"))))
-    error = error.when(F.coalesce(F.size("__events"), F.lit(0)) <= 0, "no markup").when(F.rlike("html", F.lit(CUT_OFF)), "ends inside a tag")
+    error = error.when(F.col("__found.n") <= 0, "no markup").when(F.rlike("html", F.lit(CUT_OFF)), "ends inside a tag")
     with_text = [s for s, rules in rules_by_source.items() if any(kind == "page_text" for _, kind, *_ in rules)]
     text = F.when(F.col("source").isin(with_text), ph.page_text("html")) if with_text else F.lit(None).cast("string")
-    read = F.struct(error.isNull().alias("parse_ok"), error.alias("parse_error"), F.when(error.isNull(), inputs).alias("inputs"), text.alias("page_text"))
+    read = F.struct(error.isNull().alias("parse_ok"), error.alias("parse_error"), F.when(error.isNull(), F.col("__found.inputs")).alias("inputs"), text.alias("page_text"))
     # a generate of one row: filters on the result are not pushed below it, where they would work out the whole extraction again
     once = df.select("page_id", "source", "url", *passthrough, F.explode_outer(F.array(read)).alias("read"))
     return once.select("page_id", "source", "url", "read.*", *passthrough)

@@ -66,7 +66,7 @@ def getonboard_html() -> Column:
 
 def land(spark: SparkSession, sf_dir: str, table: str, key: str, source: str, url: str, html: Column) -> DataFrame:
     """Pages (page_id, source, url, html) of a table's rows, written and read back."""
-    rows = spread(read(spark, sf_dir, table))
+    rows = spread(read(spark, sf_dir, table), always=True)  # rows are short, pages are not: deal out the rows
     pages = rows.select(F.col(key).alias("page_id"), F.lit(source).alias("source"), F.concat(F.lit(url), F.col(key).cast("string")).alias("url"), html.alias("html"))
     path = shared_dir(spark, f"landing-{source}")
     pages.write.parquet(path)
