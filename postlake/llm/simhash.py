@@ -31,6 +31,8 @@ TREE = 4096
 #: Fingerprints of a task that are linked together, and node visits at a time.
 FOREST, VISITS = 100_000, 1_000_000
 SEED = 42
+#: Texts whose shingles are held together, in UTF-8 bytes: a shingle takes some 200 bytes as digest and bits.
+SHINGLED_BYTES = 1 << 18
 #: Parts over which a component's result is dealt back to its fingerprints.
 SALTS = 32
 
@@ -68,7 +70,7 @@ def _fingerprinter(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [c for c in batch.schema.names if c != "text"]
-            for a, b in text_slices(batch, "text"):
+            for a, b in text_slices(batch, "text", SHINGLED_BYTES):
                 texts = batch.column("text")[a:b].cast(pa.binary()).to_pylist()
                 yield pa.record_batch([*(batch.column(c)[a:b] for c in keys), pa.array(fingerprints_of(texts, width))], names=[*keys, "fp"])
 

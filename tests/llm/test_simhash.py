@@ -105,3 +105,20 @@ def test_keep_one_goes_by_row_not_by_id(spark, docs_of):
     assert got[:2] == [(1, "a0", "x"), (1, "b0", "y")] and len(got) == 3 and got[2][:2] == (2, "c0")
     assert got == sorted((r.doc_id, r.text[:2], r.source or "") for r in simhash.keep_one(docs.repartition(5)).collect())
     assert simhash.keep_one(docs.select("doc_id", "text")).count() == 3
+
+
+def test_shingles_of_a_batch_are_held_in_part():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from postlake.llm import simhash
+
+    batch = pa.record_batch({"doc_id": list(range(40)), "text": ["ab " * 16_000] * 40})
+    run = simhash._fingerprinter(4)
+    list(run(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    got = sum(b.num_rows for b in run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == 40 and peak < 60 << 20
