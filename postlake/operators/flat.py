@@ -36,7 +36,7 @@ def paragraphs(article) -> Column:
 
 
 def _one(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.array(value)).otherwise(F.array().cast("array<string>"))
+    return F.filter(F.array(value), lambda v: v.isNotNull())  # the value is worked out once
 
 
 def extract_flat(pages: DataFrame, rules_by_source: Mapping | None = None, passthrough: Sequence[str] = (), repair_sources: Sequence[str] = ()) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from postlake.operators import flat
 from postlake.operators.events import extract_events, split_rules
 from postlake.plans import site_pages
 from postlake.rules.extraction import EXTRACTION_RULES
+from postlake.sources.tables import spread
 
 
 def test_rows_of_one_file_are_dealt_out(spark, tmp_dir):
@@ -22,3 +24,15 @@ def test_search_behind_each_anchor_is_worked_out_once(spark):
     out = extract_events(df, {"zonajobs": each}, repair_sources=["zonajobs"])
     assert out.collect()[0].inputs["modality_text"] == ["b"]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == len(each)
+
+
+def test_heavy_work_is_dealt_out_without_the_setting(spark):
+    one = spark.range(100).coalesce(1)
+    assert spread(one, always=True).rdd.getNumPartitions() >= 8 and spread(one).rdd.getNumPartitions() == 1
+
+
+def test_a_single_value_is_worked_out_once(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    out = df.select(flat._one(F.upper("v")).alias("l"))
+    assert [r.l for r in out.collect()] == [["A"], []]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("upper(") == 1
