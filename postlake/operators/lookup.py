@@ -55,13 +55,19 @@ def _grams(text: Column, size: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
 
 
-def _hits(values: DataFrame, rules: DataFrame, size: int) -> DataFrame:
-    """(value, rule) of contained keywords, found by each keyword's rarest run of ``size`` characters."""
-    held = values.select("value", F.explode(_grams(F.col("value"), size)).alias("gram"))
-    runs = rules.select("keyword", "rule", F.explode(_grams(F.col("keyword"), size)).alias("gram"))
-    seen = held.join(runs.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = runs.join(seen, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+def _hits(values: DataFrame, rules: DataFrame) -> DataFrame:
+    """(value, rule) of contained keywords, found by each keyword's rarest run.
+
+    Runs have ``GRAM`` characters, or as many as a shorter keyword has; runs of
+    different lengths are different strings, so one join serves them all.
+    """
+    pieces = F.concat(*(_grams(F.col("value"), size) for size in range(1, GRAM + 1)))
+    held = values.select("value", F.explode(pieces).alias("gram"))
+    own = F.when(F.length("keyword") < GRAM, F.array("keyword")).otherwise(_grams(F.col("keyword"), GRAM))
+    runs = rules.select("keyword", "rule", F.explode(own).alias("gram"))
+    seen = held.groupBy("gram").agg(F.count("*").alias("n"))
     # a run that no value holds rules its keyword out
+    rarest = runs.join(seen, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     posted = rarest.groupBy("keyword").agg(F.min(F.struct("n", "gram")).alias("least"), F.first("rule").alias("rule"))
     posted = posted.filter("least.n > 0").select(F.col("least.gram").alias("gram"), "keyword", "rule")
     return held.join(posted, "gram").filter(F.contains("value", "keyword")).select("value", "rule")
@@ -77,15 +83,12 @@ def categorize_by_rule_table(df: DataFrame, col: str, rules: DataFrame, out_col:
     keyword under the one of its runs that the fewest values hold, so a frequent
     run carries only the keywords that have nothing rarer. ``contains`` verifies,
     the first rule wins, and the answer is joined back to the rows. Keywords of
-    one and two characters go the same way by runs of their own length. Null and
+    one and two characters go the same way, in the same join, by themselves. Null and
     empty keywords match nothing; ``df`` may not hold a column ``__value``.
     """
     first = F.min(F.struct("priority", "category", "keyword")).alias("rule")
     named = rules.filter("keyword is not null and keyword <> ''").groupBy("keyword").agg(first)
     values = df.select(F.col(col).alias("value")).filter("value is not null").distinct()
-    hits = _hits(values, named.filter(F.length("keyword") >= GRAM), GRAM)
-    for size in range(1, GRAM):
-        hits = hits.unionByName(_hits(values, named.filter(F.length("keyword") == size), size))
-    best = hits.groupBy("value").agg(F.min("rule").alias("rule"))
+    best = _hits(values, named).groupBy("value").agg(F.min("rule").alias("rule"))
     best = best.select(F.col("value").alias("__value"), F.col("rule.category").alias(out_col))
     return df.drop(out_col).join(best, F.col(col) == F.col("__value"), "left").drop("__value")

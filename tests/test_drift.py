@@ -68,3 +68,13 @@ def test_a_hundred_thousand_rules(spark):
     assert len(out._jdf.queryExecution().toString()) < 100_000
     none = lookup.categorize_by_rule_table(df, "v", rules.limit(0))
     assert none.filter("category is not null").count() == 0 and none.count() == 500
+
+
+def test_rules_are_read_once_for_all_lengths(spark):
+    rules = spark.range(60).selectExpr("id AS priority", "concat('c', id) AS category", "substr('abcdefgh', 1 + int(id % 5), 1 + int(id % 4)) AS keyword")
+    df = spark.createDataFrame([(0, "xxb"), (1, "zab"), (2, "cdef"), (3, "-"), (4, None)], "i int, v string")
+    out = lookup.categorize_by_rule_table(df, "v", rules)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Generate ") <= 3
+    case = lookup.categorize_by_rules(df, "v", [tuple(r) for r in rules.collect()])
+    assert sorted(map(str, out.collect())) == sorted(map(str, case.collect()))
