@@ -5,19 +5,22 @@ at least ``percent`` match, and a line that matches an earlier one (order of
 doc_id, then line number) is removed.
 
 Equal sets are folded first, so a line that stands in a third of all documents
-is one set. Each set's words are ordered by rarity and only the prefix that a
-match must share is posted: n - ceil(t n) + 1 words, of which those of one set
-alone go at once. Posted words meet in a join with the length and positional
-filters in its condition; the few pairs that pass fetch their lines, and the
-Jaccard similarity is verified on the words themselves.
+is one set. Each set's words are ordered by rarity, and a sign of a set is a word
+with the one after it: two words that are rare and have none of the set between
+them. A match keeps most signs, so it shares one of the first 2 (1 - t) n + 1,
+and only these are posted. The postings are shuffled once, by sign; those of one
+set alone end there. Pairs that share a sign and pass the length and bitmap
+filters fetch their lines, and the Jaccard similarity is verified on the words
+themselves. Single words pair far more sets than match, and ever more as the
+corpus grows; two words seldom do.
 
 Any common word order keeps prefix filtering exact; rarity only makes it
 selective. It comes from the counts of ``RARITY_BUCKETS`` hashed words over all
 texts, a table of fixed size. A posting also carries the parity bitmap of its
 set: each word flips one of 64 bits, so two sets differ in at least as many
 words as their bitmaps differ in bits, and a pair that would differ in too many
-is dropped in the join. Within a line, words are told apart by 64-bit hashes;
-across lines hashes only propose pairs and words decide.
+is dropped. Within a line, words are told apart by 64-bit hashes; across lines
+hashes only propose pairs and words decide.
 
 Arrays are exploded with the outer form: for the inner one Spark works out the
 array once more, to filter on its size.
@@ -69,8 +72,7 @@ def _bit(number: Column) -> Column:
 
 def _rarity(texts: DataFrame) -> DataFrame:
     """One row: for each bucket its word count in quarters of a doubling (RARITY_BUCKETS bytes)."""
-    lines = texts.select(F.explode_outer(F.split("text", "\n")).alias("line"))
-    words = lines.select(F.explode_outer(F.split("line", " ")).alias("word"))
+    words = texts.select(F.explode_outer(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")).alias("word"))
     counts = words.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).agg(F.count("*").alias("n"))
     every = texts.sparkSession.range(RARITY_BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
     full = every.unionByName(counts).groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -101,30 +103,38 @@ def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
     return lines.select("doc", "row", "line", F.size("w").alias("n"), parity.alias("parity"), "w")
 
 
-def _postings(sets: DataFrame) -> DataFrame:
-    """(word, id, at, n, parity) for each prefix word of the sets; narrow, for it is shuffled more than once."""
-    return sets.select("id", F.col("n").cast("int").alias("n"), "parity", F.posexplode_outer("prefix").alias("at", "word"))
+def _signs(percent: int) -> Column:
+    """How many signs of a set of n words there are, one of which any match shares; none where no other set can match.
 
+    Above 50 percent a sign is a word with the one after it. A word that a match
+    lacks takes two signs with it, and one that a match adds takes one, so at
+    most 2 (1 - t) n are lost. Up to 50 percent a sign is a single word.
+    """
+    lost = F.floor((2 if percent > 50 else 1) * (100 - percent) * F.col("n") / F.lit(100)).cast("int")
+    return F.when(100 * F.col("n") >= percent * (F.col("n") + 1), lost + 1).otherwise(0)
 
-def _possible(percent: int) -> Column:
-    """Length, positional and bitmap filters of an earlier set a and a later set b."""
-    n, m = F.col("a.n"), F.col("b.n")
-    length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    rest = F.least(n - F.col("a.at"), m - F.col("b.at"))  # this word and what may follow
-    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
-    return (F.col("a.id") < F.col("b.id")) & length & ((100 + percent) * rest >= percent * (n + m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
+
+def _postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(sign, id, n, parity) for each sign of the sets; narrow, for it is shuffled."""
+    after = (lambda i: F.get("prefix", i + 1)) if percent > 50 else (lambda i: F.lit(None).cast("int"))
+    signs = F.slice(F.transform("prefix", lambda v, i: F.xxhash64(v, after(i))), F.lit(1), _signs(percent))
+    return sets.filter(F.size("prefix") > 0).select(F.explode_outer(signs).alias("sign"), "id", F.col("n").cast("int").alias("n"), "parity")
 
 
-def _candidates(earlier: DataFrame, later: DataFrame, percent: int) -> DataFrame:
-    """(x, y): an earlier and a later set that share a prefix word and pass the filters."""
-    pairs = earlier.alias("a").join(later.alias("b"), (F.col("a.word") == F.col("b.word")) & _possible(percent))
-    return pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+def _shared(postings: DataFrame) -> DataFrame:
+    """Postings of signs that several sets have, each with the earliest (x, xn, xparity); many: there are three sets or more.
+
+    They are dealt out once, for the earliest of each sign and for the join with it.
+    """
+    dealt = postings.repartition("sign")
+    first = dealt.groupBy("sign").agg(F.min("id").alias("x"), F.min_by("n", "id").alias("xn"), F.min_by("parity", "id").alias("xparity"), F.count("*").alias("sets"))
+    return dealt.join(first.filter("sets > 1").hint("shuffle_hash"), "sign").withColumn("many", F.col("sets") > 2).drop("sets")
 
 
-def _leaders(postings: DataFrame) -> DataFrame:
-    """The earliest posting of each word."""
-    first = F.min(F.struct("id", "at", "n", "parity")).alias("p")
-    return postings.groupBy("word").agg(first).select("word", "p.*")
+def _possible(n: str, m: str, a: str, b: str, percent: int) -> Column:
+    """Length and bitmap filters of sets of n and m words with parity bitmaps a and b."""
+    length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return length & ((100 + percent) * F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= (100 - percent) * (F.col(n) + F.col(m)))
 
 
 def matching_sets(texts: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -158,9 +168,8 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     texts = _texts(docs)
     rarity = materialize(_rarity(texts), "line-rarity")
     keyed = _sets(texts, rarity)
-    # a set that no other size can match has no prefix
-    length = F.when(100 * F.col("n") >= percent * (F.col("n") + 1), F.col("n") - F.ceil(percent * F.col("n") / F.lit(100)).cast("int") + 1).otherwise(0)
-    prefix = F.transform(F.slice("w", F.lit(1), length), lambda v: F.hash(v))
+    signs = _signs(percent)  # and the word after the last of them
+    prefix = F.transform(F.slice("w", F.lit(1), F.when(signs > 0, signs + 1).otherwise(0)), lambda v: F.hash(v))
     keyed = keyed.select("doc", "row", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2"), "parity", prefix.alias("prefix"))
     keyed = materialize(keyed, "line-sets")
 
@@ -169,21 +178,20 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     # numbered in the order of their first places, so that one number stands for place and set
     numbered = folded.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id())
     sets = materialize(numbered, "line-firsts")
-    # a prefix word of one set alone pairs nothing; one of two sets pairs only these two
-    words = sets.select(F.explode_outer("prefix").alias("word")).filter("word is not null")
-    words = materialize(words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").select("word", (F.col("n") > 2).alias("many")), "line-words-posted")
-    postings = materialize(_postings(sets.filter(F.size("prefix") > 0)).join(_small(words, words.count()), "word"), "line-postings")
+    postings = materialize(_shared(_postings(sets, percent)), "line-postings")
     # Any earlier match decides, so each set first meets only the earliest set of each
-    # of its words: pairs in proportion to the postings, which settle groups of near
-    # copies. Only sets that this leaves open meet all earlier sets of their words,
-    # and only through words of three sets or more: of two, the earliest is the other.
-    pairs = materialize(_candidates(_leaders(postings), postings, percent), "line-pairs")
+    # of its signs: pairs in proportion to the postings, which settle groups of near
+    # copies. Only sets that this leaves open meet all earlier sets of their signs,
+    # and only through signs of three sets or more: of two, the earliest is the other.
+    met = postings.filter((F.col("x") < F.col("id")) & _possible("xn", "n", "xparity", "parity", percent))
+    pairs = materialize(met.select("x", F.col("id").alias("y")).distinct(), "line-pairs")
     settled = matching_sets(texts, sets, pairs, percent)
     done = settled.select(F.col("y").alias("id")).distinct()
-    many = postings.filter("many")
-    unsettled = many.join(_small(done, done.count()), "id", "left_anti")
-    more = materialize(_candidates(many, unsettled, percent), "line-pairs")
-    discard(words, postings)
+    many = postings.filter("many and x < id").select("sign", "id", "n", "parity")
+    unsettled = many.join(_small(done, done.count()), "id", "left_anti").select("sign", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("parity").alias("yparity"))
+    met = many.withColumnRenamed("id", "x").join(unsettled, "sign").filter((F.col("x") < F.col("y")) & _possible("n", "yn", "parity", "yparity", percent))
+    more = materialize(met.select("x", "y").distinct(), "line-pairs")
+    discard(postings)
     late = matching_sets(texts, sets, more, percent)
     alike = settled.unionByName(late)
 

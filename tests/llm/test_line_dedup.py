@@ -86,3 +86,28 @@ def test_no_rows_and_no_python(spark, docs_of):
     assert line_dedup.dedup_lines(docs_of([])).count() == 0
     plan = line_dedup.dedup_lines(docs_of(["a b c"]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_lines_that_share_single_words_are_not_paired(spark, docs_of, monkeypatch):
+    rng, kept, counts = random.Random(3), line_dedup.materialize, []
+
+    def counted(df, purpose):
+        out = kept(df, purpose)
+        if purpose == "line-pairs":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    lines = [" ".join(f"w{k}" for k in rng.sample(range(20_000), 200)) for _ in range(80)]
+    near = lines[7].rsplit(" ", 5)[0] + " some other words at last"
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of([*lines, near])).collect()}
+    assert got == {**dict(enumerate(lines)), 80: ""}
+    assert 1 <= sum(counts) <= 200
+
+
+@pytest.mark.parametrize("percent", [80, 51, 50, 30])
+def test_small_sets_that_differ_by_words_at_the_ends(spark, docs_of, percent):
+    words = [f"{c}{k}" for k, c in enumerate("qwertyuiop")]
+    texts = [" ".join(words[a:b]) for a in range(9) for b in range(a + 1, 11) if (a * b) % 3 != 1]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(texts), percent).collect()}
+    assert got == dict(enumerate(brute(list(enumerate(texts)), percent)))
