@@ -44,6 +44,11 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _free_shuffles(df: DataFrame) -> None:
+    """Ask the driver for a garbage collection: Spark deletes the shuffle files of finished queries with it."""
+    df.sparkSession._jvm.System.gc()
+
+
 def words_of(line: Column) -> Column:
     """Distinct lower-case words of a line whose only white space is blanks."""
     return F.array_remove(F.array_distinct(F.split(F.lower(line), " ")), "")
@@ -178,11 +183,13 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     # numbered in the order of their first places, so that one number stands for place and set
     numbered = folded.repartitionByRange("first").sortWithinPartitions("first").withColumn("id", F.monotonically_increasing_id())
     sets = materialize(numbered, "line-firsts")
+    _free_shuffles(texts)
     postings = materialize(_shared(_postings(sets, percent)), "line-postings")
     # Any earlier match decides, so each set first meets only the earliest set of each
     # of its signs: pairs in proportion to the postings, which settle groups of near
     # copies. Only sets that this leaves open meet all earlier sets of their signs,
     # and only through signs of three sets or more: of two, the earliest is the other.
+    _free_shuffles(texts)
     met = postings.filter((F.col("x") < F.col("id")) & _possible("xn", "n", "xparity", "parity", percent))
     pairs = materialize(met.select("x", F.col("id").alias("y")).distinct(), "line-pairs")
     settled = matching_sets(texts, sets, pairs, percent)
