@@ -111,3 +111,32 @@ def test_small_sets_that_differ_by_words_at_the_ends(spark, docs_of, percent):
     texts = [" ".join(words[a:b]) for a in range(9) for b in range(a + 1, 11) if (a * b) % 3 != 1]
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of(texts), percent).collect()}
     assert got == dict(enumerate(brute(list(enumerate(texts)), percent)))
+
+
+def test_wide_tables_are_gone_before_the_postings(spark, docs_of, monkeypatch):
+    import os
+
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).removeprefix("file:")
+    before, kept, seen, parts = set(os.listdir(base)), line_dedup.materialize, [], []
+
+    def watched(df, purpose):
+        if purpose == "line-postings":
+            seen.append({x.rsplit("-", 1)[0] for x in set(os.listdir(base)) - before})
+        out = kept(df, purpose)
+        if purpose == "line-postings":
+            parts.append({r.sign for r in out.select("sign").collect()})
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", watched)
+    rows = list(enumerate(corpus(random.Random(11), 40)))
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs_of([t for _, t in rows])).collect()}
+    assert got == dict(enumerate(brute(rows)))
+    assert len(parts) > 1 and all(parts) and not set.intersection(*parts)
+    assert all("line-sets" not in tables and "line-prefixes" in tables for tables in seen)
+
+
+def test_documents_are_numbered_in_order_over_partitions(spark, docs_of):
+    ids = [5, -3, 2**63 - 2, 0, -(2**63), 7, 1] + list(range(100, 160))
+    keyed = docs_of(["x"] * len(ids), ids).repartition(7).selectExpr("doc_id as doc", "0L as row")
+    got = {r.doc: r.num for r in line_dedup._numbered(keyed.unionByName(keyed)).collect()}
+    assert got == {doc: num for num, doc in enumerate(sorted(ids))}
