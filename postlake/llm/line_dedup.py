@@ -161,7 +161,8 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
     """
     sign = Window.partitionBy("sign").orderBy("id")
     first = (F.first(c).over(sign).alias(f"x{c}") for c in ("id", "n", "parity"))
-    met = postings.select("*", *first, (F.lead("id").over(sign).isNotNull() | (F.row_number().over(sign) > 2)).alias("many")).filter("xid < id")
+    met = postings.select("*", *first, (F.lead("id").over(sign).isNotNull() | (F.row_number().over(sign) > 2)).alias("many"), F.lag("id").over(sign).alias("last"))
+    met = met.filter("xid < id and last < id")  # rows that repeat an id and text post one place
     near = _possible("xn", "n", "xparity", "parity", percent)
     return met.select("sign", "id", "n", "parity", F.col("xid").alias("x"), near.alias("near"), "many").filter("near or many")
 
@@ -217,7 +218,6 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     lines = materialize(placed.select("id", "h1", "h2"), "line-places")
     folded = materialize(lines.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("count")), "line-firsts")
     posted = placed.filter(F.size("prefix") > 0).select("id", "n", "parity", "prefix")
-    # rows that repeat an id and text have lines of one place
     sets = materialize(posted.join(folded.select("id").hint("shuffle_hash"), "id", "left_semi"), "line-prefixes")
     discard(rarity, keyed)
     # Any earlier match decides, so each set first meets only the earliest set of each

@@ -140,3 +140,20 @@ def test_documents_are_numbered_in_order_over_partitions(spark, docs_of):
     keyed = docs_of(["x"] * len(ids), ids).repartition(7).selectExpr("doc_id as doc", "0L as row")
     got = {r.doc: r.num for r in line_dedup._numbered(keyed.unionByName(keyed)).collect()}
     assert got == {doc: num for num, doc in enumerate(sorted(ids))}
+
+
+def test_rows_that_repeat_an_id_and_text_post_once(spark, docs_of, monkeypatch):
+    kept, posted = line_dedup.materialize, []
+
+    def watched(df, purpose):
+        out = kept(df, purpose)
+        if purpose == "line-postings":
+            posted.extend((r.sign, r.id) for r in out.select("sign", "id").collect())
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", watched)
+    texts = ["a b c d e f g h i j"] + ["a b c d e f g h i k"] * 20 + ["a b c d e f g h x y"] * 20
+    ids = [0] + [1] * 20 + [2] * 20
+    got = {(r.doc_id, r.text) for r in line_dedup.dedup_lines(docs_of(texts, ids)).collect()}
+    assert got == set(zip(ids, brute(list(zip(ids, texts))), strict=True))
+    assert posted and len(posted) == len(set(posted))
