@@ -33,16 +33,30 @@ def library(path: str):
     return Tokenizer.from_file(path)
 
 
-@lru_cache(maxsize=4)
 def definition(path: str) -> dict:
+    """The whole tokenizer file, vocabulary and merges included (some 20 MB once parsed, so not kept)."""
     with open(path, encoding="utf-8") as f:
         return json.load(f)
 
 
+@lru_cache(maxsize=4)
+def rules(path: str) -> dict:
+    """The tokenizer file without its model."""
+    return {key: value for key, value in definition(path).items() if key != "model"}
+
+
+@lru_cache(maxsize=4)
+def normalizer(path: str):
+    """The file's normalizer in the library, which loads no vocabulary for it."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_str(json.dumps({**rules(path), "added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}})).normalizer
+
+
 @lru_cache(maxsize=4)
 def special_pattern(path: str) -> re.Pattern | None:
     """Pattern of the added tokens, which the library cuts out of a text first."""
-    names = [t["content"] for t in definition(path)["added_tokens"]]
+    names = [t["content"] for t in rules(path)["added_tokens"]]
     return re.compile("(" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + ")") if names else None
 
 
@@ -65,11 +79,10 @@ def word_end(text: str, path: str) -> list[bytes]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         return [w.encode() for w in WORD_END.findall(text.lower())]
-    tok = library(path)
-    text = tok.normalizer.normalize_str(text)
+    text = normalizer(path).normalize_str(text)
     from tokenizers.pre_tokenizers import Split
     from tokenizers import Regex
 
-    rule = definition(path)["pre_tokenizer"]["pretokenizers"][0]
+    rule = rules(path)["pre_tokenizer"]["pretokenizers"][0]
     split = Split(Regex(rule["pattern"]["Regex"]), rule["behavior"].lower(), rule["invert"])
     return [w.encode() for w, _ in split.pre_tokenize_str(text)]

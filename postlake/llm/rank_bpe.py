@@ -25,8 +25,12 @@ from postlake.llm import pretokens
 from postlake.llm.common import text_slices
 
 SHORT = 64
-#: Distinct words a task remembers.
-MEMO_WORDS = 300_000
+#: Distinct words a task remembers; a word takes some 230 bytes with its ids and its decoded text.
+MEMO_WORDS = 150_000
+#: Texts split into words together, in UTF-8 bytes: as words they take some ten times that.
+WORDS_BYTES = 1 << 19
+#: Parts stepped together; a part takes some 50 bytes while a step looks its ranks up.
+CELLS = 1 << 17
 NO_RANK = np.int32(2**31 - 1)
 WORD_END = "</w>"
 
@@ -43,11 +47,12 @@ class RankTable:
     """Vocabulary and merges of a word-end BPE file as sorted arrays."""
 
     def __init__(self, path: str):
-        model = pretokens.definition(path)["model"]
+        whole = pretokens.definition(path)
+        model = whole["model"]
         vocab: dict[str, int] = model["vocab"]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.names = {i: name for name, i in vocab.items()}
-        self.special = {t["content"]: t["id"] for t in pretokens.definition(path)["added_tokens"]}
+        self.special = {t["content"]: t["id"] for t in whole["added_tokens"]}
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int32)
         self.final = np.array([vocab[c + WORD_END] for c in letters], np.int32)
@@ -138,9 +143,10 @@ class RankTable:
                 yield w, self.encode_long(w)
             elif w:
                 by_width.setdefault((len(w) + 3) // 4, []).append(w)
-        for group in by_width.values():
-            for i in range(0, len(group), 16_384):
-                some = group[i : i + 16_384]
+        for width, group in by_width.items():
+            step = CELLS // (4 * width)
+            for i in range(0, len(group), step):
+                some = group[i : i + step]
                 yield from zip(some, self.encode_short(some), strict=True)
 
 
@@ -158,7 +164,7 @@ def _encoder(path: str):
         known_ids: dict[bytes, bytes] = {}
         known_text: dict[bytes, str] = {}
         for batch in batches:
-            for a, b in text_slices(batch, "text"):
+            for a, b in text_slices(batch, "text", WORDS_BYTES):
                 docs = [pretokens.segments(t, path) for t in batch.column("text")[a:b].to_pylist()]
                 docs = [[pretokens.word_end(s, path) if i % 2 == 0 else s for i, s in enumerate(d)] for d in docs]
                 need: set[bytes] = set()
