@@ -23,7 +23,8 @@ selective. It comes from the counts of ``RARITY_BUCKETS`` hashed words over all
 texts, a table of fixed size that stands beside each document. A posting also
 carries the parity bitmap of its set: each word flips one of 64 bits, so two
 sets differ in at least as many words as their bitmaps differ in bits, and a
-pair that would differ in too many is dropped. Within a line, words are told
+pair that would differ in too many is dropped. Long sets flip most bits of 64 at random,
+so those of more than ``LONG`` words have a second bitmap and 128 bits. Within a line, words are told
 apart by 56 bits of their hashes and the rarity; across lines hashes only
 propose pairs and words decide.
 
@@ -43,7 +44,11 @@ from postlake.llm.common import discard, materialize
 #: As many groups as Spark's aggregation holds in its fast map.
 RARITY_BUCKETS = 1 << 16
 #: Parts in which the postings are shuffled, one after the other.
-SLICES = 2
+SLICES = 3
+#: Words from which a set has two bitmaps.
+LONG = 96
+#: Sets right before a set in the order of its sign that it is compared with beside the earliest; further ones meet by a join.
+LAST_SETS = 3
 #: Bits of a place for the line; a document of more lines would not fit an array.
 LINE_BITS = 28
 #: Rows up to which a side is broadcast after it was counted; else it is shuffled.
@@ -88,6 +93,11 @@ def _bit(number: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(number, 50).cast("int"))  # a shift takes the last 6 bits
 
 
+def _second(number: Column) -> Column:
+    """All ones for a word whose bit belongs to the second bitmap of a long set, else zero."""
+    return -F.shiftrightunsigned(number, 49).bitwiseAND(F.lit(1))
+
+
 def _rarity(texts: DataFrame) -> DataFrame:
     """One row: for each bucket its word count in quarters of a doubling (RARITY_BUCKETS bytes)."""
     words = texts.select(F.explode_outer(F.split(F.replace(F.lower(_blanks(F.col("text"))), F.lit("\n"), F.lit(" ")), " ")).alias("word"))
@@ -100,7 +110,10 @@ def _rarity(texts: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
-    """(doc, row, line, n, parity, w) of each line with words: w orders the words by rarity.
+    """(doc, row, line, n, parity, more, w) of each line with words: w orders the words by rarity.
+
+    ``parity`` is the bitmap of all words and ``more`` that of the words of the
+    second bitmap, zero for sets that are not long.
 
     A word becomes one number, the level of its bucket above its hash. Words are
     numbered inside their document's row, so that the rarity table stands beside
@@ -110,13 +123,18 @@ def _sets(texts: DataFrame, rarity: DataFrame) -> DataFrame:
         level = F.coalesce(F.get("rarity", _bucket(h)), F.lit(0).cast("byte")).cast("long")
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
+    def hashes(line: Column) -> Column:  # an array of their own: number() uses each twice
+        return F.transform(F.split(line, " "), lambda w: F.xxhash64(w))
+
     with_table = texts.select("doc", "row", F.lower(_blanks(F.col("text"))).alias("text"), rarity.scalar().alias("rarity"))
-    numbers = F.transform(F.split("text", "\n"), lambda line: F.transform(F.split(line, " "), lambda w: number(F.xxhash64(w))))
+    numbers = F.transform(F.split("text", "\n"), lambda line: F.transform(hashes(line), number))
     per_line = with_table.select("doc", "row", number(F.xxhash64(F.lit(""))).alias("none"), numbers.alias("sets"))
     lines = per_line.select("doc", "row", "none", F.posexplode_outer("sets").alias("line", "w"))
     lines = lines.select("doc", "row", "line", F.sort_array(F.array_remove(F.array_distinct("w"), F.col("none"))).alias("w")).filter(F.size("w") > 0)
     parity = F.aggregate("w", F.lit(0).cast("long"), lambda bits, v: bits.bitwiseXOR(_bit(v)))
-    return lines.select("doc", "row", "line", F.size("w").alias("n"), parity.alias("parity"), "w")
+    more = F.aggregate("w", F.lit(0).cast("long"), lambda bits, v: bits.bitwiseXOR(_bit(v).bitwiseAND(_second(v))))
+    more = F.when(F.size("w") > LONG, more).otherwise(0)
+    return lines.select("doc", "row", "line", F.size("w").alias("n"), parity.alias("parity"), more.alias("more"), "w")
 
 
 def _numbered(keyed: DataFrame) -> DataFrame:
@@ -146,31 +164,48 @@ def _signs(percent: int) -> Column:
 
 
 def _postings(sets: DataFrame, percent: int, part: int) -> DataFrame:
-    """(sign, id, n, parity) for the signs of the sets whose first words are of the part; narrow, for it is shuffled."""
+    """(sign, id, n, parity, more) for the signs of the sets whose first words are of the part; narrow, for it is shuffled."""
     k = _signs(percent)
     words = F.arrays_zip(F.slice("prefix", F.lit(1), k).alias("v"), F.slice("prefix", F.lit(2), k).alias("after"))
-    each = sets.filter(F.size("prefix") > 0).select(F.explode_outer(words).alias("s"), "id", "n", "parity").filter(F.pmod("s.v", F.lit(SLICES)) == part)
+    each = sets.filter(F.size("prefix") > 0).select(F.explode_outer(words).alias("s"), "id", "n", "parity", "more").filter(F.pmod("s.v", F.lit(SLICES)) == part)
     sign = F.xxhash64("s.v", "s.after") if percent > 50 else F.xxhash64("s.v")
-    return each.select(sign.alias("sign"), "id", "n", "parity")
+    return each.select(sign.alias("sign"), "id", "n", "parity", "more")
 
 
 def _shared(postings: DataFrame, percent: int) -> DataFrame:
     """Postings of signs that earlier sets have, each with the earliest of them (x).
 
-    near: the two may match; many: the sign has three sets or more. Postings that are neither go.
+    near: the two may match; last: which of the ``LAST_SETS`` before it, the
+    earliest apart, may match (null: not); far: there are more sets before or
+    after it than these. Postings that are none of it go.
     """
     sign = Window.partitionBy("sign").orderBy("id")
-    first = (F.first(c).over(sign).alias(f"x{c}") for c in ("id", "n", "parity"))
+    own = ("id", "n", "parity", "more")
+    first = (F.first(c).over(sign).alias(f"x{c}") for c in own)
     met = postings.select("*", *first, (F.lead("id").over(sign).isNotNull() | (F.row_number().over(sign) > 2)).alias("many"), F.lag("id").over(sign).alias("last"))
     met = met.filter("xid < id and last < id")  # rows that repeat an id and text post one place
-    near = _possible("xn", "n", "xparity", "parity", percent)
-    return met.select("sign", "id", "n", "parity", F.col("xid").alias("x"), near.alias("near"), "many").filter("near or many")
-
-
-def _possible(n: str, m: str, a: str, b: str, percent: int) -> Column:
-    """Length and bitmap filters of sets of n and m words with parity bitmaps a and b."""
+    near = _possible([F.col(f"x{c}") for c in own[1:]], [F.col(c) for c in own[1:]], percent)
+    met = met.select("sign", *own, F.col("xid").alias("x"), near.alias("near"), "many").filter("near or many")
+    # the same order once more, over what is left of it
+    last = [F.lag(F.struct(*own), k).over(sign).alias(f"last{k}") for k in range(1, LAST_SETS + 1)]
+    far = F.lag("id", LAST_SETS + 1).over(sign).isNotNull() | F.lead("id", LAST_SETS + 1).over(sign).isNotNull()
+    met = met.select("sign", *own, "x", "near", far.alias("far"), *last)
+    fits = [_possible([F.col(f"last{k}.{c}") for c in own[1:]], [F.col(c) for c in own[1:]], percent) for k in range(1, LAST_SETS + 1)]
+    last = F.array(*(F.when(fit, F.col(f"last{k}.id")) for k, fit in enumerate(fits, 1)))
+    met = met.select("sign", *own, "x", "near", "far", F.coalesce(reduce(Column.__or__, fits), F.lit(False)).alias("some"), last.alias("last"))
+    return met.filter("near or far or some")
+
+
+def _possible(x: list[Column], y: list[Column], percent: int) -> Column:
+    """Length and bitmap filters of two sets, each given as its n, parity and more.
+
+    Two long sets compare both bitmaps: that of all words without those of the second one, and the second one.
+    """
+    (n, a, a2), (m, b, b2) = x, y
     length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    return length & ((100 + percent) * F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= (100 - percent) * (F.col(n) + F.col(m)))
+    every, second = a.bitwiseXOR(b), a2.bitwiseXOR(b2)
+    apart = F.when((n > LONG) & (m > LONG), F.bit_count(every.bitwiseXOR(second)) + F.bit_count(second)).otherwise(F.bit_count(every))
+    return length & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
 def _place(num: Column, line: Column) -> Column:
@@ -210,20 +245,21 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     keyed = _sets(texts, rarity)
     signs = _signs(percent)  # and the word after the last of them
     prefix = F.transform(F.slice("w", F.lit(1), F.when(signs > 0, signs + 1).otherwise(0)), lambda v: F.hash(v))
-    keyed = keyed.select("doc", "row", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2"), "parity", prefix.alias("prefix"))
+    keyed = keyed.select("doc", "row", "line", "n", F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), F.col("w")).alias("h2"), "parity", "more", prefix.alias("prefix"))
     keyed = materialize(keyed, "line-sets")
 
     numbered = _numbered(keyed)
     placed = keyed.join(_small(numbered, numbered.count()), ["doc", "row"]).withColumn("id", _place(F.col("num"), F.col("line")))
     lines = materialize(placed.select("id", "h1", "h2"), "line-places")
     folded = materialize(lines.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("count")), "line-firsts")
-    posted = placed.filter(F.size("prefix") > 0).select("id", "n", "parity", "prefix")
+    posted = placed.filter(F.size("prefix") > 0).select("id", "n", "parity", "more", "prefix")
     sets = materialize(posted.join(folded.select("id").hint("shuffle_hash"), "id", "left_semi"), "line-prefixes")
     discard(rarity, keyed)
     # Any earlier match decides, so each set first meets only the earliest set of each
-    # of its signs: pairs in proportion to the postings, which settle groups of near
-    # copies. Only sets that this leaves open meet all earlier sets of their signs,
-    # and only through signs of three sets or more: of two, the earliest is the other.
+    # of its signs, or the last few before it where it can't match the earliest: pairs in
+    # proportion to the postings, which settle groups of near copies. Only sets that this
+    # leaves open meet the other earlier sets of their signs, and only signs of more sets
+    # than the last few are joined with themselves.
     parts = []
     for part in range(SLICES):
         _free_shuffles(texts)
@@ -231,13 +267,21 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     discard(sets)
     _free_shuffles(texts)
     postings = reduce(DataFrame.unionByName, parts)
-    pairs = materialize(postings.filter("near").select("x", F.col("id").alias("y")).distinct(), "line-pairs")
+
+    def with_last(rows: DataFrame) -> DataFrame:
+        return rows.select(F.explode_outer("last").alias("x"), F.col("id").alias("y")).filter("x is not null")
+
+    near = postings.filter("near").select("x", F.col("id").alias("y"))
+    pairs = materialize(near.unionByName(with_last(postings.filter("some and not near"))).distinct(), "line-pairs")
     settled = matching_sets(texts, numbered, pairs, percent)
     done = settled.select(F.col("y").alias("id")).distinct()
-    many = postings.filter("many").select("sign", "id", "n", "parity")
-    unsettled = many.join(_small(done, done.count()), "id", "left_anti").select("sign", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("parity").alias("yparity"))
-    met = many.withColumnRenamed("id", "x").join(unsettled, "sign").filter((F.col("x") < F.col("y")) & _possible("n", "yn", "parity", "yparity", percent))
-    more = materialize(met.select("x", "y").distinct(), "line-pairs")
+    done = _small(done, done.count())
+    late = with_last(postings.filter("some and near").join(done, "id", "left_anti"))
+    many = postings.filter("far").select("sign", "id", "n", "parity", "more")
+    unsettled = many.join(done, "id", "left_anti").select("sign", *(F.col(a).alias(b) for a, b in {"id": "y", "n": "yn", "parity": "yparity", "more": "ymore"}.items()))
+    fit = _possible([F.col(c) for c in ("n", "parity", "more")], [F.col(c) for c in ("yn", "yparity", "ymore")], percent)
+    met = many.withColumnRenamed("id", "x").join(unsettled, "sign").filter((F.col("x") < F.col("y")) & fit)
+    more = materialize(met.select("x", "y").unionByName(late).distinct(), "line-pairs")
     discard(*parts)
     _free_shuffles(texts)
     late = matching_sets(texts, numbered, more, percent)
