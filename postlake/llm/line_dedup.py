@@ -47,8 +47,6 @@ RARITY_BUCKETS = 1 << 16
 SLICES = 3
 #: Words from which a set has two bitmaps.
 LONG = 96
-#: Sets right before a set in the order of its sign that it is compared with beside the earliest; further ones meet by a join.
-LAST_SETS = 3
 #: Bits of a place for the line; a document of more lines would not fit an array.
 LINE_BITS = 28
 #: Rows up to which a side is broadcast after it was counted; else it is shuffled.
@@ -175,9 +173,7 @@ def _postings(sets: DataFrame, percent: int, part: int) -> DataFrame:
 def _shared(postings: DataFrame, percent: int) -> DataFrame:
     """Postings of signs that earlier sets have, each with the earliest of them (x).
 
-    near: the two may match; last: which of the ``LAST_SETS`` before it, the
-    earliest apart, may match (null: not); far: there are more sets before or
-    after it than these. Postings that are none of it go.
+    near: the two may match; many: the sign has three sets or more. Postings that are neither go.
     """
     sign = Window.partitionBy("sign").orderBy("id")
     own = ("id", "n", "parity", "more")
@@ -185,15 +181,7 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
     met = postings.select("*", *first, (F.lead("id").over(sign).isNotNull() | (F.row_number().over(sign) > 2)).alias("many"), F.lag("id").over(sign).alias("last"))
     met = met.filter("xid < id and last < id")  # rows that repeat an id and text post one place
     near = _possible([F.col(f"x{c}") for c in own[1:]], [F.col(c) for c in own[1:]], percent)
-    met = met.select("sign", *own, F.col("xid").alias("x"), near.alias("near"), "many").filter("near or many")
-    # the same order once more, over what is left of it
-    last = [F.lag(F.struct(*own), k).over(sign).alias(f"last{k}") for k in range(1, LAST_SETS + 1)]
-    far = F.lag("id", LAST_SETS + 1).over(sign).isNotNull() | F.lead("id", LAST_SETS + 1).over(sign).isNotNull()
-    met = met.select("sign", *own, "x", "near", far.alias("far"), *last)
-    fits = [_possible([F.col(f"last{k}.{c}") for c in own[1:]], [F.col(c) for c in own[1:]], percent) for k in range(1, LAST_SETS + 1)]
-    last = F.array(*(F.when(fit, F.col(f"last{k}.id")) for k, fit in enumerate(fits, 1)))
-    met = met.select("sign", *own, "x", "near", "far", F.coalesce(reduce(Column.__or__, fits), F.lit(False)).alias("some"), last.alias("last"))
-    return met.filter("near or far or some")
+    return met.select("sign", *own, F.col("xid").alias("x"), near.alias("near"), "many").filter("near or many")
 
 
 def _possible(x: list[Column], y: list[Column], percent: int) -> Column:
@@ -256,10 +244,9 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     sets = materialize(posted.join(folded.select("id").hint("shuffle_hash"), "id", "left_semi"), "line-prefixes")
     discard(rarity, keyed)
     # Any earlier match decides, so each set first meets only the earliest set of each
-    # of its signs, or the last few before it where it can't match the earliest: pairs in
-    # proportion to the postings, which settle groups of near copies. Only sets that this
-    # leaves open meet the other earlier sets of their signs, and only signs of more sets
-    # than the last few are joined with themselves.
+    # of its signs: pairs in proportion to the postings, which settle groups of near
+    # copies. Only sets that this leaves open meet all earlier sets of their signs,
+    # and only through signs of three sets or more: of two, the earliest is the other.
     parts = []
     for part in range(SLICES):
         _free_shuffles(texts)
@@ -268,20 +255,14 @@ def repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     _free_shuffles(texts)
     postings = reduce(DataFrame.unionByName, parts)
 
-    def with_last(rows: DataFrame) -> DataFrame:
-        return rows.select(F.explode_outer("last").alias("x"), F.col("id").alias("y")).filter("x is not null")
-
-    near = postings.filter("near").select("x", F.col("id").alias("y"))
-    pairs = materialize(near.unionByName(with_last(postings.filter("some and not near"))).distinct(), "line-pairs")
+    pairs = materialize(postings.filter("near").select("x", F.col("id").alias("y")).distinct(), "line-pairs")
     settled = matching_sets(texts, numbered, pairs, percent)
     done = settled.select(F.col("y").alias("id")).distinct()
-    done = _small(done, done.count())
-    late = with_last(postings.filter("some and near").join(done, "id", "left_anti"))
-    many = postings.filter("far").select("sign", "id", "n", "parity", "more")
-    unsettled = many.join(done, "id", "left_anti").select("sign", *(F.col(a).alias(b) for a, b in {"id": "y", "n": "yn", "parity": "yparity", "more": "ymore"}.items()))
+    many = postings.filter("many").select("sign", "id", "n", "parity", "more")
+    unsettled = many.join(_small(done, done.count()), "id", "left_anti").select("sign", *(F.col(a).alias(b) for a, b in {"id": "y", "n": "yn", "parity": "yparity", "more": "ymore"}.items()))
     fit = _possible([F.col(c) for c in ("n", "parity", "more")], [F.col(c) for c in ("yn", "yparity", "ymore")], percent)
     met = many.withColumnRenamed("id", "x").join(unsettled, "sign").filter((F.col("x") < F.col("y")) & fit)
-    more = materialize(met.select("x", "y").unionByName(late).distinct(), "line-pairs")
+    more = materialize(met.select("x", "y").distinct(), "line-pairs")
     discard(*parts)
     _free_shuffles(texts)
     late = matching_sets(texts, numbered, more, percent)
