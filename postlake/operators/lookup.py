@@ -2,7 +2,8 @@
 
 Lookup tables come from local lists, so Spark knows their exact size: the
 planner broadcasts one that is under ``spark.sql.autoBroadcastJoinThreshold``
-and shuffles a larger one. No hint overrides that choice.
+and shuffles a larger one. No hint overrides that choice; only the joins on runs
+of characters, whose size the planner can't know, are sort-merge joins by hint.
 """
 
 from __future__ import annotations
@@ -60,6 +61,10 @@ def _hits(values: DataFrame, rules: DataFrame) -> DataFrame:
 
     Runs have ``GRAM`` characters, or as many as a shorter keyword has; runs of
     different lengths are different strings, so one join serves them all.
+
+    Spark takes a table of runs for as large as that of the values, each of which
+    it holds once per run: left to choose, it may send a hundred times the
+    broadcast threshold to the driver. Hence both joins are sort-merge joins.
     """
     pieces = F.concat(*(_grams(F.col("value"), size) for size in range(1, GRAM + 1)))
     held = values.select("value", F.explode(pieces).alias("gram"))
@@ -67,10 +72,10 @@ def _hits(values: DataFrame, rules: DataFrame) -> DataFrame:
     runs = rules.select("keyword", "rule", F.explode(own).alias("gram"))
     seen = held.groupBy("gram").agg(F.count("*").alias("n"))
     # a run that no value holds rules its keyword out
-    rarest = runs.join(seen, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = runs.join(seen.hint("merge"), "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     posted = rarest.groupBy("keyword").agg(F.min(F.struct("n", "gram")).alias("least"), F.first("rule").alias("rule"))
     posted = posted.filter("least.n > 0").select(F.col("least.gram").alias("gram"), "keyword", "rule")
-    return held.join(posted, "gram").filter(F.contains("value", "keyword")).select("value", "rule")
+    return held.join(posted.hint("merge"), "gram").filter(F.contains("value", "keyword")).select("value", "rule")
 
 
 def categorize_by_rule_table(df: DataFrame, col: str, rules: DataFrame, out_col: str = "category") -> DataFrame:

@@ -78,3 +78,25 @@ def test_rules_are_read_once_for_all_lengths(spark):
     assert plan.count("Range (") == 1 and plan.count("Generate ") <= 3
     case = lookup.categorize_by_rules(df, "v", [tuple(r) for r in rules.collect()])
     assert sorted(map(str, out.collect())) == sorted(map(str, case.collect()))
+
+
+def test_runs_are_never_broadcast(spark):
+    rng = random.Random(7)
+    # the values are smaller than the threshold, their runs larger than may be sent
+    values = ["".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(40)) for _ in range(4_000)]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    rules = [(i, f"c{i % 7}", values[i][3 : 4 + i % 5]) for i in range(0, 4_000, 3)]
+    table = spark.createDataFrame(rules, "priority int, category string, keyword string")
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "2m", "spark.sql.maxBroadcastTableSize": "8m"}
+    kept = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        out = lookup.categorize_by_rule_table(df, "v", table)
+        got = {r.i: r.category for r in out.collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {i: next((category for _, category, keyword in rules if keyword in v), None) for i, v in enumerate(values)}
+    joins = [line for line in out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n") if "Join " in line and "[gram" in line]
+    assert len(joins) == 2 and all("SortMergeJoin" in line for line in joins), joins
